@@ -9,10 +9,12 @@ from fairstream.plans import queries as _queries
 def queries() -> dict:
     out = {}
     out.update(_queries.clustering_queries())
+    out.update(_queries.sketch_queries())
     return out
 
 
 def oracle_sql() -> dict:
     out = {}
     out.update(_oracles.clustering_oracles())
+    out.update(_oracles.sketch_oracles())
     return out

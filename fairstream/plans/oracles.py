@@ -226,3 +226,111 @@ def fair_round_sql() -> str:
     )
     assert k > 0
     return "WITH RECURSIVE " + ", ".join(ctes) + " " + sel
+
+
+# --- sketches and heavy hitters ---------------------------------------------------
+
+SKEWED = "src AS (SELECT CAST(1000 // (1 + l_partkey % 1000) AS BIGINT) AS item FROM lineitem)"
+FLAT = "src AS (SELECT CAST(user_id AS BIGINT) AS item FROM events)"
+
+
+def _lin(a: int, b: int, p: int, x: str = "item") -> str:
+    return f"(({a} * {x} + {b}) % {p})"
+
+
+def bucket_sql(a: int, b: int, p: int, w: int, x: str = "item") -> str:
+    return f"CAST(((({_lin(a, b, p, x)}) % {w}) + {w}) % {w} AS INTEGER)"
+
+
+def sign_sql(a: int, b: int, p: int, x: str = "item") -> str:
+    return f"(CASE WHEN {_lin(a, b, p, x)} % 2 = 0 THEN 1 ELSE -1 END)"
+
+
+def refs_cte(name: str, source: str, keep: str, params, signs=None,
+             p: int = fx.SKETCH_P, w: int = fx.SKETCH_W) -> str:
+    parts = []
+    for i, (a, b) in enumerate(params):
+        sg = sign_sql(*signs[i], p) if signs else "1"
+        parts.append(f"SELECT {keep}, {i} AS row, {bucket_sql(a, b, p, w)} AS bucket, "
+                     f"{sg} AS sign FROM {source}")
+    return f"{name} AS ({' UNION ALL '.join(parts)})"
+
+
+def cells_cte(name: str, params, signs=None) -> str:
+    return (f"{refs_cte('r_' + name, 'src', 'item', params, signs)}, "
+            f"{name} AS (SELECT row, bucket, CAST(sum(sign) AS BIGINT) AS cnt "
+            f"FROM r_{name} GROUP BY row, bucket)")
+
+
+COUNTS = "cnts AS (SELECT item, count(*) AS cnt FROM src GROUP BY item)"
+
+
+def phi_sql(k: int) -> str:
+    return f"(SELECT min(cnt) FROM (SELECT cnt FROM cnts ORDER BY cnt DESC LIMIT {k}))"
+
+
+def hitters_cte(k: int) -> str:
+    return f"hh AS (SELECT item, cnt FROM cnts WHERE cnt >= {phi_sql(k)})"
+
+
+def _q(keep: str) -> str:
+    return ", ".join(f"q.{k.strip()}" for k in keep.split(","))
+
+
+def cm_est_cte(name: str, query: str, keep: str, cells: str, params) -> str:
+    return (f"{refs_cte('q_' + name, query, keep, params)}, "
+            f"{name} AS (SELECT {_q(keep)}, CAST(min(coalesce(c.cell, 0) * q.sign) AS BIGINT) AS est "
+            f"FROM q_{name} q LEFT JOIN (SELECT row, bucket, cnt AS cell FROM {cells}) c "
+            f"ON c.row = q.row AND c.bucket = q.bucket GROUP BY {_q(keep)})")
+
+
+def cs_est_cte(name: str, query: str, keep: str, cells: str, params, signs) -> str:
+    d = len(params)
+    if d % 2 == 1:
+        med = f"v[{d // 2 + 1}]"
+    else:
+        med = f"(v[{d // 2}] + v[{d // 2 + 1}]) // 2"
+    return (f"{refs_cte('q_' + name, query, keep, params, signs)}, "
+            f"v_{name} AS (SELECT {_q(keep)}, list_sort(list(coalesce(c.cell, 0) * q.sign)) AS v "
+            f"FROM q_{name} q LEFT JOIN (SELECT row, bucket, cnt AS cell FROM {cells}) c "
+            f"ON c.row = q.row AND c.bucket = q.bucket GROUP BY {_q(keep)}), "
+            f"{name} AS (SELECT {keep}, CAST({med} AS BIGINT) AS est FROM v_{name})")
+
+
+def sketch_oracles() -> dict[str, str]:
+    cm, cs, sg = fx.CMS_PARAMS, fx.CS_PARAMS, fx.CS_SIGN_PARAMS
+    cse, sge = fx.CS_PARAMS_EVEN, fx.CS_SIGN_PARAMS_EVEN
+    k = fx.TOP_K
+    out: dict[str, str] = {}
+    out["cms_cells"] = f"WITH {SKEWED}, {cells_cte('cells', cm)} SELECT * FROM cells"
+    out["cs_cells"] = f"WITH {SKEWED}, {cells_cte('cells', cs, sg)} SELECT * FROM cells"
+    out["cms_estimate"] = (
+        f"WITH {SKEWED}, {COUNTS}, {cells_cte('cells', cm)}, "
+        f"{cm_est_cte('e', 'cnts', 'item, cnt', 'cells', cm)} SELECT item, cnt, est FROM e")
+    out["cs_estimate"] = (
+        f"WITH {SKEWED}, {COUNTS}, {cells_cte('cells', cs, sg)}, "
+        f"{cs_est_cte('e', 'cnts', 'item, cnt', 'cells', cs, sg)} SELECT item, cnt, est FROM e")
+    out["cs_estimate_even"] = (
+        f"WITH {SKEWED}, {COUNTS}, {cells_cte('cells', cse, sge)}, "
+        f"{cs_est_cte('e', 'cnts', 'item, cnt', 'cells', cse, sge)} SELECT item, cnt, est FROM e")
+    out["item_counts"] = f"WITH {FLAT}, {COUNTS} SELECT item, cnt FROM cnts"
+    out["kth_frequency"] = f"WITH {SKEWED}, {COUNTS} SELECT {phi_sql(k)} AS phi_k"
+    out["heavy_hitters"] = f"WITH {SKEWED}, {COUNTS}, {hitters_cte(k)} SELECT item, cnt FROM hh"
+    out["heavy_hitters_flat"] = (
+        f"WITH {FLAT}, {COUNTS}, {hitters_cte(k)} SELECT item, cnt FROM hh")
+    out["hitter_listing"] = (
+        f"WITH {SKEWED}, {COUNTS}, {hitters_cte(k)}, {cells_cte('cells', cm)}, "
+        f"{cm_est_cte('e', 'hh', 'item, cnt', 'cells', cm)} "
+        "SELECT item, cnt, est AS cm_est FROM e ORDER BY item")
+    out["sketch_error"] = (
+        f"WITH {SKEWED}, {COUNTS}, {hitters_cte(k)}, {cells_cte('cmc', cm)}, "
+        f"{cells_cte('csc', cs, sg)}, {cm_est_cte('e1', 'hh', 'item, cnt', 'cmc', cm)}, "
+        f"{cs_est_cte('e2', 'hh', 'item', 'csc', cs, sg)} "
+        "SELECT count(*) AS n_hitters, "
+        f"{_r('avg((e1.est - e1.cnt) / e1.cnt)', D)} AS cm_rel_err, "
+        f"{_r('avg(abs(e2.est - e1.cnt) / e1.cnt)', D)} AS cs_rel_err "
+        "FROM e1 JOIN e2 ON e1.item = e2.item")
+    out["distinct_summary"] = (
+        f"WITH {FLAT} SELECT count(item) AS n_items, count(DISTINCT item) AS n_distinct, "
+        "max(item) AS largest FROM src")
+    return out

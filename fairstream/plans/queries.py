@@ -134,3 +134,88 @@ def clustering_queries() -> dict[str, Query]:
         "kmeans_report": q_kmeans_report,
         "compare_centers": q_compare_centers,
     }
+
+
+# --- sketches and heavy hitters ---------------------------------------------------
+
+from fairstream.functions import hashing as H  # noqa: E402
+from fairstream.operators import sketch, topk  # noqa: E402
+from fairstream.sources import items as I  # noqa: E402
+
+CM_SPEC = H.spec(fx.SKETCH_W, fx.CMS_PARAMS, p=fx.SKETCH_P)
+CS_SPEC = H.spec(fx.SKETCH_W, fx.CS_PARAMS, fx.CS_SIGN_PARAMS, p=fx.SKETCH_P)
+CS_SPEC_EVEN = H.spec(fx.SKETCH_W, fx.CS_PARAMS_EVEN, fx.CS_SIGN_PARAMS_EVEN, p=fx.SKETCH_P)
+
+
+def q_cms_cells(spark, sf_dir):
+    return sketch.cms_cells(I.skewed_items(spark, sf_dir), CM_SPEC)
+
+
+def q_cs_cells(spark, sf_dir):
+    return sketch.cs_cells(I.skewed_items(spark, sf_dir), CS_SPEC)
+
+
+def q_cms_estimate(spark, sf_dir):
+    it = I.skewed_items(spark, sf_dir)
+    return sketch.cms_estimate(topk.item_counts(it), sketch.cms_cells(it, CM_SPEC), CM_SPEC)
+
+
+def q_cs_estimate(spark, sf_dir):
+    it = I.skewed_items(spark, sf_dir)
+    return sketch.cs_estimate(topk.item_counts(it), sketch.cs_cells(it, CS_SPEC), CS_SPEC)
+
+
+def q_cs_estimate_even(spark, sf_dir):
+    it = I.skewed_items(spark, sf_dir)
+    return sketch.cs_estimate(topk.item_counts(it), sketch.cs_cells(it, CS_SPEC_EVEN),
+                              CS_SPEC_EVEN)
+
+
+def q_item_counts(spark, sf_dir):
+    return topk.item_counts(I.items(spark, sf_dir))
+
+
+def q_kth_frequency(spark, sf_dir):
+    return topk.kth_frequency(topk.item_counts(I.skewed_items(spark, sf_dir)), fx.TOP_K)
+
+
+def q_heavy_hitters(spark, sf_dir):
+    return topk.heavy_hitters(topk.item_counts(I.skewed_items(spark, sf_dir)), fx.TOP_K)
+
+
+def q_heavy_hitters_flat(spark, sf_dir):
+    return topk.heavy_hitters(topk.item_counts(I.items(spark, sf_dir)), fx.TOP_K)
+
+
+def q_hitter_listing(spark, sf_dir):
+    it = I.skewed_items(spark, sf_dir)
+    return topk.hitter_listing(topk.item_counts(it), fx.TOP_K, sketch.cms_cells(it, CM_SPEC),
+                               CM_SPEC)
+
+
+def q_sketch_error(spark, sf_dir):
+    it = I.skewed_items(spark, sf_dir)
+    e = topk.sketch_error(topk.item_counts(it), fx.TOP_K, sketch.cms_cells(it, CM_SPEC),
+                          CM_SPEC, sketch.cs_cells(it, CS_SPEC), CS_SPEC)
+    return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
+
+
+def q_distinct_summary(spark, sf_dir):
+    return topk.distinct_summary(I.items(spark, sf_dir))
+
+
+def sketch_queries() -> dict[str, Query]:
+    return {
+        "cms_cells": q_cms_cells,
+        "cs_cells": q_cs_cells,
+        "cms_estimate": q_cms_estimate,
+        "cs_estimate": q_cs_estimate,
+        "cs_estimate_even": q_cs_estimate_even,
+        "item_counts": q_item_counts,
+        "kth_frequency": q_kth_frequency,
+        "heavy_hitters": q_heavy_hitters,
+        "heavy_hitters_flat": q_heavy_hitters_flat,
+        "hitter_listing": q_hitter_listing,
+        "sketch_error": q_sketch_error,
+        "distinct_summary": q_distinct_summary,
+    }
