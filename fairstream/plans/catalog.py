@@ -10,6 +10,7 @@ def queries() -> dict:
     out = {}
     out.update(_queries.clustering_queries())
     out.update(_queries.sketch_queries())
+    out.update(_queries.stream_queries())
     return out
 
 
@@ -17,4 +18,5 @@ def oracle_sql() -> dict:
     out = {}
     out.update(_oracles.clustering_oracles())
     out.update(_oracles.sketch_oracles())
+    out.update(_oracles.stream_oracles())
     return out

@@ -334,3 +334,38 @@ def sketch_oracles() -> dict[str, str]:
         f"WITH {FLAT} SELECT count(item) AS n_items, count(DISTINCT item) AS n_distinct, "
         "max(item) AS largest FROM src")
     return out
+
+
+# --- streams ------------------------------------------------------------------------
+
+def _parts_cte(n: int) -> str:
+    """Events split into n parts by ranges of event_id, as the replay copy is."""
+    return (f"ev AS (SELECT CAST(user_id AS BIGINT) AS item, "
+            f"CAST(floor((event_id - (SELECT min(event_id) FROM events)) * {n} / "
+            "((SELECT max(event_id) FROM events) - (SELECT min(event_id) FROM events) + 1)) "
+            "AS INTEGER) AS part FROM events)")
+
+
+def stream_oracles() -> dict[str, str]:
+    s = sketch_oracles()
+    n, t = fx.STREAM_FILES, fx.PREFIX_T
+    out: dict[str, str] = {}
+    out["running_counts"] = s["item_counts"]
+    out["running_distinct"] = f"WITH {FLAT} SELECT DISTINCT item FROM src"
+    out["stream_distinct_summary"] = s["distinct_summary"]
+    out["stream_sketch_cells"] = s["cms_cells"]
+    out["stream_cs_cells"] = s["cs_cells"]
+    # batches are taken in part order; the first batch whose running size
+    # reaches T is the last one processed
+    out["stream_prefix"] = (
+        f"WITH {_parts_cte(n)}, sz AS (SELECT part, count(*) AS n FROM ev GROUP BY part), "
+        "run AS (SELECT part, n, sum(n) OVER (ORDER BY part) - n AS before FROM sz), "
+        f"acc AS (SELECT part FROM run WHERE before < {t}) "
+        "SELECT count(DISTINCT ev.part) AS n_batches, count(*) AS n_items, "
+        "count(DISTINCT item) AS n_distinct, max(item) AS largest "
+        "FROM ev JOIN acc ON acc.part = ev.part")
+    out["batch_sizes"] = (
+        f"WITH {_parts_cte(n)} SELECT CAST(part AS BIGINT) AS batch_id, count(*) AS n_rows "
+        "FROM ev GROUP BY part")
+    out["stream_report"] = s["sketch_error"]
+    return out

@@ -219,3 +219,84 @@ def sketch_queries() -> dict[str, Query]:
         "sketch_error": q_sketch_error,
         "distinct_summary": q_distinct_summary,
     }
+
+
+# --- streams ------------------------------------------------------------------------
+
+from fairstream.session import scratch_path  # noqa: E402
+from fairstream.sources.tables import read_table  # noqa: E402
+from fairstream.streaming import stream as S  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    """The events' user ids replayed as a file stream, one file per micro-batch."""
+    ev = read_table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("bigint").alias("item"), "event_id")
+    path = S.split_copy(ev, "event_id", fx.STREAM_FILES, scratch_path(spark, "events-split"))
+    return S.file_stream(spark, path, "item bigint, event_id bigint, part int")
+
+
+def _skewed_stream(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.expr("1000 div (1 + l_partkey % 1000)").cast("bigint").alias("item"), "l_orderkey")
+    path = S.split_copy(li, "l_orderkey", fx.STREAM_FILES, scratch_path(spark, "lineitem-split"))
+    return S.file_stream(spark, path, "item bigint, l_orderkey bigint, part int")
+
+
+def q_running_counts(spark, sf_dir):
+    job = S.running_counts(_events_stream(spark, sf_dir)).wait()
+    return S.counts_snapshot(spark, job.out)
+
+
+def q_running_distinct(spark, sf_dir):
+    job = S.running_distinct(_events_stream(spark, sf_dir)).wait()
+    return S.distinct_snapshot(spark, job.out)
+
+
+def q_stream_distinct_summary(spark, sf_dir):
+    job = S.running_counts(_events_stream(spark, sf_dir)).wait()
+    return S.stream_summary(spark, job.out)
+
+
+def q_stream_sketch_cells(spark, sf_dir):
+    job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CM_SPEC).wait()
+    return S.cells_snapshot(spark, job.out)
+
+
+def q_stream_cs_cells(spark, sf_dir):
+    job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CS_SPEC, signed=True).wait()
+    return S.cells_snapshot(spark, job.out)
+
+
+def q_stream_prefix(spark, sf_dir):
+    job = S.prefix(_events_stream(spark, sf_dir), fx.PREFIX_T).wait()
+    return S.prefix_summary(spark, job.out)
+
+
+def q_batch_sizes(spark, sf_dir):
+    job = S.prefix(_events_stream(spark, sf_dir), None).wait()
+    return S.batch_sizes(spark, job.out)
+
+
+def q_stream_report(spark, sf_dir):
+    """End-of-stream report: the stream's histogram feeds weighted sketch
+    updates (each batch adds its item counts), then the heavy-hitter errors."""
+    job = S.prefix(_skewed_stream(spark, sf_dir), None).wait()
+    batch_counts = spark.read.parquet(f"{job.out}/counts")        # item, cnt per batch
+    cm = sketch.cms_cells(batch_counts, CM_SPEC, weight_col="cnt")
+    cs = sketch.cs_cells(batch_counts, CS_SPEC, weight_col="cnt")
+    e = topk.sketch_error(S.prefix_counts(spark, job.out), fx.TOP_K, cm, CM_SPEC, cs, CS_SPEC)
+    return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
+
+
+def stream_queries() -> dict[str, Query]:
+    return {
+        "running_counts": q_running_counts,
+        "running_distinct": q_running_distinct,
+        "stream_distinct_summary": q_stream_distinct_summary,
+        "stream_sketch_cells": q_stream_sketch_cells,
+        "stream_cs_cells": q_stream_cs_cells,
+        "stream_prefix": q_stream_prefix,
+        "batch_sizes": q_batch_sizes,
+        "stream_report": q_stream_report,
+    }
