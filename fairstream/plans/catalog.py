@@ -11,6 +11,7 @@ def queries() -> dict:
     out.update(_queries.clustering_queries())
     out.update(_queries.sketch_queries())
     out.update(_queries.stream_queries())
+    out.update(_queries.synth_queries())
     return out
 
 
@@ -19,4 +20,5 @@ def oracle_sql() -> dict:
     out.update(_oracles.clustering_oracles())
     out.update(_oracles.sketch_oracles())
     out.update(_oracles.stream_oracles())
+    out.update(_oracles.synth_oracles())
     return out

@@ -369,3 +369,13 @@ def stream_oracles() -> dict[str, str]:
         "FROM ev GROUP BY part")
     out["stream_report"] = s["sketch_error"]
     return out
+
+
+def synth_oracles() -> dict[str, str]:
+    k = fx.KMEANS_K
+    per = f"((SELECT count(*) FROM orders) // {2 * k})"
+    return {"labelled_blobs": (
+        f"WITH ids AS (SELECT o_orderkey AS i, {per} AS n FROM orders), "
+        f"lab AS (SELECT CASE WHEN i < 2 * n * {k} THEN CAST(i // (2 * n) AS INTEGER) ELSE -1 END AS cluster, "
+        "CASE WHEN i < 2 * n * " + str(k) + " AND i % (2 * n) >= n THEN 'B' ELSE 'A' END AS grp FROM ids) "
+        "SELECT grp, cluster, count(*) AS n FROM lab GROUP BY grp, cluster")}

@@ -300,3 +300,21 @@ def stream_queries() -> dict[str, Query]:
         "batch_sizes": q_batch_sizes,
         "stream_report": q_stream_report,
     }
+
+
+# --- synthetic points -----------------------------------------------------------------
+
+from fairstream.sources import synth  # noqa: E402
+
+
+def q_labelled_blobs(spark, sf_dir):
+    """Blobs indexed by the order keys (0..N-1): label and cluster counts (the
+    coordinates are random and checked by tests, not by SQL)."""
+    ids = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    n_total = ids.count()
+    b = synth.labelled_blobs(ids, n_total, fx.KMEANS_K, seed=fx.KMEANS_SEED)
+    return b.groupBy("grp", "cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+def synth_queries() -> dict[str, Query]:
+    return {"labelled_blobs": q_labelled_blobs}
