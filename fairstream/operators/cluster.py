@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairstream.functions.distance import check_centers, coordinate_columns, nearest
+from fairstream.session import spread
 
 Centers = list[list[float]]
 
@@ -79,7 +80,7 @@ def lloyd(points: DataFrame, centers: Sequence[Sequence[float]], rounds: int,
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
     cs = check_centers(centers)
-    cached = points.persist(StorageLevel.MEMORY_AND_DISK) if persist and rounds > 1 else points
+    cached = cache_points(points, cols, features) if persist and rounds > 1 else points
     try:
         for _ in range(rounds):
             cs = _collect_centers(lloyd_step(cached, cs, cols, features), cs)
@@ -96,22 +97,36 @@ def lloyd_rounds(points: DataFrame, centers: Sequence[Sequence[float]], rounds:
 
     The first ``rounds - 1`` rounds run as jobs (K rows come back each time);
     the last one is returned lazily, so the result is a Spark aggregate of the
-    input. A cluster that received no points keeps its previous centre, n = 0.
+    input. A cluster that received no points keeps its previous centre, n = 0:
+    K placeholder rows (one per cluster, null coordinates) join the assigned
+    points through a union, so every cluster has a group and the data is
+    scanned once.
     """
     if rounds < 1:
         raise ValueError("rounds must be >= 1")
     cs = lloyd(points, centers, rounds - 1, cols, features)
-    dims = len(cs[0])
+    k, dims = len(cs), len(cs[0])
     names = list(cols) if cols else [f"c{j}" for j in range(dims)]
-    step = lloyd_step(points, cs, cols, features)
-    spark = points.sparkSession
-    prev = spark.createDataFrame(
-        [(i, 0, *c) for i, c in enumerate(cs)],
-        ["cluster", "n", *[f"_m{j}" for j in range(dims)]],
-    ).withColumn("cluster", F.col("cluster").cast("int")).withColumn("n", F.col("n").cast("long"))
-    missing = prev.join(step.select("cluster"), "cluster", "left_anti")   # K x K rows at most
-    out = step.unionByName(missing)
-    return out.select("cluster", "n", *[F.col(f"_m{j}").alias(names[j]) for j in range(dims)])
+    coords = coordinate_exprs(cols, dims, features)
+    a = assign(points, cs, cols, features)
+    real = a.select("cluster", F.lit(1).alias("_one"),
+                    *[c.cast("double").alias(f"_x{j}") for j, c in enumerate(coords)])
+    holders = points.sparkSession.range(k).select(
+        F.col("id").cast("int").alias("cluster"), F.lit(None).cast("int").alias("_one"),
+        *[F.lit(None).cast("double").alias(f"_x{j}") for j in range(dims)])
+    g = real.unionByName(holders).groupBy("cluster").agg(
+        F.count("_one").alias("n"), *[F.avg(f"_x{j}").alias(f"_m{j}") for j in range(dims)])
+    prev = [F.array(*[F.lit(c[j]) for c in cs])[F.col("cluster")] for j in range(dims)]
+    return g.select("cluster", "n", *[F.coalesce(F.col(f"_m{j}"), prev[j]).alias(names[j])
+                                      for j in range(dims)])
+
+
+def cache_points(points: DataFrame, cols: Sequence[str] | None = ("x", "y"),
+                 features: str = "features", extra: Sequence[str] = ("grp",)) -> DataFrame:
+    """Project the columns an iterative job needs, spread them over the cores
+    if they arrive in fewer partitions, and persist (memory, then disk)."""
+    keep = [*(list(cols) if cols else [features]), *[c for c in extra if c in points.columns]]
+    return spread(points.select(*keep)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _vector_column(points: DataFrame, cols: Sequence[str] | None, features: str) -> DataFrame:
@@ -133,7 +148,7 @@ def kmeans(points: DataFrame, k: int, max_iter: int, seed: int,
     if max_iter < 0:
         raise ValueError("max_iter must be >= 0")
     from pyspark.ml.clustering import KMeans
-    vec = _vector_column(points, cols, features).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = spread(_vector_column(points, cols, features)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="_vec",
                        initMode="k-means||", initSteps=init_steps, tol=tol).fit(vec)

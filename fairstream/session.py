@@ -57,3 +57,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused between runs)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/fairstream/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's
+    parallelism) when it arrives in fewer partitions than that.
+
+    For data that an iterative job caches and reads many times: one shuffle
+    up front lets every core work in every round. Input that already comes in
+    many splits (any large table) is returned unchanged, without a shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

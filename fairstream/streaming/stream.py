@@ -12,7 +12,7 @@ A ``*_snapshot`` function reads the current result back as a batch DataFrame.
 - ``sketch_cells_stream``: count-min / count-sketch cells; state is bounded by
   D*W keys whatever the stream.
 - ``prefix``: whole micro-batches until at least T items were seen (the batch
-  that crosses T counts in full), per-batch histograms and batch sizes.
+  that crosses T counts in full), with one histogram per accepted batch.
 """
 
 from __future__ import annotations
@@ -176,28 +176,31 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
            trigger: str | None = None) -> StreamJob:
     """Process whole micro-batches until at least ``threshold`` items were seen.
 
-    Each accepted batch writes its size (``sizes``) and its own histogram
-    (``counts``: item, cnt), which is all the end-of-stream reports need.
-    Whether a batch is accepted depends only on the sizes of earlier batches,
-    read back from ``sizes``, so a replayed batch decides the same way.
-    ``threshold=None`` takes the whole stream.
+    Each accepted batch writes its own histogram (``counts/batch_id=N``: item,
+    cnt), which is all the end-of-stream reports need; batch sizes are its
+    sums. Whether a batch is accepted depends only on the sizes of the batches
+    before it: the running total is kept on the driver and, after a restart,
+    re-read once from what earlier batches wrote, so a replayed batch decides
+    the same way. ``threshold=None`` takes the whole stream.
     """
     if threshold is not None and threshold <= 0:
         raise ValueError("threshold must be positive")
     spark = stream.sparkSession
     out = out or scratch_path(spark, "prefix")
     items = read_items(stream)
-    state: dict = {"stop": False}
+    state: dict = {"stop": False, "sizes": None}
 
-    def seen_before(batch_id: int) -> int:
-        try:
-            s = spark.read.parquet(f"{out}/sizes").filter(F.col("batch_id") < batch_id)
-            return int(s.agg(F.sum("n_rows")).first()[0] or 0)
-        except Exception:   # no batch accepted yet
-            return 0
+    def sizes_before(batch_id: int) -> int:
+        if state["sizes"] is None:                  # first batch of this run
+            try:
+                rows = batch_sizes(spark, out).collect()   # one row per earlier batch
+                state["sizes"] = {r["batch_id"]: r["n_rows"] for r in rows}
+            except Exception:                       # nothing written yet
+                state["sizes"] = {}
+        return sum(n for b, n in state["sizes"].items() if b < batch_id)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        before = seen_before(batch_id)
+        before = sizes_before(batch_id)
         if threshold is not None and before >= threshold:
             state["stop"] = True
             return
@@ -207,9 +210,9 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
             if n == 0:
                 return                      # empty batches are not logged
             _put(counts, out, "counts", batch_id)
-            _put(spark.createDataFrame([(n,)], "n_rows bigint"), out, "sizes", batch_id)
         finally:
             counts.unpersist()
+        state["sizes"][batch_id] = n
         if threshold is not None and before + n >= threshold:
             state["stop"] = True
 
@@ -218,7 +221,8 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
 
 def batch_sizes(spark: SparkSession, out: str) -> DataFrame:
     """``batch_id, n_rows`` of the accepted, non-empty batches."""
-    return spark.read.parquet(f"{out}/sizes").select(F.col("batch_id").cast("bigint"), "n_rows")
+    return spark.read.parquet(f"{out}/counts").groupBy(F.col("batch_id").cast("bigint").alias("batch_id")) \
+        .agg(F.sum("cnt").cast("bigint").alias("n_rows"))
 
 
 def prefix_counts(spark: SparkSession, out: str) -> DataFrame:
