@@ -6,92 +6,153 @@ ships at most D*W rows however many items (or however skewed) it read, and the
 final table has at most D*W rows. Cell tables from different inputs (or
 micro-batches) merge by another grouped sum.
 
-Estimates look the D cells of each query item up with a broadcast join; the
-broadcast side is the cell table, whose size is bounded by the parameters
-(D*W rows) and checked before the hint is given.
+Several sketches over the same items are built in one pass as one tagged table
+(``sketch string, row, bucket, cnt``) and read in one pass too: every query item
+is exploded to the cells of all sketches, looked up with one broadcast join
+and aggregated once per item (min for count-min, median for count sketch).
+The broadcast side is the cell table, whose size is bounded by the parameters
+(sum of D*W) and checked before the hint is given.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairstream.functions.hashing import SketchSpec, cell_refs
+from fairstream.functions.hashing import SketchSpec, bucket, sign
 
 # Largest cell table we broadcast: 4M cells is ~100 MB as rows of three ints
 # and a long; beyond it the join shuffles both sides instead.
 BROADCAST_MAX_CELLS = 4 * 1024 * 1024
 
 
-def _cells(items: DataFrame, s: SketchSpec, item_col: str, weight_col: str | None,
-           signed: bool) -> DataFrame:
+@dataclass(frozen=True)
+class Sketch:
+    """A named sketch: count-min (``signed=False``) or count sketch (``signed=True``)."""
+    name: str
+    spec: SketchSpec
+    signed: bool = False
+
+    def __post_init__(self):
+        if self.signed and not self.spec.signs:
+            raise ValueError("count sketch needs sign hashes")
+
+
+def _tagged_refs(item: Column, sketches: Sequence[Sketch]) -> Column:
+    """array<struct<sketch, row, bucket, sign>>: every cell the item touches in
+    every sketch (plain column arithmetic, no higher-order function)."""
+    refs = []
+    for s in sketches:
+        sp = s.spec
+        for i, h in enumerate(sp.rows):
+            sg = sign(item, sp.signs[i], sp.wrap32) if s.signed else F.lit(1)
+            refs.append(F.struct(F.lit(s.name).alias("sketch"), F.lit(i).alias("row"),
+                                 bucket(item, h, sp.width, sp.wrap32).alias("bucket"),
+                                 sg.alias("sign")))
+    return F.array(*refs)
+
+
+def _check_names(sketches: Sequence[Sketch]) -> None:
+    if not sketches:
+        raise ValueError("need at least one sketch")
+    if len({s.name for s in sketches}) != len(sketches):
+        raise ValueError("sketch names must be distinct")
+
+
+def build(items: DataFrame, sketches: Sequence[Sketch], item_col: str = "item",
+          weight_col: str | None = None) -> DataFrame:
+    """Cells of all ``sketches`` in one pass: ``sketch, row, bucket, cnt``.
+
+    Every item adds its weight (1 by default) times its sign to its D cells of
+    each sketch.
+    """
+    _check_names(sketches)
     w = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
-    ex = items.select(F.inline(cell_refs(F.col(item_col), s)), w.alias("_w"))
-    val = F.col("sign").cast("bigint") * F.col("_w") if signed else F.col("_w")
-    return ex.groupBy("row", "bucket").agg(F.sum(val).alias("cnt"))
+    ex = items.select(F.inline(_tagged_refs(F.col(item_col), sketches)), w.alias("_w"))
+    return ex.groupBy("sketch", "row", "bucket").agg(
+        F.sum(F.col("sign").cast("bigint") * F.col("_w")).alias("cnt"))
+
+
+def _single(items: DataFrame, s: Sketch, item_col: str, weight_col: str | None) -> DataFrame:
+    return build(items, [s], item_col, weight_col).drop("sketch")
 
 
 def cms_cells(items: DataFrame, s: SketchSpec, item_col: str = "item",
               weight_col: str | None = None) -> DataFrame:
     """Count-min cells: every item adds 1 (or its weight) to its D cells."""
-    return _cells(items, s, item_col, weight_col, signed=False)
+    return _single(items, Sketch("cm", s), item_col, weight_col)
 
 
 def cs_cells(items: DataFrame, s: SketchSpec, item_col: str = "item",
              weight_col: str | None = None) -> DataFrame:
     """Count-sketch cells: every item adds +-1 (or +-weight) to its D cells."""
-    if not s.signs:
-        raise ValueError("count sketch needs sign hashes")
-    return _cells(items, s, item_col, weight_col, signed=True)
+    return _single(items, Sketch("cs", s, signed=True), item_col, weight_col)
 
 
 def merge_cells(*cells: DataFrame) -> DataFrame:
     """Sum cell tables of one spec (sketches are linear)."""
     if not cells:
         raise ValueError("nothing to merge")
+    keys = ["sketch", "row", "bucket"] if "sketch" in cells[0].columns else ["row", "bucket"]
     u = cells[0]
     for c in cells[1:]:
         u = u.unionByName(c)
-    return u.groupBy("row", "bucket").agg(F.sum("cnt").alias("cnt"))
+    return u.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
 
 
-def _lookup(query: DataFrame, cells: DataFrame, s: SketchSpec, item_col: str) -> DataFrame:
-    """Query rows exploded to their D cells with the cell value (0 if never hit)."""
-    refs = query.select("*", F.inline(cell_refs(F.col(item_col), s)))
-    side = cells.select("row", "bucket", F.col("cnt").alias("_cell"))
-    if s.cells <= BROADCAST_MAX_CELLS:
-        side = F.broadcast(side)
-    j = refs.join(side, ["row", "bucket"], "left")
-    return j.withColumn("_est", F.coalesce(F.col("_cell"), F.lit(0)).cast("bigint")
-                        * F.col("sign").cast("bigint"))
+def _median(values: Column, d: int) -> Column:
+    """Median of a sorted array of D longs; even D: mean of the middle two,
+    truncated toward zero."""
+    if d % 2 == 1:
+        return F.element_at(values, d // 2 + 1)
+    mid = F.element_at(values, d // 2) + F.element_at(values, d // 2 + 1)
+    # halve toward zero in exact integer arithmetic: drop the odd unit (which
+    # carries the sign of mid), then shift the even value right by one
+    return F.shiftright(mid - mid % 2, 1)
 
 
-def cms_estimate(query: DataFrame, cells: DataFrame, s: SketchSpec,
-                 item_col: str = "item") -> DataFrame:
-    """Count-min estimate (minimum over the D rows) per query row: adds ``est``.
+def estimate(query: DataFrame, cells: DataFrame, sketches: Sequence[Sketch],
+             item_col: str = "item") -> DataFrame:
+    """Adds ``<name>_est`` per sketch to every query row (count-min: minimum over
+    the D rows; count sketch: median of cell * sign). A cell never hit reads 0.
 
-    ``query`` should hold each item once; its other columns are kept.
+    ``cells`` is the tagged table from ``build``; ``query`` should hold each
+    item once (its other columns are kept).
     """
+    _check_names(sketches)
     keep = query.columns
-    j = _lookup(query, cells, s, item_col)
-    return j.groupBy(*keep).agg(F.min("_est").alias("est"))
+    refs = query.select("*", F.inline(_tagged_refs(F.col(item_col), sketches)))
+    side = cells.select("sketch", "row", "bucket", F.col("cnt").alias("_cell"))
+    if sum(s.spec.cells for s in sketches) <= BROADCAST_MAX_CELLS:
+        side = F.broadcast(side)
+    j = refs.join(side, ["sketch", "row", "bucket"], "left").withColumn(
+        "_est", F.coalesce(F.col("_cell"), F.lit(0)).cast("bigint") * F.col("sign").cast("bigint"))
+    aggs, outs = [], []
+    for s in sketches:
+        mine = F.when(F.col("sketch") == s.name, F.col("_est"))
+        if s.signed:      # D values per item
+            aggs.append(F.sort_array(F.collect_list(mine)).alias(f"_v_{s.name}"))
+            outs.append(_median(F.col(f"_v_{s.name}"), s.spec.depth).alias(f"{s.name}_est"))
+        else:
+            aggs.append(F.min(mine).alias(f"_v_{s.name}"))
+            outs.append(F.col(f"_v_{s.name}").alias(f"{s.name}_est"))
+    return j.groupBy(*keep).agg(*aggs).select(*keep, *outs)
+
+
+def cms_estimate(query: DataFrame, cells: DataFrame, s: SketchSpec,
+                 item_col: str = "item") -> DataFrame:
+    """Count-min estimate per query row: adds ``est``."""
+    tagged = cells.withColumn("sketch", F.lit("cm"))
+    return estimate(query, tagged, [Sketch("cm", s)], item_col).withColumnRenamed("cm_est", "est")
 
 
 def cs_estimate(query: DataFrame, cells: DataFrame, s: SketchSpec,
                 item_col: str = "item") -> DataFrame:
-    """Count-sketch estimate (median over the D rows of cell * sign): adds ``est``.
-
-    With an even D the two middle values are averaged and the result truncated
-    toward zero (integer division).
-    """
-    if not s.signs:
-        raise ValueError("count sketch needs sign hashes")
-    keep = query.columns
-    d = s.depth
-    j = _lookup(query, cells, s, item_col)
-    g = j.groupBy(*keep).agg(F.sort_array(F.collect_list("_est")).alias("_v"))  # D values per item
-    if d % 2 == 1:
-        med = F.element_at("_v", d // 2 + 1)
-    else:
-        med = F.expr(f"(element_at(_v, {d // 2}) + element_at(_v, {d // 2 + 1})) div 2")
-    return g.select(*keep, med.cast("bigint").alias("est"))
+    """Count-sketch estimate per query row: adds ``est`` (median over the D rows;
+    with an even D the two middle values are averaged, truncated toward zero)."""
+    tagged = cells.withColumn("sketch", F.lit("cs"))
+    return estimate(query, tagged, [Sketch("cs", s, signed=True)], item_col) \
+        .withColumnRenamed("cs_est", "est")

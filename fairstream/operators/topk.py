@@ -48,19 +48,18 @@ def hitter_listing(counts: DataFrame, k: int, cm_cells: DataFrame,
     return est.select("item", "cnt", "cm_est").orderBy("item")
 
 
-def sketch_error(counts: DataFrame, k: int, cm_cells: DataFrame, cm_spec: SketchSpec,
-                 cs_cells: DataFrame, cs_spec: SketchSpec) -> DataFrame:
-    """Mean relative error over the heavy hitters, one row:
-    ``n_hitters, cm_rel_err`` (signed, (est - true) / true) and ``cs_rel_err``
-    (absolute, |est - true| / true)."""
-    hh = heavy_hitters(counts, k)
-    cm = sketch.cms_estimate(hh, cm_cells, cm_spec).withColumnRenamed("est", "cm_est")
-    cs = sketch.cs_estimate(hh.select("item"), cs_cells, cs_spec).withColumnRenamed("est", "cs_est")
-    both = cm.join(cs, "item")                       # K-ish rows on each side
-    return both.agg(
+def sketch_error(counts: DataFrame, k: int, cells: DataFrame,
+                 cm: sketch.Sketch, cs: sketch.Sketch) -> DataFrame:
+    """Mean relative error over the heavy hitters, one row: ``n_hitters``,
+    ``cm_rel_err`` (signed, (est - true) / true) and ``cs_rel_err`` (absolute,
+    |est - true| / true). ``cells`` holds both sketches (``sketch.build``), so
+    the hitters are looked up in one broadcast join and one aggregate."""
+    est = sketch.estimate(heavy_hitters(counts, k), cells, [cm, cs])
+    true = F.col("cnt")
+    return est.agg(
         F.count(F.lit(1)).alias("n_hitters"),
-        F.avg((F.col("cm_est") - F.col("cnt")) / F.col("cnt")).alias("cm_rel_err"),
-        F.avg(F.abs(F.col("cs_est") - F.col("cnt")) / F.col("cnt")).alias("cs_rel_err"),
+        F.avg((F.col(f"{cm.name}_est") - true) / true).alias("cm_rel_err"),
+        F.avg(F.abs(F.col(f"{cs.name}_est") - true) / true).alias("cs_rel_err"),
     )
 
 

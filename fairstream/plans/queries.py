@@ -193,10 +193,14 @@ def q_hitter_listing(spark, sf_dir):
                                CM_SPEC)
 
 
+CM = sketch.Sketch("cm", CM_SPEC)
+CS = sketch.Sketch("cs", CS_SPEC, signed=True)
+
+
 def q_sketch_error(spark, sf_dir):
     it = I.skewed_items(spark, sf_dir)
-    e = topk.sketch_error(topk.item_counts(it), fx.TOP_K, sketch.cms_cells(it, CM_SPEC),
-                          CM_SPEC, sketch.cs_cells(it, CS_SPEC), CS_SPEC)
+    cells = sketch.build(it, [CM, CS])                  # both sketches, one pass
+    e = topk.sketch_error(topk.item_counts(it), fx.TOP_K, cells, CM, CS)
     return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
 
 
@@ -283,9 +287,8 @@ def q_stream_report(spark, sf_dir):
     updates (each batch adds its item counts), then the heavy-hitter errors."""
     job = S.prefix(_skewed_stream(spark, sf_dir), None).wait()
     batch_counts = spark.read.parquet(f"{job.out}/counts")        # item, cnt per batch
-    cm = sketch.cms_cells(batch_counts, CM_SPEC, weight_col="cnt")
-    cs = sketch.cs_cells(batch_counts, CS_SPEC, weight_col="cnt")
-    e = topk.sketch_error(S.prefix_counts(spark, job.out), fx.TOP_K, cm, CM_SPEC, cs, CS_SPEC)
+    cells = sketch.build(batch_counts, [CM, CS], weight_col="cnt")
+    e = topk.sketch_error(S.prefix_counts(spark, job.out), fx.TOP_K, cells, CM, CS)
     return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
 
 
