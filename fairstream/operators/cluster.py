@@ -14,28 +14,76 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType
 
-from fairstream.functions.distance import check_centers, coordinate_columns, nearest
+from fairstream.functions.distance import (UNROLL_MAX_DIMS, check_centers, coordinate_columns,
+                                           nearest)
 from fairstream.session import spread
 
 Centers = list[list[float]]
 
 
 def assign(points: DataFrame, centers: Sequence[Sequence[float]],
-           cols: Sequence[str] | None = ("x", "y"), features: str = "features") -> DataFrame:
+           cols: Sequence[str] | None = ("x", "y"), features: str = "features",
+           method: str = "auto") -> DataFrame:
     """Add ``cluster int`` and ``dist2 double`` (squared distance to it).
 
     ``cols`` names scalar coordinate columns; pass ``cols=None`` to use the
     array column ``features``. Ties go to the lowest centre index. Both outputs
     come from one struct, so the distances are computed once per row.
+
+    ``method``: ``"columns"`` keeps the work in JVM expressions (written out
+    term by term up to 16 coordinates, folded over the array above that);
+    ``"pandas"`` computes the K distances of an Arrow batch at once with numpy
+    (for wide vectors: about twice as fast as the fold at 64 coordinates);
+    ``"auto"`` picks ``"pandas"`` for arrays wider than 16 and ``"columns"``
+    otherwise.
     """
-    nc = nearest(centers, cols, features)
+    cs = check_centers(centers)
+    dims = len(cs[0])
+    if method == "auto":
+        method = "pandas" if (not cols and dims > UNROLL_MAX_DIMS) else "columns"
+    if method == "pandas":
+        return _assign_pandas(points, cs, cols, features)
+    if method != "columns":
+        raise ValueError(f"unknown method {method!r}")
+    nc = nearest(cs, cols, features)
     return (points.withColumn("_nc", nc)
             .withColumn("cluster", F.col("_nc.cluster"))
             .withColumn("dist2", F.col("_nc.dist2"))
             .drop("_nc"))
 
 
+def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | None,
+                   features: str) -> DataFrame:
+    """The nearest centre of every row of each Arrow batch, with numpy."""
+    import numpy as np
+    import pandas as pd  # noqa: F401  (used by mapInPandas)
+
+    c = np.asarray(centers, dtype="float64")
+    out_schema = (points.drop("cluster", "dist2").schema
+                  .add("cluster", IntegerType(), False).add("dist2", DoubleType(), True))
+    names = list(cols) if cols else None
+
+    def nearest_batches(batches):
+        for pdf in batches:
+            pdf = pdf.drop(columns=[n for n in ("cluster", "dist2") if n in pdf.columns])
+            if names:
+                x = pdf[names].to_numpy(dtype="float64")
+            else:
+                x = np.stack(pdf[features].to_numpy()).astype("float64") if len(pdf) else \
+                    np.zeros((0, c.shape[1]))
+            diff = x[:, None, :] - c[None, :, :]
+            d = np.einsum("nkd,nkd->nk", diff, diff)
+            order = np.where(np.isnan(d), np.inf, d)          # NaN sorts last, as in SQL
+            idx = order.argmin(axis=1) if len(pdf) else np.zeros(0, dtype="int64")
+            pdf["cluster"] = idx.astype("int32")
+            pdf["dist2"] = d[np.arange(len(pdf)), idx] if len(pdf) else np.zeros(0)
+            yield pdf
+
+    return points.drop("cluster", "dist2").mapInPandas(nearest_batches, out_schema)
+
+
 def coordinate_exprs(cols: Sequence[str] | None, dims: int,
                      features: str = "features") -> list[Column]:
     return coordinate_columns(cols, dims, features)
