@@ -63,11 +63,17 @@ def sketch_error(counts: DataFrame, k: int, cells: DataFrame,
     )
 
 
-def distinct_summary(items: DataFrame, item_col: str = "item") -> DataFrame:
-    """``n_items, n_distinct, largest``: stream length, exact distinct count and
-    the largest distinct item (null when empty)."""
+def distinct_summary(items: DataFrame, item_col: str = "item", approx: bool = False,
+                     rsd: float = 0.01) -> DataFrame:
+    """``n_items, n_distinct, largest``: stream length, distinct count and the
+    largest distinct item (null when empty). The exact count is a two-level
+    aggregate (items are deduplicated map-side, then counted); ``approx=True``
+    uses a HyperLogLog++ sketch of relative error ``rsd`` instead, whose state
+    per task is fixed whatever the number of distinct items."""
+    c = F.col(item_col)
+    n_distinct = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
     return items.agg(
-        F.count(F.col(item_col)).alias("n_items"),
-        F.count_distinct(F.col(item_col)).alias("n_distinct"),
-        F.max(F.col(item_col)).alias("largest"),
+        F.count(c).alias("n_items"),
+        n_distinct.alias("n_distinct"),
+        F.max(c).alias("largest"),
     )

@@ -74,3 +74,20 @@ def test_kmeans_seeded_and_init(spark):
     assert d1 <= d0 + 1e-9
     with pytest.raises(ValueError):
         cluster.kmeans(pts, 0, 5, seed=1)
+
+
+def test_pandas_path_matches_columns(spark):
+    rows = [(0, [0.0, 0.0], "A"), (1, [5.0, 5.0], "B"), (2, [float("nan"), 1.0], "A"),
+            (3, [2.0, 2.0], "B")]
+    df = spark.createDataFrame(rows, "id long, features array<double>, grp string")
+    cs = [[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0], [5.0, 5.0]]
+    a = {r["id"]: (r["cluster"], r["dist2"], r["grp"]) for r in
+         cluster.assign(df, cs, cols=None, method="pandas").collect()}
+    b = {r["id"]: (r["cluster"], r["dist2"], r["grp"]) for r in
+         cluster.assign(df, cs, cols=None, method="columns").collect()}
+    assert a[0] == b[0] == (0, 1.0, "A")          # tie between three centres: lowest index
+    assert a[1] == b[1] == (3, 0.0, "B")
+    assert a[3] == b[3]
+    assert a[2][0] == b[2][0] == 0                # all distances NaN: first centre
+    with pytest.raises(ValueError):
+        cluster.assign(df, cs, cols=None, method="fast")

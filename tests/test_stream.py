@@ -50,3 +50,14 @@ def test_restart_resumes_from_checkpoint(spark):
     assert S.batch_sizes(spark, out).count() == 2
     S.prefix(st, 3000, out=out).wait()                       # same checkpoint: nothing new accepted
     assert S.batch_sizes(spark, out).count() == 2
+
+
+def test_text_lines_stream(spark, tmp_path):
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.txt").write_text("3\n 5\n3\n")
+    (src / "b.txt").write_text("7\n3\n")
+    st = spark.readStream.option("maxFilesPerTrigger", 1).text(str(src)).withColumnRenamed("value", "item")
+    job = S.running_counts(st).wait()
+    got = {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()}
+    assert got == {3: 3, 5: 1, 7: 1}

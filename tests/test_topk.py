@@ -35,3 +35,9 @@ def test_distinct_summary(spark):
     assert (r["n_items"], r["n_distinct"], r["largest"]) == (4, 3, 5)
     e = topk.distinct_summary(spark.createDataFrame([], "item bigint")).first()
     assert (e["n_items"], e["n_distinct"], e["largest"]) == (0, 0, None)
+
+
+def test_distinct_summary_approx(spark):
+    df = spark.range(0, 5000).selectExpr("id % 1000 as item")
+    r = topk.distinct_summary(df, approx=True, rsd=0.02).first()
+    assert r["n_items"] == 5000 and abs(r["n_distinct"] - 1000) <= 60 and r["largest"] == 999
