@@ -90,6 +90,25 @@ def cluster_statistics(points: DataFrame, centers, cols=("x", "y"),
     return g.select("cluster", *coord, "n_a", "n_b").orderBy("cluster")
 
 
+def cluster_report(points: DataFrame, centers, cols=("x", "y"),
+                   features="features") -> DataFrame:
+    """Per cluster, from one aggregate: ``cluster, <centre coords>, n, n_a, n_b,
+    cost`` (n_b counts every label other than A, as the statistics do)."""
+    cs = check_centers(centers)
+    dims = len(cs[0])
+    names = list(cols) if cols else [f"c{j}" for j in range(dims)]
+    t = cluster_group_table(points, cs, cols, features)
+    g = t.groupBy("cluster").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("grp") == GROUP_A, F.col("n")).otherwise(0)).alias("n_a"),
+        F.sum(F.when(F.col("grp") != GROUP_A, F.col("n")).otherwise(0)).alias("n_b"),
+        F.sum("cost").alias("cost"),
+    )
+    coord = [F.array(*[F.lit(c[j]) for c in cs])[F.col("cluster")].alias(names[j])
+             for j in range(dims)]
+    return g.select("cluster", *coord, "n", "n_a", "n_b", "cost")
+
+
 def report(points: DataFrame, centers, cols=("x", "y"), features="features") -> dict:
     """All costs of one centre set from one job: N, NA, NB, Delta, Phi, per-cluster rows.
 

@@ -18,6 +18,8 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     out = {}
     out.update(_oracles.clustering_oracles())
+    out.update(_oracles.nd_oracles())
+    out.update(_oracles.report_oracles())
     out.update(_oracles.sketch_oracles())
     out.update(_oracles.stream_oracles())
     out.update(_oracles.synth_oracles())

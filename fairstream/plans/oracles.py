@@ -130,74 +130,92 @@ def clustering_oracles() -> dict[str, str]:
     return out
 
 
-def lloyd_sql(rounds: int) -> str:
+class PointSet:
+    """How the oracle sees a point table: its CTE, the coordinate expressions,
+    the output names of centre coordinates, and the fixed start centres."""
+
+    def __init__(self, cte: str, source: str, keep: str, coords: Sequence[str],
+                 names: Sequence[str], centers: Sequence[Sequence[float]]):
+        self.cte, self.source, self.keep = cte, source, keep
+        self.coords, self.names, self.centers = list(coords), list(names), centers
+
+
+def points2d_set() -> PointSet:
+    return PointSet(points2d_cte(), "points2d", "id, x, y, grp", ["x", "y"], ["x", "y"],
+                    fx.CENTERS_2D)
+
+
+def pointsnd_set() -> PointSet:
+    return PointSet(pointsnd_cte(), "pointsnd", "id, features, grp", nd_coords(fx.ND_DIMS),
+                    [f"c{j}" for j in range(fx.ND_DIMS)], fx.CENTERS_ND)
+
+
+def _centre_rows(ps: PointSet) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {i} AS cluster, " + ", ".join(f"{_num(v)} AS k{j}" for j, v in enumerate(c))
+        for i, c in enumerate(ps.centers))
+
+
+def lloyd_sql(rounds: int, ps: PointSet | None = None) -> str:
     """``rounds`` Lloyd rounds unrolled: the first from the literal centres, the
     next ones from a K-row centre table (cross join of points with K rows)."""
-    c2 = fx.CENTERS_2D
-    k = len(c2)
-    ctes = [points2d_cte(), assigned_cte("asg1", "points2d", "id, x, y, grp", ["x", "y"], c2)]
-    init = " UNION ALL ".join(
-        f"SELECT {i} AS cluster, {_num(c[0])} AS cx, {_num(c[1])} AS cy" for i, c in enumerate(c2))
-    ctes.append(f"c0 AS ({init})")
-    ctes.append(
-        "c1 AS (SELECT c0.cluster, coalesce(s.n, 0) AS n, coalesce(s.mx, c0.cx) AS cx, "
-        "coalesce(s.my, c0.cy) AS cy FROM c0 LEFT JOIN (SELECT cluster, count(*) AS n, "
-        "avg(x) AS mx, avg(y) AS my FROM asg1 GROUP BY cluster) s ON s.cluster = c0.cluster)")
-    for r in range(2, rounds + 1):
+    ps = ps or points2d_set()
+    dims = len(ps.coords)
+    ks = range(dims)
+    means = ", ".join(f"avg({c}) AS m{j}" for j, c in enumerate(ps.coords))
+    ctes = [ps.cte, assigned_cte("asg1", ps.source, ps.keep, ps.coords, ps.centers),
+            f"c0 AS ({_centre_rows(ps)})"]
+    for r in range(1, rounds + 1):
         prev = f"c{r - 1}"
+        if r > 1:
+            dist = " + ".join(f"({c} - q.k{j}) * ({c} - q.k{j})" for j, c in enumerate(ps.coords))
+            ctes.append(f"d{r} AS (SELECT p.*, q.cluster, {dist} AS dist2 "
+                        f"FROM {ps.source} p, {prev} q)")
+            ctes.append(
+                f"asg{r} AS (SELECT {ps.keep}, min(cluster) AS cluster FROM "
+                f"(SELECT *, min(dist2) OVER (PARTITION BY id) AS m FROM d{r}) "
+                f"WHERE dist2 = m GROUP BY {ps.keep})")
+        sel = ", ".join(f"coalesce(s.m{j}, {prev}.k{j}) AS k{j}" for j in ks)
         ctes.append(
-            f"d{r} AS (SELECT p.id, p.x, p.y, c.cluster, "
-            "(p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy) AS dist2 "
-            f"FROM points2d p, {prev} c)")
-        ctes.append(
-            f"asg{r} AS (SELECT id, x, y, min(cluster) AS cluster FROM "
-            f"(SELECT id, x, y, cluster, dist2, min(dist2) OVER (PARTITION BY id) AS m FROM d{r}) "
-            "WHERE dist2 = m GROUP BY id, x, y)")
-        ctes.append(
-            f"c{r} AS (SELECT {prev}.cluster, coalesce(s.n, 0) AS n, coalesce(s.mx, {prev}.cx) AS cx, "
-            f"coalesce(s.my, {prev}.cy) AS cy FROM {prev} LEFT JOIN (SELECT cluster, count(*) AS n, "
-            f"avg(x) AS mx, avg(y) AS my FROM asg{r} GROUP BY cluster) s ON s.cluster = {prev}.cluster)")
-    last = f"c{rounds}"
-    assert k > 0
-    return (f"WITH {', '.join(ctes)} SELECT CAST(cluster AS INTEGER) AS cluster, n, "
-            f"{_r('cx', D)} AS x, {_r('cy', D)} AS y FROM {last}")
+            f"c{r} AS (SELECT {prev}.cluster, coalesce(s.n, 0) AS n, {sel} FROM {prev} "
+            f"LEFT JOIN (SELECT cluster, count(*) AS n, {means} FROM asg{r} GROUP BY cluster) s "
+            f"ON s.cluster = {prev}.cluster)")
+    out = ", ".join(f"{_r(f'k{j}', D)} AS {ps.names[j]}" for j in ks)
+    return (f"WITH {', '.join(ctes)} SELECT CAST(cluster AS INTEGER) AS cluster, n, {out} "
+            f"FROM c{rounds}")
 
 
-def fair_round_sql() -> str:
+def fair_round_sql(ps: PointSet | None = None) -> str:
     """One fair round from the literal centres, with the weight bisection as a
     recursive CTE over (step, gamma, step size)."""
-    c2 = fx.CENTERS_2D
-    k = len(c2)
-    init = " UNION ALL ".join(
-        f"SELECT {i} AS cluster, {_num(c[0])} AS cx, {_num(c[1])} AS cy" for i, c in enumerate(c2))
+    ps = ps or points2d_set()
+    dims = len(ps.coords)
+    ks = range(dims)
+    mean_cols = ", ".join(f"avg({c}) AS m{j}" for j, c in enumerate(ps.coords))
+    a_cols = ", ".join(f"coalesce(ga.m{j}, gb.m{j}) AS a{j}" for j in ks)
+    b_cols = ", ".join(f"coalesce(gb.m{j}, ga.m{j}) AS b{j}" for j in ks)
+    ell = "sqrt(" + " + ".join(f"(a{j} - b{j}) * (a{j} - b{j})" for j in ks) + ")"
+    err_a = " + ".join(f"(q.{c} - cl.a{j}) * (q.{c} - cl.a{j})" for j, c in enumerate(ps.coords))
+    err_b = " + ".join(f"(q.{c} - cl.b{j}) * (q.{c} - cl.b{j})" for j, c in enumerate(ps.coords))
     ctes = [
-        points2d_cte(),
-        assigned_cte("asg", "points2d", "id, x, y, grp", ["x", "y"], c2),
-        f"c0 AS ({init})",
-        "tot AS (SELECT count(*) FILTER (WHERE grp = 'A') AS na, "
-        "count(*) FILTER (WHERE grp = 'B') AS nb FROM points2d)",
-        "ga AS (SELECT cluster, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM asg "
-        "WHERE grp = 'A' GROUP BY cluster)",
-        "gb AS (SELECT cluster, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM asg "
-        "WHERE grp = 'B' GROUP BY cluster)",
+        ps.cte,
+        assigned_cte("asg", ps.source, ps.keep, ps.coords, ps.centers),
+        f"c0 AS ({_centre_rows(ps)})",
+        f"tot AS (SELECT count(*) FILTER (WHERE grp = 'A') AS na, "
+        f"count(*) FILTER (WHERE grp = 'B') AS nb FROM {ps.source})",
+        f"ga AS (SELECT cluster, count(*) AS n, {mean_cols} FROM asg WHERE grp = 'A' GROUP BY cluster)",
+        f"gb AS (SELECT cluster, count(*) AS n, {mean_cols} FROM asg WHERE grp = 'B' GROUP BY cluster)",
         # per cluster: weights, the two means with the substitution rule, and l
-        "cl0 AS (SELECT c0.cluster, c0.cx, c0.cy, coalesce(ga.n, 0) / tot.na AS alpha, "
-        "coalesce(gb.n, 0) / tot.nb AS beta, "
-        "coalesce(ga.mx, gb.mx) AS ax, coalesce(ga.my, gb.my) AS ay, "
-        "coalesce(gb.mx, ga.mx) AS bx, coalesce(gb.my, ga.my) AS by_ "
+        "cl0 AS (SELECT c0.*, coalesce(ga.n, 0) / tot.na AS alpha, "
+        f"coalesce(gb.n, 0) / tot.nb AS beta, {a_cols}, {b_cols} "
         "FROM c0 CROSS JOIN tot LEFT JOIN ga ON ga.cluster = c0.cluster "
         "LEFT JOIN gb ON gb.cluster = c0.cluster)",
-        "cl AS (SELECT *, sqrt((ax - bx) * (ax - bx) + (ay - by_) * (ay - by_)) AS l FROM cl0)",
-        "act AS (SELECT * FROM cl WHERE ax IS NOT NULL)",
+        f"cl AS (SELECT *, {ell} AS l FROM cl0)",
+        "act AS (SELECT * FROM cl WHERE a0 IS NOT NULL)",
         # squared error of each group around its own cluster mean, two passes
-        "fx AS (SELECT sum(CASE WHEN a.grp = 'A' THEN (a.x - cl.ax) * (a.x - cl.ax) + "
-        "(a.y - cl.ay) * (a.y - cl.ay) ELSE 0 END) / max(tot.na) AS fa0, "
-        "sum(CASE WHEN a.grp = 'B' THEN (a.x - cl.bx) * (a.x - cl.bx) + "
-        "(a.y - cl.by_) * (a.y - cl.by_) ELSE 0 END) / max(tot.nb) AS fb0 "
-        "FROM asg a JOIN cl ON cl.cluster = a.cluster CROSS JOIN tot)",
-        "RECURSIVE_PLACEHOLDER",
-    ]
-    step = (
+        f"fx AS (SELECT sum(CASE WHEN q.grp = 'A' THEN {err_a} ELSE 0 END) / max(tot.na) AS fa0, "
+        f"sum(CASE WHEN q.grp = 'B' THEN {err_b} ELSE 0 END) / max(tot.nb) AS fb0 "
+        "FROM asg q JOIN cl ON cl.cluster = q.cluster CROSS JOIN tot)",
         "bis(t, g_used, g, pw, done) AS ("
         "SELECT 0, 0.5::DOUBLE, 0.5::DOUBLE, 0.5::DOUBLE, false "
         "UNION ALL "
@@ -208,26 +226,40 @@ def fair_round_sql() -> str:
         "max(fx.fb0) + sum(act.beta * (act.l - xx) * (act.l - xx)) AS fb "
         "FROM (SELECT act.*, (1 - b.g) * act.beta * act.l / (b.g * act.alpha + (1 - b.g) * act.beta) AS xx "
         "FROM act) act CROSS JOIN fx) s "
-        "WHERE b.t < 10 AND NOT b.done)"
-    )
-    ctes[-1] = step
-    ctes.append("fin AS (SELECT g_used AS g FROM bis WHERE t = (SELECT max(t) FROM bis))")
-    ctes.append(
-        "res AS (SELECT cl.cluster, cl.cx, cl.cy, cl.alpha, cl.beta, cl.ax, cl.ay, cl.bx, cl.by_, "
-        "coalesce(cl.l, 0.0) AS l, CASE WHEN cl.ax IS NULL THEN 0.0 ELSE "
+        "WHERE b.t < 10 AND NOT b.done)",
+        "fin AS (SELECT g_used AS g FROM bis WHERE t = (SELECT max(t) FROM bis))",
+        "res AS (SELECT cl.*, coalesce(cl.l, 0.0) AS ll, CASE WHEN cl.a0 IS NULL THEN 0.0 ELSE "
         "(1 - fin.g) * cl.beta * cl.l / (fin.g * cl.alpha + (1 - fin.g) * cl.beta) END AS xx "
-        "FROM cl CROSS JOIN fin)")
-    sel = (
-        "SELECT CAST(cluster AS INTEGER) AS cluster, "
-        f"{_r('CASE WHEN ax IS NULL THEN cx WHEN l = 0 THEN ax ELSE ((l - xx) * ax + xx * bx) / l END', D)} AS x, "
-        f"{_r('CASE WHEN ax IS NULL THEN cy WHEN l = 0 THEN ay ELSE ((l - xx) * ay + xx * by_) / l END', D)} AS y, "
-        f"{_r('alpha', D)} AS alpha, {_r('beta', D)} AS beta, {_r('l', D)} AS ell, "
-        f"{_r('xx', D)} AS shift FROM res"
-    )
-    assert k > 0
+        "FROM cl CROSS JOIN fin)",
+    ]
+    coords_out = ", ".join(
+        _r(f"CASE WHEN a0 IS NULL THEN k{j} WHEN ll = 0 THEN a{j} "
+           f"ELSE ((ll - xx) * a{j} + xx * b{j}) / ll END", D) + f" AS {ps.names[j]}"
+        for j in ks)
+    sel = (f"SELECT CAST(cluster AS INTEGER) AS cluster, {coords_out}, "
+           f"{_r('alpha', D)} AS alpha, {_r('beta', D)} AS beta, {_r('ll', D)} AS ell, "
+           f"{_r('xx', D)} AS shift FROM res")
     return "WITH RECURSIVE " + ", ".join(ctes) + " " + sel
 
 
+def nd_oracles() -> dict[str, str]:
+    nd = pointsnd_set()
+    return {"lloyd_2rounds_nd": lloyd_sql(2, nd), "fair_kmeans_1round_nd": fair_round_sql(nd)}
+
+
+def report_oracles() -> dict[str, str]:
+    """Per-cluster report at fixed centres, in one aggregate."""
+    c2 = fx.CENTERS_2D
+    xs = "[" + ", ".join(_num(c[0]) for c in c2) + "]"
+    ys = "[" + ", ".join(_num(c[1]) for c in c2) + "]"
+    a2 = assigned_cte("asg", "points2d", "id, x, y, grp", ["x", "y"], c2)
+    return {"cluster_report": (
+        f"WITH {points2d_cte()}, {a2} SELECT cluster, {xs}[cluster + 1] AS x, "
+        f"{ys}[cluster + 1] AS y, count(*) AS n, "
+        "count(*) FILTER (WHERE grp = 'A') AS n_a, count(*) FILTER (WHERE grp <> 'A') AS n_b, "
+        f"{_r('sum(dist2)', CD)} AS cost FROM asg GROUP BY cluster")}
+
+
 # --- sketches and heavy hitters ---------------------------------------------------
 
 SKEWED = "src AS (SELECT CAST(1000 // (1 + l_partkey % 1000) AS BIGINT) AS item FROM lineitem)"

@@ -104,9 +104,23 @@ def q_init_centers(spark, sf_dir):
 def q_kmeans_report(spark, sf_dir):
     pts = P.points2d(spark, sf_dir)
     cs = cluster.kmeans(pts, fx.KMEANS_K, fx.KMEANS_ITER, fx.KMEANS_SEED)
-    stats = metrics.cluster_statistics(pts, cs)
-    cost = metrics.cluster_cost(pts, cs).select("cluster", "cost")
-    return stats.join(cost, "cluster").orderBy("cluster")
+    return metrics.cluster_report(pts, cs)
+
+
+def q_cluster_report(spark, sf_dir):
+    r = metrics.cluster_report(P.points2d(spark, sf_dir), fx.CENTERS_2D)
+    return _round(r, {"cost": CD})
+
+
+def q_lloyd_2rounds_nd(spark, sf_dir):
+    c = cluster.lloyd_rounds(P.pointsnd(spark, sf_dir), fx.CENTERS_ND, 2, cols=None)
+    return _round(c, {f"c{j}": D for j in range(fx.ND_DIMS)})
+
+
+def q_fair_kmeans_1round_nd(spark, sf_dir):
+    f = fair.fair_round_frame(P.pointsnd(spark, sf_dir), fx.CENTERS_ND, cols=None)
+    return _round(f, {c: D for c in [f"c{j}" for j in range(fx.ND_DIMS)]
+                      + ["alpha", "beta", "ell", "shift"]})
 
 
 def q_compare_centers(spark, sf_dir):
@@ -130,6 +144,9 @@ def clustering_queries() -> dict[str, Query]:
         "cluster_group_stats": q_cluster_group_stats,
         "lloyd_2rounds": q_lloyd_2rounds,
         "fair_kmeans_1round": q_fair_kmeans_1round,
+        "lloyd_2rounds_nd": q_lloyd_2rounds_nd,
+        "fair_kmeans_1round_nd": q_fair_kmeans_1round_nd,
+        "cluster_report": q_cluster_report,
         "init_centers": q_init_centers,
         "kmeans_report": q_kmeans_report,
         "compare_centers": q_compare_centers,
