@@ -65,20 +65,31 @@ def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | No
                   .add("cluster", IntegerType(), False).add("dist2", DoubleType(), True))
     names = list(cols) if cols else None
 
+    # rows per numpy step, so that the n x K x d difference array stays
+    # around 128 MB whatever K and d are
+    step = max(1, (1 << 24) // (c.shape[0] * c.shape[1]))
+
+    def nearest_rows(x):
+        diff = x[:, None, :] - c[None, :, :]
+        d = np.einsum("nkd,nkd->nk", diff, diff)
+        idx = np.where(np.isnan(d), np.inf, d).argmin(axis=1)   # NaN sorts last, as in SQL
+        return idx, d[np.arange(len(x)), idx]
+
     def nearest_batches(batches):
         for pdf in batches:
             pdf = pdf.drop(columns=[n for n in ("cluster", "dist2") if n in pdf.columns])
+            n = len(pdf)
             if names:
                 x = pdf[names].to_numpy(dtype="float64")
             else:
-                x = np.stack(pdf[features].to_numpy()).astype("float64") if len(pdf) else \
+                x = np.stack(pdf[features].to_numpy()).astype("float64") if n else \
                     np.zeros((0, c.shape[1]))
-            diff = x[:, None, :] - c[None, :, :]
-            d = np.einsum("nkd,nkd->nk", diff, diff)
-            order = np.where(np.isnan(d), np.inf, d)          # NaN sorts last, as in SQL
-            idx = order.argmin(axis=1) if len(pdf) else np.zeros(0, dtype="int64")
+            idx = np.zeros(n, dtype="int64")
+            dist = np.zeros(n, dtype="float64")
+            for lo in range(0, n, step):
+                idx[lo:lo + step], dist[lo:lo + step] = nearest_rows(x[lo:lo + step])
             pdf["cluster"] = idx.astype("int32")
-            pdf["dist2"] = d[np.arange(len(pdf)), idx] if len(pdf) else np.zeros(0)
+            pdf["dist2"] = dist
             yield pdf
 
     return points.drop("cluster", "dist2").mapInPandas(nearest_batches, out_schema)

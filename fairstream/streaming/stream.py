@@ -8,7 +8,8 @@ A ``*_snapshot`` function reads the current result back as a batch DataFrame.
 
 - ``running_counts``: exact histogram in the state store (state grows with the
   number of distinct items, like the reference's map).
-- ``running_distinct``: distinct items via ``dropDuplicates`` (same state size).
+- ``running_distinct``: distinct items via a streaming ``distinct()`` (same
+  state size, deduplicated map-side before the shuffle).
 - ``sketch_cells_stream``: count-min / count-sketch cells; state is bounded by
   D*W keys whatever the stream.
 - ``prefix``: whole micro-batches until at least T items were seen (the batch
@@ -128,18 +129,25 @@ def counts_snapshot(spark: SparkSession, out: str) -> DataFrame:
 
 def running_distinct(stream: DataFrame, out: str | None = None,
                      trigger: str | None = None) -> StreamJob:
-    """Distinct items; each batch writes the items seen for the first time."""
+    """Running distinct set; each batch writes the distinct items it contained.
+
+    A streaming ``distinct()`` is an aggregate: every task deduplicates its
+    rows before the shuffle into the state store, so an item that fills a
+    third of a batch costs one row per task. (``dropDuplicates`` would ship
+    every copy of that item to one task.) State: one row per distinct item.
+    """
     out = out or scratch_path(stream.sparkSession, "running-distinct")
-    new = read_items(stream).dropDuplicates(["item"])
+    seen = read_items(stream).distinct()
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        _put(batch, out, "new", batch_id)
+        _put(batch, out, "seen", batch_id)
 
-    return StreamJob(_writer(new, out, fn, trigger).start(), out)
+    return StreamJob(_writer(seen, out, fn, trigger, "update").start(), out)
 
 
 def distinct_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/new").select("item")
+    """``item``: every item seen so far, once."""
+    return spark.read.parquet(f"{out}/seen").select("item").distinct()
 
 
 def stream_summary(spark: SparkSession, counts_out: str) -> DataFrame:
