@@ -119,12 +119,14 @@ def estimate(query: DataFrame, cells: DataFrame, sketches: Sequence[Sketch],
     """Adds ``<name>_est`` per sketch to every query row (count-min: minimum over
     the D rows; count sketch: median of cell * sign). A cell never hit reads 0.
 
-    ``cells`` is the tagged table from ``build``; ``query`` should hold each
-    item once (its other columns are kept).
+    ``cells`` is the tagged table from ``build``; the query's columns are kept
+    and every query row gets its own estimate.
     """
     _check_names(sketches)
     keep = query.columns
-    refs = query.select("*", F.inline(_tagged_refs(F.col(item_col), sketches)))
+    # one group per query row (at most sum of D values each), even if rows repeat
+    q = query.withColumn("_qid", F.monotonically_increasing_id())
+    refs = q.select("*", F.inline(_tagged_refs(F.col(item_col), sketches)))
     side = cells.select("sketch", "row", "bucket", F.col("cnt").alias("_cell"))
     if sum(s.spec.cells for s in sketches) <= BROADCAST_MAX_CELLS:
         side = F.broadcast(side)
@@ -139,7 +141,7 @@ def estimate(query: DataFrame, cells: DataFrame, sketches: Sequence[Sketch],
         else:
             aggs.append(F.min(mine).alias(f"_v_{s.name}"))
             outs.append(F.col(f"_v_{s.name}").alias(f"{s.name}_est"))
-    return j.groupBy(*keep).agg(*aggs).select(*keep, *outs)
+    return j.groupBy("_qid", *keep).agg(*aggs).select(*keep, *outs)
 
 
 def cms_estimate(query: DataFrame, cells: DataFrame, s: SketchSpec,

@@ -10,9 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairstream.operators import cluster, fair, metrics
+from fairstream.functions import hashing as H
+from fairstream.operators import cluster, fair, metrics, sketch, topk
 from fairstream.plans import fixtures as fx
+from fairstream.session import scratch_path
+from fairstream.sources import items as I
 from fairstream.sources import points as P
+from fairstream.sources import synth
+from fairstream.sources.tables import read_table
+from fairstream.streaming import stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,9 +161,6 @@ def clustering_queries() -> dict[str, Query]:
 
 # --- sketches and heavy hitters ---------------------------------------------------
 
-from fairstream.functions import hashing as H  # noqa: E402
-from fairstream.operators import sketch, topk  # noqa: E402
-from fairstream.sources import items as I  # noqa: E402
 
 CM_SPEC = H.spec(fx.SKETCH_W, fx.CMS_PARAMS, p=fx.SKETCH_P)
 CS_SPEC = H.spec(fx.SKETCH_W, fx.CS_PARAMS, fx.CS_SIGN_PARAMS, p=fx.SKETCH_P)
@@ -244,23 +247,32 @@ def sketch_queries() -> dict[str, Query]:
 
 # --- streams ------------------------------------------------------------------------
 
-from fairstream.session import scratch_path  # noqa: E402
-from fairstream.sources.tables import read_table  # noqa: E402
-from fairstream.streaming import stream as S  # noqa: E402
+
+_LANDED: dict[tuple, str] = {}
+
+
+def _landing(spark, sf_dir, name, df, key):
+    """A table replayed as a landing folder of ``STREAM_FILES`` files, written
+    once per session and shared by every stream query that reads it (as
+    several streaming queries share one landing area)."""
+    k = (id(spark.sparkContext), sf_dir, name)
+    if k not in _LANDED:
+        _LANDED[k] = S.split_copy(df, key, fx.STREAM_FILES, scratch_path(spark, f"{name}-landing"))
+    return _LANDED[k]
 
 
 def _events_stream(spark, sf_dir):
-    """The events' user ids replayed as a file stream, one file per micro-batch."""
+    """The events' user ids as a file stream, one file per micro-batch."""
     ev = read_table(spark, sf_dir, "events").select(
         F.col("user_id").cast("bigint").alias("item"), "event_id")
-    path = S.split_copy(ev, "event_id", fx.STREAM_FILES, scratch_path(spark, "events-split"))
+    path = _landing(spark, sf_dir, "events", ev, "event_id")
     return S.file_stream(spark, path, "item bigint, event_id bigint, part int")
 
 
 def _skewed_stream(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select(
         F.expr("1000 div (1 + l_partkey % 1000)").cast("bigint").alias("item"), "l_orderkey")
-    path = S.split_copy(li, "l_orderkey", fx.STREAM_FILES, scratch_path(spark, "lineitem-split"))
+    path = _landing(spark, sf_dir, "lineitem", li, "l_orderkey")
     return S.file_stream(spark, path, "item bigint, l_orderkey bigint, part int")
 
 
@@ -324,8 +336,6 @@ def stream_queries() -> dict[str, Query]:
 
 # --- synthetic points -----------------------------------------------------------------
 
-from fairstream.sources import synth  # noqa: E402
-
 
 def q_labelled_blobs(spark, sf_dir):
     """Blobs indexed by the order keys (0..N-1): label and cluster counts (the
