@@ -61,3 +61,20 @@ def test_text_lines_stream(spark, tmp_path):
     job = S.running_counts(st).wait()
     got = {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()}
     assert got == {3: 3, 5: 1, 7: 1}
+
+
+def test_hot_item_stream(spark):
+    """Item 1 holds about half of the rows: counts, distinct set and prefix stay exact."""
+    li = read_table(spark, SF_MID, "lineitem").select(
+        F.expr("1000 div (1 + l_partkey % 1000)").cast("bigint").alias("item"), "l_orderkey")
+    rows = [r["item"] for r in li.collect()]
+    want = Counter(rows)
+    assert want.most_common(1)[0][1] * 3 >= len(rows)          # the hot item is over a third
+    path = S.split_copy(li, "l_orderkey", 4, scratch_path(spark, "t-hot"))
+    schema = "item bigint, l_orderkey bigint, part int"
+    job = S.running_counts(S.file_stream(spark, path, schema)).wait()
+    assert {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()} == dict(want)
+    job = S.running_distinct(S.file_stream(spark, path, schema)).wait()
+    assert sorted(r["item"] for r in S.distinct_snapshot(spark, job.out).collect()) == sorted(want)
+    job = S.prefix(S.file_stream(spark, path, schema), None).wait()
+    assert {r["item"]: r["cnt"] for r in S.prefix_counts(spark, job.out).collect()} == dict(want)
