@@ -109,6 +109,26 @@ def cluster_report(points: DataFrame, centers, cols=("x", "y"),
     return g.select("cluster", *coord, "n", "n_a", "n_b", "cost")
 
 
+def summary(points: DataFrame, centers, cols=("x", "y"), features="features") -> DataFrame:
+    """One row ``n, n_a, n_b, delta, phi`` from one grouped table (one scan,
+    one shuffle of at most K x labels partial rows per task)."""
+    t = cluster_group_table(points, centers, cols, features)
+    s = t.agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("grp") == GROUP_A, F.col("n")).otherwise(0)).alias("n_a"),
+        F.sum(F.when(F.col("grp") == GROUP_B, F.col("n")).otherwise(0)).alias("n_b"),
+        F.sum("cost").alias("cost"),
+        F.sum(F.when(F.col("grp") == GROUP_A, F.col("cost")).otherwise(0.0)).alias("cost_a"),
+        F.sum(F.when(F.col("grp") == GROUP_B, F.col("cost")).otherwise(0.0)).alias("cost_b"),
+    )
+    empty = (F.col("n_a") == 0) | (F.col("n_b") == 0)
+    phi_value = F.greatest(F.col("cost_a") / F.col("n_a"), F.col("cost_b") / F.col("n_b"))
+    return s.select(
+        "n", "n_a", "n_b", (F.col("cost") / F.col("n")).alias("delta"),
+        F.when(empty, F.raise_error(F.lit("fairness cannot be computed: one group has no points")))
+        .otherwise(phi_value).cast("double").alias("phi"))
+
+
 def report(points: DataFrame, centers, cols=("x", "y"), features="features") -> dict:
     """All costs of one centre set from one job: N, NA, NB, Delta, Phi, per-cluster rows.
 

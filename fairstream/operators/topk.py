@@ -63,6 +63,21 @@ def sketch_error(counts: DataFrame, k: int, cells: DataFrame,
     )
 
 
+def hitter_report(items: DataFrame, k: int, cells: DataFrame, cm: sketch.Sketch,
+                  cs: sketch.Sketch, item_col: str = "item") -> DataFrame:
+    """The end-of-stream report in one row: ``n_items, n_distinct, phi_k,
+    n_hitters, cm_rel_err, cs_rel_err``. The error row is the main plan; the
+    totals and the threshold are scalar subqueries over the same histogram,
+    whose exchange Spark reuses."""
+    counts = item_counts(items, item_col)
+    err = sketch_error(counts, k, cells, cm, cs)
+    n_items = counts.agg(F.sum("cnt").cast("bigint")).scalar()
+    n_distinct = counts.agg(F.count(F.lit(1))).scalar()
+    phi = kth_frequency(counts, k).scalar()
+    return err.select(n_items.alias("n_items"), n_distinct.alias("n_distinct"),
+                      phi.alias("phi_k"), "n_hitters", "cm_rel_err", "cs_rel_err")
+
+
 def distinct_summary(items: DataFrame, item_col: str = "item", approx: bool = False,
                      rsd: float = 0.01) -> DataFrame:
     """``n_items, n_distinct, largest``: stream length, distinct count and the

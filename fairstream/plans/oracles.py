@@ -253,7 +253,14 @@ def report_oracles() -> dict[str, str]:
     xs = "[" + ", ".join(_num(c[0]) for c in c2) + "]"
     ys = "[" + ", ".join(_num(c[1]) for c in c2) + "]"
     a2 = assigned_cte("asg", "points2d", "id, x, y, grp", ["x", "y"], c2)
-    return {"cluster_report": (
+    a = "grp = 'A'"
+    b = "grp = 'B'"
+    summary = (
+        f"WITH {points2d_cte()}, {a2} SELECT count(*) AS n, count(*) FILTER (WHERE {a}) AS n_a, "
+        f"count(*) FILTER (WHERE {b}) AS n_b, {_r('sum(dist2) / count(*)', D)} AS delta, "
+        f"{_r(f'greatest(avg(dist2) FILTER (WHERE {a}), avg(dist2) FILTER (WHERE {b}))', D)} AS phi "
+        "FROM asg")
+    return {"kmeans_summary": summary, "cluster_report": (
         f"WITH {points2d_cte()}, {a2} SELECT cluster, {xs}[cluster + 1] AS x, "
         f"{ys}[cluster + 1] AS y, count(*) AS n, "
         "count(*) FILTER (WHERE grp = 'A') AS n_a, count(*) FILTER (WHERE grp <> 'A') AS n_b, "
@@ -362,6 +369,16 @@ def sketch_oracles() -> dict[str, str]:
         f"{_r('avg((e1.est - e1.cnt) / e1.cnt)', D)} AS cm_rel_err, "
         f"{_r('avg(abs(e2.est - e1.cnt) / e1.cnt)', D)} AS cs_rel_err "
         "FROM e1 JOIN e2 ON e1.item = e2.item")
+    out["hitter_report"] = (
+        f"WITH {SKEWED}, {COUNTS}, {hitters_cte(k)}, {cells_cte('cmc', cm)}, "
+        f"{cells_cte('csc', cs, sg)}, {cm_est_cte('e1', 'hh', 'item, cnt', 'cmc', cm)}, "
+        f"{cs_est_cte('e2', 'hh', 'item', 'csc', cs, sg)} "
+        "SELECT (SELECT CAST(sum(cnt) AS BIGINT) FROM cnts) AS n_items, "
+        f"(SELECT count(*) FROM cnts) AS n_distinct, {phi_sql(k)} AS phi_k, "
+        "count(*) AS n_hitters, "
+        f"{_r('avg((e1.est - e1.cnt) / e1.cnt)', D)} AS cm_rel_err, "
+        f"{_r('avg(abs(e2.est - e1.cnt) / e1.cnt)', D)} AS cs_rel_err "
+        "FROM e1 JOIN e2 ON e1.item = e2.item")
     out["distinct_summary"] = (
         f"WITH {FLAT} SELECT count(item) AS n_items, count(DISTINCT item) AS n_distinct, "
         "max(item) AS largest FROM src")

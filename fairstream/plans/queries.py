@@ -113,6 +113,11 @@ def q_kmeans_report(spark, sf_dir):
     return metrics.cluster_report(pts, cs)
 
 
+def q_kmeans_summary(spark, sf_dir):
+    return _round(metrics.summary(P.points2d(spark, sf_dir), fx.CENTERS_2D),
+                  {"delta": D, "phi": D})
+
+
 def q_cluster_report(spark, sf_dir):
     r = metrics.cluster_report(P.points2d(spark, sf_dir), fx.CENTERS_2D)
     return _round(r, {"cost": CD})
@@ -153,6 +158,7 @@ def clustering_queries() -> dict[str, Query]:
         "lloyd_2rounds_nd": q_lloyd_2rounds_nd,
         "fair_kmeans_1round_nd": q_fair_kmeans_1round_nd,
         "cluster_report": q_cluster_report,
+        "kmeans_summary": q_kmeans_summary,
         "init_centers": q_init_centers,
         "kmeans_report": q_kmeans_report,
         "compare_centers": q_compare_centers,
@@ -224,6 +230,12 @@ def q_sketch_error(spark, sf_dir):
     return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
 
 
+def q_hitter_report(spark, sf_dir):
+    it = I.skewed_items(spark, sf_dir)
+    r = topk.hitter_report(it, fx.TOP_K, sketch.build(it, [CM, CS]), CM, CS)
+    return _round(r, {"cm_rel_err": D, "cs_rel_err": D})
+
+
 def q_distinct_summary(spark, sf_dir):
     return topk.distinct_summary(I.items(spark, sf_dir))
 
@@ -241,6 +253,7 @@ def sketch_queries() -> dict[str, Query]:
         "heavy_hitters_flat": q_heavy_hitters_flat,
         "hitter_listing": q_hitter_listing,
         "sketch_error": q_sketch_error,
+        "hitter_report": q_hitter_report,
         "distinct_summary": q_distinct_summary,
     }
 

@@ -95,6 +95,14 @@ class StreamJob:
             raise RuntimeError(f"streaming query failed: {err}")
         return self
 
+    def drain(self) -> "StreamJob":
+        """For a query on a processing-time trigger: process everything that has
+        arrived, then stop the query."""
+        if self.query.isActive and not self.state.get("stop"):
+            self.query.processAllAvailable()
+        self.query.stop()
+        return self.wait()
+
 
 def _writer(df: DataFrame, out: str, fn, trigger: str | None, mode: str = "append"):
     w = df.writeStream.outputMode(mode).foreachBatch(fn) \

@@ -78,3 +78,16 @@ def test_hot_item_stream(spark):
     assert sorted(r["item"] for r in S.distinct_snapshot(spark, job.out).collect()) == sorted(want)
     job = S.prefix(S.file_stream(spark, path, schema), None).wait()
     assert {r["item"]: r["cnt"] for r in S.prefix_counts(spark, job.out).collect()} == dict(want)
+
+
+def test_processing_time_trigger(spark):
+    """The reference's 100 ms micro-batches: a continuous query, drained and stopped."""
+    ev, st = _events(spark)
+    job = S.running_counts(st, trigger=S.BATCH_INTERVAL).drain()
+    want = Counter(r["item"] for r in ev.collect())
+    assert {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()} == dict(want)
+    _, st2 = _events(spark)
+    job2 = S.prefix(st2, 3000, trigger=S.BATCH_INTERVAL).wait()     # stops itself at T
+    assert not job2.query.isActive
+    sizes = sorted(tuple(r) for r in S.batch_sizes(spark, job2.out).collect())
+    assert sizes == [(0, 2000), (1, 2000)]
