@@ -23,9 +23,11 @@ from fairstream.session import get_session  # noqa: E402
 HEADLINE = [
     # clustering
     "assign_nearest", "assign_nearest_nd", "fair_phi", "cluster_group_stats",
-    "lloyd_2rounds", "fair_kmeans_1round", "kmeans_report", "compare_centers",
+    "lloyd_2rounds", "fair_kmeans_1round", "fair_kmeans_1round_nd", "kmeans_summary",
+    "kmeans_report", "compare_centers",
     # sketches and heavy hitters
-    "cms_cells", "cs_estimate", "heavy_hitters", "sketch_error", "distinct_summary",
+    "cms_cells", "cs_estimate", "heavy_hitters", "sketch_error", "hitter_report",
+    "distinct_summary",
     # streams
     "running_counts", "stream_sketch_cells", "stream_prefix", "stream_report",
 ]

@@ -43,19 +43,24 @@ def parse_points(lines: DataFrame, dims: int | None = 2, line_col: str = "line",
     """
     if mode not in ("FAILFAST", "DROPMALFORMED"):
         raise ValueError(f"unknown mode {mode!r}")
-    cast = "cast" if mode == "FAILFAST" else "try_cast"
+    strict = mode == "FAILFAST"
+    cast = "cast" if strict else "try_cast"
+
+    def field(i: int) -> str:      # strict: a missing field fails; else it reads NULL
+        return f"_p[{i}]" if strict else f"get(_p, {i})"
+
     parts = _fields(F.col(line_col))
     keep = [c for c in lines.columns if c != line_col]
     if dims == 2:
         split = lines.select(*keep, parts.alias("_p"))
         out = split.select(
             *keep,
-            F.expr(f"{cast}(trim(_p[0]) as double)").alias("x"),
-            F.expr(f"{cast}(trim(_p[1]) as double)").alias("y"),
-            _label(F.col("_p")[2]).alias("grp"),
+            F.expr(f"{cast}(trim({field(0)}) as double)").alias("x"),
+            F.expr(f"{cast}(trim({field(1)}) as double)").alias("y"),
+            _label(F.expr(field(2))).alias("grp"),
         )
-        if mode == "DROPMALFORMED":
-            out = out.dropna(subset=["x", "y", "grp"])
+        if not strict:
+            out = out.dropna(subset=["x", "y", "grp"]).filter(F.length("grp") > 0)
         return out
     if dims is not None:
         raise ValueError("dims must be 2 or None (all fields but the last)")
@@ -66,12 +71,38 @@ def parse_points(lines: DataFrame, dims: int | None = 2, line_col: str = "line",
         .alias("features"),
         _label(F.element_at(F.col("_p"), -1)).alias("grp"),
     )
-    if mode == "DROPMALFORMED":
+    if not strict:
         out = out.filter(F.size("features") > 0).filter(
-            ~F.exists("features", lambda v: v.isNull()))
+            ~F.exists("features", lambda v: v.isNull())).filter(F.length("grp") > 0)
     return out
 
 
+def malformed_lines(lines: DataFrame, dims: int | None = 2, line_col: str = "line") -> DataFrame:
+    """The rejects table: lines that ``parse_points(mode="FAILFAST")`` would fail
+    on (a coordinate that is not a number, a missing field or an empty label),
+    with a ``reason``. Together with ``mode="DROPMALFORMED"`` this gives a
+    permissive read that keeps every input line accounted for."""
+    parts = _fields(F.col(line_col))
+    if dims == 2:
+        coords = F.array(F.expr("try_cast(trim(get(_p, 0)) as double)"),
+                         F.expr("try_cast(trim(get(_p, 1)) as double)"))
+        label = F.trim(F.expr("get(_p, 2)"))
+        too_short = F.size("_p") < 3
+    elif dims is None:
+        coords = F.expr("transform(slice(_p, 1, size(_p) - 1), v -> try_cast(trim(v) as double))")
+        label = F.trim(F.element_at(F.col("_p"), -1))
+        too_short = F.size("_p") < 2
+    else:
+        raise ValueError("dims must be 2 or None (all fields but the last)")
+    reason = (F.when(too_short, F.lit("missing field"))
+              .when(F.exists(coords, lambda v: v.isNull()), F.lit("not a number"))
+              .when(F.coalesce(F.length(label), F.lit(0)) == 0, F.lit("empty label")))
+    return (lines.withColumn("_p", parts)
+            .withColumn("reason", reason)
+            .filter(F.col("reason").isNotNull())
+            .drop("_p"))
+
+
 def read_points(spark: SparkSession, path: str, dims: int | None = 2,
                 partitions: int | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Read a headerless ``x,y,label`` (or n-D) text file into labelled points.

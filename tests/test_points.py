@@ -33,3 +33,15 @@ def test_read_points(spark, tmp_path):
     assert sorted(tuple(r) for r in pts.collect()) == [(1.0, 2.0, "A"), (3.0, 4.0, "B"), (5.0, 6.0, "A")]
     with pytest.raises(ValueError):
         P.read_points(spark, "  ")
+
+
+def test_rejects_table(spark):
+    lines = spark.createDataFrame([("1,2,A",), ("x,2,B",), ("",), ("3,4",), ("5,6, ",), ("7,8,B,9",)],
+                                  "line string")
+    bad = {r["line"]: r["reason"] for r in P.malformed_lines(lines).collect()}
+    assert bad == {"x,2,B": "not a number", "": "missing field", "3,4": "missing field",
+                   "5,6, ": "empty label"}
+    good = P.parse_points(lines, mode="DROPMALFORMED").count()
+    assert good + len(bad) == lines.count()
+    nd = spark.createDataFrame([("1,2,3,A",), ("1,,3,B",), ("A",)], "line string")
+    assert {r["line"] for r in P.malformed_lines(nd, dims=None).collect()} == {"1,,3,B", "A"}
