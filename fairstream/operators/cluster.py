@@ -105,6 +105,20 @@ def _mean_aggs(cols: Sequence[str] | None, dims: int, features: str) -> list[Col
     return [F.avg(c).alias(f"_m{j}") for j, c in enumerate(coords)]
 
 
+def vector_stats(df: DataFrame, features: str, keys: Sequence[str]) -> DataFrame:
+    """Per group of ``keys``: ``n``, ``_mean`` and ``_var`` (sample variance) of an
+    array column, as arrays, with Spark ML's ``Summarizer``: one vector
+    aggregate instead of two columns per coordinate."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    s = Summarizer.metrics("mean", "variance", "count")
+    g = df.select(*keys, array_to_vector(features).alias("_vec")).groupBy(*keys) \
+        .agg(s.summary(F.col("_vec")).alias("_s"))
+    return g.select(*keys, F.col("_s.count").alias("n"),
+                    vector_to_array("_s.mean").alias("_mean"),
+                    vector_to_array("_s.variance").alias("_var"))
+
+
 def lloyd_step(points: DataFrame, centers: Sequence[Sequence[float]],
                cols: Sequence[str] | None = ("x", "y"), features: str = "features") -> DataFrame:
     """One Lloyd update as a lazy DataFrame: ``cluster, n, _m0.._m{d-1}``.
@@ -115,6 +129,9 @@ def lloyd_step(points: DataFrame, centers: Sequence[Sequence[float]],
     cs = check_centers(centers)
     dims = len(cs[0])
     a = assign(points, cs, cols, features)
+    if not cols:
+        g = vector_stats(a, features, ["cluster"])
+        return g.select("cluster", "n", *[F.col("_mean")[j].alias(f"_m{j}") for j in range(dims)])
     return a.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
                                     *_mean_aggs(cols, dims, features))
 
@@ -156,26 +173,34 @@ def lloyd_rounds(points: DataFrame, centers: Sequence[Sequence[float]], rounds:
 
     The first ``rounds - 1`` rounds run as jobs (K rows come back each time);
     the last one is returned lazily, so the result is a Spark aggregate of the
-    input. A cluster that received no points keeps its previous centre, n = 0:
-    K placeholder rows (one per cluster, null coordinates) join the assigned
-    points through a union, so every cluster has a group and the data is
-    scanned once.
+    input. A cluster that received no points keeps its previous centre, n = 0.
+    Scalar coordinates: K placeholder rows (one per cluster, null coordinates)
+    join the assigned points through a union, so every cluster has a group and
+    the data is scanned once. Array coordinates: the K cluster ids are
+    left-joined with the Summarizer aggregate (at most K rows, broadcast).
     """
     if rounds < 1:
         raise ValueError("rounds must be >= 1")
     cs = lloyd(points, centers, rounds - 1, cols, features)
     k, dims = len(cs), len(cs[0])
     names = list(cols) if cols else [f"c{j}" for j in range(dims)]
+    prev = [F.array(*[F.lit(c[j]) for c in cs])[F.col("cluster")] for j in range(dims)]
+    holders = points.sparkSession.range(k).select(F.col("id").cast("int").alias("cluster"))
+    if not cols:
+        # K cluster ids left-joined with the (at most K-row) aggregate
+        step = lloyd_step(points, cs, cols, features)
+        g = holders.join(F.broadcast(step), "cluster", "left") \
+            .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long"))
+        return g.select("cluster", "n", *[F.coalesce(F.col(f"_m{j}"), prev[j]).alias(names[j])
+                                          for j in range(dims)])
     coords = coordinate_exprs(cols, dims, features)
     a = assign(points, cs, cols, features)
     real = a.select("cluster", F.lit(1).alias("_one"),
                     *[c.cast("double").alias(f"_x{j}") for j, c in enumerate(coords)])
-    holders = points.sparkSession.range(k).select(
-        F.col("id").cast("int").alias("cluster"), F.lit(None).cast("int").alias("_one"),
-        *[F.lit(None).cast("double").alias(f"_x{j}") for j in range(dims)])
+    holders = holders.select("cluster", F.lit(None).cast("int").alias("_one"),
+                             *[F.lit(None).cast("double").alias(f"_x{j}") for j in range(dims)])
     g = real.unionByName(holders).groupBy("cluster").agg(
         F.count("_one").alias("n"), *[F.avg(f"_x{j}").alias(f"_m{j}") for j in range(dims)])
-    prev = [F.array(*[F.lit(c[j]) for c in cs])[F.col("cluster")] for j in range(dims)]
     return g.select("cluster", "n", *[F.coalesce(F.col(f"_m{j}"), prev[j]).alias(names[j])
                                       for j in range(dims)])
 

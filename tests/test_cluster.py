@@ -91,3 +91,14 @@ def test_pandas_path_matches_columns(spark):
     assert a[2][0] == b[2][0] == 0                # all distances NaN: first centre
     with pytest.raises(ValueError):
         cluster.assign(df, cs, cols=None, method="fast")
+
+
+def test_lloyd_nd_matches_numpy(spark):
+    pts = P.pointsnd(spark, SF_SMALL)
+    X = np.stack(pts.toPandas()["features"].to_numpy())
+    C = np.array(fx.CENTERS_ND)
+    for _ in range(2):
+        lab = ((X[:, None, :] - C[None]) ** 2).sum(-1).argmin(1)
+        C = np.array([X[lab == i].mean(0) if (lab == i).any() else C[i] for i in range(len(C))])
+    frame = cluster.lloyd_rounds(pts, fx.CENTERS_ND, 2, cols=None).orderBy("cluster").toPandas()
+    assert np.allclose(frame[[f"c{j}" for j in range(fx.ND_DIMS)]].to_numpy(), C, atol=1e-12)
