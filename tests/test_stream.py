@@ -91,3 +91,11 @@ def test_processing_time_trigger(spark):
     assert not job2.query.isActive
     sizes = sorted(tuple(r) for r in S.batch_sizes(spark, job2.out).collect())
     assert sizes == [(0, 2000), (1, 2000)]
+
+
+def test_state_snapshot_agrees_with_updates(spark):
+    _, st = _events(spark)
+    job = S.running_counts(st).wait()
+    from_updates = {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()}
+    from_state = {r["item"]: r["count"] for r in S.state_snapshot(spark, job.out).collect()}
+    assert from_state == from_updates
