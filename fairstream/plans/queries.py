@@ -224,15 +224,14 @@ CS = sketch.Sketch("cs", CS_SPEC, signed=True)
 
 
 def q_sketch_error(spark, sf_dir):
-    it = I.skewed_items(spark, sf_dir)
-    cells = sketch.build(it, [CM, CS])                  # both sketches, one pass
-    e = topk.sketch_error(topk.item_counts(it), fx.TOP_K, cells, CM, CS)
+    counts = topk.item_counts(I.skewed_items(spark, sf_dir))
+    cells = sketch.build(counts, [CM, CS], weight_col="cnt")   # weighted adds, one scan
+    e = topk.sketch_error(counts, fx.TOP_K, cells, CM, CS)
     return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
 
 
 def q_hitter_report(spark, sf_dir):
-    it = I.skewed_items(spark, sf_dir)
-    r = topk.hitter_report(it, fx.TOP_K, sketch.build(it, [CM, CS]), CM, CS)
+    r = topk.hitter_report(I.skewed_items(spark, sf_dir), fx.TOP_K, CM, CS)
     return _round(r, {"cm_rel_err": D, "cs_rel_err": D})
 
 
