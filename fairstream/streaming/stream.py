@@ -79,14 +79,15 @@ class StreamJob:
     out: str
     state: dict = field(default_factory=dict)
 
-    def wait(self, timeout: float = 600.0) -> "StreamJob":
-        """Block until the query ends (an ``availableNow`` run, or a stop rule)."""
-        deadline = time.monotonic() + timeout
+    def wait(self, timeout: float | None = None) -> "StreamJob":
+        """Block until the query ends (an ``availableNow`` run, or a stop rule);
+        with ``timeout`` (seconds) stop it and raise if it runs longer."""
+        deadline = None if timeout is None else time.monotonic() + timeout
         while self.query.isActive:
             if self.state.get("stop"):
                 self.query.stop()
                 break
-            if time.monotonic() > deadline:
+            if deadline is not None and time.monotonic() > deadline:
                 self.query.stop()
                 raise TimeoutError("streaming query did not finish in time")
             self.query.awaitTermination(0.1)

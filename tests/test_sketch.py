@@ -83,3 +83,28 @@ def test_weighted_add_equals_unit_add(spark):
         unit = sorted(map(tuple, build(it, spec).collect()))
         weighted = sorted(map(tuple, build(counts, spec, weight_col="cnt").collect()))
         assert unit == weighted
+
+
+def test_wrap32_cells_match_32bit_arithmetic(spark):
+    """With wrap32 the cells follow 32-bit int arithmetic (large items wrap)."""
+    def h32(a, b, p, w, x):
+        v = (a * x + b) & 0xFFFFFFFF
+        v = v - (1 << 32) if v >= (1 << 31) else v
+        t = abs(v) % p * (1 if v >= 0 else -1)
+        return t % w, (1 if t % 2 == 0 else -1)
+
+    xs = [0, 1, 8191, 2147483647, -2147483648, 123456789, 123456789, -7]
+    cm = H.spec(10, [(8190, 77), (4099, 1)], p=8191, wrap32=True)
+    cs = H.spec(10, [(3, 5), (17, 8000)], [(8190, 77), (11, 0)], p=8191, wrap32=True)
+    df = spark.createDataFrame([(x,) for x in xs], "item bigint")
+    want_cm, want_cs = Counter(), Counter()
+    for x in xs:
+        for i, h in enumerate(cm.rows):
+            want_cm[(i, h32(h.a, h.b, h.p, 10, x)[0])] += 1
+        for i, h in enumerate(cs.rows):
+            sg = h32(cs.signs[i].a, cs.signs[i].b, h.p, 10, x)[1]
+            want_cs[(i, h32(h.a, h.b, h.p, 10, x)[0])] += sg
+    got_cm = {(r["row"], r["bucket"]): r["cnt"] for r in sketch.cms_cells(df, cm).collect()}
+    got_cs = {(r["row"], r["bucket"]): r["cnt"] for r in sketch.cs_cells(df, cs).collect()}
+    assert got_cm == dict(want_cm)
+    assert got_cs == {k: v for k, v in want_cs.items()}

@@ -18,7 +18,7 @@ def _events(spark, parts=5):
 
 def test_prefix_counts_crossing_batch_in_full(spark):
     ev, st = _events(spark)
-    job = S.prefix(st, 5000).wait()
+    job = S.prefix(st, 5000).wait(600)
     sizes = sorted(tuple(r) for r in S.batch_sizes(spark, job.out).collect())
     assert sizes == [(0, 2000), (1, 2000), (2, 2000)]          # 6000 >= 5000
     summ = S.prefix_summary(spark, job.out).first()
@@ -31,14 +31,14 @@ def test_prefix_counts_crossing_batch_in_full(spark):
 def test_running_counts_distinct_and_cells(spark):
     ev, st = _events(spark)
     want = Counter(r["item"] for r in ev.collect())
-    job = S.running_counts(st).wait()
+    job = S.running_counts(st).wait(600)
     assert {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()} == dict(want)
     _, st2 = _events(spark)
-    job2 = S.running_distinct(st2).wait()
+    job2 = S.running_distinct(st2).wait(600)
     assert sorted(r["item"] for r in S.distinct_snapshot(spark, job2.out).collect()) == sorted(want)
     cm, cs = H.hash_family(3, 10, seed=2)
     _, st3 = _events(spark)
-    job3 = S.sketch_cells_stream(st3, cs, signed=True).wait()
+    job3 = S.sketch_cells_stream(st3, cs, signed=True).wait(600)
     batch = sorted(map(tuple, sketch.cs_cells(ev, cs).collect()))
     assert sorted(map(tuple, S.cells_snapshot(spark, job3.out).collect())) == batch
 
@@ -46,9 +46,9 @@ def test_running_counts_distinct_and_cells(spark):
 def test_restart_resumes_from_checkpoint(spark):
     ev, st = _events(spark)
     out = scratch_path(spark, "t-restart")
-    S.prefix(st, 3000, out=out).wait()                       # stops after 2 batches
+    S.prefix(st, 3000, out=out).wait(600)                       # stops after 2 batches
     assert S.batch_sizes(spark, out).count() == 2
-    S.prefix(st, 3000, out=out).wait()                       # same checkpoint: nothing new accepted
+    S.prefix(st, 3000, out=out).wait(600)                       # same checkpoint: nothing new accepted
     assert S.batch_sizes(spark, out).count() == 2
 
 
@@ -58,7 +58,7 @@ def test_text_lines_stream(spark, tmp_path):
     (src / "a.txt").write_text("3\n 5\n3\n")
     (src / "b.txt").write_text("7\n3\n")
     st = spark.readStream.option("maxFilesPerTrigger", 1).text(str(src)).withColumnRenamed("value", "item")
-    job = S.running_counts(st).wait()
+    job = S.running_counts(st).wait(600)
     got = {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()}
     assert got == {3: 3, 5: 1, 7: 1}
 
@@ -72,11 +72,11 @@ def test_hot_item_stream(spark):
     assert want.most_common(1)[0][1] * 3 >= len(rows)          # the hot item is over a third
     path = S.split_copy(li, "l_orderkey", 4, scratch_path(spark, "t-hot"))
     schema = "item bigint, l_orderkey bigint, part int"
-    job = S.running_counts(S.file_stream(spark, path, schema)).wait()
+    job = S.running_counts(S.file_stream(spark, path, schema)).wait(600)
     assert {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()} == dict(want)
-    job = S.running_distinct(S.file_stream(spark, path, schema)).wait()
+    job = S.running_distinct(S.file_stream(spark, path, schema)).wait(600)
     assert sorted(r["item"] for r in S.distinct_snapshot(spark, job.out).collect()) == sorted(want)
-    job = S.prefix(S.file_stream(spark, path, schema), None).wait()
+    job = S.prefix(S.file_stream(spark, path, schema), None).wait(600)
     assert {r["item"]: r["cnt"] for r in S.prefix_counts(spark, job.out).collect()} == dict(want)
 
 
@@ -87,7 +87,7 @@ def test_processing_time_trigger(spark):
     want = Counter(r["item"] for r in ev.collect())
     assert {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()} == dict(want)
     _, st2 = _events(spark)
-    job2 = S.prefix(st2, 3000, trigger=S.BATCH_INTERVAL).wait()     # stops itself at T
+    job2 = S.prefix(st2, 3000, trigger=S.BATCH_INTERVAL).wait(600)     # stops itself at T
     assert not job2.query.isActive
     sizes = sorted(tuple(r) for r in S.batch_sizes(spark, job2.out).collect())
     assert sizes == [(0, 2000), (1, 2000)]
@@ -95,7 +95,7 @@ def test_processing_time_trigger(spark):
 
 def test_state_snapshot_agrees_with_updates(spark):
     _, st = _events(spark)
-    job = S.running_counts(st).wait()
+    job = S.running_counts(st).wait(600)
     from_updates = {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()}
     from_state = {r["item"]: r["count"] for r in S.state_snapshot(spark, job.out).collect()}
     assert from_state == from_updates
