@@ -23,9 +23,12 @@ from fairstream.session import spread
 Centers = list[list[float]]
 
 
+NON_FINITE = "a point has a non-finite coordinate: no nearest centre"
+
+
 def assign(points: DataFrame, centers: Sequence[Sequence[float]],
            cols: Sequence[str] | None = ("x", "y"), features: str = "features",
-           method: str = "auto") -> DataFrame:
+           method: str = "auto", finite: bool = True) -> DataFrame:
     """Add ``cluster int`` and ``dist2 double`` (squared distance to it).
 
     ``cols`` names scalar coordinate columns; pass ``cols=None`` to use the
@@ -38,24 +41,33 @@ def assign(points: DataFrame, centers: Sequence[Sequence[float]],
     (for wide vectors: about twice as fast as the fold at 64 coordinates);
     ``"auto"`` picks ``"pandas"`` for arrays wider than 16 and ``"columns"``
     otherwise.
+
+    ``finite=True`` fails the job on a point whose nearest distance is NaN or
+    infinite (a NaN or infinite coordinate), where a scan for the minimum
+    would find no centre; ``finite=False`` keeps such rows (NaN sorts last,
+    so they get centre 0).
     """
     cs = check_centers(centers)
     dims = len(cs[0])
     if method == "auto":
         method = "pandas" if (not cols and dims > UNROLL_MAX_DIMS) else "columns"
     if method == "pandas":
-        return _assign_pandas(points, cs, cols, features)
+        return _assign_pandas(points, cs, cols, features, finite)
     if method != "columns":
         raise ValueError(f"unknown method {method!r}")
     nc = nearest(cs, cols, features)
+    dist = F.col("_nc.dist2")
+    if finite:      # one comparison: false for NaN and for +inf
+        dist = F.when(dist < float("inf"), dist).otherwise(
+            F.raise_error(F.lit(NON_FINITE)).cast("double"))
     return (points.withColumn("_nc", nc)
             .withColumn("cluster", F.col("_nc.cluster"))
-            .withColumn("dist2", F.col("_nc.dist2"))
+            .withColumn("dist2", dist)
             .drop("_nc"))
 
 
 def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | None,
-                   features: str) -> DataFrame:
+                   features: str, finite: bool = True) -> DataFrame:
     """The nearest centre of every row of each Arrow batch, with numpy."""
     import numpy as np
     import pandas as pd  # noqa: F401  (used by mapInPandas)
@@ -88,6 +100,8 @@ def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | No
             dist = np.zeros(n, dtype="float64")
             for lo in range(0, n, step):
                 idx[lo:lo + step], dist[lo:lo + step] = nearest_rows(x[lo:lo + step])
+            if finite and not np.isfinite(dist).all():
+                raise ValueError(NON_FINITE)
             pdf["cluster"] = idx.astype("int32")
             pdf["dist2"] = dist
             yield pdf

@@ -161,6 +161,15 @@ def nd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "grp").alias("line"))
 
 
+def strict_labels(points: DataFrame) -> DataFrame:
+    """The points unchanged, but the job fails on a label other than A or B
+    (by default such labels count as B in the statistics, are left out of Phi
+    and of the fair rounds, and count in N and Delta)."""
+    ok = F.col("grp").isin(GROUP_A, GROUP_B)
+    msg = F.concat(F.lit("label is neither A nor B: "), F.coalesce(F.col("grp"), F.lit("null")))
+    return points.withColumn("grp", F.when(ok, F.col("grp")).otherwise(F.raise_error(msg)))
+
+
 def group_counts(points: DataFrame) -> DataFrame:
     """One pass over the points: ``n, n_a, n_b`` (rows, rows labelled A, rows labelled B)."""
     return points.agg(

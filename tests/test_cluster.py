@@ -82,9 +82,9 @@ def test_pandas_path_matches_columns(spark):
     df = spark.createDataFrame(rows, "id long, features array<double>, grp string")
     cs = [[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0], [5.0, 5.0]]
     a = {r["id"]: (r["cluster"], r["dist2"], r["grp"]) for r in
-         cluster.assign(df, cs, cols=None, method="pandas").collect()}
+         cluster.assign(df, cs, cols=None, method="pandas", finite=False).collect()}
     b = {r["id"]: (r["cluster"], r["dist2"], r["grp"]) for r in
-         cluster.assign(df, cs, cols=None, method="columns").collect()}
+         cluster.assign(df, cs, cols=None, method="columns", finite=False).collect()}
     assert a[0] == b[0] == (0, 1.0, "A")          # tie between three centres: lowest index
     assert a[1] == b[1] == (3, 0.0, "B")
     assert a[3] == b[3]
@@ -102,3 +102,14 @@ def test_lloyd_nd_matches_numpy(spark):
         C = np.array([X[lab == i].mean(0) if (lab == i).any() else C[i] for i in range(len(C))])
     frame = cluster.lloyd_rounds(pts, fx.CENTERS_ND, 2, cols=None).orderBy("cluster").toPandas()
     assert np.allclose(frame[[f"c{j}" for j in range(fx.ND_DIMS)]].to_numpy(), C, atol=1e-12)
+
+
+def test_non_finite_points_are_rejected(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [float("nan"), 1.0])],
+                               "id long, features array<double>")
+    for method in ("columns", "pandas"):
+        with pytest.raises(Exception):
+            cluster.assign(df, [[1.0, 0.0]], cols=None, method=method).collect()
+    inf = spark.createDataFrame([(float("inf"), 0.0)], "x double, y double")
+    with pytest.raises(Exception):
+        cluster.assign(inf, [[1.0, 0.0]]).collect()

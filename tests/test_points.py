@@ -45,3 +45,11 @@ def test_rejects_table(spark):
     assert good + len(bad) == lines.count()
     nd = spark.createDataFrame([("1,2,3,A",), ("1,,3,B",), ("A",)], "line string")
     assert {r["line"] for r in P.malformed_lines(nd, dims=None).collect()} == {"1,,3,B", "A"}
+
+
+def test_strict_labels(spark):
+    ok = spark.createDataFrame([(0.0, 0.0, "A"), (1.0, 1.0, "B")], "x double, y double, grp string")
+    assert P.strict_labels(ok).count() == 2
+    bad = spark.createDataFrame([(0.0, 0.0, "A"), (1.0, 1.0, "C")], "x double, y double, grp string")
+    with pytest.raises(Exception):
+        P.strict_labels(bad).collect()
