@@ -21,7 +21,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -230,14 +230,12 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
         if threshold is not None and before >= threshold:
             state["stop"] = True
             return
-        counts = batch.groupBy("item").agg(F.count(F.lit(1)).alias("cnt")).cache()
-        try:
-            n = int(counts.agg(F.sum("cnt")).first()[0] or 0)
-            if n == 0:
-                return                      # empty batches are not logged
-            _put(counts, out, "counts", batch_id)
-        finally:
-            counts.unpersist()
+        counts = batch.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
+        size = Observation(f"batch_size_{batch_id}")      # measured by the write itself
+        _put(counts.observe(size, F.sum("cnt").alias("n")), out, "counts", batch_id)
+        n = int(size.get.get("n") or 0)
+        if n == 0:
+            return                          # an empty batch wrote an empty histogram
         state["sizes"][batch_id] = n
         if threshold is not None and before + n >= threshold:
             state["stop"] = True
