@@ -95,14 +95,3 @@ def bucket(x: Column, h: HashParams, width: int, wrap32: bool = False) -> Column
 def sign(x: Column, h: HashParams, wrap32: bool = False) -> Column:
     """+1 when (a*x + b) mod p is even, else -1 (int)."""
     return F.when(_linear(x, h, wrap32) % 2 == 0, F.lit(1)).otherwise(F.lit(-1))
-
-
-def cell_refs(x: Column, s: SketchSpec) -> Column:
-    """array<struct<row int, bucket int, sign int>>: the D cells an item touches."""
-    refs = []
-    for i, h in enumerate(s.rows):
-        sg = sign(x, s.signs[i], s.wrap32) if s.signs else F.lit(1)
-        refs.append(F.struct(F.lit(i).alias("row"),
-                             bucket(x, h, s.width, s.wrap32).alias("bucket"),
-                             sg.alias("sign")))
-    return F.array(*refs)

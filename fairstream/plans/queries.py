@@ -304,13 +304,13 @@ def q_stream_distinct_summary(spark, sf_dir):
 
 
 def q_stream_sketch_cells(spark, sf_dir):
-    job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CM_SPEC).wait()
-    return S.cells_snapshot(spark, job.out)
+    job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CM).wait()
+    return S.cells_snapshot(spark, job.out).drop("sketch")
 
 
 def q_stream_cs_cells(spark, sf_dir):
-    job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CS_SPEC, signed=True).wait()
-    return S.cells_snapshot(spark, job.out)
+    job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CS).wait()
+    return S.cells_snapshot(spark, job.out).drop("sketch")
 
 
 def q_stream_prefix(spark, sf_dir):

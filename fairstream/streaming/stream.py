@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fairstream.functions.hashing import SketchSpec, cell_refs
 from fairstream.session import scratch_path
 
 ITEM_SCHEMA = "item bigint"
@@ -176,15 +175,14 @@ def stream_summary(spark: SparkSession, counts_out: str) -> DataFrame:
         F.max("item").alias("largest"))
 
 
-def sketch_cells_stream(stream: DataFrame, s: SketchSpec, signed: bool = False,
-                        out: str | None = None, trigger: str | None = None) -> StreamJob:
-    """Running sketch cells (state: at most D*W keys)."""
-    if signed and not s.signs:
-        raise ValueError("count sketch needs sign hashes")
+def sketch_cells_stream(stream: DataFrame, sketches, out: str | None = None,
+                        trigger: str | None = None) -> StreamJob:
+    """Running cells of one or more sketches (``sketch.Sketch``) as one tagged
+    table; the state holds at most sum of D*W keys whatever the stream."""
+    from fairstream.operators.sketch import Sketch, build
+    sk = [sketches] if isinstance(sketches, Sketch) else list(sketches)
     out = out or scratch_path(stream.sparkSession, "sketch-cells")
-    ex = read_items(stream).select(F.inline(cell_refs(F.col("item"), s)))
-    val = F.col("sign").cast("bigint") if signed else F.lit(1).cast("bigint")
-    agg = ex.groupBy("row", "bucket").agg(F.sum(val).alias("cnt"))
+    agg = build(read_items(stream), sk)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         _put(batch.withColumn("batch", F.lit(batch_id)), out, "updates", batch_id)
@@ -193,9 +191,10 @@ def sketch_cells_stream(stream: DataFrame, s: SketchSpec, signed: bool = False,
 
 
 def cells_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """``row, bucket, cnt``: the value of each cell from the last batch that changed it."""
+    """``sketch, row, bucket, cnt``: each cell's value from the last batch that
+    changed it."""
     u = spark.read.parquet(f"{out}/updates")
-    return u.groupBy("row", "bucket").agg(F.max_by("cnt", "batch").alias("cnt"))
+    return u.groupBy("sketch", "row", "bucket").agg(F.max_by("cnt", "batch").alias("cnt"))
 
 
 def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,

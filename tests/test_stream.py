@@ -37,9 +37,10 @@ def test_running_counts_distinct_and_cells(spark):
     job2 = S.running_distinct(st2).wait(600)
     assert sorted(r["item"] for r in S.distinct_snapshot(spark, job2.out).collect()) == sorted(want)
     cm, cs = H.hash_family(3, 10, seed=2)
+    both = [sketch.Sketch("cm", cm), sketch.Sketch("cs", cs, signed=True)]
     _, st3 = _events(spark)
-    job3 = S.sketch_cells_stream(st3, cs, signed=True).wait(600)
-    batch = sorted(map(tuple, sketch.cs_cells(ev, cs).collect()))
+    job3 = S.sketch_cells_stream(st3, both).wait(600)
+    batch = sorted(map(tuple, sketch.build(ev, both).collect()))
     assert sorted(map(tuple, S.cells_snapshot(spark, job3.out).collect())) == batch
 
 
