@@ -71,12 +71,18 @@ def hitter_report(items: DataFrame, k: int, cm: sketch.Sketch, cs: sketch.Sketch
     The exact histogram is built once. Unless ``cells`` are given, both
     sketches are filled from it with weighted adds (each distinct item adds its
     count once, as a per-batch update does), so the input is scanned once and
-    only distinct items are exploded. The error row is the main plan; the
-    totals and the threshold are scalar subqueries over the same histogram,
-    whose exchange Spark reuses."""
+    only distinct items are exploded."""
     counts = item_counts(items, item_col)
     if cells is None:
         cells = sketch.build(counts, [cm, cs], weight_col="cnt")
+    return report_from_counts(counts, k, cells, cm, cs)
+
+
+def report_from_counts(counts: DataFrame, k: int, cells: DataFrame, cm: sketch.Sketch,
+                       cs: sketch.Sketch) -> DataFrame:
+    """``hitter_report`` from an exact histogram (``item, cnt``) and the cells.
+    The error row is the main plan; the totals and the threshold are scalar
+    subqueries over the same histogram, whose exchange Spark reuses."""
     err = sketch_error(counts, k, cells, cm, cs)
     n_items = counts.agg(F.sum("cnt").cast("bigint")).scalar()
     n_distinct = counts.agg(F.count(F.lit(1))).scalar()

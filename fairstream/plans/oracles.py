@@ -369,8 +369,19 @@ def sketch_oracles() -> dict[str, str]:
         f"{_r('avg((e1.est - e1.cnt) / e1.cnt)', D)} AS cm_rel_err, "
         f"{_r('avg(abs(e2.est - e1.cnt) / e1.cnt)', D)} AS cs_rel_err "
         "FROM e1 JOIN e2 ON e1.item = e2.item")
-    out["hitter_report"] = (
-        f"WITH {SKEWED}, {COUNTS}, {hitters_cte(k)}, {cells_cte('cmc', cm)}, "
+    out["hitter_report"] = hitter_report_sql(SKEWED)
+    out["distinct_summary"] = (
+        f"WITH {FLAT} SELECT count(item) AS n_items, count(DISTINCT item) AS n_distinct, "
+        "max(item) AS largest FROM src")
+    return out
+
+
+def hitter_report_sql(src_cte: str) -> str:
+    """The one-row heavy-hitter report over the items of ``src_cte`` (a CTE named src)."""
+    cm, cs, sg = fx.CMS_PARAMS, fx.CS_PARAMS, fx.CS_SIGN_PARAMS
+    k = fx.TOP_K
+    return (
+        f"WITH {src_cte}, {COUNTS}, {hitters_cte(k)}, {cells_cte('cmc', cm)}, "
         f"{cells_cte('csc', cs, sg)}, {cm_est_cte('e1', 'hh', 'item, cnt', 'cmc', cm)}, "
         f"{cs_est_cte('e2', 'hh', 'item', 'csc', cs, sg)} "
         "SELECT (SELECT CAST(sum(cnt) AS BIGINT) FROM cnts) AS n_items, "
@@ -379,10 +390,6 @@ def sketch_oracles() -> dict[str, str]:
         f"{_r('avg((e1.est - e1.cnt) / e1.cnt)', D)} AS cm_rel_err, "
         f"{_r('avg(abs(e2.est - e1.cnt) / e1.cnt)', D)} AS cs_rel_err "
         "FROM e1 JOIN e2 ON e1.item = e2.item")
-    out["distinct_summary"] = (
-        f"WITH {FLAT} SELECT count(item) AS n_items, count(DISTINCT item) AS n_distinct, "
-        "max(item) AS largest FROM src")
-    return out
 
 
 # --- streams ------------------------------------------------------------------------
@@ -417,6 +424,10 @@ def stream_oracles() -> dict[str, str]:
         f"WITH {_parts_cte(n)} SELECT CAST(part AS BIGINT) AS batch_id, count(*) AS n_rows "
         "FROM ev GROUP BY part")
     out["stream_report"] = s["sketch_error"]
+    prefix_src = (f"{_parts_cte(n)}, sz AS (SELECT part, count(*) AS n FROM ev GROUP BY part), "
+                  "run AS (SELECT part, sum(n) OVER (ORDER BY part) - n AS before FROM sz), "
+                  f"src AS (SELECT item FROM ev WHERE part IN (SELECT part FROM run WHERE before < {t}))")
+    out["stream_hitter_report"] = hitter_report_sql(prefix_src)
     return out
 
 

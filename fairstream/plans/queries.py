@@ -333,6 +333,16 @@ def q_stream_report(spark, sf_dir):
     return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
 
 
+def q_stream_hitter_report(spark, sf_dir):
+    """Stop after at least T items, then the full report over what was read:
+    the per-batch histograms give the exact counts and feed the sketches."""
+    job = S.prefix(_events_stream(spark, sf_dir), fx.PREFIX_T).wait()
+    batch_counts = spark.read.parquet(f"{job.out}/counts")
+    cells = sketch.build(batch_counts, [CM, CS], weight_col="cnt")
+    r = topk.report_from_counts(S.prefix_counts(spark, job.out), fx.TOP_K, cells, CM, CS)
+    return _round(r, {"cm_rel_err": D, "cs_rel_err": D})
+
+
 def stream_queries() -> dict[str, Query]:
     return {
         "running_counts": q_running_counts,
@@ -343,6 +353,7 @@ def stream_queries() -> dict[str, Query]:
         "stream_prefix": q_stream_prefix,
         "batch_sizes": q_batch_sizes,
         "stream_report": q_stream_report,
+        "stream_hitter_report": q_stream_hitter_report,
     }
 
 
