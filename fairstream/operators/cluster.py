@@ -158,22 +158,57 @@ def _collect_centers(step: DataFrame, previous: Centers) -> Centers:
     return new
 
 
+class RoundLog:
+    """Centres after each finished round, written as K rows under ``path``
+    (a folder in the shared ``spark.checkpoint.dir``), so that a restarted
+    driver resumes an iterative job at the last finished round instead of
+    repeating full passes over the data."""
+
+    def __init__(self, spark, path: str | None):
+        self.spark, self.path = spark, path
+
+    def last(self) -> tuple[int, Centers | None]:
+        if not self.path:
+            return 0, None
+        try:
+            df = self.spark.read.parquet(self.path)
+        except Exception:               # nothing logged yet
+            return 0, None
+        r = df.agg(F.max("round")).first()[0]
+        if r is None:
+            return 0, None
+        rows = sorted(df.filter(F.col("round") == r).collect(), key=lambda x: x["cluster"])
+        return int(r), [list(x["center"]) for x in rows]
+
+    def write(self, rnd: int, centers: Centers) -> None:
+        if self.path:
+            rows = [(i, [float(v) for v in c]) for i, c in enumerate(centers)]   # K rows
+            self.spark.createDataFrame(rows, "cluster int, center array<double>") \
+                .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/round={rnd}")
+
+
 def lloyd(points: DataFrame, centers: Sequence[Sequence[float]], rounds: int,
           cols: Sequence[str] | None = ("x", "y"), features: str = "features",
-          persist: bool = True) -> Centers:
+          persist: bool = True, log_path: str | None = None) -> Centers:
     """``rounds`` Lloyd iterations from the given centres; returns the centres.
 
     The points are persisted once (memory, spilling to disk) around the loop
     and released afterwards; each round's plan carries the centres as literals,
-    so the lineage does not grow with the number of rounds.
+    so the lineage does not grow with the number of rounds. With ``log_path``
+    every finished round is logged and a rerun resumes after the last one.
     """
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
     cs = check_centers(centers)
-    cached = cache_points(points, cols, features) if persist and rounds > 1 else points
+    log = RoundLog(points.sparkSession, log_path)
+    done, logged = log.last()
+    if logged is not None:
+        cs = logged
+    cached = cache_points(points, cols, features) if persist and rounds - done > 1 else points
     try:
-        for _ in range(rounds):
+        for r in range(done, rounds):
             cs = _collect_centers(lloyd_step(cached, cs, cols, features), cs)
+            log.write(r + 1, cs)
     finally:
         if cached is not points:
             cached.unpersist()
