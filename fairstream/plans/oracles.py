@@ -158,7 +158,8 @@ def _centre_rows(ps: PointSet) -> str:
 
 def lloyd_sql(rounds: int, ps: PointSet | None = None) -> str:
     """``rounds`` Lloyd rounds unrolled: the first from the literal centres, the
-    next ones from a K-row centre table (cross join of points with K rows)."""
+    next ones from the previous round's K-row centre table, read through scalar
+    subqueries (no join of points with centres)."""
     ps = ps or points2d_set()
     dims = len(ps.coords)
     ks = range(dims)
@@ -168,13 +169,26 @@ def lloyd_sql(rounds: int, ps: PointSet | None = None) -> str:
     for r in range(1, rounds + 1):
         prev = f"c{r - 1}"
         if r > 1:
-            dist = " + ".join(f"({c} - q.k{j}) * ({c} - q.k{j})" for j, c in enumerate(ps.coords))
-            ctes.append(f"d{r} AS (SELECT p.*, q.cluster, {dist} AS dist2 "
-                        f"FROM {ps.source} p, {prev} q)")
+            # centre coordinates of the previous round as scalar subqueries
+            k = len(ps.centers)
+            ds = []
+            if dims <= 8:
+                for i in range(k):
+                    terms = [f"({c} - (SELECT k{j} FROM {prev} WHERE cluster = {i})) * "
+                             f"({c} - (SELECT k{j} FROM {prev} WHERE cluster = {i}))"
+                             for j, c in enumerate(ps.coords)]
+                    ds.append("(" + " + ".join(terms) + f") AS _d{i}")
+            else:
+                # one list-valued subquery per centre; only the order of the
+                # distances matters here, so the (monotone) Euclidean distance
+                # stands in for its square
+                vec = "[" + ", ".join(ps.coords) + "]"
+                for i in range(k):
+                    cen = f"(SELECT [{', '.join(f'k{j}' for j in ks)}] FROM {prev} WHERE cluster = {i})"
+                    ds.append(f"list_distance({vec}, {cen}) AS _d{i}")
             ctes.append(
-                f"asg{r} AS (SELECT {ps.keep}, min(cluster) AS cluster FROM "
-                f"(SELECT *, min(dist2) OVER (PARTITION BY id) AS m FROM d{r}) "
-                f"WHERE dist2 = m GROUP BY {ps.keep})")
+                f"asg{r} AS (SELECT {ps.keep}, {argmin_sql(k)} AS cluster "
+                f"FROM (SELECT {ps.keep}, {', '.join(ds)} FROM {ps.source}))")
         sel = ", ".join(f"coalesce(s.m{j}, {prev}.k{j}) AS k{j}" for j in ks)
         ctes.append(
             f"c{r} AS (SELECT {prev}.cluster, coalesce(s.n, 0) AS n, {sel} FROM {prev} "
@@ -206,31 +220,31 @@ def fair_round_sql(ps: PointSet | None = None) -> str:
         f"ga AS (SELECT cluster, count(*) AS n, {mean_cols} FROM asg WHERE grp = 'A' GROUP BY cluster)",
         f"gb AS (SELECT cluster, count(*) AS n, {mean_cols} FROM asg WHERE grp = 'B' GROUP BY cluster)",
         # per cluster: weights, the two means with the substitution rule, and l
-        "cl0 AS (SELECT c0.*, coalesce(ga.n, 0) / tot.na AS alpha, "
-        f"coalesce(gb.n, 0) / tot.nb AS beta, {a_cols}, {b_cols} "
-        "FROM c0 CROSS JOIN tot LEFT JOIN ga ON ga.cluster = c0.cluster "
+        "cl0 AS (SELECT c0.*, coalesce(ga.n, 0) / (SELECT na FROM tot) AS alpha, "
+        f"coalesce(gb.n, 0) / (SELECT nb FROM tot) AS beta, {a_cols}, {b_cols} "
+        "FROM c0 LEFT JOIN ga ON ga.cluster = c0.cluster "
         "LEFT JOIN gb ON gb.cluster = c0.cluster)",
         f"cl AS (SELECT *, {ell} AS l FROM cl0)",
         "act AS (SELECT * FROM cl WHERE a0 IS NOT NULL)",
         # squared error of each group around its own cluster mean, two passes
-        f"fx AS (SELECT sum(CASE WHEN q.grp = 'A' THEN {err_a} ELSE 0 END) / max(tot.na) AS fa0, "
-        f"sum(CASE WHEN q.grp = 'B' THEN {err_b} ELSE 0 END) / max(tot.nb) AS fb0 "
-        "FROM asg q JOIN cl ON cl.cluster = q.cluster CROSS JOIN tot)",
+        f"fx AS (SELECT sum(CASE WHEN q.grp = 'A' THEN {err_a} ELSE 0 END) / (SELECT na FROM tot) AS fa0, "
+        f"sum(CASE WHEN q.grp = 'B' THEN {err_b} ELSE 0 END) / (SELECT nb FROM tot) AS fb0 "
+        "FROM asg q JOIN cl ON cl.cluster = q.cluster)",
         "bis(t, g_used, g, pw, done) AS ("
         "SELECT 0, 0.5::DOUBLE, 0.5::DOUBLE, 0.5::DOUBLE, false "
         "UNION ALL "
         "SELECT b.t + 1, b.g, "
         "CASE WHEN s.fa = s.fb THEN b.g WHEN s.fa > s.fb THEN b.g + b.pw / 2 ELSE b.g - b.pw / 2 END, "
         "b.pw / 2, s.fa = s.fb "
-        "FROM bis b, LATERAL (SELECT max(fx.fa0) + sum(act.alpha * xx * xx) AS fa, "
-        "max(fx.fb0) + sum(act.beta * (act.l - xx) * (act.l - xx)) AS fb "
+        "FROM bis b, LATERAL (SELECT (SELECT fa0 FROM fx) + sum(act.alpha * xx * xx) AS fa, "
+        "(SELECT fb0 FROM fx) + sum(act.beta * (act.l - xx) * (act.l - xx)) AS fb "
         "FROM (SELECT act.*, (1 - b.g) * act.beta * act.l / (b.g * act.alpha + (1 - b.g) * act.beta) AS xx "
-        "FROM act) act CROSS JOIN fx) s "
+        "FROM act) act) s "
         "WHERE b.t < 10 AND NOT b.done)",
         "fin AS (SELECT g_used AS g FROM bis WHERE t = (SELECT max(t) FROM bis))",
         "res AS (SELECT cl.*, coalesce(cl.l, 0.0) AS ll, CASE WHEN cl.a0 IS NULL THEN 0.0 ELSE "
-        "(1 - fin.g) * cl.beta * cl.l / (fin.g * cl.alpha + (1 - fin.g) * cl.beta) END AS xx "
-        "FROM cl CROSS JOIN fin)",
+        "(1 - (SELECT g FROM fin)) * cl.beta * cl.l / ((SELECT g FROM fin) * cl.alpha "
+        "+ (1 - (SELECT g FROM fin)) * cl.beta) END AS xx FROM cl)",
     ]
     coords_out = ", ".join(
         _r(f"CASE WHEN a0 IS NULL THEN k{j} WHEN ll = 0 THEN a{j} "
