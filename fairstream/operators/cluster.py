@@ -16,14 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
-from fairstream.functions.distance import (UNROLL_MAX_DIMS, check_centers, coordinate_columns,
-                                           nearest)
+from fairstream.functions.distance import check_centers, coordinate_columns, nearest
 from fairstream.session import spread
 
 Centers = list[list[float]]
 
 
 NON_FINITE = "a point has a non-finite coordinate: no nearest centre"
+# Arrays at least this wide are assigned with numpy by default (see ``assign``).
+PANDAS_MIN_DIMS = 64
 
 
 def assign(points: DataFrame, centers: Sequence[Sequence[float]],
@@ -37,10 +38,12 @@ def assign(points: DataFrame, centers: Sequence[Sequence[float]],
 
     ``method``: ``"columns"`` keeps the work in JVM expressions (written out
     term by term up to 16 coordinates, folded over the array above that);
-    ``"pandas"`` computes the K distances of an Arrow batch at once with numpy
-    (for wide vectors: about twice as fast as the fold at 64 coordinates);
-    ``"auto"`` picks ``"pandas"`` for arrays wider than 16 and ``"columns"``
-    otherwise.
+    ``"pandas"`` computes the K distances of an Arrow batch at once with numpy;
+    ``"auto"`` picks by width, from a measurement on 200,000 rows and K = 4
+    (seconds, warm): d <= 16 written out is fastest (0.31-0.38 vs fold
+    0.38-0.55, numpy 0.55-0.84); d = 32 the fold (0.47 vs numpy 0.57, written
+    out 1.45); d = 64 numpy (0.99 vs fold 1.25, written out 2.38). So arrays of
+    64 or more coordinates use ``"pandas"``, narrower ones ``"columns"``.
 
     ``finite=True`` fails the job on a point whose nearest distance is NaN or
     infinite (a NaN or infinite coordinate), where a scan for the minimum
@@ -50,7 +53,7 @@ def assign(points: DataFrame, centers: Sequence[Sequence[float]],
     cs = check_centers(centers)
     dims = len(cs[0])
     if method == "auto":
-        method = "pandas" if (not cols and dims > UNROLL_MAX_DIMS) else "columns"
+        method = "pandas" if (not cols and dims >= PANDAS_MIN_DIMS) else "columns"
     if method == "pandas":
         return _assign_pandas(points, cs, cols, features, finite)
     if method != "columns":
