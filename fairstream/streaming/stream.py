@@ -49,9 +49,29 @@ def split_copy(df: DataFrame, key: str, parts: int, path: str) -> str:
         raise ValueError("cannot split an empty table")
     part = F.floor((F.col(key) - F.lit(lo)) * parts / F.lit(hi - lo + 1)).cast("int")
     df.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(path)
+    _order_by_part(df.sparkSession, path, parts)
     return path
 
 
+def _order_by_part(spark: SparkSession, path: str, parts: int) -> None:
+    """Give the files of part i an older modification time than those of part
+    i + 1, so the file source (which takes the oldest files first) replays the
+    parts in order however many writers ran at once. Metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    base = fs.getFileStatus(root).getModificationTime() - 1000 * (parts + 1)
+    for i in range(parts):
+        d = jvm.org.apache.hadoop.fs.Path(f"{path}/part={i}")
+        if not fs.exists(d):
+            continue
+        for st in fs.listStatus(d):
+            name = st.getPath().getName()
+            if not name.startswith((".", "_")):
+                fs.setTimes(st.getPath(), base + 1000 * i, -1)
+
+
 def file_stream(spark: SparkSession, path: str, schema: str = ITEM_SCHEMA + ", part int",
                 max_files_per_trigger: int | None = 1) -> DataFrame:
     """A streaming DataFrame over parquet files landing in ``path``."""
