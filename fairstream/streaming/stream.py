@@ -115,6 +115,12 @@ class StreamJob:
             raise RuntimeError(f"streaming query failed: {err}")
         return self
 
+    def progress_log(self) -> list[tuple[int, str, int]]:
+        """``(batch_id, trigger time, input rows)`` of the recent non-empty
+        micro-batches, from the query's progress reports (no Spark job)."""
+        return [(p["batchId"], p["timestamp"], p["numInputRows"])
+                for p in self.query.recentProgress if p["numInputRows"] > 0]
+
     def drain(self) -> "StreamJob":
         """For a query on a processing-time trigger: process everything that has
         arrived, then stop the query."""

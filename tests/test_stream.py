@@ -23,6 +23,8 @@ def test_prefix_counts_crossing_batch_in_full(spark):
     assert sizes == [(0, 2000), (1, 2000), (2, 2000)]          # 6000 >= 5000
     summ = S.prefix_summary(spark, job.out).first()
     assert (summ["n_batches"], summ["n_items"]) == (3, 6000)
+    log = job.progress_log()
+    assert [(b, n) for b, _, n in log][:3] == [(0, 2000), (1, 2000), (2, 2000)]
     want = Counter(r["item"] for r in ev.filter("event_id < 6000").collect())
     got = {r["item"]: r["cnt"] for r in S.prefix_counts(spark, job.out).collect()}
     assert got == dict(want)
