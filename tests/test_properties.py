@@ -29,13 +29,19 @@ def test_balance_weights_stay_on_the_segment(fixed_a, fixed_b, data):
        st.lists(st.tuples(st.floats(0.01, 1), st.floats(0.01, 1), st.floats(0, 20)),
                 min_size=1, max_size=5))
 def test_balance_weights_match_a_plain_restatement(fixed_a, fixed_b, rows):
+    # costs accumulate term by term from the fixed part, each term (w * d) * d:
+    # the stop test is an exact equality, so the rounding order is part of the rule
     alpha, beta, ell = (list(t) for t in zip(*rows))
     gamma, step, last = 0.5, 0.5, None
     for _ in range(10):
         step /= 2
         x = [(1 - gamma) * b * l / (gamma * a + (1 - gamma) * b) for a, b, l in zip(alpha, beta, ell)]
-        fa = fixed_a + sum(a * v * v for a, v in zip(alpha, x))
-        fb = fixed_b + sum(b * (l - v) ** 2 for b, l, v in zip(beta, ell, x))
+        fa = fixed_a
+        for a, v in zip(alpha, x):
+            fa += a * v * v
+        fb = fixed_b
+        for b, l, v in zip(beta, ell, x):
+            fb += b * (l - v) * (l - v)
         last = x
         if fa == fb:
             break
