@@ -303,6 +303,13 @@ def q_stream_distinct_summary(spark, sf_dir):
     return S.stream_summary(spark, job.out)
 
 
+def q_stream_distinct_estimate(spark, sf_dir):
+    """Bounded-state distinct count (HyperLogLog++) of the events stream; the
+    count is approximate, so this query has no SQL oracle."""
+    job = S.distinct_estimate_stream(_events_stream(spark, sf_dir)).wait()
+    return S.estimate_snapshot(spark, job.out)
+
+
 def q_stream_sketch_cells(spark, sf_dir):
     job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CM).wait()
     return S.cells_snapshot(spark, job.out).drop("sketch")
@@ -348,6 +355,7 @@ def stream_queries() -> dict[str, Query]:
         "running_counts": q_running_counts,
         "running_distinct": q_running_distinct,
         "stream_distinct_summary": q_stream_distinct_summary,
+        "stream_distinct_estimate": q_stream_distinct_estimate,
         "stream_sketch_cells": q_stream_sketch_cells,
         "stream_cs_cells": q_stream_cs_cells,
         "stream_prefix": q_stream_prefix,

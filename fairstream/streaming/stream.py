@@ -193,6 +193,30 @@ def distinct_snapshot(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/seen").select("item").distinct()
 
 
+def distinct_estimate_stream(stream: DataFrame, rsd: float = 0.01, out: str | None = None,
+                             trigger: str | None = None) -> StreamJob:
+    """Stream length, approximate distinct count (HyperLogLog++, relative error
+    ``rsd``) and largest item, as one running row: the state is one sketch,
+    whatever the number of distinct items (the exact set keeps one row per
+    item)."""
+    out = out or scratch_path(stream.sparkSession, "distinct-estimate")
+    agg = read_items(stream).agg(
+        F.count("item").alias("n_items"),
+        F.approx_count_distinct("item", rsd).alias("n_distinct"),
+        F.max("item").alias("largest"))
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        _put(batch.withColumn("batch", F.lit(batch_id)), out, "rows", batch_id)
+
+    return StreamJob(_writer(agg, out, fn, trigger, "update").start(), out)
+
+
+def estimate_snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """The latest row of ``distinct_estimate_stream``."""
+    rows = spark.read.parquet(f"{out}/rows")
+    return rows.agg(*[F.max_by(c, "batch").alias(c) for c in ("n_items", "n_distinct", "largest")])
+
+
 def stream_summary(spark: SparkSession, counts_out: str) -> DataFrame:
     """``n_items, n_distinct, largest`` of a running histogram."""
     return counts_snapshot(spark, counts_out).agg(

@@ -102,3 +102,12 @@ def test_state_snapshot_agrees_with_updates(spark):
     from_updates = {r["item"]: r["cnt"] for r in S.counts_snapshot(spark, job.out).collect()}
     from_state = {r["item"]: r["count"] for r in S.state_snapshot(spark, job.out).collect()}
     assert from_state == from_updates
+
+
+def test_distinct_estimate_stream(spark):
+    ev, st = _events(spark)
+    job = S.distinct_estimate_stream(st, rsd=0.02).wait(600)
+    r = S.estimate_snapshot(spark, job.out).first()
+    exact = {x["item"] for x in ev.collect()}
+    assert r["n_items"] == 10000 and r["largest"] == max(exact)
+    assert abs(r["n_distinct"] - len(exact)) <= 0.06 * len(exact)
