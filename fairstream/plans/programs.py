@@ -120,7 +120,7 @@ def heavy_hitters_job(stream: DataFrame, threshold: int, depth: int, width: int,
     cm_spec, cs_spec = H.hash_family(depth, width, seed)
     cm, cs = sketch.Sketch("cm", cm_spec), sketch.Sketch("cs", cs_spec, signed=True)
     job = S.prefix(stream, threshold, out=out).wait()
-    batch_counts = spark.read.parquet(f"{job.out}/counts")
+    batch_counts = S.batch_counts(spark, job.out)
     counts = S.prefix_counts(spark, job.out)
     cells = sketch.build(batch_counts, [cm, cs], weight_col="cnt")
     r = topk.report_from_counts(counts, k, cells, cm, cs).first()

@@ -334,7 +334,7 @@ def q_stream_report(spark, sf_dir):
     """End-of-stream report: the stream's histogram feeds weighted sketch
     updates (each batch adds its item counts), then the heavy-hitter errors."""
     job = S.prefix(_skewed_stream(spark, sf_dir), None).wait()
-    batch_counts = spark.read.parquet(f"{job.out}/counts")        # item, cnt per batch
+    batch_counts = S.batch_counts(spark, job.out)        # item, cnt per batch
     cells = sketch.build(batch_counts, [CM, CS], weight_col="cnt")
     e = topk.sketch_error(S.prefix_counts(spark, job.out), fx.TOP_K, cells, CM, CS)
     return _round(e, {"cm_rel_err": D, "cs_rel_err": D})
@@ -344,7 +344,7 @@ def q_stream_hitter_report(spark, sf_dir):
     """Stop after at least T items, then the full report over what was read:
     the per-batch histograms give the exact counts and feed the sketches."""
     job = S.prefix(_events_stream(spark, sf_dir), fx.PREFIX_T).wait()
-    batch_counts = spark.read.parquet(f"{job.out}/counts")
+    batch_counts = S.batch_counts(spark, job.out)
     cells = sketch.build(batch_counts, [CM, CS], weight_col="cnt")
     r = topk.report_from_counts(S.prefix_counts(spark, job.out), fx.TOP_K, cells, CM, CS)
     return _round(r, {"cm_rel_err": D, "cs_rel_err": D})

@@ -144,6 +144,17 @@ def _put(df: DataFrame, out: str, table: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{out}/{table}/batch_id={batch_id}")
 
 
+def _get(spark: SparkSession, out: str, table: str, schema: str) -> DataFrame:
+    """What the batches wrote to ``table`` (``batch_id`` included), or an empty
+    table of ``schema`` if no batch has written yet (an empty stream)."""
+    path = f"{out}/{table}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], f"{schema}, batch_id int")
+    return spark.read.parquet(path)
+
+
 def running_counts(stream: DataFrame, out: str | None = None,
                    trigger: str | None = None) -> StreamJob:
     """Exact running histogram; each batch writes the items whose count changed."""
@@ -158,7 +169,8 @@ def running_counts(stream: DataFrame, out: str | None = None,
 
 def counts_snapshot(spark: SparkSession, out: str) -> DataFrame:
     """``item, cnt``: counts only grow, so the latest value is the largest."""
-    return spark.read.parquet(f"{out}/updates").groupBy("item").agg(F.max("cnt").alias("cnt"))
+    u = _get(spark, out, "updates", "item bigint, cnt bigint")
+    return u.groupBy("item").agg(F.max("cnt").alias("cnt"))
 
 
 def state_snapshot(spark: SparkSession, out: str) -> DataFrame:
@@ -190,7 +202,7 @@ def running_distinct(stream: DataFrame, out: str | None = None,
 
 def distinct_snapshot(spark: SparkSession, out: str) -> DataFrame:
     """``item``: every item seen so far, once."""
-    return spark.read.parquet(f"{out}/seen").select("item").distinct()
+    return _get(spark, out, "seen", "item bigint").select("item").distinct()
 
 
 def distinct_estimate_stream(stream: DataFrame, rsd: float = 0.01, out: str | None = None,
@@ -213,14 +225,14 @@ def distinct_estimate_stream(stream: DataFrame, rsd: float = 0.01, out: str | No
 
 def estimate_snapshot(spark: SparkSession, out: str) -> DataFrame:
     """The latest row of ``distinct_estimate_stream``."""
-    rows = spark.read.parquet(f"{out}/rows")
+    rows = _get(spark, out, "rows", "n_items bigint, n_distinct bigint, largest bigint, batch int")
     return rows.agg(*[F.max_by(c, "batch").alias(c) for c in ("n_items", "n_distinct", "largest")])
 
 
 def stream_summary(spark: SparkSession, counts_out: str) -> DataFrame:
     """``n_items, n_distinct, largest`` of a running histogram."""
     return counts_snapshot(spark, counts_out).agg(
-        F.sum("cnt").cast("bigint").alias("n_items"),
+        F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("n_items"),
         F.count(F.lit(1)).alias("n_distinct"),
         F.max("item").alias("largest"))
 
@@ -243,7 +255,7 @@ def sketch_cells_stream(stream: DataFrame, sketches, out: str | None = None,
 def cells_snapshot(spark: SparkSession, out: str) -> DataFrame:
     """``sketch, row, bucket, cnt``: each cell's value from the last batch that
     changed it."""
-    u = spark.read.parquet(f"{out}/updates")
+    u = _get(spark, out, "updates", "sketch string, row int, bucket int, cnt bigint, batch int")
     return u.groupBy("sketch", "row", "bucket").agg(F.max_by("cnt", "batch").alias("cnt"))
 
 
@@ -294,13 +306,20 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
 
 def batch_sizes(spark: SparkSession, out: str) -> DataFrame:
     """``batch_id, n_rows`` of the accepted, non-empty batches."""
-    return spark.read.parquet(f"{out}/counts").groupBy(F.col("batch_id").cast("bigint").alias("batch_id")) \
+    c = _get(spark, out, "counts", "item bigint, cnt bigint")
+    return c.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")) \
         .agg(F.sum("cnt").cast("bigint").alias("n_rows"))
 
 
+def batch_counts(spark: SparkSession, out: str) -> DataFrame:
+    """``item, cnt, batch_id``: each accepted batch's own histogram (the input
+    of weighted sketch updates)."""
+    return _get(spark, out, "counts", "item bigint, cnt bigint")
+
+
 def prefix_counts(spark: SparkSession, out: str) -> DataFrame:
     """``item, cnt`` over all accepted batches."""
-    return spark.read.parquet(f"{out}/counts").groupBy("item") \
+    return _get(spark, out, "counts", "item bigint, cnt bigint").groupBy("item") \
         .agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 
@@ -313,6 +332,6 @@ def prefix_summary(spark: SparkSession, out: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("n_rows"), F.col("item"))
     return sizes.unionByName(hist).agg(
         F.count("n_rows").alias("n_batches"),
-        F.sum("n_rows").cast("bigint").alias("n_items"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_items"),
         F.count("item").alias("n_distinct"),
         F.max("item").alias("largest"))

@@ -111,3 +111,18 @@ def test_distinct_estimate_stream(spark):
     exact = {x["item"] for x in ev.collect()}
     assert r["n_items"] == 10000 and r["largest"] == max(exact)
     assert abs(r["n_distinct"] - len(exact)) <= 0.06 * len(exact)
+
+
+def test_empty_stream(spark, tmp_path):
+    """No items: count 0, no distinct items, largest null; no batch logged."""
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    st = S.file_stream(spark, str(empty), "item bigint, part int")
+    job = S.prefix(st, 10).wait(600)
+    summ = S.prefix_summary(spark, job.out).first()
+    assert (summ["n_batches"], summ["n_items"], summ["n_distinct"], summ["largest"]) == (0, 0, 0, None)
+    assert S.batch_sizes(spark, job.out).count() == 0
+    job2 = S.running_counts(S.file_stream(spark, str(empty), "item bigint, part int")).wait(600)
+    assert S.counts_snapshot(spark, job2.out).count() == 0
+    s2 = S.stream_summary(spark, job2.out).first()
+    assert (s2["n_items"], s2["n_distinct"], s2["largest"]) == (0, 0, None)
