@@ -38,19 +38,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor and the driver can reach.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only when that is unset (a
-    local test run) do we make one under the machine's temp folder and register
-    it, so that ``DataFrame.checkpoint()`` works too.
+    It is the cluster's ``spark.checkpoint.dir`` (or a checkpoint folder the
+    application already registered). Only when neither exists (a local test
+    run) do we make one under the machine's temp folder and register it as the
+    checkpoint folder, so that ``DataFrame.checkpoint()`` works too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="fairstream-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if base:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
+        return base
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fairstream-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
