@@ -237,19 +237,36 @@ def stream_summary(spark: SparkSession, counts_out: str) -> DataFrame:
         F.max("item").alias("largest"))
 
 
+# Cells per state partition of a sketch stream: its state is bounded by the
+# sketch parameters, so its partition count comes from them, not from the data.
+CELLS_PER_STATE_PARTITION = 100_000
+
+
 def sketch_cells_stream(stream: DataFrame, sketches, out: str | None = None,
                         trigger: str | None = None) -> StreamJob:
     """Running cells of one or more sketches (``sketch.Sketch``) as one tagged
-    table; the state holds at most sum of D*W keys whatever the stream."""
+    table; the state holds at most sum of D*W keys whatever the stream, and is
+    split into ceil(cells / 100,000) partitions (at most the session's shuffle
+    partitions), fixed when the query first starts."""
     from fairstream.operators.sketch import Sketch, build
     sk = [sketches] if isinstance(sketches, Sketch) else list(sketches)
-    out = out or scratch_path(stream.sparkSession, "sketch-cells")
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "sketch-cells")
     agg = build(read_items(stream), sk)
+    cells = sum(s.spec.cells for s in sk)
+    session_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(session_parts, -(-cells // CELLS_PER_STATE_PARTITION)))
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         _put(batch.withColumn("batch", F.lit(batch_id)), out, "updates", batch_id)
 
-    return StreamJob(_writer(agg, out, fn, trigger, "update").start(), out)
+    # the query clones the session's settings when it starts
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        query = _writer(agg, out, fn, trigger, "update").start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(session_parts))
+    return StreamJob(query, out)
 
 
 def cells_snapshot(spark: SparkSession, out: str) -> DataFrame:
