@@ -103,8 +103,8 @@ class StreamJob:
         with ``timeout`` (seconds) stop it and raise if it runs longer."""
         deadline = None if timeout is None else time.monotonic() + timeout
         while self.query.isActive:
-            if self.state.get("stop"):
-                self.query.stop()
+            if self.state.get("stop") and self._committed(self.state.get("stop_batch", -1)):
+                self.query.stop()            # the batch that met the rule is committed
                 break
             if deadline is not None and time.monotonic() > deadline:
                 self.query.stop()
@@ -115,6 +115,12 @@ class StreamJob:
             raise RuntimeError(f"streaming query failed: {err}")
         return self
 
+    def _committed(self, batch_id: int) -> bool:
+        """Has ``batch_id`` finished (its progress report is posted after its
+        commit)? Stopping only then leaves no half-done batch to replay."""
+        last = self.query.lastProgress
+        return last is not None and last["batchId"] >= batch_id
+
     def progress_log(self) -> list[tuple[int, str, int]]:
         """``(batch_id, trigger time, input rows)`` of the recent non-empty
         micro-batches, from the query's progress reports (no Spark job)."""
@@ -306,7 +312,7 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
     def fn(batch: DataFrame, batch_id: int) -> None:
         before = sizes_before(batch_id)
         if threshold is not None and before >= threshold:
-            state["stop"] = True
+            state["stop"], state["stop_batch"] = True, batch_id
             return
         counts = batch.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
         size = Observation(f"batch_size_{batch_id}")      # measured by the write itself
@@ -316,7 +322,7 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
             return                          # an empty batch wrote an empty histogram
         state["sizes"][batch_id] = n
         if threshold is not None and before + n >= threshold:
-            state["stop"] = True
+            state["stop"], state["stop_batch"] = True, batch_id
 
     return StreamJob(_writer(items, out, fn, trigger).start(), out, state)
 
