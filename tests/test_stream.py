@@ -126,3 +126,17 @@ def test_empty_stream(spark, tmp_path):
     assert S.counts_snapshot(spark, job2.out).count() == 0
     s2 = S.stream_summary(spark, job2.out).first()
     assert (s2["n_items"], s2["n_distinct"], s2["largest"]) == (0, 0, None)
+
+
+def test_sketch_stream_state_is_bounded(spark):
+    """The sketch stream's state has at most D*W keys per sketch, in partitions
+    sized from that bound (one here), whatever the stream's length."""
+    cm, cs = H.hash_family(3, 10, seed=5)
+    both = [sketch.Sketch("cm", cm), sketch.Sketch("cs", cs, signed=True)]
+    _, st = _events(spark)
+    job = S.sketch_cells_stream(st, both).wait(600)
+    state = S.state_snapshot(spark, job.out)
+    assert state.count() <= cm.cells + cs.cells
+    raw = spark.read.format("statestore").load(f"{job.out}/_checkpoint")
+    assert raw.select("partition_id").distinct().count() == 1
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"        # session untouched
