@@ -12,8 +12,14 @@ A ``*_snapshot`` function reads the current result back as a batch DataFrame.
   state size, deduplicated map-side before the shuffle).
 - ``sketch_cells_stream``: count-min / count-sketch cells; state is bounded by
   D*W keys whatever the stream.
+- ``distinct_estimate_stream``: length, HyperLogLog++ distinct count and
+  largest item as one running row (state: one sketch).
 - ``prefix``: whole micro-batches until at least T items were seen (the batch
-  that crosses T counts in full), with one histogram per accepted batch.
+  that crosses T counts in full), with one histogram per accepted batch; the
+  query stops once that batch has committed.
+
+``state_snapshot`` reads a stateful job's current state directly from its
+checkpoint (state data source) instead of from the per-batch outputs.
 """
 
 from __future__ import annotations
