@@ -47,3 +47,11 @@ def test_write_blobs(spark):
     pts = P.read_points(spark, path)
     assert pts.count() == 101
     assert P.group_counts(pts).first()["n_b"] == 50
+
+
+def test_fair_comparison_job_nd(spark):
+    path = scratch_path(spark, "t-nd-points")
+    P.nd_lines(spark, SF_SMALL).select("line").write.text(path)
+    cmp = programs.fair_comparison_job(spark, path, 2, 3, 2, seed=4, dims=None)
+    assert len(cmp.fair) == 3 and all(len(c) == 64 for c in cmp.fair)
+    assert cmp.n == cmp.n_a + cmp.n_b and cmp.phi_fair > 0
