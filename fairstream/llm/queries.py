@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairstream.llm import chat, quality, sharding
+from fairstream.llm import chat, decontam, langid, quality, secret_scan, sharding, simhash
 from fairstream.sources.tables import read_table
 
 SHARDS = 40
@@ -19,6 +19,26 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(parts))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.scan(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(4))
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    dictionaries = langid.learn(docs.filter(~held_out))
+    texts = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.classify(texts, dictionaries).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -35,8 +55,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "rejected_by")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    named = (op1_chat_formatting, op7_sharding, op8_quality_rules)
+    named = (op1_chat_formatting, op2_decontamination, op4_secret_scan, op5_language_id, op7_sharding,
+             op8_quality_rules, op9_simhash)
     return {f.__name__: f for f in named}
 
 
@@ -97,5 +122,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+_WORDS2 = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS2} AS ws FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS2} AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item, n, array_to_string(ws[i:i+n-1], ' ') AS gram
+       FROM (SELECT item, ws, least(13, len(ws)) AS n, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i
+             FROM b WHERE len(ws) > 0)),
+dw AS (SELECT r, i, n, array_to_string(ws[i:i+n-1], ' ') AS gram
+       FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+             FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
+h AS (SELECT r, i, dw.n, item FROM dw JOIN bw USING (n, gram)),
+w AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM h) GROUP BY r),
+s AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN w USING (r) LEFT JOIN s USING (r)
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op1_chat_formatting": OP1_SQL, "op8_quality_rules": OP8_SQL}
+    return {"op1_chat_formatting": OP1_SQL, "op2_decontamination": OP2_SQL, "op8_quality_rules": OP8_SQL}
