@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairstream.llm import chat, decontam, langid, quality, secret_scan, sharding, simhash
+from fairstream.llm import chat, decontam, langid, quality, secret_scan, sharding, simhash, warc
 from fairstream.sources.tables import read_table
 
 SHARDS = 40
@@ -59,9 +59,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(read_table(spark, sf_dir, "pages"))
+    return warc.read(manifest, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict:
     named = (op1_chat_formatting, op2_decontamination, op4_secret_scan, op5_language_id, op7_sharding,
-             op8_quality_rules, op9_simhash)
+             op8_quality_rules, op9_simhash, op10_warc)
     return {f.__name__: f for f in named}
 
 
