@@ -6,7 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairstream.llm import chat, decontam, langid, quality, secret_scan, sharding, simhash, warc
+from fairstream.llm import (
+    chat,
+    decontam,
+    langid,
+    pieces,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    substring,
+    warc,
+)
 from fairstream.sources.tables import read_table
 
 SHARDS = 40
@@ -25,6 +36,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs).select("doc_id", "n_pieces", "ids_sha256", "lossless", "ids")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.scan(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
@@ -39,6 +55,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(texts, dictionaries).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return substring.remove_repeats(docs, texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -66,8 +87,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (op1_chat_formatting, op2_decontamination, op4_secret_scan, op5_language_id, op7_sharding,
-             op8_quality_rules, op9_simhash, op10_warc)
+    named = (op1_chat_formatting, op2_decontamination, op3_sentencepiece, op4_secret_scan, op5_language_id,
+             op6_substring_dedup, op7_sharding, op8_quality_rules, op9_simhash, op10_warc)
     return {f.__name__: f for f in named}
 
 
@@ -128,6 +149,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT r, doc_id, i, array_to_string(ws[i:i+19], ' ') AS gram
+      FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
+p AS (SELECT r, i FROM (SELECT r, doc_id, i, min((coalesce(doc_id, -9223372036854775808), i))
+                               OVER (PARTITION BY gram) AS m FROM g)
+      WHERE (coalesce(doc_id, -9223372036854775808), i) <> m),
+x AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS k FROM p),
+k AS (SELECT r, list(k) AS ks FROM x GROUP BY r),
+e AS (SELECT d.r, doc_id, ws, coalesce(len(ks), 0) AS n_removed FROM d LEFT JOIN k ON k.r = d.r),
+w AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS k FROM d),
+t AS (SELECT w.r, string_agg(word, ' ' ORDER BY w.k) AS kept
+      FROM w LEFT JOIN x ON x.r = w.r AND x.k = w.k WHERE x.k IS NULL GROUP BY w.r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM e LEFT JOIN t ON t.r = e.r
+"""
+
 _WORDS2 = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
            r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
@@ -152,4 +192,5 @@ FROM d LEFT JOIN w USING (r) LEFT JOIN s USING (r)
 
 
 def oracle_sql() -> dict:
-    return {"op1_chat_formatting": OP1_SQL, "op2_decontamination": OP2_SQL, "op8_quality_rules": OP8_SQL}
+    return {"op1_chat_formatting": OP1_SQL, "op2_decontamination": OP2_SQL,
+            "op6_substring_dedup": OP6_SQL, "op8_quality_rules": OP8_SQL}

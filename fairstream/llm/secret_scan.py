@@ -194,11 +194,15 @@ def mask(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[last:]
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the secrets in the texts masked; no row is dropped."""
+def redact(docs: DataFrame, text_col: str = "text", count_col: str = "n_masked") -> DataFrame:
+    """``docs`` with the secrets in the texts masked and the number of spans in
+    ``count_col``; no row is dropped."""
     def make() -> Callable[[pa.RecordBatch], list]:
         def work(batch: pa.RecordBatch) -> list:
-            return [[mask(t, find(t)) if t else t for t in batch.column(text_col).to_pylist()]]
+            texts = batch.column(text_col).to_pylist()
+            spans = [find(t) if t else [] for t in texts]
+            return [[mask(t, s) if s else t for t, s in zip(texts, spans, strict=True)], list(map(len, spans))]
         return work
-    masked = add_arrow_columns(docs, [T.StructField(text_col, T.StringType())], make)
-    return masked.select(*docs.columns)
+    fields = [T.StructField(text_col, T.StringType()), T.StructField(count_col, T.LongType())]
+    masked = add_arrow_columns(docs, fields, make)
+    return masked.select(*[c for c in docs.columns if c.lower() != count_col.lower()], count_col)
