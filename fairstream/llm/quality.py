@@ -111,7 +111,10 @@ def measure(df: DataFrame, text_col: str = "text") -> DataFrame:
     at = with_order.select(
         "*", F.coalesce(F.sort_array(F.transform(twice, lambda x: x["i"])),
                         F.array().cast("array<int>")).alias("_at")).drop("_sorted")
-    return at.withColumn("n_repeat_words", _repeat_words(F.col("_at")).cast("long")).drop("_at")
+    # Always true, but not deterministic: a filter on the verdict stays above this projection.
+    # Pushed below it, the filter would compute every array anew for each use of a measure.
+    here = F.monotonically_increasing_id() >= 0
+    return at.withColumn("n_repeat_words", F.when(here, _repeat_words(F.col("_at")).cast("long"))).drop("_at")
 
 
 def judge(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
