@@ -19,6 +19,8 @@ with the name of a result are replaced.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import heapq
 import re
 from collections.abc import Callable
@@ -33,13 +35,13 @@ from fairstream.llm.shared import add_arrow_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED, VARIANTS = 0.1, 13, 4
-#: Chunks kept per task, twice (the newer and the older half).
-CACHE_CHUNKS = 150_000
+#: Chunks kept per Python worker, twice (the newer and the older half).
+CACHE_CHUNKS = 400_000
 
 _CHUNK = re.compile(r" +[^ ]*")
 _SHORT = 48
-_NEVER = float("inf")
-_MASK = (1 << 64) - 1
+_NEVER = 1 << 60
+_MASK = (1 << 32) - 1
 
 
 class Model:
@@ -58,7 +60,7 @@ class Model:
                 self.bytes_at[value], self.texts[i] = i, bytes([value])
             elif not (lib.is_control(i) or lib.is_unknown(i)):
                 piece = piece.replace("▁", " ")
-                self.ids[piece], self.ranks[piece], self.texts[i] = i, -lib.get_score(i), piece.encode()
+                self.ids[piece], self.ranks[piece], self.texts[i] = i, int(-lib.get_score(i)), piece.encode()
 
     def to_ids(self, parts: list[str]) -> list[int]:
         out: list[int] = []
@@ -79,29 +81,27 @@ class Dropout:
 
     def __init__(self, chunk: str, rate: float, seed: int, variant: int):
         self.limit = int(rate * (1 << 32))
-        self.key = xxhash.xxh64_intdigest(chunk.encode(), seed * 1_000_003 + variant) if self.limit else 0
+        self.key = xxhash.xxh32_intdigest(chunk.encode(), (seed * 1_000_003 + variant) & _MASK) if self.limit else 0
         self.step = 0
 
-    def skips(self, piece: int) -> bool:
+    def skips(self, rank: int) -> bool:
+        """``rank`` names the merge: pieces have ranks of their own (runs of spaces share one)."""
         self.step += 1
-        if not self.limit:
-            return False
-        x = (self.key ^ piece * 0x9E3779B97F4A7C15 ^ self.step * 0xC2B2AE3D27D4EB4F) & _MASK
-        x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & _MASK
-        return (x ^ x >> 29) & 0xFFFFFFFF < self.limit
+        x = (self.key + rank * 0x9E3779B1 + self.step * 0x85EBCA77 & _MASK) * 0xC2B2AE3D & _MASK
+        x = (x ^ x >> 15) * 0x27D4EB2F & _MASK
+        return (x ^ x >> 13) < self.limit
 
 
 def merge_short(chunk: str, model: Model, drop: Dropout) -> list[str]:
     """The agenda as a list of ranks, for chunks of few characters."""
-    rank, parts = model.ranks.get, list(chunk)
+    rank, parts, skips = model.ranks.get, list(chunk), drop.skips if drop.limit else None
     agenda = [rank(a + b, _NEVER) for a, b in zip(parts, parts[1:], strict=False)]
     while agenda and (best := min(agenda)) != _NEVER:
         i = agenda.index(best)
-        piece = parts[i] + parts[i + 1]
-        if drop.skips(model.ids[piece]):
+        if skips and skips(best):
             agenda[i] = _NEVER
             continue
-        parts[i:i + 2] = [piece]
+        parts[i] = piece = parts[i] + parts.pop(i + 1)
         del agenda[i]
         if i:
             agenda[i - 1] = rank(parts[i - 1] + piece, _NEVER)
@@ -114,7 +114,7 @@ def merge_long(chunk: str, model: Model, drop: Dropout) -> list[str]:
     """The agenda as a heap over linked symbols, for chunks of any length."""
     n, parts = len(chunk), list(chunk)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    agenda: list[tuple[float, int, int, str]] = []
+    agenda: list[tuple[int, int, int, str]] = []
 
     def propose(i: int) -> None:
         if i >= 0 and (j := after[i]) < n:
@@ -125,8 +125,8 @@ def merge_long(chunk: str, model: Model, drop: Dropout) -> list[str]:
     for i in range(n - 1):
         propose(i)
     while agenda:
-        _, i, j, piece = heapq.heappop(agenda)
-        if not parts[i] or after[i] != j or parts[i] + parts[j] != piece or drop.skips(model.ids[piece]):
+        rank, i, j, piece = heapq.heappop(agenda)
+        if not parts[i] or after[i] != j or parts[i] + parts[j] != piece or drop.limit and drop.skips(rank):
             continue
         parts[i], parts[j], after[i] = piece, "", after[j]
         if after[i] < n:
@@ -178,6 +178,12 @@ class Encoder:
         return np.frombuffer(b"".join(out), "<i4")
 
 
+@functools.lru_cache(maxsize=1)
+def worker_encoder(content: bytes, rate: float, seed: int, variants: int) -> Encoder:
+    """One encoder per Python worker: its memory of chunks serves every task there."""
+    return Encoder(Model(content), rate, seed, variants)
+
+
 FIELDS = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()),
           T.StructField("ids_sha256", T.StringType()), T.StructField("lossless", T.BooleanType())]
 
@@ -191,13 +197,11 @@ def encode(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mode
            rate: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
     """``docs`` plus ``ids``, ``n_pieces``, ``ids_sha256`` (of the ids as 32-bit little
     endian) and ``lossless`` (whether decoding gave the text back; null for null)."""
-    import hashlib
-
     content = _content(docs.sparkSession, model_path)
 
     def make() -> Callable[[pa.RecordBatch], list]:
-        model = Model(content.value)
-        encoder = Encoder(model, rate, seed, variants)
+        encoder = worker_encoder(content.value, rate, seed, variants)
+        model = encoder.model
 
         def work(batch: pa.RecordBatch) -> list:
             ids, counts, digests, lossless = [], [], [], []
