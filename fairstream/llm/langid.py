@@ -1,7 +1,8 @@
 """Language identification by compression.
 
 Each language has a zstandard raw-content dictionary made of slices of labelled
-texts. A text is encoded with every dictionary, piece by piece; the language
+texts. Case, digits and signs say little, so both sides are lower-cased and what
+stands between words becomes one space. A text is encoded with every dictionary, piece by piece; the language
 whose dictionary gives the fewest bytes wins. A narrow margin is rejected.
 
 The dictionaries come from a bounded sample: at most ``sample_rows`` slices of
@@ -31,17 +32,23 @@ SAMPLE_ROWS = 256
 SLICE_CHARS = 512
 MAX_LANGUAGES = 1000
 PIECE_BYTES = 4096
-LEVEL = 3
+LEVEL = 9
 MIN_MARGIN = 0.005
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
 _RANGE = 1 << 30
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
           T.StructField("rejected", T.BooleanType())]
 
 
+def normal(text: str) -> bytes:
+    """Lower-case letters; everything between words is one space."""
+    return f" {_OTHER.sub(' ', text.lower())} ".encode()
+
+
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
           sample_rows: int = SAMPLE_ROWS, slice_chars: int = SLICE_CHARS) -> dict[str, bytes]:
     """The dictionary of each language, from rows with a text and a language."""
@@ -63,7 +70,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     sample: dict[str, list[tuple[int, str]]] = {}
     for r in slices.toLocalIterator():
         sample.setdefault(r["lang"], []).append((r["h"], r["slice"]))
-    return {lang: "\n".join(s for _, s in sorted(found)[:sample_rows]).encode()
+    return {lang: b"".join(normal(s) for _, s in sorted(found)[:sample_rows])
             for lang, found in sorted(sample.items())}
 
 
@@ -89,7 +96,7 @@ class Classifier:
         """The language and its margin: the share that the runner-up needs beyond it."""
         if not text or not self.compress or not _LETTER.search(text):
             return UNKNOWN, 0.0
-        data = text.encode()
+        data = normal(text)
         pieces = [data[i:i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
         sizes = sorted((sum(len(f(p)) for p in pieces), lang) for lang, f in self.compress)
         if self.only:

@@ -36,7 +36,7 @@ from fairstream.llm.shared import add_arrow_columns
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED, VARIANTS = 0.1, 13, 4
 #: Chunks kept per Python worker, twice (the newer and the older half).
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 250_000
 
 _CHUNK = re.compile(r" +[^ ]*")
 _SHORT = 48
