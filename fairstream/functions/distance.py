@@ -68,10 +68,14 @@ def nearest(centers: Sequence[Sequence[float]], cols: Sequence[str] | None = Non
     """
     cs = check_centers(centers)
     dims = len(cs[0])
+    if not cols:
+        width = F.size(features) == dims
+        whole = F.when(width, F.col(features)).otherwise(
+            F.raise_error(F.lit("a point and the centres differ in size")).cast("array<double>"))
     if cols or dims <= UNROLL_MAX_DIMS:
-        coords = coordinate_columns(cols, dims, features)
+        coords = coordinate_columns(cols, dims, features) if cols else [whole[j] for j in range(dims)]
         dists = [sqdist_unrolled(coords, c) for c in cs]
     else:
-        dists = [sqdist_array(F.col(features), c) for c in cs]
+        dists = [sqdist_array(whole, c) for c in cs]
     cands = [F.struct(d.alias("dist2"), F.lit(i).alias("cluster")) for i, d in enumerate(dists)]
     return F.array_min(F.array(*cands))

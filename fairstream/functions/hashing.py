@@ -44,6 +44,8 @@ class SketchSpec:
             raise ValueError("width must be positive")
         if not self.rows:
             raise ValueError("need at least one hash row")
+        if any(self.width > h.p for h in self.rows):
+            raise ValueError("a width above p leaves columns that no item reaches")
         if self.signs and len(self.signs) != len(self.rows):
             raise ValueError("one sign hash per row")
 
@@ -82,9 +84,12 @@ def _linear(x: Column, h: HashParams, wrap32: bool) -> Column:
     if wrap32:
         v = F.lit(h.a).cast("bigint") * x.cast("int").cast("bigint") + F.lit(h.b)
         v = F.shiftright(F.shiftleft(v, 32), 32)
-    else:
-        v = F.lit(h.a).cast("bigint") * x.cast("bigint") + F.lit(h.b)
-    return v % F.lit(h.p)
+        return v % F.lit(h.p)
+    # x is reduced first, so no 64-bit item overflows. The remainder keeps the sign
+    # of a*x + b: below -p that is negative, from -p + 1 on nothing was reduced.
+    wide = x.cast("bigint")
+    v = (F.lit(h.a).cast("bigint") * (wide % F.lit(h.p)) + F.lit(h.b)) % F.lit(h.p)
+    return F.when((wide <= -h.p) & (v > 0), v - F.lit(h.p)).otherwise(v)
 
 
 def bucket(x: Column, h: HashParams, width: int, wrap32: bool = False) -> Column:

@@ -23,8 +23,10 @@ Centers = list[list[float]]
 
 
 NON_FINITE = "a point has a non-finite coordinate: no nearest centre"
-# Arrays at least this wide are assigned with numpy by default (see ``assign``).
-PANDAS_MIN_DIMS = 64
+WRONG_WIDTH = "a point and the centres differ in size"
+# Above this many numbers (centres x coordinates) a plan of literals costs more
+# than Arrow batches; arrays of 64 coordinates are beyond it from two centres on.
+COLUMNS_MAX_NUMBERS = 127
 
 
 def assign(points: DataFrame, centers: Sequence[Sequence[float]],
@@ -39,11 +41,10 @@ def assign(points: DataFrame, centers: Sequence[Sequence[float]],
     ``method``: ``"columns"`` keeps the work in JVM expressions (written out
     term by term up to 16 coordinates, folded over the array above that);
     ``"pandas"`` computes the K distances of an Arrow batch at once with numpy;
-    ``"auto"`` picks by width, from a measurement on 200,000 rows and K = 4
-    (seconds, warm): d <= 16 written out is fastest (0.31-0.38 vs fold
-    0.38-0.55, numpy 0.55-0.84); d = 32 the fold (0.47 vs numpy 0.57, written
-    out 1.45); d = 64 numpy (0.99 vs fold 1.25, written out 2.38). So arrays of
-    64 or more coordinates use ``"pandas"``, narrower ones ``"columns"``.
+    ``"auto"`` picks by K x d, as the plan of the column form grows with it: 4
+    centres in 2-D take 0.4 s there and 100 centres 13 s, against 1.2 s with
+    numpy. The two sum in different orders, so a tie within rounding can go to
+    either centre. A point of another size than the centres fails the job.
 
     ``finite=True`` fails the job on a point whose nearest distance is NaN or
     infinite (a NaN or infinite coordinate), where a scan for the minimum
@@ -53,7 +54,7 @@ def assign(points: DataFrame, centers: Sequence[Sequence[float]],
     cs = check_centers(centers)
     dims = len(cs[0])
     if method == "auto":
-        method = "pandas" if (not cols and dims >= PANDAS_MIN_DIMS) else "columns"
+        method = "pandas" if len(cs) * dims > COLUMNS_MAX_NUMBERS else "columns"
     if method == "pandas":
         return _assign_pandas(points, cs, cols, features, finite)
     if method != "columns":
@@ -97,8 +98,10 @@ def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | No
             if names:
                 x = pdf[names].to_numpy(dtype="float64")
             else:
-                x = np.stack(pdf[features].to_numpy()).astype("float64") if n else \
+                x = np.stack(pdf[features].to_numpy()).astype("float64").reshape(n, -1) if n else \
                     np.zeros((0, c.shape[1]))
+            if x.shape[1] != c.shape[1]:
+                raise ValueError(WRONG_WIDTH)
             idx = np.zeros(n, dtype="int64")
             dist = np.zeros(n, dtype="float64")
             for lo in range(0, n, step):
@@ -167,21 +170,29 @@ class RoundLog:
     driver resumes an iterative job at the last finished round instead of
     repeating full passes over the data."""
 
-    def __init__(self, spark, path: str | None):
-        self.spark, self.path = spark, path
+    def __init__(self, spark, path: str | None, kind: str, start: Centers):
+        self.spark, self.start = spark, start
+        self.path = f"{path}/{kind}" if path else None
 
-    def last(self) -> tuple[int, Centers | None]:
+    def _round(self, rnd: int) -> Centers:
+        rows = self.spark.read.parquet(f"{self.path}/round={rnd}").collect()     # K rows
+        return [list(x["center"]) for x in sorted(rows, key=lambda x: x["cluster"])]
+
+    def resume(self, rounds: int) -> tuple[int, Centers]:
+        """The last finished round up to ``rounds`` and its centres. The log is
+        tied to its start centres: those of another run or other data are an error."""
         if not self.path:
-            return 0, None
-        try:
-            df = self.spark.read.parquet(self.path)
-        except Exception:               # nothing logged yet
-            return 0, None
-        r = df.agg(F.max("round")).first()[0]
-        if r is None:
-            return 0, None
-        rows = sorted(df.filter(F.col("round") == r).collect(), key=lambda x: x["cluster"])
-        return int(r), [list(x["center"]) for x in rows]
+            return 0, self.start
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
+            self.write(0, self.start)
+            return 0, self.start
+        if self._round(0) != self.start:
+            raise ValueError(f"the round log at {self.path} began from other centres")
+        done = self.spark.read.parquet(self.path).agg(F.max("round")).first()[0]
+        done = min(int(done), rounds)
+        return done, self._round(done)
 
     def write(self, rnd: int, centers: Centers) -> None:
         if self.path:
@@ -203,10 +214,8 @@ def lloyd(points: DataFrame, centers: Sequence[Sequence[float]], rounds: int,
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
     cs = check_centers(centers)
-    log = RoundLog(points.sparkSession, log_path)
-    done, logged = log.last()
-    if logged is not None:
-        cs = logged
+    log = RoundLog(points.sparkSession, log_path, "lloyd", cs)
+    done, cs = log.resume(rounds)
     cached = cache_points(points, cols, features) if persist and rounds - done > 1 else points
     try:
         for r in range(done, rounds):
@@ -258,11 +267,12 @@ def lloyd_rounds(points: DataFrame, centers: Sequence[Sequence[float]], rounds:
 
 
 def cache_points(points: DataFrame, cols: Sequence[str] | None = ("x", "y"),
-                 features: str = "features", extra: Sequence[str] = ("grp",)) -> DataFrame:
-    """Project the columns an iterative job needs, spread them over the cores
-    if they arrive in fewer partitions, and persist (memory, then disk)."""
+                 features: str = "features", extra: Sequence[str] = ("grp",),
+                 partitions: int | None = None) -> DataFrame:
+    """Project the columns an iterative job needs and persist (memory, then disk),
+    in ``partitions`` partitions if given."""
     keep = [*(list(cols) if cols else [features]), *[c for c in extra if c in points.columns]]
-    return spread(points.select(*keep)).persist(StorageLevel.MEMORY_AND_DISK)
+    return spread(points.select(*keep), partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _vector_column(points: DataFrame, cols: Sequence[str] | None, features: str) -> DataFrame:
@@ -284,7 +294,7 @@ def kmeans(points: DataFrame, k: int, max_iter: int, seed: int,
     if max_iter < 0:
         raise ValueError("max_iter must be >= 0")
     from pyspark.ml.clustering import KMeans
-    vec = spread(_vector_column(points, cols, features)).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = _vector_column(points, cols, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="_vec",
                        initMode="k-means||", initSteps=init_steps, tol=tol).fit(vec)

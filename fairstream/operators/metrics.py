@@ -83,7 +83,7 @@ def cluster_statistics(points: DataFrame, centers, cols=("x", "y"),
     t = cluster_group_table(points, cs, cols, features)
     g = t.groupBy("cluster").agg(
         F.sum(F.when(F.col("grp") == GROUP_A, F.col("n")).otherwise(0)).alias("n_a"),
-        F.sum(F.when(F.col("grp") != GROUP_A, F.col("n")).otherwise(0)).alias("n_b"),
+        F.sum(F.when(F.col("grp").eqNullSafe(GROUP_A), 0).otherwise(F.col("n"))).alias("n_b"),
     )
     coord = [F.array(*[F.lit(c[j]) for c in cs])[F.col("cluster")].alias(names[j])
              for j in range(dims)]
@@ -101,7 +101,7 @@ def cluster_report(points: DataFrame, centers, cols=("x", "y"),
     g = t.groupBy("cluster").agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("grp") == GROUP_A, F.col("n")).otherwise(0)).alias("n_a"),
-        F.sum(F.when(F.col("grp") != GROUP_A, F.col("n")).otherwise(0)).alias("n_b"),
+        F.sum(F.when(F.col("grp").eqNullSafe(GROUP_A), 0).otherwise(F.col("n"))).alias("n_b"),
         F.sum("cost").alias("cost"),
     )
     coord = [F.array(*[F.lit(c[j]) for c in cs])[F.col("cluster")].alias(names[j])
@@ -121,7 +121,7 @@ def summary(points: DataFrame, centers, cols=("x", "y"), features="features") ->
         F.sum(F.when(F.col("grp") == GROUP_A, F.col("cost")).otherwise(0.0)).alias("cost_a"),
         F.sum(F.when(F.col("grp") == GROUP_B, F.col("cost")).otherwise(0.0)).alias("cost_b"),
     )
-    empty = (F.col("n_a") == 0) | (F.col("n_b") == 0)
+    empty = F.coalesce(F.least("n_a", "n_b"), F.lit(0)) == 0
     phi_value = F.greatest(F.col("cost_a") / F.col("n_a"), F.col("cost_b") / F.col("n_b"))
     return s.select(
         "n", "n_a", "n_b", (F.col("cost") / F.col("n")).alias("delta"),

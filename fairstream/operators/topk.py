@@ -25,25 +25,16 @@ def _check_k(k: int) -> None:
         raise ValueError("K must be >= 1")
 
 
-# Up to this K the threshold is a top-K (each task keeps K counts); above it
-# the exact "frequency of frequencies" route below is used instead.
-TOP_K_MAX = 100_000
-
-
 def kth_frequency(counts: DataFrame, k: int) -> DataFrame:
     """One row ``phi_k``: the K-th largest count (the smallest one if K exceeds
     the number of distinct items; null for an empty input).
 
-    K up to ``TOP_K_MAX``: a top-K (``orderBy().limit(K)``: every task keeps K
-    counts, K x tasks rows are merged). Larger K: count how many items have each
-    count value; the counts sum to N, so there are at most sqrt(2N) distinct
-    values, and a running sum over that small table finds the largest value
-    that at least K items reach. Both are exact.
+    One route for every K: count how many items have each count value. The
+    counts sum to N, so there are at most sqrt(2N) distinct values, and a
+    running sum over that small table finds the largest value that at least K
+    items reach.
     """
     _check_k(k)
-    if k <= TOP_K_MAX:
-        return counts.select("cnt").orderBy(F.col("cnt").desc()).limit(k) \
-            .agg(F.min("cnt").alias("phi_k"))
     fof = counts.groupBy("cnt").agg(F.count(F.lit(1)).alias("items"))   # <= sqrt(2N) rows
     reach = fof.withColumn(
         "at_least", F.sum("items").over(Window.orderBy(F.col("cnt").desc())))

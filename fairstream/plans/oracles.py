@@ -445,11 +445,22 @@ def stream_oracles() -> dict[str, str]:
     return out
 
 
+def _noise_sql(axis: str) -> str:
+    key = f"md5('{fx.KMEANS_SEED}:' || i || ':{axis}')"
+    u, v = (f"(CAST('0x' || substr({key}, {at}, 12) AS BIGINT) + 1.0) / 281474976710656" for at in (1, 13))
+    return f"sqrt(-2 * ln({u}::DOUBLE)) * cos(2 * pi() * ({v})::DOUBLE)"
+
+
 def synth_oracles() -> dict[str, str]:
     k = fx.KMEANS_K
     per = f"((SELECT count(*) FROM orders) // {2 * k})"
     return {"labelled_blobs": (
         f"WITH ids AS (SELECT o_orderkey AS i, {per} AS n FROM orders), "
         f"lab AS (SELECT CASE WHEN i < 2 * n * {k} THEN CAST(i // (2 * n) AS INTEGER) ELSE -1 END AS cluster, "
-        "CASE WHEN i < 2 * n * " + str(k) + " AND i % (2 * n) >= n THEN 'B' ELSE 'A' END AS grp FROM ids) "
-        "SELECT grp, cluster, count(*) AS n FROM lab GROUP BY grp, cluster")}
+        "CASE WHEN i < 2 * n * " + str(k) + " AND i % (2 * n) >= n THEN 'B' ELSE 'A' END AS grp, "
+        f"{_noise_sql('x')} AS ex, {_noise_sql('y')} AS ey FROM ids) "
+        "SELECT grp, cluster, count(*) AS n, "
+        "CAST(sum(CAST(round(10000 * round(greatest(cluster, 0) * 10 + (grp = 'B')::INT * 10 + ex, 4)) AS BIGINT)) "
+        "AS BIGINT) AS sum_x, "
+        "CAST(sum(CAST(round(10000 * round((grp = 'B')::INT * 10 + ey, 4)) AS BIGINT)) AS BIGINT) AS sum_y "
+        "FROM lab GROUP BY grp, cluster")}

@@ -105,7 +105,7 @@ class HitterReport:
     n_hitters: int
     cm_rel_err: float | None
     cs_rel_err: float | None
-    listing: list | None        # (item, true count, count-min estimate) when K <= 10
+    listing: DataFrame          # item, true count, count-min estimate
 
 
 def heavy_hitters_job(stream: DataFrame, threshold: int, depth: int, width: int, k: int,
@@ -113,7 +113,8 @@ def heavy_hitters_job(stream: DataFrame, threshold: int, depth: int, width: int,
     """Read whole micro-batches until at least T items, then report the
     distinct count, the top-K heavy hitters (ties included) and the mean
     relative error of a count-min and a count sketch (D rows, W columns) on
-    them; the per-item listing is included when K <= 10."""
+    them; ``listing`` is the per-item listing as a DataFrame (ties can make it
+    longer than K, so it stays on Spark)."""
     if threshold <= 0 or depth <= 0 or width <= 0 or k <= 0:
         raise ValueError("T, D, W and K must be positive")
     spark = stream.sparkSession
@@ -124,10 +125,7 @@ def heavy_hitters_job(stream: DataFrame, threshold: int, depth: int, width: int,
     counts = S.prefix_counts(spark, job.out)
     cells = sketch.build(batch_counts, [cm, cs], weight_col="cnt")
     r = topk.report_from_counts(counts, k, cells, cm, cs).first()
-    listing = None
-    if k <= 10:
-        listing = [tuple(x) for x in topk.hitter_listing(counts, k, cells.filter(
-            F.col("sketch") == "cm").drop("sketch"), cm_spec).collect()]
+    listing = topk.hitter_listing(counts, k, cells.filter(F.col("sketch") == "cm").drop("sketch"), cm_spec)
     return HitterReport(r["n_items"], r["n_distinct"], r["phi_k"], r["n_hitters"],
                         r["cm_rel_err"], r["cs_rel_err"], listing)
 

@@ -369,12 +369,15 @@ def stream_queries() -> dict[str, Query]:
 
 
 def q_labelled_blobs(spark, sf_dir):
-    """Blobs indexed by the order keys (0..N-1): label and cluster counts (the
-    coordinates are random and checked by tests, not by SQL)."""
+    """Blobs indexed by the order keys (0..N-1): points and coordinate sums (in
+    units of the fourth decimal) of each cluster and label."""
     ids = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     n_total = ids.count()
     b = synth.labelled_blobs(ids, n_total, fx.KMEANS_K, seed=fx.KMEANS_SEED)
-    return b.groupBy("grp", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    return b.groupBy("grp", "cluster").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.round(F.col("x") * 10000).cast("bigint")).alias("sum_x"),
+        F.sum(F.round(F.col("y") * 10000).cast("bigint")).alias("sum_y"))
 
 
 def synth_queries() -> dict[str, Query]:

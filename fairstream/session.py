@@ -41,7 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     It is the cluster's ``spark.checkpoint.dir`` (or a checkpoint folder the
     application already registered). Only when neither exists (a local test
     run) do we make one under the machine's temp folder and register it as the
-    checkpoint folder, so that ``DataFrame.checkpoint()`` works too.
+    checkpoint folder, so that ``DataFrame.checkpoint()`` works too. On any
+    other master a missing setting is an error: a machine's own folder would
+    hide one executor's files from the others.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -50,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(base)
         return base
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="fairstream-"))
     return sc.getCheckpointDir()
 
@@ -60,15 +64,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fairstream/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's
-    parallelism) when it arrives in fewer partitions than that.
+def spread(df, partitions: int | None = None):
+    """``df`` in ``partitions`` partitions, or as it is.
 
-    For data that an iterative job caches and reads many times: one shuffle
-    up front lets every core work in every round. Input that already comes in
-    many splits (any large table) is returned unchanged, without a shuffle.
+    Seeded draws (the k-means start) depend on the partitioning, so the number
+    is the caller's choice and never the cluster's core count.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(partitions) if partitions else df

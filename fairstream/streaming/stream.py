@@ -8,8 +8,8 @@ A ``*_snapshot`` function reads the current result back as a batch DataFrame.
 
 - ``running_counts``: exact histogram in the state store (state grows with the
   number of distinct items, like the reference's map).
-- ``running_distinct``: distinct items via a streaming ``distinct()`` (same
-  state size, deduplicated map-side before the shuffle).
+- ``running_distinct``: distinct items as a grouped aggregate (same state
+  size, merged map-side before the shuffle).
 - ``sketch_cells_stream``: count-min / count-sketch cells; state is bounded by
   D*W keys whatever the stream.
 - ``distinct_estimate_stream``: length, HyperLogLog++ distinct count and
@@ -198,16 +198,16 @@ def running_distinct(stream: DataFrame, out: str | None = None,
                      trigger: str | None = None) -> StreamJob:
     """Running distinct set; each batch writes the distinct items it contained.
 
-    A streaming ``distinct()`` is an aggregate: every task deduplicates its
-    rows before the shuffle into the state store, so an item that fills a
-    third of a batch costs one row per task. (``dropDuplicates`` would ship
-    every copy of that item to one task.) State: one row per distinct item.
+    A grouped aggregate: every task merges its rows per item before the shuffle
+    into the state store, so an item that fills a third of a batch costs one row
+    per task. (A streaming ``distinct()`` has no such stage and ships every copy
+    of that item to one task.) State: one row per distinct item.
     """
     out = out or scratch_path(stream.sparkSession, "running-distinct")
-    seen = read_items(stream).distinct()
+    seen = read_items(stream).groupBy("item").agg(F.max(F.lit(True)).alias("seen"))
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        _put(batch, out, "seen", batch_id)
+        _put(batch.select("item"), out, "seen", batch_id)
 
     return StreamJob(_writer(seen, out, fn, trigger, "update").start(), out)
 
@@ -304,19 +304,16 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
     spark = stream.sparkSession
     out = out or scratch_path(spark, "prefix")
     items = read_items(stream)
-    state: dict = {"stop": False, "sizes": None}
+    state: dict = {"stop": False, "total": None}
 
-    def sizes_before(batch_id: int) -> int:
-        if state["sizes"] is None:                  # first batch of this run
-            try:
-                rows = batch_sizes(spark, out).collect()   # one row per earlier batch
-                state["sizes"] = {r["batch_id"]: r["n_rows"] for r in rows}
-            except Exception:                       # nothing written yet
-                state["sizes"] = {}
-        return sum(n for b, n in state["sizes"].items() if b < batch_id)
+    def total_before(batch_id: int) -> int:
+        if state["total"] is None:                  # first batch of this run
+            earlier = batch_sizes(spark, out).filter(F.col("batch_id") < batch_id)
+            state["total"] = earlier.agg(F.sum("n_rows")).first()[0] or 0
+        return state["total"]
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        before = sizes_before(batch_id)
+        before = total_before(batch_id)
         if threshold is not None and before >= threshold:
             state["stop"], state["stop_batch"] = True, batch_id
             return
@@ -326,7 +323,7 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
         n = int(size.get.get("n") or 0)
         if n == 0:
             return                          # an empty batch wrote an empty histogram
-        state["sizes"][batch_id] = n
+        state["total"] = before + n
         if threshold is not None and before + n >= threshold:
             state["stop"], state["stop_batch"] = True, batch_id
 

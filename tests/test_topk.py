@@ -43,15 +43,13 @@ def test_distinct_summary_approx(spark):
     assert r["n_items"] == 5000 and abs(r["n_distinct"] - 1000) <= 60 and r["largest"] == 999
 
 
-def test_large_k_route_matches_top_k(spark, monkeypatch):
+def test_kth_frequency_matches_sorted_counts(spark):
     it = I.skewed_items(spark, SF_SMALL)
     c = topk.item_counts(it)
     counts = sorted((r["cnt"] for r in c.collect()), reverse=True)
     ks = [1, 2, 5, 17, len(counts), len(counts) + 5]
-    small = [topk.kth_frequency(c, k).first()["phi_k"] for k in ks]
-    monkeypatch.setattr(topk, "TOP_K_MAX", 0)             # force the large-K route
-    large = [topk.kth_frequency(c, k).first()["phi_k"] for k in ks]
+    got = [topk.kth_frequency(c, k).first()["phi_k"] for k in ks]
     want = [counts[min(k, len(counts)) - 1] for k in ks]
-    assert small == want and large == want
+    assert got == want
     hh = {r["item"] for r in topk.heavy_hitters(c, 5).collect()}
     assert hh == {r["item"] for r in c.collect() if r["cnt"] >= want[2]}
