@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Callable
 
@@ -40,6 +41,7 @@ CACHE_CHUNKS = 250_000
 
 _CHUNK = re.compile(r" +[^ ]*")
 _SHORT = 48
+_GROUP_CHARS = 4 << 20
 _NEVER = 1 << 60
 _MASK = (1 << 32) - 1
 
@@ -76,12 +78,16 @@ class Model:
         return b"".join(map(self.texts.__getitem__, ids)).decode()[1:]
 
 
+def _variant_seed(seed: int, variant: int) -> int:
+    return (seed * 1_000_003 + variant) & _MASK
+
+
 class Dropout:
     """Whether a taken candidate is skipped: a keyed hash of chunk, merge and step."""
 
     def __init__(self, chunk: str, rate: float, seed: int, variant: int):
         self.limit = int(rate * (1 << 32))
-        self.key = xxhash.xxh32_intdigest(chunk.encode(), (seed * 1_000_003 + variant) & _MASK) if self.limit else 0
+        self.key = xxhash.xxh32_intdigest(chunk.encode(), _variant_seed(seed, variant)) if self.limit else 0
         self.step = 0
 
     def skips(self, rank: int) -> bool:
@@ -136,6 +142,86 @@ def merge_long(chunk: str, model: Model, drop: Dropout) -> list[str]:
     return [p for p in parts if p]
 
 
+class PairTable:
+    """Rank and piece of every pair of pieces whose join is a piece, for arrays of
+    pairs: an open-addressing table."""
+
+    def __init__(self, model: Model):
+        pairs = {(model.ids[p[:k]] << 32) + model.ids[p[k:]]: (r, model.ids[p]) for p, r in model.ranks.items()
+                 for k in range(1, len(p)) if p[:k] in model.ids and p[k:] in model.ids}
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.rank, self.piece = (np.full(1 << self.bits, _NEVER, np.int64) for _ in range(2))
+        keys = np.array(list(pairs), np.int64)
+        values = np.array(list(pairs.values()), np.int64).reshape(-1, 2)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):                        # each round, the first to ask gets a free slot
+            free = left[self.keys[slot[left]] == -1]
+            _, first = np.unique(slot[free], return_index=True)
+            won = free[first]
+            self.keys[slot[won]], self.rank[slot[won]], self.piece[slot[won]] = keys[won], *values[won].T
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of each pair (rank ``_NEVER``: no piece)."""
+        shape, keys = a.shape, ((a << 32) + b).ravel()
+        slot = self._slot(keys)
+        open_ = np.flatnonzero((self.keys[slot] != keys) & (self.keys[slot] != -1))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+            open_ = open_[(self.keys[slot[open_]] != keys[open_]) & (self.keys[slot[open_]] != -1)]
+        return self.rank[slot].reshape(shape), self.piece[slot].reshape(shape)
+
+
+def merge_many(symbols: np.ndarray, keys: np.ndarray, limit: int, table: PairTable) -> list[bytes]:
+    """The agendas of many chunks of one length at once: the ids of each.
+
+    Row by row this is ``merge_short``: every round takes one candidate of each
+    row, so the round is the step of the dropout."""
+    n, width = symbols.shape
+    out: list[bytes] = [b""] * n
+    rows, size = np.arange(n), np.full(n, width)
+    pad = np.full((n, 1), _NEVER, np.int64)
+    rank, piece = table.find(symbols[:, :-1], symbols[:, 1:])
+    rank, piece = np.hstack([rank, pad]), np.hstack([piece, pad])
+    step, columns = 0, np.arange(width)
+    while True:
+        at = rank.argmin(axis=1)
+        best = rank[np.arange(len(rows)), at]
+        done = best == _NEVER
+        for r, ids, k in zip(rows[done].tolist(), symbols[done].astype("<i4"), size[done].tolist(), strict=True):
+            out[r] = ids[:k].tobytes()
+        if done.all():
+            return out
+        go = ~done
+        rows, size, symbols, rank, piece, keys = (x[go] for x in (rows, size, symbols, rank, piece, keys))
+        at, best, step, here = at[go], best[go], step + 1, np.arange(len(rows))
+        x = (keys + best.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(step * 0x85EBCA77)) & np.uint64(_MASK)
+        x = (x * np.uint64(0xC2B2AE3D)) & np.uint64(_MASK)
+        x = ((x ^ (x >> np.uint64(15))) * np.uint64(0x27D4EB2F)) & np.uint64(_MASK)
+        skip = (x ^ (x >> np.uint64(13))) < np.uint64(limit)
+        rank[here[skip], at[skip]] = _NEVER
+        m, i = here[~skip], at[~skip]
+        if not len(m):
+            continue
+        made = piece[m, i]
+        for grid, fill in ((symbols, 0), (rank, _NEVER), (piece, _NEVER)):
+            moved = np.hstack([grid[m, 1:], np.full((len(m), 1), fill, np.int64)])
+            gone = i[:, None] + (grid is symbols)       # the right symbol, or the pair itself
+            grid[m] = np.where(columns >= gone, moved, grid[m])
+        symbols[m, i] = made
+        size[m] -= 1
+        for other in (i - 1, i):
+            ok = (other >= 0) & (other + 1 < size[m])
+            r, c = m[ok], other[ok]
+            rank[r, c], piece[r, c] = table.find(symbols[r, c], symbols[r, c + 1])
+
+
 class Encoder:
     """Encodes texts; equal (chunk, variant) pairs are merged once and remembered."""
 
@@ -147,6 +233,41 @@ class Encoder:
         self.new: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.old = self.new
         self.room = CACHE_CHUNKS
+        self.table = PairTable(model)
+        self.char_ids = np.full(0x110000, -1, np.int64)
+        for piece, i in model.ids.items():
+            if len(piece) == 1:
+                self.char_ids[ord(piece)] = i
+
+    def _learn(self, chunks: list[list[str]], which: list[list[int]]) -> None:
+        """Merge the chunks that are not known yet, those of one length together."""
+        if self.room <= 0:
+            self.old, self.new, self.room = self.new, [{} for _ in range(self.variants)], CACHE_CHUNKS
+        limit = int(self.rate * (1 << 32))
+        flat, variants = list(itertools.chain(*chunks)), np.fromiter(itertools.chain(*which), np.int64)
+        for v in range(self.variants):
+            known, earlier = self.new[v], self.old[v]
+            fresh = set(itertools.compress(flat, (variants == v).tolist())) - known.keys()
+            self.room -= len(fresh)
+            known.update((c, earlier[c]) for c in fresh & earlier.keys())
+            todo: dict[int, list[str]] = {}
+            for chunk in fresh - earlier.keys():
+                if 1 < len(chunk) <= _SHORT:
+                    todo.setdefault(len(chunk), []).append(chunk)
+            seed = _variant_seed(self.seed, v)
+            for length, rows in todo.items():
+                for at in range(0, len(rows), 1 << 14):
+                    part = rows[at:at + (1 << 14)]
+                    points = np.frombuffer("".join(part).encode("utf-32-le"), np.uint32)
+                    symbols = self.char_ids[points].reshape(-1, length)
+                    whole = (symbols >= 0).all(axis=1)      # others hold characters without a piece
+                    part = list(itertools.compress(part, whole.tolist()))
+                    if limit:
+                        keys = np.fromiter((xxhash.xxh32_intdigest(c.encode(), seed) for c in part), np.uint64, len(part))
+                    else:
+                        keys = np.zeros(len(part), np.uint64)
+                    if part:
+                        known.update(zip(part, merge_many(symbols[whole], keys, limit, self.table), strict=True))
 
     def _merge(self, chunk: str, variant: int) -> bytes:
         if (known := self.old[variant].get(chunk)) is None:
@@ -160,23 +281,36 @@ class Encoder:
             self.room -= 1
         return known
 
-    def encode(self, text: str, key: str = "") -> np.ndarray:
-        """Ids of ``text``; ``key`` names its document."""
-        if not text:
-            return np.zeros(0, "<i4")
+    def _cut(self, text: str, key: str) -> tuple[list[str], list[int]]:
+        """The chunks of a text and the variant of each."""
         chunks = _CHUNK.findall(" " + text)
         if self.variants == 1:
-            which = [0] * len(chunks)
-        else:
-            x = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            x ^= np.uint64(xxhash.xxh64_intdigest(key.encode(), self.seed))
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            which = ((x >> np.uint64(32)) % np.uint64(self.variants)).tolist()
-        out = []
-        for chunk, v in zip(chunks, which, strict=True):
-            out.append(self.new[v].get(chunk) or self._merge(chunk, v))
+            return chunks, [0] * len(chunks)
+        x = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= np.uint64(xxhash.xxh64_intdigest(key.encode(), self.seed))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        return chunks, ((x >> np.uint64(32)) % np.uint64(self.variants)).tolist()
+
+    def _join(self, chunks: list[str], which: list[int]) -> np.ndarray:
+        out = [self.new[v].get(chunk) or self._merge(chunk, v) for chunk, v in zip(chunks, which, strict=True)]
         return np.frombuffer(b"".join(out), "<i4")
 
+    def encode(self, text: str, key: str = "") -> np.ndarray:
+        """Ids of ``text``; ``key`` names its document."""
+        return self._join(*self._cut(text, key)) if text else np.zeros(0, "<i4")
+
+    def encode_many(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
+        """``encode`` for a batch, which merges its new chunks together."""
+        out, group, chars = [], [], 0
+        for k, (text, key) in enumerate(zip(texts, keys, strict=True)):
+            group.append(self._cut(text, key) if text else ([], []))
+            chars += len(text)
+            if chars >= _GROUP_CHARS or k + 1 == len(texts):
+                self._learn([c for c, _ in group], [v for _, v in group])
+                out += [self._join(*x) for x in group]
+                group, chars = [], 0
+        return out
+
 
 @functools.lru_cache(maxsize=1)
 def worker_encoder(content: bytes, rate: float, seed: int, variants: int) -> Encoder:
@@ -204,18 +338,15 @@ def encode(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mode
         model = encoder.model
 
         def work(batch: pa.RecordBatch) -> list:
+            texts = batch.column(text_col).to_pylist()
+            found = encoder.encode_many([t or "" for t in texts], [str(k) for k in batch.column(id_col).to_pylist()])
             ids, counts, digests, lossless = [], [], [], []
-            for text, key in zip(batch.column(text_col).to_pylist(), batch.column(id_col).to_pylist(), strict=True):
-                if text is None:
-                    for x in (counts, digests, lossless):
-                        x.append(None)
-                    ids.append(None)
-                    continue
-                found = encoder.encode(text, str(key))
-                ids.append(found)
-                counts.append(len(found))
-                digests.append(hashlib.sha256(found.tobytes()).hexdigest())
-                lossless.append(model.decode(found.tolist()) == text)
+            for text, x in zip(texts, found, strict=True):
+                missing = text is None
+                ids.append(None if missing else x)
+                counts.append(None if missing else len(x))
+                digests.append(None if missing else hashlib.sha256(x.tobytes()).hexdigest())
+                lossless.append(None if missing else model.decode(x.tolist()) == text)
             return [_lists(ids), counts, digests, lossless]
         return work
     return add_arrow_columns(docs, FIELDS, make)

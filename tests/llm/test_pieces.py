@@ -40,6 +40,19 @@ def test_both_agendas_agree_and_dropout_is_lossless(model):
             assert model.decode(encoder.encode(text, "k").tolist()) == text
 
 
+def test_batches_encode_as_single_texts(model):
+    rnd = random.Random(8)
+    many = TEXTS + [" ".join("".join(rnd.choice("theinoraés▁!\n") for _ in range(rnd.randint(1, 60)))
+                             for _ in range(200)) for _ in range(20)]
+    for rate in (0.0, 0.1, 0.6):
+        one, two = pieces.Encoder(model, rate), pieces.Encoder(model, rate)
+        keys = [str(i) for i in range(len(many))]
+        for _ in range(2):
+            got = two.encode_many(many, keys)
+            assert [x.tolist() for x in got] == [one.encode(t, k).tolist() for t, k in zip(many, keys, strict=True)]
+            two.room = 0
+
+
 def test_dropout_varies_by_document_and_repeats_by_seed(model):
     text = TEXTS[-1]
     cuts = {k: pieces.Encoder(model, 0.2).encode(text, k).tolist() for k in "abcdef"}
