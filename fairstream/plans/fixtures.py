@@ -3,6 +3,8 @@ SQL oracles, so both compute the same thing)."""
 
 from __future__ import annotations
 
+from fairstream.functions import hashing
+
 # Start centres for the 2-D points (x = price / 1000 in 1..500,
 # y = day of year in 1..366). Fractional parts keep points away from exact ties.
 CENTERS_2D = [
@@ -12,6 +14,19 @@ CENTERS_2D = [
     [60.321, 300.111],
 ]
 
+# 500 centres from a rule: multiples of two irrational steps, spread over the same ranges.
+CENTERS_K500 = [[1 + 499 * (i * 0.6180339887 % 1), 1 + 365 * (i * 0.7548776662 % 1)] for i in range(500)]
+
+# With every point from day EDGE_Y on in group A, the third centre's
+# cluster has no B point and the fourth has no point at all.
+EDGE_Y = 150
+CENTERS_EDGE = [
+    [100.123, 80.456],
+    [400.654, 90.987],
+    [250.789, 330.321],
+    [5000.5, 5000.5],
+]
+
 # 64-d start centres from a rule: c_i[j] = 0.05 * ((i+1)(j+1) mod 5 - 2) + 0.001 (i+1).
 ND_DIMS = 64
 ND_K = 4
@@ -37,8 +52,16 @@ CS_SIGN_PARAMS = [(7001, 42), (2663, 1313), (4937, 2500), (1103, 7777), (6277, 6
 CS_PARAMS_EVEN = CS_PARAMS[:4]
 CS_SIGN_PARAMS_EVEN = CS_SIGN_PARAMS[:4]
 
-# Heavy-hitter settings.
+# Wide items: multiples (-500 to 499) of this odd number above 2^53.
+WIDE_FACTOR = 9007199254740993
+# A seeded draw of the family, with the width and prime of the others.
+SEEDED_CM, SEEDED_CS = hashing.hash_family(5, SKETCH_W, seed=11, p=SKETCH_P)
+
+# Heavy-hitter settings; the last is above the number of distinct skewed items.
 TOP_K = 5
+TOP_K_ABOVE = 1_000_000
+# Relative standard deviation of the distinct estimate; a check allows 5 of them.
+DISTINCT_RSD = 0.01
 # Stream settings: the items stream is split into this many files, one per
 # micro-batch, and the prefix stops after at least this many items.
 STREAM_FILES = 5

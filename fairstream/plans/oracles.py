@@ -126,7 +126,7 @@ def clustering_oracles() -> dict[str, str]:
         f"{_r('count(*) * (var_pop(x) + var_pop(y))', CD)} AS sse "
         "FROM asg WHERE grp IN ('A', 'B') GROUP BY cluster, grp")
     out["lloyd_2rounds"] = lloyd_sql(2)
-    out["fair_kmeans_1round"] = fair_round_sql()
+    out["fair_kmeans_1round"] = fair_rounds_sql()
     return out
 
 
@@ -156,11 +156,10 @@ def _centre_rows(ps: PointSet) -> str:
         for i, c in enumerate(ps.centers))
 
 
-def lloyd_sql(rounds: int, ps: PointSet | None = None) -> str:
+def _lloyd_ctes(rounds: int, ps: PointSet) -> list[str]:
     """``rounds`` Lloyd rounds unrolled: the first from the literal centres, the
     next ones from the previous round's K-row centre table, read through scalar
     subqueries (no join of points with centres)."""
-    ps = ps or points2d_set()
     dims = len(ps.coords)
     ks = range(dims)
     means = ", ".join(f"avg({c}) AS m{j}" for j, c in enumerate(ps.coords))
@@ -173,11 +172,7 @@ def lloyd_sql(rounds: int, ps: PointSet | None = None) -> str:
             k = len(ps.centers)
             ds = []
             if dims <= 8:
-                for i in range(k):
-                    terms = [f"({c} - (SELECT k{j} FROM {prev} WHERE cluster = {i})) * "
-                             f"({c} - (SELECT k{j} FROM {prev} WHERE cluster = {i}))"
-                             for j, c in enumerate(ps.coords)]
-                    ds.append("(" + " + ".join(terms) + f") AS _d{i}")
+                ds.append(_distances(ps, prev))
             else:
                 # one list-valued subquery per centre; only the order of the
                 # distances matters here, so the (monotone) Euclidean distance
@@ -194,71 +189,157 @@ def lloyd_sql(rounds: int, ps: PointSet | None = None) -> str:
             f"c{r} AS (SELECT {prev}.cluster, coalesce(s.n, 0) AS n, {sel} FROM {prev} "
             f"LEFT JOIN (SELECT cluster, count(*) AS n, {means} FROM asg{r} GROUP BY cluster) s "
             f"ON s.cluster = {prev}.cluster)")
-    out = ", ".join(f"{_r(f'k{j}', D)} AS {ps.names[j]}" for j in ks)
-    return (f"WITH {', '.join(ctes)} SELECT CAST(cluster AS INTEGER) AS cluster, n, {out} "
-            f"FROM c{rounds}")
+    return ctes
 
 
-def fair_round_sql(ps: PointSet | None = None) -> str:
-    """One fair round from the literal centres, with the weight bisection as a
-    recursive CTE over (step, gamma, step size)."""
+def lloyd_sql(rounds: int, ps: PointSet | None = None) -> str:
     ps = ps or points2d_set()
-    dims = len(ps.coords)
-    ks = range(dims)
+    out = ", ".join(f"{_r(f'k{j}', D)} AS {n}" for j, n in enumerate(ps.names))
+    return (f"WITH {', '.join(_lloyd_ctes(rounds, ps))} SELECT CAST(cluster AS INTEGER) AS cluster, n, {out} "
+            f"FROM c{rounds}")
+
+
+def _distances(ps: PointSet, table: str) -> str:
+    """``_d0, ...``: squared distances to the centres of a K-row table (columns
+    ``cluster, k0, ...``), read through scalar subqueries."""
+    return ", ".join(
+        "(" + " + ".join(f"({c} - (SELECT k{j} FROM {table} WHERE cluster = {i})) * "
+                         f"({c} - (SELECT k{j} FROM {table} WHERE cluster = {i}))"
+                         for j, c in enumerate(ps.coords)) + f") AS _d{i}"
+        for i in range(len(ps.centers)))
+
+
+def _fair_ctes(rounds: int, ps: PointSet) -> list[str]:
+    """``rounds`` fair rounds from the literal centres: round r reads the centre
+    table ``f{r-1}`` and ends in ``res{r}`` and ``f{r}``. The weight bisection is
+    a recursive CTE over (step, gamma, step size)."""
+    ks = range(len(ps.coords))
     mean_cols = ", ".join(f"avg({c}) AS m{j}" for j, c in enumerate(ps.coords))
     a_cols = ", ".join(f"coalesce(ga.m{j}, gb.m{j}) AS a{j}" for j in ks)
     b_cols = ", ".join(f"coalesce(gb.m{j}, ga.m{j}) AS b{j}" for j in ks)
     ell = "sqrt(" + " + ".join(f"(a{j} - b{j}) * (a{j} - b{j})" for j in ks) + ")"
     err_a = " + ".join(f"(q.{c} - cl.a{j}) * (q.{c} - cl.a{j})" for j, c in enumerate(ps.coords))
     err_b = " + ".join(f"(q.{c} - cl.b{j}) * (q.{c} - cl.b{j})" for j, c in enumerate(ps.coords))
-    ctes = [
-        ps.cte,
-        assigned_cte("asg", ps.source, ps.keep, ps.coords, ps.centers),
-        f"c0 AS ({_centre_rows(ps)})",
-        f"tot AS (SELECT count(*) FILTER (WHERE grp = 'A') AS na, "
-        f"count(*) FILTER (WHERE grp = 'B') AS nb FROM {ps.source})",
-        f"ga AS (SELECT cluster, count(*) AS n, {mean_cols} FROM asg WHERE grp = 'A' GROUP BY cluster)",
-        f"gb AS (SELECT cluster, count(*) AS n, {mean_cols} FROM asg WHERE grp = 'B' GROUP BY cluster)",
-        # per cluster: weights, the two means with the substitution rule, and l
-        "cl0 AS (SELECT c0.*, coalesce(ga.n, 0) / (SELECT na FROM tot) AS alpha, "
-        f"coalesce(gb.n, 0) / (SELECT nb FROM tot) AS beta, {a_cols}, {b_cols} "
-        "FROM c0 LEFT JOIN ga ON ga.cluster = c0.cluster "
-        "LEFT JOIN gb ON gb.cluster = c0.cluster)",
-        f"cl AS (SELECT *, {ell} AS l FROM cl0)",
-        "act AS (SELECT * FROM cl WHERE a0 IS NOT NULL)",
-        # squared error of each group around its own cluster mean, two passes
-        f"fx AS (SELECT sum(CASE WHEN q.grp = 'A' THEN {err_a} ELSE 0 END) / (SELECT na FROM tot) AS fa0, "
-        f"sum(CASE WHEN q.grp = 'B' THEN {err_b} ELSE 0 END) / (SELECT nb FROM tot) AS fb0 "
-        "FROM asg q JOIN cl ON cl.cluster = q.cluster)",
-        "bis(t, g_used, g, pw, done) AS ("
-        "SELECT 0, 0.5::DOUBLE, 0.5::DOUBLE, 0.5::DOUBLE, false "
-        "UNION ALL "
-        "SELECT b.t + 1, b.g, "
-        "CASE WHEN s.fa = s.fb THEN b.g WHEN s.fa > s.fb THEN b.g + b.pw / 2 ELSE b.g - b.pw / 2 END, "
-        "b.pw / 2, s.fa = s.fb "
-        "FROM bis b, LATERAL (SELECT (SELECT fa0 FROM fx) + sum(act.alpha * xx * xx) AS fa, "
-        "(SELECT fb0 FROM fx) + sum(act.beta * (act.l - xx) * (act.l - xx)) AS fb "
-        "FROM (SELECT act.*, (1 - b.g) * act.beta * act.l / (b.g * act.alpha + (1 - b.g) * act.beta) AS xx "
-        "FROM act) act) s "
-        "WHERE b.t < 10 AND NOT b.done)",
-        "fin AS (SELECT g_used AS g FROM bis WHERE t = (SELECT max(t) FROM bis))",
-        "res AS (SELECT cl.*, coalesce(cl.l, 0.0) AS ll, CASE WHEN cl.a0 IS NULL THEN 0.0 ELSE "
-        "(1 - (SELECT g FROM fin)) * cl.beta * cl.l / ((SELECT g FROM fin) * cl.alpha "
-        "+ (1 - (SELECT g FROM fin)) * cl.beta) END AS xx FROM cl)",
-    ]
-    coords_out = ", ".join(
-        _r(f"CASE WHEN a0 IS NULL THEN k{j} WHEN ll = 0 THEN a{j} "
-           f"ELSE ((ll - xx) * a{j} + xx * b{j}) / ll END", D) + f" AS {ps.names[j]}"
-        for j in ks)
-    sel = (f"SELECT CAST(cluster AS INTEGER) AS cluster, {coords_out}, "
-           f"{_r('alpha', D)} AS alpha, {_r('beta', D)} AS beta, {_r('ll', D)} AS ell, "
-           f"{_r('xx', D)} AS shift FROM res")
-    return "WITH RECURSIVE " + ", ".join(ctes) + " " + sel
+    moved = ", ".join(
+        f"CASE WHEN a0 IS NULL THEN k{j} WHEN ll = 0 THEN a{j} "
+        f"ELSE ((ll - xx) * a{j} + xx * b{j}) / ll END AS k{j}" for j in ks)
+    ctes = [f"f0 AS MATERIALIZED ({_centre_rows(ps)})",
+            f"tot AS MATERIALIZED (SELECT count(*) FILTER (WHERE grp = 'A') AS na, "
+            f"count(*) FILTER (WHERE grp = 'B') AS nb FROM {ps.source})"]
+    for r in range(1, rounds + 1):
+        if r == 1:
+            asg = assigned_cte("fasg1", ps.source, ps.keep, ps.coords, ps.centers)
+        else:
+            asg = (f"fasg{r} AS (SELECT {ps.keep}, {argmin_sql(len(ps.centers))} AS cluster "
+                   f"FROM (SELECT {ps.keep}, {_distances(ps, f'f{r - 1}')} FROM {ps.source}))")
+        ctes += [
+            asg.replace(" AS (", " AS MATERIALIZED (", 1),
+            f"ga{r} AS (SELECT cluster, count(*) AS n, {mean_cols} FROM fasg{r} WHERE grp = 'A' GROUP BY cluster)",
+            f"gb{r} AS (SELECT cluster, count(*) AS n, {mean_cols} FROM fasg{r} WHERE grp = 'B' GROUP BY cluster)",
+            # per cluster: weights, the two means with the substitution rule, and l
+            f"cl{r} AS MATERIALIZED (SELECT *, {ell} AS l FROM ("
+            "SELECT c.*, coalesce(ga.n, 0) / (SELECT na FROM tot) AS alpha, "
+            f"coalesce(gb.n, 0) / (SELECT nb FROM tot) AS beta, {a_cols}, {b_cols} "
+            f"FROM f{r - 1} c LEFT JOIN ga{r} ga ON ga.cluster = c.cluster "
+            f"LEFT JOIN gb{r} gb ON gb.cluster = c.cluster))",
+            f"act{r} AS MATERIALIZED (SELECT * FROM cl{r} WHERE a0 IS NOT NULL)",
+            # squared error of each group around its own cluster mean, two passes
+            f"fx{r} AS MATERIALIZED ("
+            f"SELECT sum(CASE WHEN q.grp = 'A' THEN {err_a} ELSE 0 END) / (SELECT na FROM tot) AS fa0, "
+            f"sum(CASE WHEN q.grp = 'B' THEN {err_b} ELSE 0 END) / (SELECT nb FROM tot) AS fb0 "
+            f"FROM fasg{r} q JOIN cl{r} cl ON cl.cluster = q.cluster)",
+            f"bis{r}(t, g_used, g, pw, done) AS ("
+            "SELECT 0, 0.5::DOUBLE, 0.5::DOUBLE, 0.5::DOUBLE, false "
+            "UNION ALL "
+            "SELECT b.t + 1, b.g, "
+            "CASE WHEN s.fa = s.fb THEN b.g WHEN s.fa > s.fb THEN b.g + b.pw / 2 ELSE b.g - b.pw / 2 END, "
+            "b.pw / 2, s.fa = s.fb "
+            f"FROM bis{r} b, LATERAL (SELECT (SELECT fa0 FROM fx{r}) + sum(act.alpha * xx * xx) AS fa, "
+            f"(SELECT fb0 FROM fx{r}) + sum(act.beta * (act.l - xx) * (act.l - xx)) AS fb "
+            "FROM (SELECT act.*, (1 - b.g) * act.beta * act.l / (b.g * act.alpha + (1 - b.g) * act.beta) AS xx "
+            f"FROM act{r} act) act) s "
+            "WHERE b.t < 10 AND NOT b.done)",
+            f"fin{r} AS MATERIALIZED (SELECT g_used AS g FROM bis{r} WHERE t = (SELECT max(t) FROM bis{r}))",
+            f"res{r} AS MATERIALIZED (SELECT cl.*, coalesce(cl.l, 0.0) AS ll, "
+            "CASE WHEN cl.a0 IS NULL THEN 0.0 ELSE "
+            f"(1 - (SELECT g FROM fin{r})) * cl.beta * cl.l / ((SELECT g FROM fin{r}) * cl.alpha "
+            f"+ (1 - (SELECT g FROM fin{r})) * cl.beta) END AS xx FROM cl{r} cl)",
+            f"f{r} AS MATERIALIZED (SELECT cluster, {moved} FROM res{r})",
+        ]
+    return ctes
+
+
+def fair_rounds_sql(rounds: int = 1, ps: PointSet | None = None) -> str:
+    """The centres after ``rounds`` fair rounds, with the last round's weights."""
+    ps = ps or points2d_set()
+    coords_out = ", ".join(f"{_r(f'f.k{j}', D)} AS {n}" for j, n in enumerate(ps.names))
+    return (f"WITH RECURSIVE {', '.join([ps.cte, *_fair_ctes(rounds, ps)])} "
+            f"SELECT CAST(f.cluster AS INTEGER) AS cluster, {coords_out}, "
+            f"{_r('alpha', D)} AS alpha, {_r('beta', D)} AS beta, {_r('ll', D)} AS ell, "
+            f"{_r('xx', D)} AS shift FROM res{rounds} r JOIN f{rounds} f ON f.cluster = r.cluster")
+
+
+def edge_set() -> PointSet:
+    """One cluster without group B, one without points (``points2d_edge``)."""
+    cte = (points2d_cte() + ", edge AS (SELECT id, x, y, "
+           f"CASE WHEN y >= {fx.EDGE_Y} THEN 'A' ELSE grp END AS grp FROM points2d)")
+    return PointSet(cte, "edge", "id, x, y, grp", ["x", "y"], ["x", "y"], fx.CENTERS_EDGE)
+
+
+def compare_fixed_sql(rounds: int) -> str:
+    """Delta and Phi of the centres after ``rounds`` Lloyd and fair rounds."""
+    ps = points2d_set()
+    ctes = [*_lloyd_ctes(rounds, ps), *_fair_ctes(rounds, ps)]
+    parts = []
+    for method, table in (("standard", f"c{rounds}"), ("fair", f"f{rounds}")):
+        ctes.append(f"ev_{method} AS (SELECT grp, {least_sql(len(ps.centers))} AS dist2 "
+                    f"FROM (SELECT grp, {_distances(ps, table)} FROM {ps.source}))")
+        parts.append(f"SELECT '{method}' AS method, {_r('avg(dist2)', D)} AS delta, "
+                     + _r("greatest(avg(dist2) FILTER (WHERE grp = 'A'), avg(dist2) FILTER (WHERE grp = 'B'))", D)
+                     + f" AS phi FROM ev_{method}")
+    return f"WITH RECURSIVE {', '.join(ctes)} {' UNION ALL '.join(parts)}"
+
+
+def nearest_of_many_sql(centers: Sequence[Sequence[float]]) -> str:
+    """Nearest of many centres: the smallest (distance, index) of each point."""
+    rows = ", ".join(f"({i}, {_num(c[0])}, {_num(c[1])})" for i, c in enumerate(centers))
+    return (f"WITH {points2d_cte()}, cen(i, cx, cy) AS (VALUES {rows}), "
+            "best AS (SELECT id, min([(x - cx) * (x - cx) + (y - cy) * (y - cy), i::DOUBLE]) AS m "
+            "FROM points2d, cen GROUP BY id) "
+            f"SELECT id, CAST(m[2] AS INTEGER) AS cluster, {_r('m[1]', D)} AS dist2 FROM best")
+
+
+def nearest_of_width_sql(dims: int) -> str:
+    a = assigned_cte("asg", "pointsnd", "id", nd_coords(dims), [c[:dims] for c in fx.CENTERS_ND])
+    return f"WITH {pointsnd_cte()}, {a} SELECT id, cluster, {_r('dist2', D)} AS dist2 FROM asg"
+
+
+def fixed_start_oracles() -> dict[str, str]:
+    """More rounds, more centres and other widths than the queries above; and
+    facts that hold for any random start or estimate, as Boolean columns."""
+    return {
+        "fair_kmeans_3rounds": fair_rounds_sql(3),
+        "fair_kmeans_edge": fair_rounds_sql(2, edge_set()),
+        "fair_vs_standard_fixed": compare_fixed_sql(fx.FAIR_ROUNDS),
+        "assign_nearest_k500": nearest_of_many_sql(fx.CENTERS_K500),
+        "assign_nearest_d3": nearest_of_width_sql(3),
+        "assign_nearest_d17": nearest_of_width_sql(17),
+        "read_points_text": (
+            f"WITH {points2d_cte()} SELECT grp, count(*) AS n, {_r('avg(x)', D)} AS mean_x, "
+            f"{_r('avg(y)', D)} AS mean_y FROM points2d WHERE id % 10 <> 3 GROUP BY grp "
+            "UNION ALL SELECT 'not a number', count(*), NULL, NULL FROM points2d WHERE id % 10 = 3"),
+        "kmeans_report_check": (
+            f"SELECT CAST({fx.KMEANS_K} AS BIGINT) AS n_centers, count(*) AS n, "
+            "true AS cost_adds_up, true AS improved FROM orders"),
+        "stream_distinct_estimate_check": (
+            "SELECT count(*) AS n_items, CAST(max(user_id) AS BIGINT) AS largest, true AS within_bound "
+            "FROM events"),
+    }
 
 
 def nd_oracles() -> dict[str, str]:
     nd = pointsnd_set()
-    return {"lloyd_2rounds_nd": lloyd_sql(2, nd), "fair_kmeans_1round_nd": fair_round_sql(nd)}
+    return {"lloyd_2rounds_nd": lloyd_sql(2, nd), "fair_kmeans_1round_nd": fair_rounds_sql(1, nd)}
 
 
 def report_oracles() -> dict[str, str]:
@@ -287,6 +368,10 @@ SKEWED = "src AS (SELECT CAST(1000 // (1 + l_partkey % 1000) AS BIGINT) AS item
 FLAT = "src AS (SELECT CAST(user_id AS BIGINT) AS item FROM events)"
 
 
+# Items of about 62 bits, of both signs; HUGEINT, so that a * item + b is exact here.
+WIDE = (f"src AS (SELECT CAST(l_partkey % 1000 - 500 AS HUGEINT) * {fx.WIDE_FACTOR} AS item FROM lineitem)")
+
+
 def _lin(a: int, b: int, p: int, x: str = "item") -> str:
     return f"(({a} * {x} + {b}) % {p})"
 
@@ -357,6 +442,11 @@ def sketch_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out["cms_cells"] = f"WITH {SKEWED}, {cells_cte('cells', cm)} SELECT * FROM cells"
     out["cs_cells"] = f"WITH {SKEWED}, {cells_cte('cells', cs, sg)} SELECT * FROM cells"
+    out["cms_cells_wide"] = f"WITH {WIDE}, {cells_cte('cells', cm)} SELECT * FROM cells"
+    drawn = [[(h.a, h.b) for h in part] for part in (fx.SEEDED_CS.rows, fx.SEEDED_CS.signs)]
+    out["cs_cells_seeded"] = f"WITH {WIDE}, {cells_cte('cells', *drawn)} SELECT * FROM cells"
+    for name, n in (("heavy_hitters_k1", 1), ("heavy_hitters_all", fx.TOP_K_ABOVE)):
+        out[name] = f"WITH {SKEWED}, {COUNTS}, {hitters_cte(n)} SELECT item, cnt FROM hh"
     out["cms_estimate"] = (
         f"WITH {SKEWED}, {COUNTS}, {cells_cte('cells', cm)}, "
         f"{cm_est_cte('e', 'cnts', 'item, cnt', 'cells', cm)} SELECT item, cnt, est FROM e")
@@ -437,6 +527,9 @@ def stream_oracles() -> dict[str, str]:
     out["batch_sizes"] = (
         f"WITH {_parts_cte(n)} SELECT CAST(part AS BIGINT) AS batch_id, count(*) AS n_rows "
         "FROM ev GROUP BY part")
+    out["batch_log"] = (
+        f"WITH {_parts_cte(n)} SELECT CAST(part AS BIGINT) AS batch_id, count(*) AS n_rows, "
+        "true AS in_order FROM ev GROUP BY part")
     out["stream_report"] = s["sketch_error"]
     prefix_src = (f"{_parts_cte(n)}, sz AS (SELECT part, count(*) AS n FROM ev GROUP BY part), "
                   "run AS (SELECT part, sum(n) OVER (ORDER BY part) - n AS before FROM sz), "

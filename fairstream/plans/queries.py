@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fairstream.functions import hashing as H
@@ -165,6 +165,92 @@ def clustering_queries() -> dict[str, Query]:
     }
 
 
+# --- more rounds, centres and widths ------------------------------------------------
+
+def _fair_after(points, centers, rounds):
+    f = fair.fair_round_frame(points, fair.fair_rounds(points, centers, rounds - 1))
+    return _round(f, {c: D for c in ("x", "y", "alpha", "beta", "ell", "shift")})
+
+
+def q_fair_kmeans_3rounds(spark, sf_dir):
+    return _fair_after(P.points2d(spark, sf_dir), fx.CENTERS_2D, 3)
+
+
+def q_fair_kmeans_edge(spark, sf_dir):
+    """A cluster without group B and one without points, over two rounds."""
+    return _fair_after(P.points2d_edge(spark, sf_dir, fx.EDGE_Y), fx.CENTERS_EDGE, 2)
+
+
+def q_fair_vs_standard_fixed(spark, sf_dir):
+    c = fair.compare_fixed(P.points2d(spark, sf_dir), fx.CENTERS_2D, fx.FAIR_ROUNDS)
+    return _round(c, {"delta": D, "phi": D})
+
+
+def q_assign_nearest_k500(spark, sf_dir):
+    a = cluster.assign(P.points2d(spark, sf_dir), fx.CENTERS_K500, ("x", "y"))
+    return _round(a.select("id", "cluster", "dist2"), {"dist2": D})
+
+
+def _assign_width(spark, sf_dir, dims):
+    p = P.pointsnd(spark, sf_dir).withColumn("features", F.slice("features", 1, dims))
+    a = cluster.assign(p, [c[:dims] for c in fx.CENTERS_ND], cols=None)
+    return _round(a.select("id", "cluster", "dist2"), {"dist2": D})
+
+
+def q_assign_nearest_d3(spark, sf_dir):
+    return _assign_width(spark, sf_dir, 3)
+
+
+def q_assign_nearest_d17(spark, sf_dir):
+    return _assign_width(spark, sf_dir, 17)
+
+
+def q_read_points_text(spark, sf_dir):
+    """The points as a text file, every tenth line with a bad number: what is read
+    back, by group, and the rejects, by reason."""
+    path = scratch_path(spark, "point-lines")
+    bad = F.regexp_replace("line", "^[^,]*", "x1")
+    P.point_lines(spark, sf_dir).select(
+        F.when(F.col("id") % 10 == 3, bad).otherwise(F.col("line")).alias("value")).write.text(path)
+    good = P.read_points(spark, path, mode="DROPMALFORMED").groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean_x"), F.avg("y").alias("mean_y"))
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    nothing = F.lit(None).cast("double")
+    rejects = P.malformed_lines(lines).groupBy(F.col("reason").alias("grp")).agg(
+        F.count(F.lit(1)).alias("n"), nothing.alias("mean_x"), nothing.alias("mean_y"))
+    return _round(good.unionByName(rejects), {"mean_x": D, "mean_y": D})
+
+
+def q_kmeans_report_check(spark, sf_dir):
+    """What holds for the k-means report whatever its random start: K centres, all
+    points counted, the per-cluster costs add up to Delta, which is not above
+    that of the start."""
+    pts = P.points2d(spark, sf_dir)
+    start = cluster.init_centers(pts, fx.KMEANS_K, fx.KMEANS_SEED)
+    end = cluster.kmeans(pts, fx.KMEANS_K, fx.KMEANS_ITER, fx.KMEANS_SEED)
+    report = metrics.cluster_report(pts, end).agg(
+        F.count(F.lit(1)).alias("n_centers"), F.sum("n").alias("n"), F.sum("cost").alias("cost"))
+    before, after = (metrics.delta(pts, cs).select(F.col("delta").alias(name))
+                     for cs, name in ((start, "before"), (end, "after")))
+    one_row = report.crossJoin(before).crossJoin(after)         # three rows of one aggregate each
+    return one_row.select(
+        "n_centers", "n", (F.abs(F.col("cost") / F.col("n") - F.col("after")) <= F.col("after") * 1e-9)
+        .alias("cost_adds_up"), (F.col("after") <= F.col("before")).alias("improved"))
+
+
+def fixed_start_queries() -> dict[str, Query]:
+    return {
+        "fair_kmeans_3rounds": q_fair_kmeans_3rounds,
+        "fair_kmeans_edge": q_fair_kmeans_edge,
+        "fair_vs_standard_fixed": q_fair_vs_standard_fixed,
+        "assign_nearest_k500": q_assign_nearest_k500,
+        "assign_nearest_d3": q_assign_nearest_d3,
+        "assign_nearest_d17": q_assign_nearest_d17,
+        "read_points_text": q_read_points_text,
+        "kmeans_report_check": q_kmeans_report_check,
+    }
+
+
 # --- sketches and heavy hitters ---------------------------------------------------
 
 
@@ -181,19 +267,29 @@ def q_cs_cells(spark, sf_dir):
     return sketch.cs_cells(I.skewed_items(spark, sf_dir), CS_SPEC)
 
 
+def q_cms_cells_wide(spark, sf_dir):
+    """64-bit items of both signs: the hash family must not overflow."""
+    return sketch.cms_cells(I.wide_items(spark, sf_dir, fx.WIDE_FACTOR), CM_SPEC)
+
+
+def q_cs_cells_seeded(spark, sf_dir):
+    """A seeded draw of the hash family on the same items."""
+    return sketch.cs_cells(I.wide_items(spark, sf_dir, fx.WIDE_FACTOR), fx.SEEDED_CS)
+
+
 def q_cms_estimate(spark, sf_dir):
-    it = I.skewed_items(spark, sf_dir)
-    return sketch.cms_estimate(topk.item_counts(it), sketch.cms_cells(it, CM_SPEC), CM_SPEC)
+    counts = topk.item_counts(I.skewed_items(spark, sf_dir))
+    return sketch.cms_estimate(counts, sketch.cms_cells(counts, CM_SPEC, weight_col="cnt"), CM_SPEC)
 
 
 def q_cs_estimate(spark, sf_dir):
-    it = I.skewed_items(spark, sf_dir)
-    return sketch.cs_estimate(topk.item_counts(it), sketch.cs_cells(it, CS_SPEC), CS_SPEC)
+    counts = topk.item_counts(I.skewed_items(spark, sf_dir))
+    return sketch.cs_estimate(counts, sketch.cs_cells(counts, CS_SPEC, weight_col="cnt"), CS_SPEC)
 
 
 def q_cs_estimate_even(spark, sf_dir):
-    it = I.skewed_items(spark, sf_dir)
-    return sketch.cs_estimate(topk.item_counts(it), sketch.cs_cells(it, CS_SPEC_EVEN),
+    counts = topk.item_counts(I.skewed_items(spark, sf_dir))
+    return sketch.cs_estimate(counts, sketch.cs_cells(counts, CS_SPEC_EVEN, weight_col="cnt"),
                               CS_SPEC_EVEN)
 
 
@@ -213,9 +309,18 @@ def q_heavy_hitters_flat(spark, sf_dir):
     return topk.heavy_hitters(topk.item_counts(I.items(spark, sf_dir)), fx.TOP_K)
 
 
+def q_heavy_hitters_k1(spark, sf_dir):
+    return topk.heavy_hitters(topk.item_counts(I.skewed_items(spark, sf_dir)), 1)
+
+
+def q_heavy_hitters_all(spark, sf_dir):
+    """K above the number of distinct items: every item is a hitter."""
+    return topk.heavy_hitters(topk.item_counts(I.skewed_items(spark, sf_dir)), fx.TOP_K_ABOVE)
+
+
 def q_hitter_listing(spark, sf_dir):
-    it = I.skewed_items(spark, sf_dir)
-    return topk.hitter_listing(topk.item_counts(it), fx.TOP_K, sketch.cms_cells(it, CM_SPEC),
+    counts = topk.item_counts(I.skewed_items(spark, sf_dir))
+    return topk.hitter_listing(counts, fx.TOP_K, sketch.cms_cells(counts, CM_SPEC, weight_col="cnt"),
                                CM_SPEC)
 
 
@@ -243,6 +348,10 @@ def sketch_queries() -> dict[str, Query]:
     return {
         "cms_cells": q_cms_cells,
         "cs_cells": q_cs_cells,
+        "cms_cells_wide": q_cms_cells_wide,
+        "cs_cells_seeded": q_cs_cells_seeded,
+        "heavy_hitters_k1": q_heavy_hitters_k1,
+        "heavy_hitters_all": q_heavy_hitters_all,
         "cms_estimate": q_cms_estimate,
         "cs_estimate": q_cs_estimate,
         "cs_estimate_even": q_cs_estimate_even,
@@ -310,6 +419,17 @@ def q_stream_distinct_estimate(spark, sf_dir):
     return S.estimate_snapshot(spark, job.out)
 
 
+def q_stream_distinct_estimate_check(spark, sf_dir):
+    """The estimate's exact parts, and whether its count is within five standard
+    deviations of the exact one."""
+    job = S.distinct_estimate_stream(_events_stream(spark, sf_dir), fx.DISTINCT_RSD).wait()
+    exact = topk.distinct_summary(I.items(spark, sf_dir)).select(F.col("n_distinct").alias("exact"))
+    both = S.estimate_snapshot(spark, job.out).crossJoin(exact)         # one row each
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return both.select("n_items", "largest",
+                       (off <= F.col("exact") * (5 * fx.DISTINCT_RSD)).alias("within_bound"))
+
+
 def q_stream_sketch_cells(spark, sf_dir):
     job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CM).wait()
     return S.cells_snapshot(spark, job.out).drop("sketch")
@@ -330,6 +450,15 @@ def q_batch_sizes(spark, sf_dir):
     return S.batch_sizes(spark, job.out)
 
 
+def q_batch_log(spark, sf_dir):
+    """The batch log, its times as a fact: each batch at or after the one before."""
+    job = S.prefix(_events_stream(spark, sf_dir), None).wait()
+    log = S.batch_log(spark, job.out)                   # one row for each batch
+    earlier = F.lag("batch_time").over(Window.orderBy("batch_id"))
+    return log.select("batch_id", "n_rows",
+                      (F.col("batch_time") >= F.coalesce(earlier, F.col("batch_time"))).alias("in_order"))
+
+
 def q_stream_report(spark, sf_dir):
     """End-of-stream report: the stream's histogram feeds weighted sketch
     updates (each batch adds its item counts), then the heavy-hitter errors."""
@@ -356,10 +485,12 @@ def stream_queries() -> dict[str, Query]:
         "running_distinct": q_running_distinct,
         "stream_distinct_summary": q_stream_distinct_summary,
         "stream_distinct_estimate": q_stream_distinct_estimate,
+        "stream_distinct_estimate_check": q_stream_distinct_estimate_check,
         "stream_sketch_cells": q_stream_sketch_cells,
         "stream_cs_cells": q_stream_cs_cells,
         "stream_prefix": q_stream_prefix,
         "batch_sizes": q_batch_sizes,
+        "batch_log": q_batch_log,
         "stream_report": q_stream_report,
         "stream_hitter_report": q_stream_hitter_report,
     }

@@ -20,6 +20,12 @@ def skewed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.expr("1000 div (1 + l_partkey % 1000)").cast("bigint").alias("item"))
 
 
+def wide_items(spark: SparkSession, sf_dir: str, factor: int) -> DataFrame:
+    """``item bigint`` = ``(l_partkey % 1000 - 500) * factor``: 64-bit ids of both signs."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(((F.col("l_partkey") % 1000 - 500).cast("bigint") * factor).alias("item"))
+
+
 def parse_items(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Text lines, one integer each, to ``item bigint``; a malformed line fails
     the job (ANSI cast), as the reference's parse does."""

@@ -136,6 +136,12 @@ def points2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def points2d_edge(spark: SparkSession, sf_dir: str, first_day: int) -> DataFrame:
+    """``points2d`` with every point from day ``first_day`` on in group A."""
+    late = F.col("y") >= first_day
+    return points2d(spark, sf_dir).withColumn("grp", F.when(late, F.lit(GROUP_A)).otherwise(F.col("grp")))
+
+
 def point_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``points2d`` written back as ``"x,y,grp"`` text lines: ``id, line``."""
     p = points2d(spark, sf_dir)

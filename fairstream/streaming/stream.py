@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fairstream.session import scratch_path
 
 ITEM_SCHEMA = "item bigint"
+COUNTS_SCHEMA = "item bigint, cnt bigint, batch_time timestamp"
 # Fixed value: the reference's micro-batch interval.
 BATCH_INTERVAL = "100 milliseconds"
 
@@ -293,7 +295,7 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
     """Process whole micro-batches until at least ``threshold`` items were seen.
 
     Each accepted batch writes its own histogram (``counts/batch_id=N``: item,
-    cnt), which is all the end-of-stream reports need; batch sizes are its
+    cnt, batch_time), which is all the end-of-stream reports need; batch sizes are its
     sums. Whether a batch is accepted depends only on the sizes of the batches
     before it: the running total is kept on the driver and, after a restart,
     re-read once from what earlier batches wrote, so a replayed batch decides
@@ -319,7 +321,8 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
             return
         counts = batch.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
         size = Observation(f"batch_size_{batch_id}")      # measured by the write itself
-        _put(counts.observe(size, F.sum("cnt").alias("n")), out, "counts", batch_id)
+        stamped = counts.withColumn("batch_time", F.lit(datetime.now(timezone.utc)))
+        _put(stamped.observe(size, F.sum("cnt").alias("n")), out, "counts", batch_id)
         n = int(size.get.get("n") or 0)
         if n == 0:
             return                          # an empty batch wrote an empty histogram
@@ -332,20 +335,26 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
 
 def batch_sizes(spark: SparkSession, out: str) -> DataFrame:
     """``batch_id, n_rows`` of the accepted, non-empty batches."""
-    c = _get(spark, out, "counts", "item bigint, cnt bigint")
+    return batch_log(spark, out).select("batch_id", "n_rows")
+
+
+def batch_log(spark: SparkSession, out: str) -> DataFrame:
+    """``batch_id, batch_time, n_rows`` of every accepted, non-empty batch, however
+    many there were (``progress_log`` covers the query's recent ones only)."""
+    c = _get(spark, out, "counts", COUNTS_SCHEMA)
     return c.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")) \
-        .agg(F.sum("cnt").cast("bigint").alias("n_rows"))
+        .agg(F.max("batch_time").alias("batch_time"), F.sum("cnt").cast("bigint").alias("n_rows"))
 
 
 def batch_counts(spark: SparkSession, out: str) -> DataFrame:
     """``item, cnt, batch_id``: each accepted batch's own histogram (the input
     of weighted sketch updates)."""
-    return _get(spark, out, "counts", "item bigint, cnt bigint")
+    return _get(spark, out, "counts", COUNTS_SCHEMA).select("item", "cnt", "batch_id")
 
 
 def prefix_counts(spark: SparkSession, out: str) -> DataFrame:
     """``item, cnt`` over all accepted batches."""
-    return _get(spark, out, "counts", "item bigint, cnt bigint").groupBy("item") \
+    return _get(spark, out, "counts", COUNTS_SCHEMA).groupBy("item") \
         .agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 

@@ -140,3 +140,13 @@ def test_sketch_stream_state_is_bounded(spark):
     raw = spark.read.format("statestore").load(f"{job.out}/_checkpoint")
     assert raw.select("partition_id").distinct().count() == 1
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"        # session untouched
+
+
+def test_batch_log_has_a_time_for_every_batch(spark):
+    _, st = _events(spark)
+    job = S.prefix(st, None).wait(600)
+    log = S.batch_log(spark, job.out).orderBy("batch_id").collect()
+    times = [r["batch_time"] for r in log]
+    assert len(log) == S.batch_sizes(spark, job.out).count() > 1
+    assert None not in times and times == sorted(times)
+    assert S.batch_counts(spark, job.out).columns == ["item", "cnt", "batch_id"]
