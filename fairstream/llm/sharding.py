@@ -1,16 +1,18 @@
 """Sharding by a two-pass external shuffle, in DataFrame functions only.
 
 Pass 1 scatters the records into memory-sized buckets with seeded hashes: the
-shard comes from rendezvous hashing of the key, a second hash spreads a shard
-over as many buckets as its size asks for. Pass 2 takes each bucket whole,
-puts it in a fixed order and shuffles it (Fisher-Yates, ``functions.shuffle``).
-A bucket is one Spark partition, addressed by its number, so its seed and with
-it the result do not depend on the cluster.
+shard comes from rendezvous hashing of the key, a second hash of the whole record
+and its copy number spreads a shard over as many buckets as its size asks for, so
+neither a hot key nor a record repeated many times fills one bucket. Pass 2 takes
+each bucket whole, puts it in a fixed order, shuffles it (Fisher-Yates,
+``functions.shuffle``) and writes it. A bucket is one Spark partition, addressed
+by its number, so its seed and with it the result do not depend on the cluster.
 
 The law is ``key``: key and shard count alone decide, and a further shard
 takes rows only into itself. Defined results: rows with one key (a null key
 too) share a shard; repeated rows keep one slot each; an empty table gives no
-rows; input columns with the name of a result are replaced.
+rows; input columns with the name of a result are replaced; columns must be of
+types that Spark can group by.
 """
 
 from __future__ import annotations
@@ -20,9 +22,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairstream.llm.shared import drop_clashing
+from fairstream.llm.shared import drop_clashing, materialize
 
 RESULTS = ["shard", "grown_shard", "bucket", "slot", "law"]
+#: Copies of one record that are laid out from one row.
+COPY_BLOCK = 1 << 16
 
 
 def _winner(key: str, shards: int, seed: int) -> Column:
@@ -32,15 +36,27 @@ def _winner(key: str, shards: int, seed: int) -> Column:
     return F.array_max(bids)
 
 
-def scatter(df: DataFrame, key: str, shards: int, parts: int, seed: int) -> DataFrame:
-    """Pass 1: ``shard``, ``grown_shard`` (with one more shard) and ``bucket``."""
+def scatter(df: DataFrame, key: str, shards: int, seed: int) -> DataFrame:
+    """Pass 1, the law: ``shard`` and ``grown_shard`` (with one more shard)."""
     best = drop_clashing(df, RESULTS).withColumn("_best", _winner(key, shards, seed))
     more = F.xxhash64(F.col(key), F.lit(shards), F.lit(seed))
-    part = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(parts)).cast("int")
     return best.select(
         "*", F.col("_best.shard").alias("shard"),
         F.when(more > F.col("_best.bid"), F.lit(shards)).otherwise(F.col("_best.shard")).alias("grown_shard"),
-        (F.col("_best.shard") * parts + part).alias("bucket")).drop("_best")
+    ).drop("_best")
+
+
+def number_copies(records: DataFrame) -> DataFrame:
+    """``records`` plus ``_copy``, which numbers the copies of equal records from 0.
+
+    Equal records are counted (merged map-side) and laid out again in blocks, so
+    a record that fills a third of the table is no hot group on either side."""
+    n = F.col("_n")
+    blocks = records.groupBy(*records.columns).agg(F.count("*").alias("_n")).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / COPY_BLOCK))).alias("_block"))
+    first = F.col("_block") * COPY_BLOCK
+    return blocks.select(
+        *records.columns, F.explode(F.sequence(first, F.least(first + COPY_BLOCK, n) - 1)).alias("_copy"))
 
 
 def shuffle_shards(df: DataFrame, key: str, shards: int = 40, seed: int = 17,
@@ -48,23 +64,32 @@ def shuffle_shards(df: DataFrame, key: str, shards: int = 40, seed: int = 17,
     """``df`` plus ``shard``, ``grown_shard``, ``bucket``, ``slot`` and ``law``.
 
     ``record_bytes`` is the mean size of a record in memory; it and
-    ``bucket_bytes`` set the number of buckets, never the shard of a row.
+    ``bucket_bytes`` set the number of buckets of a shard, never the shard of a row.
     """
-    rows = df.count()
-    parts = max(1, math.ceil(rows * record_bytes / (shards * bucket_bytes)))
-    records = scatter(df, key, shards, parts, seed)
+    scattered = scatter(df, key, shards, seed)
+    sizes = {r["shard"]: r["n"] for r in                             # at most ``shards`` rows
+             scattered.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    parts = [max(1, math.ceil(sizes.get(s, 0) * record_bytes / bucket_bytes)) for s in range(shards)]
+    offsets = [sum(parts[:s]) for s in range(shards)]
+
+    def of_shard(values: list[int]) -> Column:
+        return F.get(F.array(*map(F.lit, values)), F.col("shard"))
+
+    mixed = F.xxhash64(F.lit(seed + 1), *scattered.columns, "_copy")
+    bucket = (of_shard(offsets) + F.pmod(mixed, of_shard(parts))).cast("int")
+    records = number_copies(scattered).withColumn("bucket", bucket).drop("_copy")
     columns = [c for c in records.columns if c not in ("shard", "bucket")]
     buckets = (
-        records.repartitionById(shards * parts, F.col("bucket"))
+        records.repartitionById(sum(parts), F.col("bucket"))
         .groupBy("bucket", "shard")
-        .agg(F.shuffle(F.sort_array(F.collect_list(F.struct(*columns))), seed).alias("_rows")))
-    before = (
-        records.groupBy("bucket", "shard").agg(F.count("*").alias("_n"))
-        .select("bucket", (F.sum("_n").over(_earlier()) - F.col("_n")).alias("_before")))
-    placed = buckets.join(before, "bucket").select(
-        "bucket", "shard", "_before", F.posexplode("_rows").alias("_at", "_row"))
-    return placed.select("_row.*", "shard", "bucket", (F.col("_before") + F.col("_at")).alias("slot"),
-                         F.lit("key").alias("law"))
+        .agg(F.shuffle(F.sort_array(F.collect_list(F.struct(*columns))), seed).alias("_rows"))
+        .withColumn("_n", F.size("_rows").cast("long")))
+    placed = materialize(buckets, "buckets")
+    before = placed.select("bucket", (F.sum("_n").over(_earlier()) - F.col("_n")).alias("_before"))
+    return placed.drop("_n").join(before, "bucket").select(
+        "bucket", "shard", "_before", F.posexplode("_rows").alias("_at", "_row"),
+    ).select("_row.*", "shard", "bucket", (F.col("_before") + F.col("_at")).alias("slot"),
+             F.lit("key").alias("law"))
 
 
 def _earlier():
