@@ -39,7 +39,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
 #: A DER sequence of two length bytes or fewer starts so; wrapped lines are one candidate.
-_B64 = re.compile(r"(?:M[A-P]|b3BlbnNza)[A-Za-z0-9+/_-]{30,}(?:\r?\n[A-Za-z0-9+/_-]{4,})*={0,2}")
+#: A further line holds no blank and is no PEM footer.
+_B64 = re.compile(r"(?:M[A-P]|b3BlbnNza)[A-Za-z0-9+/_-]{30,}(?:\r?\n(?!-----)[A-Za-z0-9+/_-]{4,}+(?!\x20))*={0,2}")
 _HEX_DER = re.compile(r"30(?:[0-9A-Fa-f]{2}){31,}")
 
 FIELDS = [
@@ -140,14 +141,26 @@ def base_spans(text: str) -> Iterator[Span]:
     yield from (("hex", *m.span()) for m in _HEX.finditer(text))
 
 
+def _encoded_end(found: re.Match, n_bytes: int) -> int:
+    """Where the base64 characters of the first ``n_bytes`` bytes (and padding) end."""
+    left = -(-n_bytes * 4 // 3)
+    for m in re.finditer(r"[^\r\n=]+", found[0]):
+        if left <= m.end() - m.start():
+            end = found.start() + m.start() + left
+            pad = re.compile("={0,2}").match(found.string, end, found.end())
+            return pad.end() if pad else end
+        left -= m.end() - m.start()
+    return found.end()
+
+
 def structural_spans(text: str) -> Iterator[Span]:
     """Candidates that decode and parse."""
     if "eyJ" in text:
         yield from (("jwt", *m.span()) for m in _JWT.finditer(text) if signed_token(m[0]))
     for m in _B64.finditer(text):
         data = _unbase64(m[0])
-        if data and data[0] == 0x30 and key_length(data):
-            yield ("der", *m.span())
+        if data and data[0] == 0x30 and (length := key_length(data)):
+            yield ("der", m.start(), _encoded_end(m, length))
         elif data and openssh_key(data):
             yield ("openssh", *m.span())
     for m in _HEX_DER.finditer(text):
