@@ -38,6 +38,8 @@ from fairstream.llm.shared import add_arrow_columns, materialize, text_bytes
 SHINGLE, RADIUS, SEED = 4, 4, 42
 BLOCKS = 6
 SHARD_LIMIT = 1024
+#: A fingerprint with more than one in so many rows is joined by broadcast.
+HOT_SHARE = 1000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _CHUNK = 1 << 15
@@ -212,16 +214,28 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """(_fp, component_id, keeper): for each distinct fingerprint of ``prints`` the
-    smallest id of its component, and the fingerprint that holds it."""
+    """(_fp, copies, component_id, keeper): for each distinct fingerprint of ``prints``
+    its number of rows, the smallest id of its component, and the fingerprint that holds it."""
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_fp").alias("fp")))
-    distinct = materialize(prints.groupBy("_fp").agg(first.alias("first")), "fingerprints")
+    distinct = materialize(prints.groupBy("_fp").agg(first.alias("first"), F.count("*").alias("copies")),
+                           "fingerprints")
     roots = components(links(distinct.select("_fp"), radius))
     linked = roots.join(distinct, roots["node"] == distinct["_fp"]).select("_fp", "root", "first")
     best = linked.groupBy("root").agg(F.min("first").alias("best"))
     named = linked.join(best, "root").select("_fp", "best")
-    every = distinct.join(named, "_fp", "left").select("_fp", F.coalesce("best", "first").alias("best"))
-    return every.select("_fp", F.col("best.id").alias("component_id"), F.col("best.fp").alias("keeper"))
+    every = distinct.join(named, "_fp", "left").select("_fp", "copies", F.coalesce("best", "first").alias("best"))
+    return every.select("_fp", "copies", F.col("best.id").alias("component_id"), F.col("best.fp").alias("keeper"))
+
+
+def join_classes(prints: DataFrame, named: DataFrame, share: int = HOT_SHARE) -> DataFrame:
+    """``prints`` with their classes. A fingerprint with more than one in ``share``
+    of all rows is hot: there are fewer than ``share`` of these, so they are
+    broadcast, and only the rows of the others meet their class in a shuffle."""
+    rows = prints.count()
+    hot = F.broadcast(named.filter(F.col("copies") * share > rows))
+    cold = named.filter(F.col("copies") * share <= rows)
+    return prints.join(hot, "_fp").unionByName(
+        prints.join(hot.select("_fp"), "_fp", "left_anti").join(cold, "_fp"))
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -229,7 +243,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     """(id, fingerprint as 16 hex digits, component_id) of every document."""
     small = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     prints = materialize(add_fingerprints(small, "_text", drop=("_text",)), "prints")
-    named = prints.join(classes(prints, "_id", radius), "_fp")
+    named = join_classes(prints, materialize(classes(prints, "_id", radius), "classes"))
     return named.select(F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
 

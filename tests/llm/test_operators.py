@@ -125,6 +125,20 @@ def test_sharding_law_slots_and_repeatability(spark, none):
     assert sharding.shuffle_shards(none, "doc_id").count() == 0
 
 
+def test_sharding_spreads_hot_keys_and_repeated_records(spark):
+    """A key with two thirds of the rows, half of them equal records: one shard, many buckets."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") < 4000, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("size"))
+    out = sharding.shuffle_shards(df, "doc_id", 5, record_bytes=64, bucket_bytes=6400).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in out) == Counter(tuple(r) for r in df.collect())
+    assert len({r["shard"] for r in out if r["doc_id"] == 7}) == 1
+    assert max(Counter(r["bucket"] for r in out).values()) < 200        # 100 are asked for
+    for shard in range(5):
+        slots = sorted(r["slot"] for r in out if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
 # --- decontamination ---------------------------------------------------------
 
 def test_decontamination_against_brute_force(spark, docs, none):
@@ -179,7 +193,12 @@ def test_secret_spans():
     kinds = lambda t: [k for k, _, _ in secret_scan.find(t)]
     assert kinds(f"x {token} y") == ["jwt"] and kinds("x " + token.replace("eyJh", "eyJx") + " y") == []
     assert kinds(f"é\n{pem}\n") == ["der"] and secret_scan.find(f"é {pem}")[0][1] == 2
+    for after in ("", "\n", "\n-----END PRIVATE KEY-----", "\nThence on", "\nABCDEFGH"):     # the key alone
+        assert secret_scan.find(f"é {pem}{after}") == [("der", 2, 2 + len(pem))]
+        bare = pem.rstrip("=")
+        assert secret_scan.find(f"é {bare}{after}") == [("der", 2, 2 + len(bare))]
     assert kinds(base64.b64encode(key[:-3]).decode()) == [] and kinds(ssh) == ["openssh"]
+    assert secret_scan.find(ssh.rstrip("=") + "\n-----END")[0][2] == len(ssh.rstrip("="))
     assert "der" in kinds(key.hex()) and "hex" in kinds(key.hex())
     assert secret_scan.find('Token = "abcdefghijkl"') == [("assign", 0, 21)]
     assert kinds("secret:token:abcdefabcdefgh") == [] and kinds("to\u212Aen=abcdefghijkl") == []
@@ -316,6 +335,14 @@ def test_near_duplicates_and_keep_one(docs, none):
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
+def test_hot_fingerprints_are_named_like_the_others(docs):
+    prints = simhash.add_fingerprints(docs.select("doc_id", "text"), drop=("text",))
+    named = simhash.classes(prints)
+    want = sorted(map(str, prints.join(named, "_fp").collect()))
+    for share in (1, 8, 1000):                  # none, some and all of them hot
+        assert sorted(map(str, simhash.join_classes(prints, named, share).collect())) == want
+
+
 # --- warc --------------------------------------------------------------------
 
 def test_warc_round_trip(spark):
