@@ -397,6 +397,12 @@ def _skewed_stream(spark, sf_dir):
     return S.file_stream(spark, path, "item bigint, l_orderkey bigint, part int")
 
 
+def land_streams(spark, sf_dir):
+    """Write the landing folders of the stream queries, so that timing them does not count it."""
+    _events_stream(spark, sf_dir)
+    _skewed_stream(spark, sf_dir)
+
+
 def q_running_counts(spark, sf_dir):
     job = S.running_counts(_events_stream(spark, sf_dir)).wait()
     return S.counts_snapshot(spark, job.out)
