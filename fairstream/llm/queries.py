@@ -62,11 +62,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    placed = sharding.shuffle_shards(docs, "doc_id", SHARDS)        # whole documents, written and read back
     text = F.coalesce(F.col("text"), F.lit(""))
-    records = docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
-                          F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    return sharding.shuffle_shards(records, "doc_id", SHARDS).select(
-        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return placed.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+                         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+                         "law", "shard", "slot", "grown_shard")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

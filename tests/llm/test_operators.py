@@ -139,6 +139,32 @@ def test_sharding_spreads_hot_keys_and_repeated_records(spark):
         assert slots == list(range(len(slots)))
 
 
+def test_sharding_moves_whole_documents_in_buckets_of_real_bytes(spark, tmp_path, monkeypatch):
+    from fairstream.llm import queries
+    df = spark.range(400).select(
+        F.when(F.col("id") < 100, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.repeat(F.when(F.col("id") < 100, "x").otherwise(F.col("id").cast("string")), 2000).alias("text"),
+        F.lit("en").alias("lang"))
+    out = sharding.shuffle_shards(df, "doc_id", 4, bucket_bytes=50_000)
+    rows = out.collect()
+    assert Counter((r["doc_id"], r["text"], r["lang"]) for r in rows) == Counter(tuple(r) for r in df.collect())
+    held = Counter()
+    for r in rows:
+        held[r["bucket"]] += len(r["text"])
+    assert max(held.values()) < 150_000         # 50,000 are asked for; the copies alone are 200,000
+
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    written = []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda b, path: (written.append(path), write(b, path)))
+    got = queries.op7_sharding(spark, str(tmp_path)).collect()
+    kept = spark.read.parquet(*written)
+    assert Counter(tuple(r) for r in kept.select("doc_id", "text", "lang").collect()) == \
+        Counter(tuple(r) for r in df.collect())
+    assert {r["shard"] for r in got} == {r["shard"] for r in kept.select("shard").collect()}
+    assert all(r["size"] == 16 + 2000 * (1 if r["doc_id"] == 1 else len(str(r["doc_id"]))) for r in got)
+
+
 # --- decontamination ---------------------------------------------------------
 
 def test_decontamination_against_brute_force(spark, docs, none):
