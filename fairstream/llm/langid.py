@@ -7,7 +7,8 @@ whose dictionary gives the fewest bytes wins. A narrow margin is rejected.
 
 The dictionaries come from a bounded sample: at most ``sample_rows`` slices of
 ``slice_chars`` characters for each language, drawn by a hash of the text over
-all labelled rows. Every text is then classified whole, map-only.
+all distinct labelled texts, so copies take no other text's place. Every text is
+then classified whole, map-only.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and
 rejected; equal sizes go to the language that sorts first; without any labelled
@@ -54,16 +55,18 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """The dictionary of each language, from rows with a text and a language."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
         "lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).take(MAX_LANGUAGES + 1)}
+    rows = rows.withColumn("_text", F.xxhash64("text"))
+    distinct = rows.groupBy("lang", "_text").agg(F.lit(1)).groupBy("lang").agg(F.count("*").alias("n"))
+    counts = {r["lang"]: r["n"] for r in distinct.take(MAX_LANGUAGES + 1)}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return {}
-    # Twice the sample is expected below the limit, so that enough remain once copies are merged.
+    # Twice the sample is expected below the limit: copies are counted once and drawn together.
     limit = F.lit(0)
     for lang, n in sorted(counts.items()):
         limit = F.when(F.col("lang") == lang, F.lit(min(_RANGE, 2 * sample_rows * _RANGE // n))).otherwise(limit)
-    drawn = rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(_RANGE))).filter(F.col("h") < limit)
+    drawn = rows.withColumn("h", F.pmod("_text", F.lit(_RANGE))).filter(F.col("h") < limit)
     room = F.greatest(F.char_length("text") - slice_chars, F.lit(0)) + 1
     start = F.pmod(F.xxhash64("h", F.lit(1)), room).cast("int") + 1
     slices = drawn.groupBy("lang", "h", F.substr("text", start, F.lit(slice_chars)).alias("slice")).agg(F.lit(1))

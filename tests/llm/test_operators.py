@@ -265,6 +265,17 @@ def test_language_accuracy_on_held_out_rows(spark, none):
     assert langid.learn(none.withColumn("lang", F.lit("x"))) == {} and langid.classify(none, {}).count() == 0
 
 
+def test_language_sample_counts_copies_once(spark):
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    few = spark.range(400).select(F.lit("few").alias("lang"), F.concat(F.lit("q"), letters).alias("text"))
+    copies = spark.range(30_000).select(F.lit("few").alias("lang"), F.lit("one text again").alias("text"))
+    tiny = spark.range(2000).select(F.lit("tiny").alias("lang"), F.concat(
+        F.lit("z"), F.when(F.col("id") < 20, letters).otherwise("")).alias("text"))
+    model = langid.learn(few.union(copies).union(tiny))
+    assert len(set(model["few"].split()) - {b"one", b"text", b"again"}) >= langid.SAMPLE_ROWS - 1
+    assert len(set(model["tiny"].split())) == 21                # all of its distinct texts
+
+
 # --- substring ---------------------------------------------------------------
 
 def test_substring_against_brute_force(spark, docs, none):
