@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -38,10 +39,16 @@ _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
-#: A DER sequence of two length bytes or fewer starts so; wrapped lines are one candidate.
+#: A DER sequence of two length bytes or fewer starts so; wrapped lines are one run.
 #: A further line holds no blank and is no PEM footer.
 _B64 = re.compile(r"(?:M[A-P]|b3BlbnNza)[A-Za-z0-9+/_-]{30,}(?:\r?\n(?!-----)[A-Za-z0-9+/_-]{4,}+(?!\x20))*={0,2}")
-_HEX_DER = re.compile(r"30(?:[0-9A-Fa-f]{2}){31,}")
+_B64_START = re.compile(r"(?=M[A-P]|b3BlbnNza)")
+_LINE_END = re.compile(r"[\r\n=]+")
+_HEX_DER = re.compile(r"30[0-9A-Fa-f]{62,}")
+_HEX_START = re.compile(r"(?=30)")
+_PADDING = re.compile("={0,2}")
+#: A structure of fewer bytes is no candidate.
+_LEAST = 24
 
 FIELDS = [
     T.StructField("secret_spans", T.ArrayType(T.StructType([
@@ -105,20 +112,31 @@ def key_length(data: bytes) -> int | None:
     return outer[2]
 
 
-def openssh_key(data: bytes) -> bool:
-    """``openssh-key-v1``: cipher, kdf, options, key count, then the public keys."""
+def openssh_length(data: bytes) -> int | None:
+    """Bytes of the ``openssh-key-v1`` container that ``data`` begins with, or None:
+    cipher, kdf, options, key count, the public keys, then the private part. All of
+    ``data`` if it ends before the container does."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return None
     at, fields = len(magic), []
     for _ in range(3):
         n = int.from_bytes(data[at:at + 4], "big")
         fields.append(data[at + 4:at + 4 + n])
         at += 4 + n
         if at + 4 > len(data):
-            return False
+            return None
+    keys = int.from_bytes(data[at:at + 4], "big")
     n = int.from_bytes(data[at + 4:at + 8], "big")
-    return bool(fields[0]) and 1 <= int.from_bytes(data[at:at + 4], "big") <= 64 and at + 8 + n <= len(data)
+    if not fields[0] or not 1 <= keys <= 64 or at + 8 + n > len(data):
+        return None
+    at += 4
+    for _ in range(keys + 1):
+        if at + 4 > len(data):
+            return len(data)
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+    at += 16 * (b"gcm" in fields[0] or b"poly1305" in fields[0])        # the tag follows
+    return min(at, len(data))
 
 
 def signed_token(text: str) -> bool:
@@ -141,31 +159,97 @@ def base_spans(text: str) -> Iterator[Span]:
     yield from (("hex", *m.span()) for m in _HEX.finditer(text))
 
 
-def _encoded_end(found: re.Match, n_bytes: int) -> int:
-    """Where the base64 characters of the first ``n_bytes`` bytes (and padding) end."""
-    left = -(-n_bytes * 4 // 3)
-    for m in re.finditer(r"[^\r\n=]+", found[0]):
-        if left <= m.end() - m.start():
-            end = found.start() + m.start() + left
-            pad = re.compile("={0,2}").match(found.string, end, found.end())
-            return pad.end() if pad else end
-        left -= m.end() - m.start()
-    return found.end()
+def _structures(starts: Iterator[int], n_units: int, decode: Callable[[int, int | None], bytes],
+                units: Callable[[int], int]) -> Iterator[tuple[str, int, int]]:
+    """Kind, start and end of the structures of one run of ``n_units`` characters.
+
+    ``decode(at, n)`` gives the first ``n`` bytes (None: all) from a character on,
+    ``units(n)`` the characters of ``n`` bytes. The search goes on behind a structure
+    that is whole (a public key or a certificate too), else at the next start. Only
+    what its header claims is decoded, so a long run costs no more than its length."""
+    after = 0
+    for at in starts:
+        if at < after:
+            continue
+        head = decode(at, 16)
+        if head.startswith(b"openssh-key-v1"):
+            data = decode(at, None)
+            if length := openssh_length(data):
+                end = min(n_units, at + units(length))
+                yield "openssh", at, end
+                if length < len(data):
+                    after = end
+            continue
+        n = _claimed(head)
+        if n is None or n < _LEAST or at + units(n) > n_units:
+            continue
+        data = decode(at, n)
+        if length := key_length(data):
+            yield "der", at, at + units(length)
+        elif not _fills(data, 0, n):
+            continue
+        after = at + units(n)
+
+
+def _claimed(head: bytes) -> int | None:
+    """Bytes of the DER sequence that opens with ``head`` and whose first value is a
+    sequence, too, or a version; None if there is none."""
+    if len(head) < 8 or head[0] != 0x30:
+        return None
+    width = head[1] & 127 if head[1] >= 128 else 0
+    if head[1] == 128 or width > 4 or head[2 + width] not in (0x02, 0x30):
+        return None
+    return 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
+
+
+def _base64_spans(text: str) -> Iterator[Span]:
+    for run in _B64.finditer(text):
+        lines, flat, total = [], [], 0      # where each line starts in the text and in the flat run
+        last = run.start()
+        for m in (*_LINE_END.finditer(text, run.start(), run.end()), None):
+            end = m.start() if m else run.end()
+            if end > last:
+                lines.append((total, last))
+                flat.append(text[last:end])
+                total += end - last
+            last = m.end() if m else end
+        whole = "".join(flat).replace("-", "+").replace("_", "/")
+
+        def decode(at: int, n: int | None) -> bytes:
+            part = whole[at:] if n is None else whole[at:at + -(-n * 4 // 3)]
+            part = part[:len(part) - (len(part) % 4 == 1)]
+            return base64.b64decode(part + "=" * (-len(part) % 4))[:n]
+
+        def place(at: int) -> int:
+            k = bisect.bisect_right(lines, (at, 1 << 60)) - 1
+            return lines[k][1] + at - lines[k][0]
+
+        starts = (m.start() for m in _B64_START.finditer(whole))
+        for kind, a, b in _structures(starts, total, decode, lambda n: -(-n * 4 // 3)):
+            end = place(b - 1) + 1
+            yield kind, place(a), _PADDING.match(text, end, run.end()).end()
+
+
+def _hex_spans(text: str) -> Iterator[Span]:
+    for run in _HEX_DER.finditer(text):
+        whole = run[0]
+
+        def decode(at: int, n: int | None) -> bytes:
+            part = whole[at:] if n is None else whole[at:at + 2 * n]
+            return bytes.fromhex(part[:len(part) & ~1])
+
+        starts = (m.start() for m in _HEX_START.finditer(whole))
+        for kind, a, b in _structures(starts, len(whole), decode, lambda n: 2 * n):
+            if kind == "der":
+                yield kind, run.start() + a, run.start() + b
 
 
 def structural_spans(text: str) -> Iterator[Span]:
     """Candidates that decode and parse."""
     if "eyJ" in text:
         yield from (("jwt", *m.span()) for m in _JWT.finditer(text) if signed_token(m[0]))
-    for m in _B64.finditer(text):
-        data = _unbase64(m[0])
-        if data and data[0] == 0x30 and (length := key_length(data)):
-            yield ("der", m.start(), _encoded_end(m, length))
-        elif data and openssh_key(data):
-            yield ("openssh", *m.span())
-    for m in _HEX_DER.finditer(text):
-        if length := key_length(bytes.fromhex(m[0])):
-            yield ("der", m.start(), m.start() + 2 * length)
+    yield from _base64_spans(text)
+    yield from _hex_spans(text)
 
 
 def find(text: str) -> list[Span]:

@@ -8,6 +8,7 @@ import json
 import os
 import random
 import re
+import time
 import zipfile
 from collections import Counter
 
@@ -234,6 +235,46 @@ def test_secret_spans():
     assert secret_scan.mask(t, secret_scan.find(t)) == "a [assign removed] b"
 
 
+def test_secrets_behind_other_structures():
+    b64 = lambda x: base64.b64encode(x).decode()
+    integer = der(2, b"\x01" * 64)
+    oid = der(0x30, der(6, b"\x2b\x65\x70"))
+    ec = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a" * 7) + der(6, b"\x2a" * 8)) + der(4, b"\x05" * 108))
+    ed = der(0x30, der(2, b"\0") + oid + der(4, der(4, b"\x07" * 32)))
+    assert len(ec) % 3 == len(ed) % 3 == 0                              # no padding
+    for first, second in ((ec, ec), (ed, ed), (ec, ed), (ed, ec)):
+        a, b = b64(first), b64(second)
+        for line in ("\n", "\r\n", ""):
+            at = 2 + len(a) + len(line)
+            assert secret_scan.find(f"é {a}{line}{b}\n") == [("der", 2, 2 + len(a)), ("der", at, at + len(b))]
+    public = der(0x30, der(0x30, der(6, b"\x2a" * 9) + der(5, b"")) + der(3, b"\0" + b"\x09" * 270))
+    rsa = der(0x30, der(2, b"\0") + integer + der(2, b"\1\0\1") + integer)
+    lead = b64(public).rstrip("=")
+    for key in (ed, ec, rsa):
+        own = b64(key)
+        at = len(lead) + 1
+        assert secret_scan.find(f"{lead}\n{own}") == [("der", at, at + len(own))]
+        wrapped = "\n".join(own[i:i + 64] for i in range(0, len(own), 64))
+        assert secret_scan.find(f"{lead}\n{wrapped}\n-----END")[-1][1:] == (at, at + len(wrapped))
+    noise = "MIIB" + "Q" * 60                                           # a header that nothing fills
+    assert secret_scan.find(f"{noise}\n{b64(ed)}") == [("der", 65, 65 + 64)]
+    ssh = b"openssh-key-v1\0" + b"\0\0\0\4none\0\0\0\4none\0\0\0\0\0\0\0\1\0\0\0\4abcd" + b"\0\0\0\x0a" + b"p" * 10
+    one = b64(ssh).rstrip("=")
+    assert secret_scan.find(f"{one}\n{b64(ed)}") == [
+        ("openssh", 0, len(one)), ("der", len(one) + 1, len(one) + 65)]
+    for before in ("a0", "a", "30", "3082ffff" + "0" * 60):
+        assert ("der", len(before), len(before) + 2 * len(ed)) in secret_scan.find(before + ed.hex() + "30")
+    two = ed.hex() + ec.hex()
+    assert [s for s in secret_scan.find(two) if s[0] == "der"] == [("der", 0, 96), ("der", 96, len(two))]
+    long = lambda tag, body: bytes([tag, 0x81, len(body)]) + body
+    request = long(0x30, long(0x30, der(2, b"\0") + der(0x30, b"\5\0" * 40) + der(0x30, b"\5\0" * 20)) + der(3, b"\0" * 30))
+    assert secret_scan.key_length(request[3:])
+    assert secret_scan.find(b64(request).rstrip("=")) == []             # its inside is no key of its own
+    start = time.perf_counter()
+    assert secret_scan.find("MIIB" * 200_000 + "\n" + "3082" * 200_000) == [("hex", 800_001, 1_600_001)]
+    assert time.perf_counter() - start < 20
+
+
 def test_secret_scan_frame(docs, none):
     out = secret_scan.scan(docs).collect()
     assert len(out) == len(TEXTS) + 2 and all(r["spans"] == "" for r in out)
