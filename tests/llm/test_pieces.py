@@ -62,6 +62,40 @@ def test_dropout_varies_by_document_and_repeats_by_seed(model):
     assert len(cuts["a"]) > len(pieces.Encoder(model, 0).encode(text))
 
 
+def test_every_occurrence_draws_on_its_own(model):
+    encoder = pieces.Encoder(model)
+    cuts = []
+    for doc in range(40):
+        chunks = [" international"] * 50
+        one = pieces.Encoder(model, 0).encode("international").tolist()
+        ids = encoder.encode(" ".join(["international"] * 50), str(doc)).tolist()
+        text, cut = "", []
+        for i in ids:                           # cut the ids where the words end
+            text, cut = text + model.texts[i].decode(), [*cut, i]
+            if text == chunks[0]:
+                cuts.append(tuple(cut))
+                text, cut = "", []
+    assert len(cuts) == 2000 and len(set(cuts)) > 4
+    steps = len(" international") - len(one)
+    plain = sum(list(c) == one for c in cuts) / 2000
+    assert plain >= 0.9 ** steps - 0.04
+
+
+def test_remembered_agendas_equal_each_occurrence_merged_alone(model):
+    rnd = random.Random(4)
+    words = ["the", "international", "straße", "日本", "x▁y", "naïve", "a" * 60, "running", "tokens", "the,"]
+    texts = TEXTS + [" ".join(rnd.choice(words) for _ in range(400)) for _ in range(15)]
+    keys = [str(i) for i in range(len(texts))]
+    for rate in (0.1, 0.4, 1.0):
+        got = pieces.Encoder(model, rate, 7).encode_many(texts, keys)
+        for text, key, ids in zip(texts, keys, got, strict=True):
+            chunks = pieces._CHUNK.findall(" " + text) if text else []
+            want = []
+            for chunk, place in zip(chunks, pieces.occurrences(key, 7, len(chunks)).tolist(), strict=True):
+                want += model.to_ids(pieces.merge_short(chunk, model, pieces.Dropout(chunk, rate, 7, place)))
+            assert ids.tolist() == want
+
+
 def test_cache_turnover_changes_nothing(model):
     small, large = pieces.Encoder(model), pieces.Encoder(model)
     small.room = 0
