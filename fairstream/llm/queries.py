@@ -12,6 +12,7 @@ from fairstream.llm import (
     langid,
     pieces,
     quality,
+    repair,
     secret_scan,
     sharding,
     simhash,
@@ -86,9 +87,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.digest(repair.repair(repair.damage(rows)))
+
+
 def queries() -> dict:
     named = (op1_chat_formatting, op2_decontamination, op3_sentencepiece, op4_secret_scan, op5_language_id,
-             op6_substring_dedup, op7_sharding, op8_quality_rules, op9_simhash, op10_warc)
+             op6_substring_dedup, op7_sharding, op8_quality_rules, op9_simhash, op10_warc, op11_conversation_repair)
     return {f.__name__: f for f in named}
 
 
