@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fairstream.llm import (
     chat,
     decontam,
+    embedding,
     langid,
     pieces,
     quality,
@@ -92,9 +93,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digest(repair.repair(repair.damage(rows)))
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     named = (op1_chat_formatting, op2_decontamination, op3_sentencepiece, op4_secret_scan, op5_language_id,
-             op6_substring_dedup, op7_sharding, op8_quality_rules, op9_simhash, op10_warc, op11_conversation_repair)
+             op6_substring_dedup, op7_sharding, op8_quality_rules, op9_simhash, op10_warc, op11_conversation_repair,
+             op12_embedding_near_dedup)
     return {f.__name__: f for f in named}
 
 
@@ -197,6 +203,23 @@ FROM d LEFT JOIN w USING (r) LEFT JOIN s USING (r)
 """
 
 
+#: Two usable vectors of one label and length link at a cosine of 0.93 or more.
+OP12_SQL = """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT *, len(v) AS n, list_sum(list_transform(v, lambda x: x * x)) AS q FROM e
+      WHERE label IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.r AS x, b.r AS y FROM u a JOIN u b ON a.label = b.label AND a.n = b.n AND a.r <> b.r
+      WHERE a.q > 0 AND b.q > 0 AND list_dot_product(a.v, b.v) / sqrt(a.q * b.q) >= 0.93),
+c AS (SELECT x, y FROM l UNION SELECT c.x, l.y FROM c JOIN l ON l.x = c.y),
+m AS (SELECT c.x, min(e.vec_id) AS low FROM c JOIN e ON e.r = c.y GROUP BY c.x),
+k AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, low) AS component_id,
+       vec_id = least(vec_id, low) AS kept
+FROM e LEFT JOIN m ON m.x = e.r LEFT JOIN k ON k.x = e.r
+"""
+
+
 def oracle_sql() -> dict:
     return {"op1_chat_formatting": OP1_SQL, "op2_decontamination": OP2_SQL,
-            "op6_substring_dedup": OP6_SQL, "op8_quality_rules": OP8_SQL}
+            "op6_substring_dedup": OP6_SQL, "op8_quality_rules": OP8_SQL,
+            "op12_embedding_near_dedup": OP12_SQL}
