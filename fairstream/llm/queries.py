@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairstream.llm import (
+    alignment,
     chat,
     decontam,
     embedding,
@@ -97,10 +98,14 @@ def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict:
     named = (op1_chat_formatting, op2_decontamination, op3_sentencepiece, op4_secret_scan, op5_language_id,
              op6_substring_dedup, op7_sharding, op8_quality_rules, op9_simhash, op10_warc, op11_conversation_repair,
-             op12_embedding_near_dedup)
+             op12_embedding_near_dedup, op13_cross_tokenizer_alignment)
     return {f.__name__: f for f in named}
 
 
