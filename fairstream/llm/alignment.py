@@ -41,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,7 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 LONG_BYTES, SECTION_CHARS, RANGE_BYTES = 1 << 16, 1 << 14, 1 << 13
 FAN_IN_BITS = 3
 PAIR_BLOCK = 2_000_000
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 _CUT = re.compile(r"(?<=[\w.,;:!?]) (?=\w)")
 #: How the byte model splits a text before its merges (fixed value of that model).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -75,6 +76,7 @@ class Tokenizers:
         import sentencepiece
         import tiktoken
 
+        self.byte_model = byte_model
         letters, content = _byte_letters(), json.loads(byte_model)
         special = {t["id"] for t in content["added_tokens"]}
         ranks = {bytes(letters[c] for c in token): i
@@ -97,10 +99,20 @@ class Tokenizers:
         self.written += [b"%d%s" % (i, end) for i in range(self.n_b) for end in (b",", b";")]
         self.first_b = 2 * n_a
 
+    def _encode_bytes(self, text: str) -> np.ndarray:
+        try:
+            return self.a.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        except ValueError:          # its pattern matcher gives up on a million blanks in a row
+            from tokenizers import Tokenizer
+
+            slower = Tokenizer.from_buffer(self.byte_model)
+            slower.encode_special_tokens = True
+            return np.array(slower.encode(text, add_special_tokens=False).ids, np.int64)
+
     def encode(self, texts: list[str]) -> tuple[list, list, list[bool]]:
         """Ids of space + text by each model, and whether both cover its bytes."""
         spaced = [" " + t for t in texts]
-        a = [self.a.encode_to_numpy(t, disallowed_special=()).astype(np.int64) for t in spaced]
+        a = [self._encode_bytes(t) for t in spaced]
         b = self.b.encode(texts, num_threads=1)
         fits = []
         for text, x, y in zip(spaced, a, b):
@@ -172,16 +184,15 @@ _PIECE = T.StructType([
     T.StructField("times", T.ArrayType(T.LongType()))])
 
 
-def _batches(texts: list) -> Iterator[tuple[int, int]]:
-    """Row ranges with a bounded number of characters."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= _BATCH_BYTES:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _batches(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices with a bounded number of bytes (or one text)."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(texts):
+        done = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, done + _BATCH_BYTES, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -222,11 +233,11 @@ def short_pieces(docs: DataFrame, get) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = get()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo, hi in _batches(texts):
-                made = align_texts(t, texts[lo:hi])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(lo, hi - lo) for c in ("uid", "doc_id")] + made, names=schema.fieldNames())
+            at = 0
+            for texts in _batches(batch.column("text")):
+                ids = [batch.column(c).slice(at, len(texts)) for c in ("uid", "doc_id")]
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays(ids + align_texts(t, texts.to_pylist()), names=schema.fieldNames())
     return docs.mapInArrow(run, schema)
 
 

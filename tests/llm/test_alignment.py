@@ -130,7 +130,7 @@ def test_byte_ids_are_those_of_the_model_file():
     byte, _ = models()
     rnd = random.Random(5)
     texts = ["".join(chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(1, 0x3000)])) for _ in range(80))
-             for _ in range(300)] + ["z" * 20000, " " * 20000, "!?" * 9000, "\n" * 9000]
+             for _ in range(300)] + ["z" * 20000, " " * 20000, "!?" * 9000, "\n" * 9000, "a" + " \n" * 700_000 + "b"]
     a, _, _ = t.encode(texts)
     assert [x.tolist() for x in a] == [e.ids for e in byte.encode_batch([" " + x for x in texts], add_special_tokens=False)]
 
