@@ -1,4 +1,4 @@
-"""Nearest-centre assignment, Lloyd rounds and Spark ML k-means.
+"""Nearest-centre assignment, Lloyd rounds and k-means.
 
 Only centre lists (K x d numbers) live on the driver. Each Lloyd round is one
 Spark job: a map-only assignment (centres are literals in the plan) followed by
@@ -9,6 +9,7 @@ task even when one holds most of the points.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -17,18 +18,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
 from fairstream.functions.distance import check_centers, coordinate_columns, nearest
+from fairstream.functions.exact import NON_FINITE, Grid, coordinate_grid
+from fairstream.operators import seeding
 from fairstream.session import spread
 
 Centers = list[list[float]]
 
 
-NON_FINITE = "a point has a non-finite coordinate: no nearest centre"
 WRONG_WIDTH = "a point and the centres differ in size"
 # Above this many numbers (centres x coordinates) a plan of literals costs more
 # than Arrow batches; arrays of 64 coordinates are beyond it from two centres on.
 COLUMNS_MAX_NUMBERS = 127
 
 
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, longer if a column has it already."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def assign(points: DataFrame, centers: Sequence[Sequence[float]],
            cols: Sequence[str] | None = ("x", "y"), features: str = "features",
            method: str = "auto", finite: bool = True) -> DataFrame:
@@ -43,8 +53,8 @@ def assign(points: DataFrame, centers: Sequence[Sequence[float]],
     ``"pandas"`` computes the K distances of an Arrow batch at once with numpy;
     ``"auto"`` picks by K x d, as the plan of the column form grows with it: 4
     centres in 2-D take 0.4 s there and 100 centres 13 s, against 1.2 s with
-    numpy. The two sum in different orders, so a tie within rounding can go to
-    either centre. A point of another size than the centres fails the job.
+    numpy. Both add the terms from left to right, so they agree on ties. A point
+    of another size than the centres fails the job.
 
     ``finite=True`` fails the job on a point whose nearest distance is NaN or
     infinite (a NaN or infinite coordinate), where a scan for the minimum
@@ -59,15 +69,42 @@ def assign(points: DataFrame, centers: Sequence[Sequence[float]],
         return _assign_pandas(points, cs, cols, features, finite)
     if method != "columns":
         raise ValueError(f"unknown method {method!r}")
-    nc = nearest(cs, cols, features)
-    dist = F.col("_nc.dist2")
+    kept = [c for c in points.columns if c.lower() not in ("cluster", "dist2")]
+    near = free_name("_nc", points.columns)
+    dist = F.col(f"{near}.dist2")
     if finite:      # one comparison: false for NaN and for +inf
         dist = F.when(dist < float("inf"), dist).otherwise(
             F.raise_error(F.lit(NON_FINITE)).cast("double"))
-    return (points.withColumn("_nc", nc)
-            .withColumn("cluster", F.col("_nc.cluster"))
-            .withColumn("dist2", dist)
-            .drop("_nc"))
+    return points.withColumn(near, nearest(cs, cols, features)).select(
+        *[F.col(f"`{c}`") for c in kept], F.col(f"{near}.cluster").alias("cluster"), dist.alias("dist2"))
+
+
+def array_rows(column, dims: int):
+    """The rows of an Arrow list column as a matrix; another width fails."""
+    import numpy as np
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    if len(flat) != len(column) * dims or (len(column) and (column.value_lengths().to_numpy() != dims).any()):
+        raise ValueError(WRONG_WIDTH)
+    return np.asarray(flat, np.float64).reshape(-1, dims)
+
+
+def nearest_rows(x, centers):
+    """(index, squared distance) of the nearest centre of each row of a matrix, the
+    lowest index among equals. Terms are added left to right, as the column form
+    does, so both see the same distances."""
+    import numpy as np
+    n, k = len(x), len(centers)
+    idx, dist = np.zeros(n, np.int64), np.zeros(n)
+    step = max(1, (1 << 24) // max(k, 1))       # n x K distances at a time: 128 MB
+    for lo in range(0, n, step):
+        part = x[lo:lo + step]
+        d = np.zeros((len(part), k))
+        for j in range(x.shape[1]):
+            diff = part[:, j, None] - centers[None, :, j]
+            d += diff * diff
+        at = np.where(np.isnan(d), np.inf, d).argmin(axis=1)   # NaN sorts last, as in SQL
+        idx[lo:lo + step], dist[lo:lo + step] = at, d[np.arange(len(part)), at]
+    return idx, dist
 
 
 def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | None,
@@ -81,16 +118,6 @@ def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | No
                   .add("cluster", IntegerType(), False).add("dist2", DoubleType(), True))
     names = list(cols) if cols else None
 
-    # rows per numpy step, so that the n x K x d difference array stays
-    # around 128 MB whatever K and d are
-    step = max(1, (1 << 24) // (c.shape[0] * c.shape[1]))
-
-    def nearest_rows(x):
-        diff = x[:, None, :] - c[None, :, :]
-        d = np.einsum("nkd,nkd->nk", diff, diff)
-        idx = np.where(np.isnan(d), np.inf, d).argmin(axis=1)   # NaN sorts last, as in SQL
-        return idx, d[np.arange(len(x)), idx]
-
     def nearest_batches(batches):
         for pdf in batches:
             pdf = pdf.drop(columns=[n for n in ("cluster", "dist2") if n in pdf.columns])
@@ -102,10 +129,7 @@ def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | No
                     np.zeros((0, c.shape[1]))
             if x.shape[1] != c.shape[1]:
                 raise ValueError(WRONG_WIDTH)
-            idx = np.zeros(n, dtype="int64")
-            dist = np.zeros(n, dtype="float64")
-            for lo in range(0, n, step):
-                idx[lo:lo + step], dist[lo:lo + step] = nearest_rows(x[lo:lo + step])
+            idx, dist = nearest_rows(x, c)
             if finite and not np.isfinite(dist).all():
                 raise ValueError(NON_FINITE)
             pdf["cluster"] = idx.astype("int32")
@@ -139,6 +163,75 @@ def vector_stats(df: DataFrame, features: str, keys: Sequence[str]) -> DataFrame
                     vector_to_array("_s.variance").alias("_var"))
 
 
+def exact_groups(points: DataFrame, centers: Sequence[Sequence[float]], grid: Grid,
+                 cols: Sequence[str] | None = ("x", "y"), features: str = "features",
+                 label: str | None = None) -> list[dict]:
+    """One job: per cluster (and value of column ``label``) its ``n``, ``sums`` of the
+    coordinates and ``cost`` (the sum of dist2), to the last bit the same for every
+    partitioning. The K x labels groups come back to the driver.
+
+    Each task adds up the fixed-point parts of its Arrow batches and hands over one
+    number per group, coordinate and part; Spark adds these bigints. The plan is the
+    same in every round (the centres travel with the function), so nothing is
+    compiled anew.
+    """
+    cs = check_centers(centers)
+    dims = len(cs[0])
+    far = grid.squares(dims, cs)
+    sums: dict = {}
+    for r in _partial_sums(points, cs, grid, far, cols, features, label).collect():
+        sums.setdefault((r["cluster"], r["label"]), {})[r["at"]] = r["v"]
+    parts, out = len(grid.widths), []
+    for (cluster, name), v in sorted(sums.items(), key=repr):
+        total = [g.total([v[j * parts + k] for k in range(parts)]) for j, g in enumerate([grid] * dims + [far])]
+        out.append({"cluster": cluster, "label": name, "n": v[-1], "sums": total[:dims], "cost": total[dims]})
+    return out
+
+
+def _partial_sums(points: DataFrame, centers: Centers, grid: Grid, far: Grid, cols: Sequence[str] | None,
+                  features: str, label: str | None) -> DataFrame:
+    """``cluster, label, at, v``: summed parts; ``at`` = -1 holds the number of rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    c = np.asarray(centers, dtype="float64")
+    dims, names = c.shape[1], [f"_x{j}" for j in range(len(cols))] if cols else None
+
+    def run(batches):
+        held: dict = {}
+        for batch in batches:
+            if names:
+                x = np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+            else:
+                x = array_rows(batch.column("_f"), dims)
+            cluster, dist2 = nearest_rows(x, c)
+            if not np.isfinite(dist2).all():
+                raise ValueError(NON_FINITE)
+            values = np.concatenate([grid.split(x), far.split(dist2)[:, None, :]], axis=1).reshape(len(x), -1)
+            words = batch.column("_label").dictionary_encode()
+            group = cluster * (len(words.dictionary) + 1) + words.indices.fill_null(len(words.dictionary)).to_numpy()
+            order = np.argsort(group, kind="stable")
+            found, starts, counts = np.unique(group[order], return_index=True, return_counts=True)
+            added = np.add.reduceat(values[order], starts, axis=0) if len(found) else []
+            for g, n, v in zip(found.tolist(), counts.tolist(), added):
+                k, word = divmod(g, len(words.dictionary) + 1)
+                key = (k, words.dictionary[word].as_py() if word < len(words.dictionary) else None)
+                before = held.get(key, (0, 0))
+                held[key] = (before[0] + n, before[1] + v)
+        for (k, word), (n, v) in held.items():
+            size = len(v) + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * size, pa.int32()), pa.array([word] * size, pa.string()),
+                 pa.array([-1, *range(len(v))], pa.int32()), pa.array([n, *v.tolist()], pa.int64())],
+                names=["cluster", "label", "at", "v"])
+
+    coords = [F.col(x).cast("double").alias(n) for x, n in zip(cols, names)] if cols else \
+        [F.col(features).cast("array<double>").alias("_f")]
+    word = F.col(label).cast("string") if label else F.lit(None).cast("string")
+    return (points.select(*coords, word.alias("_label")).mapInArrow(run, "cluster int, label string, at int, v long")
+            .groupBy("cluster", "label", "at").agg(F.sum("v").alias("v")))
+
+
 def lloyd_step(points: DataFrame, centers: Sequence[Sequence[float]],
                cols: Sequence[str] | None = ("x", "y"), features: str = "features") -> DataFrame:
     """One Lloyd update as a lazy DataFrame: ``cluster, n, _m0.._m{d-1}``.
@@ -156,11 +249,12 @@ def lloyd_step(points: DataFrame, centers: Sequence[Sequence[float]],
                                     *_mean_aggs(cols, dims, features))
 
 
-def _collect_centers(step: DataFrame, previous: Centers) -> Centers:
-    dims = len(previous[0])
-    new = [list(c) for c in previous]
-    for r in step.collect():                      # at most K rows
-        new[r["cluster"]] = [float(r[f"_m{j}"]) for j in range(dims)]
+def lloyd_round(points: DataFrame, centers: Centers, grid: Grid, cols: Sequence[str] | None = ("x", "y"),
+                features: str = "features") -> Centers:
+    """The centres after one Lloyd round with exact sums (one job, K rows back)."""
+    new = [list(c) for c in centers]
+    for g in exact_groups(points, centers, grid, cols, features):
+        new[g["cluster"]] = [v / g["n"] for v in g["sums"]]
     return new
 
 
@@ -203,8 +297,10 @@ class RoundLog:
 
 def lloyd(points: DataFrame, centers: Sequence[Sequence[float]], rounds: int,
           cols: Sequence[str] | None = ("x", "y"), features: str = "features",
-          persist: bool = True, log_path: str | None = None) -> Centers:
+          persist: bool = True, log_path: str | None = None, tol: float | None = None) -> Centers:
     """``rounds`` Lloyd iterations from the given centres; returns the centres.
+    With ``tol`` the loop ends when no centre has moved further than that. Sums are
+    exact, so partitioning does not change the centres.
 
     The points are persisted once (memory, spilling to disk) around the loop
     and released afterwards; each round's plan carries the centres as literals,
@@ -218,9 +314,12 @@ def lloyd(points: DataFrame, centers: Sequence[Sequence[float]], rounds: int,
     done, cs = log.resume(rounds)
     cached = cache_points(points, cols, features) if persist and rounds - done > 1 else points
     try:
+        grid = coordinate_grid(cached, cols, features) if rounds > done else None
         for r in range(done, rounds):
-            cs = _collect_centers(lloyd_step(cached, cs, cols, features), cs)
+            before, cs = cs, lloyd_round(cached, cs, grid, cols, features)
             log.write(r + 1, cs)
+            if tol is not None and all(math.dist(a, b) <= tol for a, b in zip(before, cs)):
+                break
     finally:
         if cached is not points:
             cached.unpersist()
@@ -275,38 +374,33 @@ def cache_points(points: DataFrame, cols: Sequence[str] | None = ("x", "y"),
     return spread(points.select(*keep), partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _vector_column(points: DataFrame, cols: Sequence[str] | None, features: str) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-    arr = F.array(*[F.col(c) for c in cols]) if cols else F.col(features)
-    return points.select(array_to_vector(arr).alias("_vec"))
-
-
 def kmeans(points: DataFrame, k: int, max_iter: int, seed: int,
            cols: Sequence[str] | None = ("x", "y"), features: str = "features",
-           init_steps: int = 2, tol: float = 1e-4) -> Centers:
-    """Spark ML k-means (k-means|| start, then Lloyd); returns the centres.
-
-    The reference leaves the start unseeded; here ``seed`` is required so that a
-    run can be repeated (same seed and same partitioning give the same centres).
+           id_col: str | None = None, init_steps: int = seeding.STEPS, tol: float = 1e-4) -> Centers:
+    """k-means: a keyed k-means|| start (``seeding``), then Lloyd until no centre
+    moves further than ``tol`` or ``max_iter`` rounds are done; returns the centres.
+
+    The reference leaves the start unseeded; here ``seed`` is required, and the same
+    seed and points give the same centres however they are partitioned. ``id_col``
+    names a unique column; without it points are told apart by their coordinates.
+    Points that the caller has persisted are used as they are.
     """
-    if k <= 0:
-        raise ValueError("k must be > 0")
     if max_iter < 0:
         raise ValueError("max_iter must be >= 0")
-    from pyspark.ml.clustering import KMeans
-    vec = _vector_column(points, cols, features).persist(StorageLevel.MEMORY_AND_DISK)
+    extra = [id_col] if id_col else []
+    cached = points if points.is_cached else cache_points(points, cols, features, extra)
     try:
-        model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="_vec",
-                       initMode="k-means||", initSteps=init_steps, tol=tol).fit(vec)
+        start = seeding.keyed_start(cached, k, seed, cols, features, id_col, init_steps)
+        return lloyd(cached, start, max_iter, cols, features, persist=False, tol=tol)
     finally:
-        vec.unpersist()
-    return [[float(v) for v in c] for c in model.clusterCenters()]
+        if cached is not points:
+            cached.unpersist()
 
 
-def init_centers(points: DataFrame, k: int, seed: int,
-                 cols: Sequence[str] | None = ("x", "y"), features: str = "features") -> Centers:
-    """The k-means|| start alone (k-means with zero Lloyd iterations)."""
-    return kmeans(points, k, 0, seed, cols, features)
+def init_centers(points: DataFrame, k: int, seed: int, cols: Sequence[str] | None = ("x", "y"),
+                 features: str = "features", id_col: str | None = None) -> Centers:
+    """The start alone (k-means with zero Lloyd iterations)."""
+    return kmeans(points, k, 0, seed, cols, features, id_col)
 
 
 def centers_frame(spark, centers: Sequence[Sequence[float]],

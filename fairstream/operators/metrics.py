@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairstream.functions.distance import check_centers
-from fairstream.operators.cluster import assign
+from fairstream.functions.exact import Grid
+from fairstream.operators.cluster import assign, exact_groups
 from fairstream.sources.points import GROUP_A, GROUP_B
 
 
@@ -129,12 +130,16 @@ def summary(points: DataFrame, centers, cols=("x", "y"), features="features") ->
         .otherwise(phi_value).cast("double").alias("phi"))
 
 
-def report(points: DataFrame, centers, cols=("x", "y"), features="features") -> dict:
+def report(points: DataFrame, centers, cols=("x", "y"), features="features", grid: Grid | None = None) -> dict:
     """All costs of one centre set from one job: N, NA, NB, Delta, Phi, per-cluster rows.
 
-    The grouped table (at most K x labels rows) is the only thing collected.
+    The grouped table (at most K x labels rows) is the only thing collected. With
+    ``grid`` (``exact.coordinate_grid``) no partitioning changes a bit of the costs.
     """
-    rows = cluster_group_table(points, centers, cols, features).collect()
+    if grid:
+        rows = [{**g, "grp": g["label"]} for g in exact_groups(points, centers, grid, cols, features, "grp")]
+    else:
+        rows = cluster_group_table(points, centers, cols, features).collect()
     n = sum(r["n"] for r in rows)
     n_a = sum(r["n"] for r in rows if r["grp"] == GROUP_A)
     n_b = sum(r["n"] for r in rows if r["grp"] == GROUP_B)

@@ -21,6 +21,7 @@ def oracle_sql() -> dict:
     out.update(_oracles.clustering_oracles())
     out.update(_oracles.nd_oracles())
     out.update(_oracles.fixed_start_oracles())
+    out.update(_oracles.started_oracles())
     out.update(_oracles.report_oracles())
     out.update(_oracles.sketch_oracles())
     out.update(_oracles.stream_oracles())

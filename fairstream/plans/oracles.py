@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from fairstream.operators import seeding
 from fairstream.plans import fixtures as fx
 
 
@@ -156,18 +157,21 @@ def _centre_rows(ps: PointSet) -> str:
         for i, c in enumerate(ps.centers))
 
 
-def _lloyd_ctes(rounds: int, ps: PointSet) -> list[str]:
-    """``rounds`` Lloyd rounds unrolled: the first from the literal centres, the
-    next ones from the previous round's K-row centre table, read through scalar
-    subqueries (no join of points with centres)."""
+def _lloyd_ctes(rounds: int, ps: PointSet, start: str | None = None) -> list[str]:
+    """``rounds`` Lloyd rounds unrolled: the first from the literal centres (or the
+    table ``start``), the next ones from the previous round's K-row centre table, read
+    through scalar subqueries (no join of points with centres)."""
     dims = len(ps.coords)
     ks = range(dims)
     means = ", ".join(f"avg({c}) AS m{j}" for j, c in enumerate(ps.coords))
-    ctes = [ps.cte, assigned_cte("asg1", ps.source, ps.keep, ps.coords, ps.centers),
-            f"c0 AS ({_centre_rows(ps)})"]
+    if start:
+        ctes = [f"c0 AS MATERIALIZED (SELECT * FROM {start})"]
+    else:
+        ctes = [ps.cte, assigned_cte("asg1", ps.source, ps.keep, ps.coords, ps.centers),
+                f"c0 AS ({_centre_rows(ps)})"]
     for r in range(1, rounds + 1):
         prev = f"c{r - 1}"
-        if r > 1:
+        if r > 1 or start:
             # centre coordinates of the previous round as scalar subqueries
             k = len(ps.centers)
             ds = []
@@ -186,7 +190,7 @@ def _lloyd_ctes(rounds: int, ps: PointSet) -> list[str]:
                 f"FROM (SELECT {ps.keep}, {', '.join(ds)} FROM {ps.source}))")
         sel = ", ".join(f"coalesce(s.m{j}, {prev}.k{j}) AS k{j}" for j in ks)
         ctes.append(
-            f"c{r} AS (SELECT {prev}.cluster, coalesce(s.n, 0) AS n, {sel} FROM {prev} "
+            f"c{r} AS MATERIALIZED (SELECT {prev}.cluster, coalesce(s.n, 0) AS n, {sel} FROM {prev} "
             f"LEFT JOIN (SELECT cluster, count(*) AS n, {means} FROM asg{r} GROUP BY cluster) s "
             f"ON s.cluster = {prev}.cluster)")
     return ctes
@@ -209,7 +213,7 @@ def _distances(ps: PointSet, table: str) -> str:
         for i in range(len(ps.centers)))
 
 
-def _fair_ctes(rounds: int, ps: PointSet) -> list[str]:
+def _fair_ctes(rounds: int, ps: PointSet, start: str | None = None) -> list[str]:
     """``rounds`` fair rounds from the literal centres: round r reads the centre
     table ``f{r-1}`` and ends in ``res{r}`` and ``f{r}``. The weight bisection is
     a recursive CTE over (step, gamma, step size)."""
@@ -223,11 +227,11 @@ def _fair_ctes(rounds: int, ps: PointSet) -> list[str]:
     moved = ", ".join(
         f"CASE WHEN a0 IS NULL THEN k{j} WHEN ll = 0 THEN a{j} "
         f"ELSE ((ll - xx) * a{j} + xx * b{j}) / ll END AS k{j}" for j in ks)
-    ctes = [f"f0 AS MATERIALIZED ({_centre_rows(ps)})",
+    ctes = [f"f0 AS MATERIALIZED ({f'SELECT * FROM {start}' if start else _centre_rows(ps)})",
             f"tot AS MATERIALIZED (SELECT count(*) FILTER (WHERE grp = 'A') AS na, "
             f"count(*) FILTER (WHERE grp = 'B') AS nb FROM {ps.source})"]
     for r in range(1, rounds + 1):
-        if r == 1:
+        if r == 1 and not start:
             asg = assigned_cte("fasg1", ps.source, ps.keep, ps.coords, ps.centers)
         else:
             asg = (f"fasg{r} AS (SELECT {ps.keep}, {argmin_sql(len(ps.centers))} AS cluster "
@@ -286,10 +290,72 @@ def edge_set() -> PointSet:
     return PointSet(cte, "edge", "id, x, y, grp", ["x", "y"], ["x", "y"], fx.CENTERS_EDGE)
 
 
-def compare_fixed_sql(rounds: int) -> str:
-    """Delta and Phi of the centres after ``rounds`` Lloyd and fair rounds."""
+def _uniform_sql(name: str, ident: str) -> str:
+    digits = f"substr(md5('{name}:' || {ident}), 1, 12)"
+    return f"((CAST('0x' || {digits} AS BIGINT) + 1.0::DOUBLE) / 281474976710656::DOUBLE)"
+
+
+def keyed_start_ctes(k: int, seed: int) -> list[str]:
+    """The keyed k-means|| start over ``points2d``: candidates ``cand(at, id, x, y)``
+    in the order drawn, then the start centres ``start(cluster, k0, k1)``. Ties of
+    the races go to the lower id."""
+    steps, drawn = seeding.STEPS, seeding.OVERSAMPLE * k
+    d2 = "((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y))"
+    ctes = [points2d_cte(),
+            f"cand0 AS MATERIALIZED (SELECT 0 AS at, id, x, y FROM points2d p "
+            f"ORDER BY -ln({_uniform_sql(f'{seed}:0', 'p.id')}), id LIMIT 1)"]
+    for r in range(1, steps + 1):
+        ctes += [
+            f"far{r} AS MATERIALIZED (SELECT p.id, p.x, p.y, min({d2}) AS d "
+            f"FROM points2d p, cand{r - 1} c GROUP BY p.id, p.x, p.y)",
+            f"new{r} AS MATERIALIZED (SELECT id, x, y, -ln({_uniform_sql(f'{seed}:{r}', 'id')}) / d AS race "
+            f"FROM far{r} WHERE d > 0 ORDER BY race, id LIMIT {drawn})",
+            f"cand{r} AS MATERIALIZED (SELECT * FROM cand{r - 1} UNION ALL SELECT "
+            f"(SELECT count(*) FROM cand{r - 1}) + row_number() OVER (ORDER BY race, id) - 1, id, x, y FROM new{r})"]
+    ctes += [
+        f"near AS (SELECT p.id, arg_min(c.at, [{d2}, c.at::DOUBLE]) AS at FROM points2d p, cand{steps} c GROUP BY p.id)",
+        f"pick AS MATERIALIZED (SELECT c.*, (SELECT count(*) FROM near WHERE near.at = c.at) AS w FROM cand{steps} c)"]
+    for r in range(k):
+        if r:
+            least = f"(SELECT min({d2}) FROM won{r - 1} c)"
+            weight = f"w * {least}"
+        else:
+            weight = "w * 1.0::DOUBLE"
+        earlier = f"SELECT * FROM won{r - 1} UNION ALL " if r else ""
+        ctes.append(
+            f"won{r} AS MATERIALIZED ({earlier}SELECT {r} AS cluster, id, x, y FROM (SELECT id, x, y, "
+            f"-ln({_uniform_sql(f'{seed}:r{r}', 'id')}) / wt AS race FROM (SELECT p.id, p.x, p.y, {weight} AS wt "
+            "FROM pick p) WHERE wt > 0 ORDER BY race, id LIMIT 1))")
+    ctes.append(f"start AS MATERIALIZED (SELECT cluster, x AS k0, y AS k1 FROM won{k - 1})")
+    return ctes
+
+
+def started_oracles() -> dict[str, str]:
+    """The reports that begin with the keyed start."""
+    ps = points2d_set()
+    k = fx.KMEANS_K
+    start = keyed_start_ctes(k, fx.KMEANS_SEED)
+    def assigned(name: str, table: str) -> str:
+        return (f"{name} AS MATERIALIZED (SELECT grp, {argmin_sql(k)} AS cluster, {least_sql(k)} AS dist2 "
+                f"FROM (SELECT grp, {_distances(ps, table)} FROM points2d))")
+    a, b = "count(*) FILTER (WHERE e.grp = 'A') AS n_a", "count(*) FILTER (WHERE e.grp <> 'A') AS n_b"
+    where = f"CAST(e.cluster AS INTEGER) AS cluster, {_r('c.k0', D)} AS x, {_r('c.k1', D)} AS y"
+    fit = [*start, *_lloyd_ctes(fx.KMEANS_ITER, ps, "start"), assigned("ev", f"c{fx.KMEANS_ITER}")]
+    return {
+        "init_centers": (f"WITH {', '.join([*start, assigned('ev', 'start')])} SELECT {where}, {a}, {b} "
+                         "FROM ev e JOIN start c ON c.cluster = e.cluster GROUP BY e.cluster, c.k0, c.k1"),
+        "kmeans_report": (f"WITH {', '.join(fit)} SELECT {where}, count(*) AS n, {a}, {b}, "
+                          f"{_r('sum(e.dist2)', CD)} AS cost FROM ev e "
+                          f"JOIN c{fx.KMEANS_ITER} c ON c.cluster = e.cluster GROUP BY e.cluster, c.k0, c.k1"),
+        "compare_centers": compare_fixed_sql(fx.FAIR_ROUNDS, start, "start"),
+    }
+
+
+def compare_fixed_sql(rounds: int, before: Sequence[str] = (), start: str | None = None) -> str:
+    """Delta and Phi of the centres after ``rounds`` Lloyd and fair rounds, from the
+    literal centres or from the table ``start`` that the CTEs ``before`` define."""
     ps = points2d_set()
-    ctes = [*_lloyd_ctes(rounds, ps), *_fair_ctes(rounds, ps)]
+    ctes = [*before, *_lloyd_ctes(rounds, ps, start), *_fair_ctes(rounds, ps, start)]
     parts = []
     for method, table in (("standard", f"c{rounds}"), ("fair", f"f{rounds}")):
         ctes.append(f"ev_{method} AS (SELECT grp, {least_sql(len(ps.centers))} AS dist2 "
@@ -321,6 +387,7 @@ def fixed_start_oracles() -> dict[str, str]:
         "fair_kmeans_3rounds": fair_rounds_sql(3),
         "fair_kmeans_edge": fair_rounds_sql(2, edge_set()),
         "fair_vs_standard_fixed": compare_fixed_sql(fx.FAIR_ROUNDS),
+        "fair_rounds_any_order": f"SELECT cluster, x, y, true AS same_bits FROM ({fair_rounds_sql(2)})",
         "assign_nearest_k500": nearest_of_many_sql(fx.CENTERS_K500),
         "assign_nearest_d3": nearest_of_width_sql(3),
         "assign_nearest_d17": nearest_of_width_sql(17),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fairstream.functions import hashing as H
+from fairstream.functions.exact import coordinate_grid
 from fairstream.operators import cluster, fair, metrics, sketch, topk
 from fairstream.plans import fixtures as fx
 from fairstream.session import scratch_path
@@ -103,14 +104,14 @@ def q_fair_kmeans_1round(spark, sf_dir):
 
 def q_init_centers(spark, sf_dir):
     pts = P.points2d(spark, sf_dir)
-    cs = cluster.init_centers(pts, fx.KMEANS_K, fx.KMEANS_SEED)
-    return metrics.cluster_statistics(pts, cs)
+    cs = cluster.init_centers(pts, fx.KMEANS_K, fx.KMEANS_SEED, id_col="id")
+    return _round(metrics.cluster_statistics(pts, cs), {"x": D, "y": D})
 
 
 def q_kmeans_report(spark, sf_dir):
     pts = P.points2d(spark, sf_dir)
-    cs = cluster.kmeans(pts, fx.KMEANS_K, fx.KMEANS_ITER, fx.KMEANS_SEED)
-    return metrics.cluster_report(pts, cs)
+    cs = cluster.kmeans(pts, fx.KMEANS_K, fx.KMEANS_ITER, fx.KMEANS_SEED, id_col="id", tol=0.0)
+    return _round(metrics.cluster_report(pts, cs), {"x": D, "y": D, "cost": CD})
 
 
 def q_kmeans_summary(spark, sf_dir):
@@ -135,8 +136,9 @@ def q_fair_kmeans_1round_nd(spark, sf_dir):
 
 
 def q_compare_centers(spark, sf_dir):
-    return fair.compare_centers(P.points2d(spark, sf_dir), fx.KMEANS_K, fx.FAIR_ROUNDS,
-                                fx.KMEANS_SEED)
+    c = fair.compare_centers(P.points2d(spark, sf_dir), fx.KMEANS_K, fx.FAIR_ROUNDS,
+                             fx.KMEANS_SEED, id_col="id", tol=0.0)
+    return _round(c.drop("seconds_centers", "seconds_phi"), {"delta": D, "phi": D})
 
 
 def clustering_queries() -> dict[str, Query]:
@@ -222,12 +224,12 @@ def q_read_points_text(spark, sf_dir):
 
 
 def q_kmeans_report_check(spark, sf_dir):
-    """What holds for the k-means report whatever its random start: K centres, all
+    """What holds for the k-means report whatever its start: K centres, all
     points counted, the per-cluster costs add up to Delta, which is not above
     that of the start."""
     pts = P.points2d(spark, sf_dir)
-    start = cluster.init_centers(pts, fx.KMEANS_K, fx.KMEANS_SEED)
-    end = cluster.kmeans(pts, fx.KMEANS_K, fx.KMEANS_ITER, fx.KMEANS_SEED)
+    start = cluster.init_centers(pts, fx.KMEANS_K, fx.KMEANS_SEED, id_col="id")
+    end = cluster.kmeans(pts, fx.KMEANS_K, fx.KMEANS_ITER, fx.KMEANS_SEED, id_col="id")
     report = metrics.cluster_report(pts, end).agg(
         F.count(F.lit(1)).alias("n_centers"), F.sum("n").alias("n"), F.sum("cost").alias("cost"))
     before, after = (metrics.delta(pts, cs).select(F.col("delta").alias(name))
@@ -238,11 +240,30 @@ def q_kmeans_report_check(spark, sf_dir):
         .alias("cost_adds_up"), (F.col("after") <= F.col("before")).alias("improved"))
 
 
+def q_fair_rounds_any_order(spark, sf_dir):
+    """Two fair rounds, their Delta and Phi on 3 and on 17 partitions: the centres, and
+    whether every number agrees to the last bit."""
+    pts, rounds = P.points2d(spark, sf_dir), []
+    for parts in (3, 17):
+        dealt = cluster.cache_points(pts, partitions=parts)
+        try:
+            grid = coordinate_grid(dealt, ("x", "y"))
+            cs = fair.fair_rounds(dealt, fx.CENTERS_2D, 2, persist=False)
+            costs = metrics.report(dealt, cs, grid=grid)
+        finally:
+            dealt.unpersist()
+        rounds.append((cs, costs["delta"], costs["phi"]))
+    same = rounds[0][1:] == rounds[1][1:]
+    rows = [(i, *a, same and a == b) for i, (a, b) in enumerate(zip(rounds[0][0], rounds[1][0]))]
+    return _round(spark.createDataFrame(rows, "cluster int, x double, y double, same_bits boolean"), {"x": D, "y": D})
+
+
 def fixed_start_queries() -> dict[str, Query]:
     return {
         "fair_kmeans_3rounds": q_fair_kmeans_3rounds,
         "fair_kmeans_edge": q_fair_kmeans_edge,
         "fair_vs_standard_fixed": q_fair_vs_standard_fixed,
+        "fair_rounds_any_order": q_fair_rounds_any_order,
         "assign_nearest_k500": q_assign_nearest_k500,
         "assign_nearest_d3": q_assign_nearest_d3,
         "assign_nearest_d17": q_assign_nearest_d17,
