@@ -7,11 +7,10 @@ final table has at most D*W rows. Cell tables from different inputs (or
 micro-batches) merge by another grouped sum.
 
 Several sketches over the same items are built in one pass as one tagged table
-(``sketch string, row, bucket, cnt``) and read in one pass too: every query item
-is exploded to the cells of all sketches, looked up with one broadcast join
-and aggregated once per item (min for count-min, median for count sketch).
-The broadcast side is the cell table, whose size is bounded by the parameters
-(sum of D*W) and checked before the hint is given.
+(``sketch string, row, bucket, cnt``) and read in one pass too: the table becomes
+one row of dense arrays whose size is bounded by the parameters (sum of D*W,
+checked), and every query row reads its cells of all sketches by index, without
+an exchange (min for count-min, median for count sketch).
 """
 
 from __future__ import annotations
@@ -24,8 +23,8 @@ from pyspark.sql import functions as F
 
 from fairstream.functions.hashing import SketchSpec, bucket, sign
 
-# Largest cell table we broadcast: 4M cells is ~100 MB as rows of three ints
-# and a long; beyond it the join shuffles both sides instead.
+# Most cells that go to every task as arrays: 4M longs are 32 MB; beyond it the
+# lookup is a shuffled join.
 BROADCAST_MAX_CELLS = 4 * 1024 * 1024
 
 
@@ -114,34 +113,74 @@ def _median(values: Column, d: int) -> Column:
     return F.shiftright(mid - mid % 2, 1)
 
 
+def dense(cells: DataFrame, sketches: Sequence[Sketch]) -> DataFrame:
+    """One row: a struct column ``arrays`` with one array of W counts for each row of
+    each sketch (``<name>_<i>``), read by index; a cell never hit holds 0.
+
+    The size is that of the sketches (sum of D x W longs), whatever the stream."""
+    _check_names(sketches)
+    names = [(s, i, f"{s.name}_{i}") for s in sketches for i in range(s.spec.depth)]
+    rows = F.array(*[F.struct(F.lit(s.name).alias("sketch"), F.lit(i).alias("row"),
+                              F.lit(s.spec.width - 1).alias("last")) for s, i, _ in names])
+    empty = cells.sparkSession.range(1).select(F.inline(rows)).select(
+        "sketch", "row", F.explode(F.sequence(F.lit(0), "last")).alias("bucket"), F.lit(0).cast("bigint").alias("cnt"))
+    every = empty.union(cells.select("sketch", "row", "bucket", "cnt"))
+    by_row = every.repartition("sketch", "row")          # serves both groupings
+    filled = by_row.groupBy("sketch", "row", "bucket").agg(F.sum("cnt").alias("cnt"))
+    arrays = filled.groupBy("sketch", "row").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "cnt"))).getField("cnt").alias("v"))
+    one = arrays.agg(*[F.max(F.when((F.col("sketch") == s.name) & (F.col("row") == i), F.col("v"))).alias(n)
+                       for s, i, n in names])
+    return one.select(F.struct(*[n for _, _, n in names]).alias("arrays"))
+
+
 def estimate(query: DataFrame, cells: DataFrame, sketches: Sequence[Sketch],
              item_col: str = "item") -> DataFrame:
     """Adds ``<name>_est`` per sketch to every query row (count-min: minimum over
     the D rows; count sketch: median of cell * sign). A cell never hit reads 0.
 
     ``cells`` is the tagged table from ``build``; the query's columns are kept
-    and every query row gets its own estimate.
+    (those with the name of an estimate are replaced) and every query row gets its
+    own estimate. The sketches become one row of dense arrays, a scalar subquery:
+    each query row reads its D cells by index, with no exchange of the query side.
+    Above ``BROADCAST_MAX_CELLS`` cells they are looked up by a shuffled join.
     """
     _check_names(sketches)
-    keep = query.columns
-    # one group per query row (at most sum of D values each), even if rows repeat
-    q = query.withColumn("_qid", F.monotonically_increasing_id())
-    refs = q.select("*", F.inline(_tagged_refs(F.col(item_col), sketches)))
-    side = cells.select("sketch", "row", "bucket", F.col("cnt").alias("_cell"))
-    if sum(s.spec.cells for s in sketches) <= BROADCAST_MAX_CELLS:
-        side = F.broadcast(side)
-    j = refs.join(side, ["sketch", "row", "bucket"], "left").withColumn(
-        "_est", F.coalesce(F.col("_cell"), F.lit(0)).cast("bigint") * F.col("sign").cast("bigint"))
-    aggs, outs = [], []
+    new = {f"{s.name}_est".lower() for s in sketches}
+    keep = [F.col(f"`{c}`") for c in query.columns if c.lower() not in new]
+    if sum(s.spec.cells for s in sketches) > BROADCAST_MAX_CELLS:
+        return _estimate_by_join(query, cells, sketches, item_col, keep)
+    arrays = dense(cells, sketches).scalar()
+    item, outs = F.col(item_col), []
     for s in sketches:
-        mine = F.when(F.col("sketch") == s.name, F.col("_est"))
-        if s.signed:      # D values per item
-            aggs.append(F.sort_array(F.collect_list(mine)).alias(f"_v_{s.name}"))
-            outs.append(_median(F.col(f"_v_{s.name}"), s.spec.depth).alias(f"{s.name}_est"))
-        else:
-            aggs.append(F.min(mine).alias(f"_v_{s.name}"))
-            outs.append(F.col(f"_v_{s.name}").alias(f"{s.name}_est"))
-    return j.groupBy("_qid", *keep).agg(*aggs).select(*keep, *outs)
+        read = [F.coalesce(arrays.getField(f"{s.name}_{i}")[bucket(item, h, s.spec.width, s.spec.wrap32)],
+                           F.lit(0).cast("bigint")) for i, h in enumerate(s.spec.rows)]       # a null item reads 0
+        if s.signed:
+            read = [v * sign(item, h, s.spec.wrap32).cast("bigint") for v, h in zip(read, s.spec.signs)]
+        outs.append(_read_out(F.array(*read), s).alias(f"{s.name}_est"))
+    return query.select(*keep, *outs)
+
+
+def _read_out(values: Column, s: Sketch) -> Column:
+    return _median(F.sort_array(values), s.spec.depth) if s.signed else F.array_min(values)
+
+
+def _estimate_by_join(query: DataFrame, cells: DataFrame, sketches: Sequence[Sketch], item_col: str,
+                      keep: list[Column]) -> DataFrame:
+    """Estimates of the distinct items through a join of all their cells, brought
+    back to the query rows by the item."""
+    items = query.select(F.col(item_col).alias("item")).distinct()
+    refs = items.select("item", F.inline(_tagged_refs(F.col("item"), sketches)))
+    found = refs.join(cells.select("sketch", "row", "bucket", "cnt"), ["sketch", "row", "bucket"], "left")
+    value = F.coalesce("cnt", F.lit(0).cast("bigint")) * F.col("sign").cast("bigint")
+    grouped = found.groupBy("item").agg(*[      # D values for each item and sketch
+        F.collect_list(F.when(F.col("sketch") == s.name, value)).alias(f"v_{s.name}") for s in sketches])
+    outs = [f"{s.name}_est" for s in sketches]
+    est = grouped.select(F.col("item").alias("_item"), F.struct(*[
+        _read_out(F.col(f"v_{s.name}"), s).alias(n) for s, n in zip(sketches, outs)]).alias("_out"))
+    row = query.select(F.col(item_col).alias("_item"), F.struct(*keep).alias("_row"))
+    return row.join(est, F.col("_row").isNotNull() & row["_item"].eqNullSafe(est["_item"])).select(
+        "_row.*", *[F.col(f"_out.{n}") for n in outs])
 
 
 def cms_estimate(query: DataFrame, cells: DataFrame, s: SketchSpec,

@@ -1,8 +1,8 @@
 """Exact frequencies, top-K heavy hitters with ties, and the sketch error report.
 
-The K-th largest frequency is a top-K (each task keeps K rows, the driver
-merges K x tasks rows) and enters the filter as a scalar subquery, so no
-global sort or single-partition window runs over all distinct items.
+The K-th largest frequency comes from the table of frequencies (how many items
+have each count, at most sqrt(2N) rows) and enters the filter as a scalar
+subquery, so no sort or window runs over the distinct items.
 """
 
 from __future__ import annotations
@@ -63,8 +63,8 @@ def sketch_error(counts: DataFrame, k: int, cells: DataFrame,
                  cm: sketch.Sketch, cs: sketch.Sketch) -> DataFrame:
     """Mean relative error over the heavy hitters, one row: ``n_hitters``,
     ``cm_rel_err`` (signed, (est - true) / true) and ``cs_rel_err`` (absolute,
-    |est - true| / true). ``cells`` holds both sketches (``sketch.build``), so
-    the hitters are looked up in one broadcast join and one aggregate."""
+    |est - true| / true). ``cells`` holds both sketches (``sketch.build``); the
+    hitters read them by index."""
     est = sketch.estimate(heavy_hitters(counts, k), cells, [cm, cs])
     true = F.col("cnt")
     return est.agg(

@@ -108,3 +108,35 @@ def test_wrap32_cells_match_32bit_arithmetic(spark):
     got_cs = {(r["row"], r["bucket"]): r["cnt"] for r in sketch.cs_cells(df, cs).collect()}
     assert got_cm == dict(want_cm)
     assert got_cs == {k: v for k, v in want_cs.items()}
+
+
+def _estimates(spark, most):
+    cm, cs = H.hash_family(3, 16, seed=9)
+    sk = [sketch.Sketch("cm", cm), sketch.Sketch("cs", cs, signed=True)]
+    cells = sketch.build(I.skewed_items(spark, SF_SMALL), sk)
+    names = ["_est", "_qid", "_cell", "_row", "_out", "sketch", "row", "bucket", "cnt", "arrays", "CM_est"]
+    rows = [(x, *[f"{n}{x}" for n in names]) for x in (1, 1, 2, 500, -9, None)]
+    query = spark.createDataFrame(rows, "item bigint, " + ", ".join(f"{n} string" for n in names))
+    before = sketch.BROADCAST_MAX_CELLS
+    sketch.BROADCAST_MAX_CELLS = most
+    try:
+        got = sketch.estimate(query, cells, sk)
+    finally:
+        sketch.BROADCAST_MAX_CELLS = before
+    return rows, got
+
+
+def test_both_lookups_agree_and_keep_every_column(spark):
+    rows, by_index = _estimates(spark, 1000)
+    _, by_join = _estimates(spark, 10)
+    assert by_index.columns == by_join.columns
+    assert sorted(map(tuple, by_index.collect()), key=repr) == sorted(map(tuple, by_join.collect()), key=repr)
+    kept = [c for c in by_index.columns if not c.endswith(("cm_est", "cs_est"))]
+    assert sorted(map(tuple, by_index.select(kept).collect()), key=repr) == sorted([r[:-1] for r in rows], key=repr)
+
+
+def test_estimates_read_arrays_without_an_exchange(spark):
+    _, got = _estimates(spark, 1000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    whole = plan[:plan.index("Subquery")] if "Subquery" in plan else plan
+    assert "Exchange" not in whole and "Join" not in whole and "Generate" not in whole
