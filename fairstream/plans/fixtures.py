@@ -62,6 +62,10 @@ TOP_K = 5
 TOP_K_ABOVE = 1_000_000
 # Relative standard deviation of the distinct estimate; a check allows 5 of them.
 DISTINCT_RSD = 0.01
+# Bounded heavy hitters: counters of each summary (fewer than the skewed items
+# of a bucket, so that some are turned away) and buckets.
+HITTER_COUNTERS = 12
+HITTER_BUCKETS = 4
 # Stream settings: the items stream is split into this many files, one per
 # micro-batch, and the prefix stops after at least this many items.
 STREAM_FILES = 5

@@ -580,6 +580,13 @@ def stream_oracles() -> dict[str, str]:
     out["running_counts"] = s["item_counts"]
     out["running_distinct"] = f"WITH {FLAT} SELECT DISTINCT item FROM src"
     out["stream_distinct_summary"] = s["distinct_summary"]
+    out["running_counts_compacted"] = out["stream_text_items"] = s["item_counts"]
+    out["running_distinct_compacted"] = out["running_distinct"]
+    out["stream_heavy_hitters"] = (
+        f"WITH {SKEWED}, {COUNTS} SELECT item, cnt, (SELECT CAST(sum(cnt) AS BIGINT) FROM cnts) AS n_items, "
+        f"true AS within_bounds FROM cnts WHERE cnt * {fx.HITTER_COUNTERS} > (SELECT sum(cnt) FROM cnts)")
+    out["stream_distinct_range"] = (
+        f"WITH {_parts_cte(n)} SELECT count(*) AS n_items, true AS within_bound FROM ev WHERE part BETWEEN 1 AND 3")
     out["stream_sketch_cells"] = s["cms_cells"]
     out["stream_cs_cells"] = s["cs_cells"]
     # batches are taken in part order; the first batch whose running size

@@ -19,6 +19,7 @@ from fairstream.sources import items as I
 from fairstream.sources import points as P
 from fairstream.sources import synth
 from fairstream.sources.tables import read_table
+from fairstream.streaming import hitters
 from fairstream.streaming import stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -457,6 +458,53 @@ def q_stream_distinct_estimate_check(spark, sf_dir):
                        (off <= F.col("exact") * (5 * fx.DISTINCT_RSD)).alias("within_bound"))
 
 
+def q_running_counts_compacted(spark, sf_dir):
+    """The running histogram with a compaction after every second batch."""
+    job = S.running_counts(_events_stream(spark, sf_dir), every=2).wait()
+    return S.counts_snapshot(spark, job.out)
+
+
+def q_running_distinct_compacted(spark, sf_dir):
+    job = S.running_distinct(_events_stream(spark, sf_dir), every=2).wait()
+    return S.distinct_snapshot(spark, job.out)
+
+
+def q_stream_text_items(spark, sf_dir):
+    """Items as lines of text, read on the 100 ms trigger until all have arrived."""
+    k = (id(spark.sparkContext), sf_dir, "lines")
+    if k not in _LANDED:
+        ev = read_table(spark, sf_dir, "events").select("user_id", "event_id")
+        _LANDED[k] = S.line_copy(ev, "user_id", "event_id", fx.STREAM_FILES, scratch_path(spark, "lines-landing"))
+    items = I.parse_items(S.line_stream(spark, _LANDED[k]))
+    job = S.running_counts(items, trigger=S.BATCH_INTERVAL).drain()
+    return S.counts_snapshot(spark, job.out)
+
+
+def q_stream_heavy_hitters(spark, sf_dir):
+    """The items above N / c of a skewed stream with their true counts, and whether the
+    bounded summary has each of them within its bounds."""
+    job = hitters.hitters_stream(_skewed_stream(spark, sf_dir), fx.HITTER_COUNTERS, fx.HITTER_BUCKETS).wait()
+    found = hitters.hitters_snapshot(spark, job.out)
+    exact = topk.item_counts(I.skewed_items(spark, sf_dir))
+    total = exact.agg(F.sum("cnt")).scalar()
+    heavy = exact.filter(F.col("cnt") * fx.HITTER_COUNTERS > total)
+    within = (F.col("lower") <= F.col("cnt")) & (F.col("cnt") <= F.col("upper"))
+    return heavy.join(found, "item", "left").select("item", "cnt", "n_items",
+                                                    F.coalesce(within, F.lit(False)).alias("within_bounds"))
+
+
+def q_stream_distinct_range(spark, sf_dir):
+    """Batches 1 to 3 by their merged sketches: the length, and whether the distinct
+    count is within five standard deviations of the exact one."""
+    job = S.distinct_sketches(_events_stream(spark, sf_dir)).wait()
+    ev = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("item"), "event_id")
+    landed = spark.read.parquet(_landing(spark, sf_dir, "events", ev, "event_id"))
+    exact = topk.distinct_summary(landed.filter(F.col("part").between(1, 3))).select(F.col("n_distinct").alias("exact"))
+    both = S.distinct_between(spark, job.out, 1, 3).crossJoin(exact)        # one row each
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return both.select("n_items", (off <= F.col("exact") * (5 * 1.04 / 2 ** (S.SKETCH_LG_K / 2))).alias("within_bound"))
+
+
 def q_stream_sketch_cells(spark, sf_dir):
     job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CM).wait()
     return S.cells_snapshot(spark, job.out).drop("sketch")
@@ -513,6 +561,11 @@ def stream_queries() -> dict[str, Query]:
         "stream_distinct_summary": q_stream_distinct_summary,
         "stream_distinct_estimate": q_stream_distinct_estimate,
         "stream_distinct_estimate_check": q_stream_distinct_estimate_check,
+        "running_counts_compacted": q_running_counts_compacted,
+        "running_distinct_compacted": q_running_distinct_compacted,
+        "stream_text_items": q_stream_text_items,
+        "stream_heavy_hitters": q_stream_heavy_hitters,
+        "stream_distinct_range": q_stream_distinct_range,
         "stream_sketch_cells": q_stream_sketch_cells,
         "stream_cs_cells": q_stream_cs_cells,
         "stream_prefix": q_stream_prefix,

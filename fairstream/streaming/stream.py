@@ -1,19 +1,23 @@
 """Structured Streaming jobs over a stream of items (one ``item bigint`` per row).
 
 Every job writes through ``foreachBatch`` into a folder keyed by the batch id
-(``.../batch_id=N``, overwritten as a whole), so a batch replayed after a
-failure replaces its own output instead of adding to it; offsets and operator
-state live in a checkpoint folder under the shared ``spark.checkpoint.dir``.
-A ``*_snapshot`` function reads the current result back as a batch DataFrame.
+(overwritten as a whole), so a batch replayed after a failure replaces its own
+output instead of adding to it; offsets and operator state live in a checkpoint
+folder under the shared ``spark.checkpoint.dir``. The running results are batch
+logs with compaction (``batchlog``), and a ``*_snapshot`` function reads the
+current one back as a batch DataFrame from a bounded number of folders.
 
 - ``running_counts``: exact histogram in the state store (state grows with the
   number of distinct items, like the reference's map).
 - ``running_distinct``: distinct items as a grouped aggregate (same state
   size, merged map-side before the shuffle).
-- ``sketch_cells_stream``: count-min / count-sketch cells; state is bounded by
-  D*W keys whatever the stream.
+- ``sketch_cells_stream``: count-min / count-sketch cells, at most D*W rows
+  whatever the stream.
 - ``distinct_estimate_stream``: length, HyperLogLog++ distinct count and
   largest item as one running row (state: one sketch).
+- ``distinct_sketches``: one mergeable distinct sketch a batch, so that any range
+  of batches can be counted.
+- ``hitters.hitters_stream``: heavy hitters with count bounds, bounded state.
 - ``prefix``: whole micro-batches until at least T items were seen (the batch
   that crosses T counts in full), with one histogram per accepted batch; the
   query stops once that batch has committed.
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fairstream.session import scratch_path
+from fairstream.streaming.batchlog import EVERY, BatchLog
 
 ITEM_SCHEMA = "item bigint"
 COUNTS_SCHEMA = "item bigint, cnt bigint, batch_time timestamp"
@@ -89,6 +94,24 @@ def file_stream(spark: SparkSession, path: str, schema: str = ITEM_SCHEMA + ", p
     return r.parquet(path)
 
 
+def line_copy(df: DataFrame, column: str, key: str, parts: int, path: str) -> str:
+    """``split_copy`` as text files, one line for each value of ``column``."""
+    split_copy(df.select(F.col(column).cast("string").alias("value"), key), key, parts, f"{path}-rows")
+    rows = df.sparkSession.read.parquet(f"{path}-rows").select("value", "part")
+    rows.repartition("part").write.partitionBy("part").text(path)
+    _order_by_part(df.sparkSession, path, parts)
+    return path
+
+
+def line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """A streaming DataFrame ``value string`` over text files landing in ``path``,
+    one row a line; its offsets are the files, so a restart replays them."""
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.text(path).select("value")
+
+
 def read_items(stream: DataFrame, item_col: str = "item") -> DataFrame:
     """Normalise any streaming source to ``item bigint`` (a text source's lines
     are trimmed and cast; a malformed line fails the query)."""
@@ -170,21 +193,24 @@ def _get(spark: SparkSession, out: str, table: str, schema: str) -> DataFrame:
 
 
 def running_counts(stream: DataFrame, out: str | None = None,
-                   trigger: str | None = None) -> StreamJob:
-    """Exact running histogram; each batch writes the items whose count changed."""
-    out = out or scratch_path(stream.sparkSession, "running-counts")
+                   trigger: str | None = None, every: int = EVERY) -> StreamJob:
+    """Exact running histogram; each batch writes the items whose count changed,
+    and every ``every`` batches are merged (``batchlog``)."""
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "running-counts")
     agg = read_items(stream).groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
+    return StreamJob(_writer(agg, out, _counts_log(spark, out, every).put, trigger, "update").start(), out)
 
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        _put(batch, out, "updates", batch_id)
 
-    return StreamJob(_writer(agg, out, fn, trigger, "update").start(), out)
+def _counts_log(spark: SparkSession, out: str, every: int = EVERY) -> BatchLog:
+    """Counts only grow, so the latest value is the largest."""
+    return BatchLog(spark, f"{out}/updates", "item bigint, cnt bigint",
+                    lambda u: u.groupBy("item").agg(F.max("cnt").alias("cnt")), every)
 
 
 def counts_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """``item, cnt``: counts only grow, so the latest value is the largest."""
-    u = _get(spark, out, "updates", "item bigint, cnt bigint")
-    return u.groupBy("item").agg(F.max("cnt").alias("cnt"))
+    """``item, cnt`` so far."""
+    return _counts_log(spark, out).read()
 
 
 def state_snapshot(spark: SparkSession, out: str) -> DataFrame:
@@ -197,7 +223,7 @@ def state_snapshot(spark: SparkSession, out: str) -> DataFrame:
 
 
 def running_distinct(stream: DataFrame, out: str | None = None,
-                     trigger: str | None = None) -> StreamJob:
+                     trigger: str | None = None, every: int = EVERY) -> StreamJob:
     """Running distinct set; each batch writes the distinct items it contained.
 
     A grouped aggregate: every task merges its rows per item before the shuffle
@@ -205,18 +231,27 @@ def running_distinct(stream: DataFrame, out: str | None = None,
     per task. (A streaming ``distinct()`` has no such stage and ships every copy
     of that item to one task.) State: one row per distinct item.
     """
-    out = out or scratch_path(stream.sparkSession, "running-distinct")
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "running-distinct")
     seen = read_items(stream).groupBy("item").agg(F.max(F.lit(True)).alias("seen"))
+    log = _distinct_log(spark, out, every)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        _put(batch.select("item"), out, "seen", batch_id)
+        log.put(batch.select("item"), batch_id)
 
     return StreamJob(_writer(seen, out, fn, trigger, "update").start(), out)
 
 
+def _distinct_log(spark: SparkSession, out: str, every: int = EVERY) -> BatchLog:
+    return BatchLog(spark, f"{out}/seen", "item bigint", DataFrame.distinct, every)
+
+
 def distinct_snapshot(spark: SparkSession, out: str) -> DataFrame:
     """``item``: every item seen so far, once."""
-    return _get(spark, out, "seen", "item bigint").select("item").distinct()
+    return _distinct_log(spark, out).read()
+
+
+ESTIMATE = "n_items bigint, n_distinct bigint, largest bigint, batch bigint"
 
 
 def distinct_estimate_stream(stream: DataFrame, rsd: float = 0.01, out: str | None = None,
@@ -225,22 +260,67 @@ def distinct_estimate_stream(stream: DataFrame, rsd: float = 0.01, out: str | No
     ``rsd``) and largest item, as one running row: the state is one sketch,
     whatever the number of distinct items (the exact set keeps one row per
     item)."""
-    out = out or scratch_path(stream.sparkSession, "distinct-estimate")
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "distinct-estimate")
     agg = read_items(stream).agg(
         F.count("item").alias("n_items"),
         F.approx_count_distinct("item", rsd).alias("n_distinct"),
         F.max("item").alias("largest"))
+    log = _estimate_log(spark, out)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        _put(batch.withColumn("batch", F.lit(batch_id)), out, "rows", batch_id)
+        log.put(batch.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
 
     return StreamJob(_writer(agg, out, fn, trigger, "update").start(), out)
 
 
+def _estimate_log(spark: SparkSession, out: str) -> BatchLog:
+    names = [f.split()[0] for f in ESTIMATE.split(", ")]
+    return BatchLog(spark, f"{out}/rows", ESTIMATE,
+                    lambda r: r.agg(*[F.max_by(c, "batch").alias(c) for c in names]))
+
+
 def estimate_snapshot(spark: SparkSession, out: str) -> DataFrame:
     """The latest row of ``distinct_estimate_stream``."""
-    rows = _get(spark, out, "rows", "n_items bigint, n_distinct bigint, largest bigint, batch int")
-    return rows.agg(*[F.max_by(c, "batch").alias(c) for c in ("n_items", "n_distinct", "largest")])
+    return _estimate_log(spark, out).read().drop("batch")
+
+
+BATCH_SKETCH = "batch bigint, n_items bigint, sketch binary"
+# log2 of the registers of a batch's distinct sketch: a relative error of 1.04 / sqrt(2^14).
+SKETCH_LG_K = 14
+
+
+def distinct_sketches(stream: DataFrame, out: str | None = None, trigger: str | None = None,
+                      lg_k: int = SKETCH_LG_K) -> StreamJob:
+    """A mergeable distinct sketch (HLL) and the length of every batch: any range of
+    batches can be counted later, without their items. No state but the log, one
+    row a batch."""
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "distinct-sketches")
+    log = _sketch_log(spark, out)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        log.put(batch.agg(F.lit(batch_id).cast("bigint").alias("batch"), F.count("item").alias("n_items"),
+                          F.hll_sketch_agg("item", F.lit(lg_k)).alias("sketch")), batch_id)
+
+    return StreamJob(_writer(read_items(stream), out, fn, trigger).start(), out)
+
+
+def _sketch_log(spark: SparkSession, out: str) -> BatchLog:
+    return BatchLog(spark, f"{out}/sketches", BATCH_SKETCH, lambda rows: rows)
+
+
+def distinct_between(spark: SparkSession, out: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """``n_items, n_distinct`` of the batches from ``first`` to ``last`` (both
+    included, open where None): their sketches merged."""
+    rows = _sketch_log(spark, out).read()
+    if first is not None:
+        rows = rows.filter(F.col("batch") >= first)
+    if last is not None:
+        rows = rows.filter(F.col("batch") <= last)
+    return rows.agg(F.coalesce(F.sum("n_items"), F.lit(0)).cast("bigint").alias("n_items"),
+                    F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(True))), F.lit(0))
+                    .alias("n_distinct"))
 
 
 def stream_summary(spark: SparkSession, counts_out: str) -> DataFrame:
@@ -251,43 +331,36 @@ def stream_summary(spark: SparkSession, counts_out: str) -> DataFrame:
         F.max("item").alias("largest"))
 
 
-# Cells per state partition of a sketch stream: its state is bounded by the
-# sketch parameters, so its partition count comes from them, not from the data.
-CELLS_PER_STATE_PARTITION = 100_000
+CELLS = "sketch string, row int, bucket int, cnt bigint"
 
 
 def sketch_cells_stream(stream: DataFrame, sketches, out: str | None = None,
-                        trigger: str | None = None) -> StreamJob:
+                        trigger: str | None = None, every: int = EVERY) -> StreamJob:
     """Running cells of one or more sketches (``sketch.Sketch``) as one tagged
-    table; the state holds at most sum of D*W keys whatever the stream, and is
-    split into ceil(cells / 100,000) partitions (at most the session's shuffle
-    partitions), fixed when the query first starts."""
+    table. Sketches are linear: each batch writes the cells of its own items (at
+    most the sum of D*W rows, partial sums before the shuffle), and the log adds
+    them up. Nothing else is kept, whatever the stream, and the session's settings
+    stay as they are."""
     from fairstream.operators.sketch import Sketch, build
     sk = [sketches] if isinstance(sketches, Sketch) else list(sketches)
     spark = stream.sparkSession
     out = out or scratch_path(spark, "sketch-cells")
-    agg = build(read_items(stream), sk)
-    cells = sum(s.spec.cells for s in sk)
-    session_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(session_parts, -(-cells // CELLS_PER_STATE_PARTITION)))
+    log = _cells_log(spark, out, every)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        _put(batch.withColumn("batch", F.lit(batch_id)), out, "updates", batch_id)
+        log.put(build(batch, sk).select("sketch", "row", "bucket", "cnt"), batch_id)
+
+    return StreamJob(_writer(read_items(stream), out, fn, trigger).start(), out)
+
 
-    # the query clones the session's settings when it starts
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        query = _writer(agg, out, fn, trigger, "update").start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", str(session_parts))
-    return StreamJob(query, out)
+def _cells_log(spark: SparkSession, out: str, every: int = EVERY) -> BatchLog:
+    return BatchLog(spark, f"{out}/cells", CELLS,
+                    lambda c: c.groupBy("sketch", "row", "bucket").agg(F.sum("cnt").alias("cnt")), every)
 
 
 def cells_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """``sketch, row, bucket, cnt``: each cell's value from the last batch that
-    changed it."""
-    u = _get(spark, out, "updates", "sketch string, row int, bucket int, cnt bigint, batch int")
-    return u.groupBy("sketch", "row", "bucket").agg(F.max_by("cnt", "batch").alias("cnt"))
+    """``sketch, row, bucket, cnt`` of all batches so far."""
+    return _cells_log(spark, out).read()
 
 
 def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
