@@ -29,6 +29,8 @@ WRONG_WIDTH = "a point and the centres differ in size"
 # Above this many numbers (centres x coordinates) a plan of literals costs more
 # than Arrow batches; arrays of 64 coordinates are beyond it from two centres on.
 COLUMNS_MAX_NUMBERS = 127
+# From this many centres on the array path looks them up through a k-d tree.
+TREE_MIN_CENTERS = 64
 
 
 def free_name(name: str, taken: Sequence[str]) -> str:
@@ -88,25 +90,89 @@ def array_rows(column, dims: int):
     return np.asarray(flat, np.float64).reshape(-1, dims)
 
 
-def nearest_rows(x, centers):
-    """(index, squared distance) of the nearest centre of each row of a matrix, the
-    lowest index among equals. Terms are added left to right, as the column form
+def _distances(x, centers):
+    """n x K squared distances. Terms are added left to right, as the column form
     does, so both see the same distances."""
     import numpy as np
+    d = np.zeros((len(x), len(centers)))
+    for j in range(x.shape[1]):
+        diff = x[:, j, None] - centers[None, :, j]
+        d += diff * diff
+    return d
+
+
+def center_leaves(centers, size: int) -> list:
+    """Index arrays of a k-d tree's leaves: the centres are halved at the median of
+    their widest coordinate until at most ``size`` are left."""
+    import numpy as np
+    todo, leaves = [np.arange(len(centers))], []
+    while todo:
+        at = todo.pop()
+        if len(at) <= size:
+            leaves.append(np.sort(at))
+            continue
+        axis = np.ptp(centers[at], axis=0).argmax()
+        order = at[np.argsort(centers[at, axis], kind="stable")]
+        todo += [order[:len(at) // 2], order[len(at) // 2:]]
+    return leaves
+
+
+def nearest_rows(x, centers, tree_from: int = TREE_MIN_CENTERS, counted: list | None = None):
+    """(index, squared distance) of the nearest centre of each row of a matrix, the
+    lowest index among equals.
+
+    From ``tree_from`` centres on they are put into the leaves of a k-d tree, and a
+    row looks only into leaves whose box is no further away than the nearest centre
+    known; the answers are those of the plain scan. ``counted`` gets the number of
+    distances taken."""
+    import numpy as np
     n, k = len(x), len(centers)
     idx, dist = np.zeros(n, np.int64), np.zeros(n)
-    step = max(1, (1 << 24) // max(k, 1))       # n x K distances at a time: 128 MB
+    use_tree = k >= tree_from
+    leaves = center_leaves(centers, max(1, round(math.sqrt(k)))) if use_tree else []
+    step = max(1, (1 << 24) // max(len(leaves) if use_tree else k, 1))       # 128 MB of distances at a time
     for lo in range(0, n, step):
         part = x[lo:lo + step]
-        d = np.zeros((len(part), k))
-        for j in range(x.shape[1]):
-            diff = part[:, j, None] - centers[None, :, j]
-            d += diff * diff
-        at = np.where(np.isnan(d), np.inf, d).argmin(axis=1)   # NaN sorts last, as in SQL
-        idx[lo:lo + step], dist[lo:lo + step] = at, d[np.arange(len(part)), at]
+        if use_tree and np.isfinite(part).all():
+            idx[lo:lo + step], dist[lo:lo + step], taken = _nearest_by_leaf(part, centers, leaves)
+        else:
+            d = _distances(part, centers)
+            at = np.where(np.isnan(d), np.inf, d).argmin(axis=1)   # NaN sorts last, as in SQL
+            idx[lo:lo + step], dist[lo:lo + step], taken = at, d[np.arange(len(part)), at], d.size
+        if counted is not None:
+            counted.append(taken)
     return idx, dist
 
 
+def _nearest_by_leaf(x, centers, leaves):
+    import numpy as np
+    best, at = np.full(len(x), np.inf), np.full(len(x), len(centers))
+    low = np.stack([centers[m].min(0) for m in leaves])
+    high = np.stack([centers[m].max(0) for m in leaves])
+    gap = np.zeros((len(x), len(leaves)))                          # squared distance to each leaf's box
+    for j in range(x.shape[1]):
+        out = np.maximum(np.maximum(low[None, :, j] - x[:, j, None], x[:, j, None] - high[None, :, j]), 0)
+        gap += out * out
+    taken = 0
+
+    def look(rows, members):
+        d = _distances(x[rows], centers[members])
+        k = d.argmin(axis=1)                                       # members are in order: the lowest index
+        value, index = d[np.arange(len(rows)), k], members[k]
+        better = (value < best[rows]) | ((value == best[rows]) & (index < at[rows]))
+        best[rows[better]], at[rows[better]] = value[better], index[better]
+        return d.size
+
+    first = gap.argmin(axis=1)
+    for g, members in enumerate(leaves):
+        rows = np.flatnonzero(first == g)
+        taken += look(rows, members) if len(rows) else 0
+    for g, members in enumerate(leaves):                           # a little slack for rounding of the gaps
+        rows = np.flatnonzero((first != g) & (gap[:, g] * (1 - 1e-9) <= best))
+        taken += look(rows, members) if len(rows) else 0
+    return at, best, taken
+
+
 def _assign_pandas(points: DataFrame, centers: Centers, cols: Sequence[str] | None,
                    features: str, finite: bool = True) -> DataFrame:
     """The nearest centre of every row of each Arrow batch, with numpy."""

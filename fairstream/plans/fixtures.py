@@ -16,6 +16,10 @@ CENTERS_2D = [
 
 # 500 centres from a rule: multiples of two irrational steps, spread over the same ranges.
 CENTERS_K500 = [[1 + 499 * (i * 0.6180339887 % 1), 1 + 365 * (i * 0.7548776662 % 1)] for i in range(500)]
+# 5,000 from the same rule, on whole numbers of the second coordinate, so that some
+# points have several nearest centres; every seventh is a copy of the one before.
+CENTERS_K5000 = [[1 + round(499 * (j * 0.6180339887 % 1), 2), 1.0 + round(365 * (j * 0.7548776662 % 1))]
+                 for i in range(5000) for j in [i - (i % 7 == 6)]]
 
 # With every point from day EDGE_Y on in group A, the third centre's
 # cluster has no B point and the fourth has no point at all.

@@ -389,6 +389,7 @@ def fixed_start_oracles() -> dict[str, str]:
         "fair_vs_standard_fixed": compare_fixed_sql(fx.FAIR_ROUNDS),
         "fair_rounds_any_order": f"SELECT cluster, x, y, true AS same_bits FROM ({fair_rounds_sql(2)})",
         "assign_nearest_k500": nearest_of_many_sql(fx.CENTERS_K500),
+        "assign_nearest_k5000": nearest_of_many_sql(fx.CENTERS_K5000),
         "assign_nearest_d3": nearest_of_width_sql(3),
         "assign_nearest_d17": nearest_of_width_sql(17),
         "read_points_text": (

@@ -194,6 +194,12 @@ def q_assign_nearest_k500(spark, sf_dir):
     return _round(a.select("id", "cluster", "dist2"), {"dist2": D})
 
 
+def q_assign_nearest_k5000(spark, sf_dir):
+    """Nearest of 5,000 centres, with copies among them, through the tree of centres."""
+    a = cluster.assign(P.points2d(spark, sf_dir), fx.CENTERS_K5000, ("x", "y"))
+    return _round(a.select("id", "cluster", "dist2"), {"dist2": D})
+
+
 def _assign_width(spark, sf_dir, dims):
     p = P.pointsnd(spark, sf_dir).withColumn("features", F.slice("features", 1, dims))
     a = cluster.assign(p, [c[:dims] for c in fx.CENTERS_ND], cols=None)
@@ -266,6 +272,7 @@ def fixed_start_queries() -> dict[str, Query]:
         "fair_vs_standard_fixed": q_fair_vs_standard_fixed,
         "fair_rounds_any_order": q_fair_rounds_any_order,
         "assign_nearest_k500": q_assign_nearest_k500,
+        "assign_nearest_k5000": q_assign_nearest_k5000,
         "assign_nearest_d3": q_assign_nearest_d3,
         "assign_nearest_d17": q_assign_nearest_d17,
         "read_points_text": q_read_points_text,

@@ -113,3 +113,26 @@ def test_non_finite_points_are_rejected(spark):
     inf = spark.createDataFrame([(float("inf"), 0.0)], "x double, y double")
     with pytest.raises(Exception):
         cluster.assign(inf, [[1.0, 0.0]]).collect()
+
+
+@pytest.mark.parametrize(("dims", "k"), [(2, 5000), (3, 700), (16, 300), (64, 64)])
+def test_tree_of_centres_equals_the_plain_scan(dims, k):
+    rnd = np.random.default_rng(dims)
+    centers = np.round(rnd.uniform(-5, 5, (k, dims)), 1)           # a coarse grid: many ties
+    centers[k // 2:k // 2 + 20] = centers[:20]
+    x = np.concatenate([np.round(rnd.uniform(-6, 6, (3000, dims)), 1), centers[:200], rnd.normal(0, 40, (50, dims))])
+    counted = []
+    got = cluster.nearest_rows(x, centers, tree_from=2, counted=counted)
+    want = cluster.nearest_rows(x, centers, tree_from=k + 1)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    if dims == 2:
+        assert sum(counted) < 0.1 * len(x) * k
+
+
+def test_tree_of_centres_with_odd_points():
+    centers = np.array([[0.0, 0.0], [1.0, 1.0], [1.0, 1.0], [5.0, 5.0]])
+    x = np.array([[1.0, 1.0], [np.nan, 1.0], [np.inf, 0.0], [0.5, 0.5]])
+    with np.errstate(invalid="ignore"):
+        got, want = cluster.nearest_rows(x, centers, tree_from=2), cluster.nearest_rows(x, centers, tree_from=9)
+    assert got[0].tolist() == want[0].tolist() == [1, 0, 0, 0]
+    assert len(cluster.nearest_rows(x[:0], centers, tree_from=2)[0]) == 0
