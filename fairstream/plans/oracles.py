@@ -588,6 +588,8 @@ def stream_oracles() -> dict[str, str]:
         f"true AS within_bounds FROM cnts WHERE cnt * {fx.HITTER_COUNTERS} > (SELECT sum(cnt) FROM cnts)")
     out["stream_distinct_range"] = (
         f"WITH {_parts_cte(n)} SELECT count(*) AS n_items, true AS within_bound FROM ev WHERE part BETWEEN 1 AND 3")
+    out["stream_report_log"] = (f"WITH {_parts_cte(n)} SELECT count(*) AS n_items, max(item) AS largest, "
+                                "count(DISTINCT part) AS n_reports FROM ev")
     out["stream_sketch_cells"] = s["cms_cells"]
     out["stream_cs_cells"] = s["cs_cells"]
     # batches are taken in part order; the first batch whose running size

@@ -19,7 +19,7 @@ from fairstream.sources import items as I
 from fairstream.sources import points as P
 from fairstream.sources import synth
 from fairstream.sources.tables import read_table
-from fairstream.streaming import hitters
+from fairstream.streaming import hitters, sink
 from fairstream.streaming import stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,6 +512,16 @@ def q_stream_distinct_range(spark, sf_dir):
     return both.select("n_items", (off <= F.col("exact") * (5 * 1.04 / 2 ** (S.SKETCH_LG_K / 2))).alias("within_bound"))
 
 
+def q_stream_report_log(spark, sf_dir):
+    """The report of every batch in an exactly-once sink; the last one, and how many."""
+    totals = S.read_items(_events_stream(spark, sf_dir)).agg(
+        F.count("item").alias("n_items"), F.max("item").alias("largest"))
+    job = sink.write_reports(totals).wait()
+    log = sink.read_reports(spark, job.out, "n_items bigint, largest bigint")
+    return log.agg(F.max_by("n_items", "batch").alias("n_items"), F.max_by("largest", "batch").alias("largest"),
+                   F.count_distinct("batch").alias("n_reports"))
+
+
 def q_stream_sketch_cells(spark, sf_dir):
     job = S.sketch_cells_stream(_skewed_stream(spark, sf_dir), CM).wait()
     return S.cells_snapshot(spark, job.out).drop("sketch")
@@ -573,6 +583,7 @@ def stream_queries() -> dict[str, Query]:
         "stream_text_items": q_stream_text_items,
         "stream_heavy_hitters": q_stream_heavy_hitters,
         "stream_distinct_range": q_stream_distinct_range,
+        "stream_report_log": q_stream_report_log,
         "stream_sketch_cells": q_stream_sketch_cells,
         "stream_cs_cells": q_stream_cs_cells,
         "stream_prefix": q_stream_prefix,
