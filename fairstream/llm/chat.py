@@ -11,7 +11,9 @@ roles are escaped (``&lt;``, ``&lsb;``, ``&amp;``) and ``read_back`` undoes it.
 Defined results: null text, role or parts count as empty; rows of a
 conversation are ordered by turn (null first), then role, then parts, so ties
 and repeated rows give one fixed order; a null conv_id is a conversation of its
-own; extra columns are ignored; an empty table gives no rows.
+own; a part without a kind is text, and one of an unknown kind fails the job; very
+long texts are formatted whole; extra columns are ignored (of any name); an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -69,18 +71,32 @@ def text_parts(text: Column) -> Column:
 
 
 def _visit(kinds: dict, at: Column) -> Callable[[Column, Column], Column]:
-    """The visitor of one part: its piece and its attachment (null for text)."""
+    """The visitor of one part: its placeholder and attachment, or its raw text."""
     def visit(p: Column, j: Column) -> Column:
         tokens = F.coalesce(*[F.when(p["kind"] == k, f(p).cast("long")) for k, f in kinds.items()])
         mark = F.concat(F.lit("<"), p["kind"], F.lit(":"), at, F.lit(":"), j.cast("string"), F.lit(">"))
-        known = p["kind"].isin(*kinds)
+        known, plain = p["kind"].isin(*kinds), F.coalesce(p["kind"], F.lit("text")) == "text"
+        text = F.when(plain, F.coalesce(p["text"], F.lit(""))).when(known, "").otherwise(
+            F.raise_error(F.concat(F.lit("unknown kind of part: "), p["kind"])).cast("string"))
         return F.struct(
-            F.when(known, mark).otherwise(escape(F.coalesce(p["text"], F.lit("")))).alias("piece"),
+            text.alias("text"), F.when(known, mark).alias("mark"),
             F.when(known, F.struct(mark.alias("placeholder"), p["kind"].alias("kind"), p["ref"].alias("ref"),
                                    tokens.alias("tokens"))).alias("attachment"))
     return visit
 
 
+def _body(seen: Column) -> Column:
+    """The visited parts as one text. Neighbouring texts are escaped as the run that
+    they make up, so no control string can hide in the cut between two parts."""
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("run"))
+    def add(acc: Column, p: Column) -> Column:
+        ends = p["mark"].isNotNull()
+        return F.struct(
+            F.when(ends, F.concat(acc["done"], escape(acc["run"]), p["mark"])).otherwise(acc["done"]).alias("done"),
+            F.when(ends, "").otherwise(F.concat(acc["run"], p["text"])).alias("run"))
+    return F.aggregate(seen, start, add, lambda acc: F.concat(acc["done"], escape(acc["run"])))
+
+
 def format_chats(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant",),
                  expansion: Expansion = Expansion()) -> DataFrame:
     """One row per conversation from rows (conv_id, turn, role, parts).
@@ -98,7 +114,7 @@ def format_chats(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant"
     seen = numbered.withColumn(
         "_seen", F.transform("parts", _visit(visitors(expansion), F.col("_i").cast("string"))))
     bodies = seen.select(
-        "conv_id", "turn", "role", "parts", "_i", F.array_join(F.col("_seen.piece"), "").alias("_body"),
+        "conv_id", "turn", "role", "parts", "_i", _body(F.col("_seen")).alias("_body"),
         F.array_compact(F.col("_seen.attachment")).alias("_files"))
     head = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MIDDLE))
     turns = bodies.select(

@@ -4,13 +4,19 @@ Three base kinds come from patterns alone. Beyond them, base64 and hex
 candidates are decoded and their inside is parsed before anything is reported:
 
 - ``jwt``: header and payload are JSON objects and the header names an algorithm;
-- ``der``: an ASN.1 sequence whose nested lengths fill it exactly and that opens
-  as a PKCS#1, PKCS#8 or SEC1 private key (version, then the next type);
+- ``der``: an ASN.1 sequence whose nested lengths fill it exactly and that is laid
+  out as a PKCS#1, DSA, PKCS#8 or SEC1 private key;
 - ``openssh``: the ``openssh-key-v1`` container with its length-prefixed fields.
 
-Map-only. Defined results: null and empty texts have no spans; repeated rows
-are scanned each on their own; input columns with the name of a result are
-replaced. Offsets are code points, end exclusive.
+Every possible start in a run of base64 or hex, and every header in a row of dotted
+words, is tried. Lengths are read first, and only the bytes of a header are decoded,
+so a start that fails costs a few reads however long its run is. Lines of base64 may
+be wrapped, indented, or joined by a written-out backslash-n.
+
+Map-only. Defined results: null and empty texts have no spans; very long texts are
+scanned whole; repeated rows are scanned each on their own; an empty table gives no
+rows; input columns with the name of a result are replaced. Offsets are code points,
+end exclusive.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bisect
+import functools
 import hashlib
 import json
 import re
@@ -38,12 +45,15 @@ _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
                      re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
+#: Three dotted words or more; a header is the base64 of "{" and what may follow it.
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,}+")
+_JSON_START = re.compile("(?=e[yw])")
 #: A DER sequence of two length bytes or fewer starts so; wrapped lines are one run.
 #: A further line holds no blank and is no PEM footer.
-_B64 = re.compile(r"(?:M[A-P]|b3BlbnNza)[A-Za-z0-9+/_-]{30,}(?:\r?\n(?!-----)[A-Za-z0-9+/_-]{4,}+(?!\x20))*={0,2}")
+_B64 = re.compile(r"(?:M[A-P]|b3BlbnNza)[A-Za-z0-9+/_-]{30,}"
+                  r"(?:(?:\r?\n|(?:\\r)?\\n)[\x20\t]*(?!-----)[A-Za-z0-9+/_-]++(?!\x20))*={0,2}")
 _B64_START = re.compile(r"(?=M[A-P]|b3BlbnNza)")
-_LINE_END = re.compile(r"[\r\n=]+")
+_LINE_END = re.compile(r"(?:[\r\n=\x20\t]|\\[rn])+")
 _HEX_DER = re.compile(r"30[0-9A-Fa-f]{62,}")
 _HEX_START = re.compile(r"(?=30)")
 _PADDING = re.compile("={0,2}")
@@ -69,85 +79,157 @@ def _unbase64(text: str) -> bytes | None:
         return None
 
 
-def _header(data: bytes, at: int) -> tuple[int, int, int] | None:
-    """Tag, start and end of the DER value at ``at``; None if it is malformed."""
-    if at + 2 > len(data):
-        return None
+def _header(data: bytes, at: int, size: int) -> tuple[int, int, int] | None:
+    """Tag, start and end of a DER value; None if it is malformed or larger than ``size``."""
     tag, n, body = data[at], data[at + 1], at + 2
     if n >= 128:
         width = n & 127
-        if not 1 <= width <= 4 or body + width > len(data):
+        if not 1 <= width <= 4:
             return None
         n = int.from_bytes(data[body:body + width], "big")
         body += width
-    return (tag, body, body + n) if body + n <= len(data) else None
+    return (tag, body, body + n) if body + n <= size else None
+
+
+Reader = Callable[[int, int], bytes]
+
+
+def _header_at(read: Reader, size: int, at: int) -> tuple[int, int, int] | None:
+    """Tag, start and end of the DER value at ``at``; None if it is malformed or
+    does not end within ``size``."""
+    head = read(at, 6)
+    if len(head) < 2:
+        return None
+    h = _header(head + bytes(4), 0, 1 << 40)
+    return (h[0], at + h[1], at + h[2]) if h and at + h[2] <= size and h[1] <= len(head) else None
 
 
-def _fills(data: bytes, start: int, end: int) -> bool:
-    """Whether the values from ``start`` end exactly at ``end``, constructed ones
-    inside as well (a work list, so depth is no matter)."""
+def _values(read: Reader, start: int, end: int, most: int) -> list[tuple[int, int, int]] | None:
+    """The values that fill ``start`` to ``end`` exactly, ``most`` at the most."""
+    out, at = [], start
+    while at < end:
+        h = _header_at(read, end, at)
+        if h is None or len(out) == most:
+            return None
+        out.append(h)
+        at = h[2]
+    return out
+
+
+def _fills(read: Reader, start: int, end: int) -> bool:
+    """Whether the nested values of a constructed one end exactly where it does."""
     todo = [(start, end)]
     while todo:
         at, stop = todo.pop()
-        while at < stop:
-            if (h := _header(data, at)) is None or h[2] > stop:
-                return False
-            if h[0] & 0x20:
-                todo.append((h[1], h[2]))
-            at = h[2]
+        inside = _values(read, at, stop, stop - at)
+        if inside is None:
+            return False
+        todo += [(a, b) for tag, a, b in inside if tag & 0x20]
     return True
 
 
-def key_length(data: bytes) -> int | None:
-    """Bytes of the DER private key that ``data`` begins with, or None."""
-    outer = _header(data, 0)
+def key_length(read: Reader, size: int) -> int | None:
+    """Bytes of the DER private key that the data begins with, or None. Its layout is
+    known by its outer values alone, so little is read of what is no key; what is
+    nested in the algorithm and the attributes must fill it."""
+    outer = _header_at(read, size, 0)
     if outer is None or outer[0] != 0x30:
         return None
-    version = _header(data, outer[1])
-    if version is None or version[0] != 2 or version[2] - version[1] != 1 or data[version[1]] > 1:
+    version = _header_at(read, outer[2], outer[1])
+    if version is None or version[0] != 2 or version[2] - version[1] != 1 or read(version[1], 1)[0] > 1:
         return None
-    after = _header(data, version[2])       # PKCS#1 modulus, PKCS#8 algorithm or SEC1 key
-    if after is None or after[0] not in (0x02, 0x30, 0x04) or not _fills(data, outer[1], outer[2]):
+    rest = _values(read, version[2], outer[2], 9)
+    if not rest:
         return None
-    return outer[2]
-
-
-def openssh_length(data: bytes) -> int | None:
-    """Bytes of the ``openssh-key-v1`` container that ``data`` begins with, or None:
-    cipher, kdf, options, key count, the public keys, then the private part. All of
-    ``data`` if it ends before the container does."""
+    tags = [t for t, _, _ in rest]
+    integers = tags.count(2)
+    whole = (
+        tags[:8] == [2] * 8 and tags[8:] in ([], [0x30])                    # PKCS#1
+        or integers == len(tags) and integers >= 3                          # DSA and older layouts of integers
+        or tags[:2] == [0x30, 4] and set(tags[2:]) <= {0xA0, 0xA1, 0x81}    # PKCS#8
+        or tags[0] == 4 and set(tags[1:]) <= {0xA0, 0xA1})                  # SEC1
+    return outer[2] if whole and all(_fills(read, a, b) for t, a, b in rest if t & 0x20) else None
+
+
+def openssh_length(read: Reader, size: int) -> int | None:
+    """Bytes of the ``openssh-key-v1`` container that the data begins with, or None:
+    cipher, kdf, options, key count, the public keys, then the private part. ``size``
+    if the data ends before the container does."""
     magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
+    if read(0, len(magic)) != magic:
         return None
-    at, fields = len(magic), []
-    for _ in range(3):
-        n = int.from_bytes(data[at:at + 4], "big")
-        fields.append(data[at + 4:at + 4 + n])
-        at += 4 + n
-        if at + 4 > len(data):
+
+    def number(at: int) -> int:
+        return int.from_bytes(read(at, 4), "big")
+
+    at, cipher = len(magic), b""
+    for k in range(3):
+        n = number(at)
+        if at + 8 + n > size:
             return None
-    keys = int.from_bytes(data[at:at + 4], "big")
-    n = int.from_bytes(data[at + 4:at + 8], "big")
-    if not fields[0] or not 1 <= keys <= 64 or at + 8 + n > len(data):
+        if k == 0:
+            cipher = read(at + 4, min(n, 64))
+        at += 4 + n
+    keys, n = number(at), number(at + 4)
+    if not cipher or not 1 <= keys <= 64 or at + 8 + n > size:
         return None
     at += 4
     for _ in range(keys + 1):
-        if at + 4 > len(data):
-            return len(data)
-        at += 4 + int.from_bytes(data[at:at + 4], "big")
-    at += 16 * (b"gcm" in fields[0] or b"poly1305" in fields[0])        # the tag follows
-    return min(at, len(data))
+        if at + 4 > size:
+            return size
+        at += 4 + number(at)
+    at += 16 * (b"gcm" in cipher or b"poly1305" in cipher)              # the tag follows
+    return min(at, size)
 
 
-def signed_token(text: str) -> bool:
-    """A compact signed token: JSON header with an algorithm, JSON payload."""
-    head, body, signature = text.split(".", 2)
+def _json_object(data: bytes) -> dict | None:
     try:
-        header, payload = (json.loads(_unbase64(x) or b"") for x in (head, body))
+        found = json.loads(data)
     except (ValueError, RecursionError):
-        return False
-    return (isinstance(header, dict) and isinstance(payload, dict) and isinstance(header.get("alg"), str)
-            and (bool(signature) or header["alg"] == "none"))
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def _token_header(word: str) -> tuple[int, dict] | None:
+    """Where in a dotted word the header of a signed token starts (the first place
+    that will do), and the header: a JSON object up to the word's end that names an
+    algorithm. The word is decoded once for each of the four ways to start."""
+    decoded: dict[int, tuple[bytes, str] | None] = {}
+    reader = json.JSONDecoder()
+    for m in _JSON_START.finditer(word):
+        way = m.start() % 4
+        if way not in decoded:
+            data = _unbase64(word[way:]) if len(word) > way else None
+            ends = data is not None and data.rstrip(b" \t\r\n").endswith(b"}") and b'"alg"' in data
+            decoded[way] = (data, data.decode("latin-1")) if ends else None
+        if not decoded[way]:
+            continue
+        data, text = decoded[way]
+        at = (m.start() - way) // 4 * 3
+        try:
+            _, end = reader.raw_decode(text, at)            # stops at the first fault
+        except (ValueError, RecursionError):
+            continue
+        if not text[end:].strip(" \t\r\n"):
+            header = _json_object(data[at:])
+            if header is not None and isinstance(header.get("alg"), str):
+                return m.start(), header
+    return None
+
+
+def token_spans(text: str) -> Iterator[Span]:
+    """Compact signed tokens: a JSON header with an algorithm, a JSON payload and a
+    signature (none for the algorithm "none"). Every word may be the header, so
+    nothing in front of a token hides it; tokens may overlap."""
+    for run in _DOTTED.finditer(text):
+        words, starts = run[0].split("."), [run.start()]
+        for w in words:
+            starts.append(starts[-1] + len(w) + 1)
+        for k in range(len(words) - 2):
+            payload = _json_object(_unbase64(words[k + 1]) or b"") if words[k] and words[k + 1] else None
+            found = _token_header(words[k]) if payload is not None else None
+            if found and (words[k + 2] or found[1]["alg"] == "none"):
+                yield "jwt", starts[k] + found[0], starts[k + 2] + len(words[k + 2])
 
 
 def base_spans(text: str) -> Iterator[Span]:
@@ -159,47 +241,27 @@ def base_spans(text: str) -> Iterator[Span]:
     yield from (("hex", *m.span()) for m in _HEX.finditer(text))
 
 
-def _structures(starts: Iterator[int], n_units: int, decode: Callable[[int, int | None], bytes],
+def _structures(starts: Iterator[int], n_units: int, read: Callable[[int, int, int], bytes], size: Callable[[int], int],
                 units: Callable[[int], int]) -> Iterator[tuple[str, int, int]]:
     """Kind, start and end of the structures of one run of ``n_units`` characters.
 
-    ``decode(at, n)`` gives the first ``n`` bytes (None: all) from a character on,
-    ``units(n)`` the characters of ``n`` bytes. The search goes on behind a structure
-    that is whole (a public key or a certificate too), else at the next start. Only
-    what its header claims is decoded, so a long run costs no more than its length."""
+    ``read(start, at, n)`` decodes ``n`` bytes from byte ``at`` on of what starts at a
+    character, ``size(n)`` gives the bytes of ``n`` characters and ``units(n)`` the
+    characters of ``n`` bytes. The search goes on behind a structure that is whole,
+    else at the next start."""
     after = 0
-    for at in starts:
-        if at < after:
-            continue
-        head = decode(at, 16)
-        if head.startswith(b"openssh-key-v1"):
-            data = decode(at, None)
-            if length := openssh_length(data):
-                end = min(n_units, at + units(length))
-                yield "openssh", at, end
-                if length < len(data):
-                    after = end
+    for start in starts:
+        if start < after:
             continue
-        n = _claimed(head)
-        if n is None or n < _LEAST or at + units(n) > n_units:
-            continue
-        data = decode(at, n)
-        if length := key_length(data):
-            yield "der", at, at + units(length)
-        elif not _fills(data, 0, n):
-            continue
-        after = at + units(n)
-
-
-def _claimed(head: bytes) -> int | None:
-    """Bytes of the DER sequence that opens with ``head`` and whose first value is a
-    sequence, too, or a version; None if there is none."""
-    if len(head) < 8 or head[0] != 0x30:
-        return None
-    width = head[1] & 127 if head[1] >= 128 else 0
-    if head[1] == 128 or width > 4 or head[2 + width] not in (0x02, 0x30):
-        return None
-    return 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
+        data, held = functools.partial(read, start), size(n_units - start)
+        if length := openssh_length(data, held):
+            end = min(n_units, start + units(length))
+            yield "openssh", start, end
+            if length < held:
+                after = end
+        elif (length := key_length(data, held)) and length >= _LEAST:
+            after = start + units(length)
+            yield "der", start, after
 
 
 def _base64_spans(text: str) -> Iterator[Span]:
@@ -215,17 +277,18 @@ def _base64_spans(text: str) -> Iterator[Span]:
             last = m.end() if m else end
         whole = "".join(flat).replace("-", "+").replace("_", "/")
 
-        def decode(at: int, n: int | None) -> bytes:
-            part = whole[at:] if n is None else whole[at:at + -(-n * 4 // 3)]
+        def read(start: int, at: int, n: int) -> bytes:
+            lo = start + at // 3 * 4
+            part = whole[lo:start + -(-(at + n) // 3) * 4]
             part = part[:len(part) - (len(part) % 4 == 1)]
-            return base64.b64decode(part + "=" * (-len(part) % 4))[:n]
+            return base64.b64decode(part + "=" * (-len(part) % 4))[at % 3:at % 3 + n]
 
         def place(at: int) -> int:
             k = bisect.bisect_right(lines, (at, 1 << 60)) - 1
             return lines[k][1] + at - lines[k][0]
 
         starts = (m.start() for m in _B64_START.finditer(whole))
-        for kind, a, b in _structures(starts, total, decode, lambda n: -(-n * 4 // 3)):
+        for kind, a, b in _structures(starts, total, read, lambda n: n * 3 // 4, lambda n: -(-n * 4 // 3)):
             end = place(b - 1) + 1
             yield kind, place(a), _PADDING.match(text, end, run.end()).end()
 
@@ -234,20 +297,20 @@ def _hex_spans(text: str) -> Iterator[Span]:
     for run in _HEX_DER.finditer(text):
         whole = run[0]
 
-        def decode(at: int, n: int | None) -> bytes:
-            part = whole[at:] if n is None else whole[at:at + 2 * n]
+        def read(start: int, at: int, n: int) -> bytes:
+            part = whole[start + 2 * at:start + 2 * (at + n)]
             return bytes.fromhex(part[:len(part) & ~1])
 
         starts = (m.start() for m in _HEX_START.finditer(whole))
-        for kind, a, b in _structures(starts, len(whole), decode, lambda n: 2 * n):
+        for kind, a, b in _structures(starts, len(whole), read, lambda n: n // 2, lambda n: 2 * n):
             if kind == "der":
                 yield kind, run.start() + a, run.start() + b
 
 
 def structural_spans(text: str) -> Iterator[Span]:
     """Candidates that decode and parse."""
-    if "eyJ" in text:
-        yield from (("jwt", *m.span()) for m in _JWT.finditer(text) if signed_token(m[0]))
+    if "." in text:
+        yield from token_spans(text)
     yield from _base64_spans(text)
     yield from _hex_spans(text)
 
