@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fairstream.session import scratch_path
@@ -32,6 +33,35 @@ def drop_clashing(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[df[c] for c in df.columns if c.lower() not in taken])
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, longer if a column has it already (any case)."""
+    used = {n.lower() for n in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+class Renamed:
+    """A table whose columns are called ``c0``, ``c1``, ... while an operator adds its
+    own, so that no name of the caller's can clash with a helper."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.df = df.toDF(*[f"c{i}" for i in range(len(self.names))])
+
+    def of(self, name: str) -> str:
+        """What the column ``name`` is called inside."""
+        wanted = [i for i, n in enumerate(self.names) if n == name] or [
+            i for i, n in enumerate(self.names) if n.lower() == name.lower()]
+        return f"c{wanted[0]}"
+
+    def back(self, out: DataFrame, new: list[str] = ()) -> DataFrame:
+        """``out`` with the caller's names, those of the columns ``new`` replaced."""
+        taken = {n.lower() for n in new}
+        kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(self.names) if n.lower() not in taken]
+        return out.select(*kept, *new)
+
+
 def add_arrow_columns(
     df: DataFrame,
     fields: list[T.StructField],

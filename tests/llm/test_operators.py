@@ -383,10 +383,15 @@ def test_language_accuracy_on_held_out_rows(spark, none):
         pytest.skip("no test tables here")
     docs = spark.read.parquet(path)
     held = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(4)) == 2
-    model = langid.learn(docs.filter(~held))
+    learned = langid.learn(docs.filter(~held))
+    model = langid.contents(learned)
     assert set(model) == {"de", "en", "es", "fr"}
     assert all(len(d) <= langid.SAMPLE_ROWS * (4 * langid.SLICE_CHARS + 1) for d in model.values())
-    got = langid.classify(docs.filter(held), model).collect()
+    got = langid.classify(docs.filter(held), learned).collect()
+    in_passes = langid.classify(docs.filter(held), learned, pass_languages=1).collect()
+    assert sorted(map(tuple, in_passes), key=repr) == sorted(map(tuple, got), key=repr)
+    by_hand = langid.Classifier(model)
+    assert all((r["lang_pred"], r["score"]) == by_hand.predict(r["text"]) for r in got)
     right = [r["lang"] == r["lang_pred"] for r in got if r["lang"]]
     assert sum(right) >= 0.98 * len(right) and all(0 <= r["score"] <= 1 for r in got)
     one = langid.Classifier({"en": b"the cat and the dog " * 20})
@@ -395,7 +400,40 @@ def test_language_accuracy_on_held_out_rows(spark, none):
     both = langid.Classifier({"a": b"same words here", "b": b"same words here"})
     assert both.predict("same words") == ("a", 0.0)
     assert [both.predict(t) for t in (None, "", "123 ...")] == [("und", 0.0)] * 3
-    assert langid.learn(none.withColumn("lang", F.lit("x"))) == {} and langid.classify(none, {}).count() == 0
+    nothing = langid.learn(none.withColumn("lang", F.lit("x")))
+    assert nothing.count() == 0 and langid.classify(none, learned).count() == 0
+    assert {(r["lang_pred"], r["score"], r["rejected"]) for r in langid.classify(docs.limit(5), nothing).collect()} == {
+        ("und", 0.0, True)}
+
+
+@pytest.mark.parametrize("languages", [1, 300, 1500])
+def test_any_number_of_languages(spark, languages):
+    """Each language has words of its own; the sample is checked against the documented draw."""
+    def word(lang, k):
+        r = random.Random(f"{lang}:{k}")
+        return "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    rows = [(f"l{lang:04}", " ".join(word(lang, k) for k in range(4 * i, 4 * i + 6 + i)))
+            for lang in range(languages) for i in range(3)]
+    learned = langid.learn(spark.createDataFrame(rows, "lang string, text string"), sample_rows=2)
+    want = {}
+    for lang, t in rows:
+        h = xxhash.xxh64_intdigest(t.encode(), 42)
+        want.setdefault(lang, []).append((((h - (1 << 64)) if h >> 63 else h) % (1 << 30), t))
+    limit = min(1 << 30, 2 * 2 * (1 << 30) // 3)
+    assert langid.contents(learned) == {lang: b"".join(langid.normal(t) for _, t in found) for lang, drawn in want.items()
+                                        if (found := sorted(x for x in drawn if x[0] < limit)[:2])}
+    words_of = {lang: content.decode().split() for lang, content in langid.contents(learned).items()}
+    names = sorted(words_of)[::max(1, languages // 25)]
+    docs = spark.createDataFrame([(x, " ".join(words_of[x][1:6] * 2)) for x in names] + [("und", "12 !"), ("und", None)],
+                                 "sizes string, text string")
+    got = langid.classify(docs, learned).collect()
+    assert [r["sizes"] for r in got] == [r["lang_pred"] for r in got] and len(got) == len(names) + 2
+
+
+def test_language_of_very_long_texts(spark):
+    learned = langid.learn(spark.createDataFrame([("a", "alpha beta gamma"), ("b", "uno dos tres")], "lang string, text string"))
+    long = spark.createDataFrame([("alpha gamma " * 200_000 + "uno",), ("dos tres " * 300_000,)], "text string")
+    assert [r["lang_pred"] for r in langid.classify(long, learned).collect()] == ["a", "b"]
 
 
 def test_language_sample_counts_copies_once(spark):
@@ -404,7 +442,7 @@ def test_language_sample_counts_copies_once(spark):
     copies = spark.range(30_000).select(F.lit("few").alias("lang"), F.lit("one text again").alias("text"))
     tiny = spark.range(2000).select(F.lit("tiny").alias("lang"), F.concat(
         F.lit("z"), F.when(F.col("id") < 20, letters).otherwise("")).alias("text"))
-    model = langid.learn(few.union(copies).union(tiny))
+    model = langid.contents(langid.learn(few.union(copies).union(tiny)))
     assert len(set(model["few"].split()) - {b"one", b"text", b"again"}) >= langid.SAMPLE_ROWS - 1
     assert len(set(model["tiny"].split())) == 21                # all of its distinct texts
 
