@@ -1,15 +1,16 @@
 """Benchmark decontamination: a broadcast set of the benchmark's word n-grams is
 scanned against every training document; hits are verified word by word.
 
-The benchmark is cut into blocks of bounded size (by a hash of its item id).
-Each block is one broadcast and one map-only pass over the documents; the hits
+The benchmark is cut into blocks of bounded size (by a hash of item id and text,
+copies merged, so one item with many texts fills no block). Each block is one broadcast and one map-only pass over the documents; the hits
 of the passes add up, so a benchmark of any size is matched whole.
 
 Words are runs of digits, ASCII letters (lower-cased) and non-ASCII characters.
 Defined results: null or empty texts have no words and no hits; an item without
 words has no window; a null item_id counts as the empty string; rows with one
-item_id are one item; repeated documents are judged each on their own; input
-columns with the name of a result are replaced.
+item_id are one item; repeated documents are judged each on their own; very long
+texts are scanned whole; an empty table on either side gives no rows and no hits;
+input columns with the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import hashlib
 import itertools
 import math
 import re
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -29,8 +31,9 @@ from pyspark.sql import types as T
 from fairstream.llm.shared import add_arrow_columns, materialize, text_bytes
 
 NGRAM = 13
-#: Bytes of benchmark text in one broadcast block.
-BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text in one broadcast block; built, it takes up to ten times that
+#: (and 200 bytes for each distinct word).
+BLOCK_BYTES = 4 << 20
 
 #: Every byte to its lower-case word byte, or to a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -76,33 +79,60 @@ def window_hashes(values: np.ndarray, length: int) -> np.ndarray:
 
 
 class Windows:
-    """The windows of one benchmark block, ready for scanning."""
+    """The windows of one benchmark block in packed arrays, ready for scanning.
+
+    ``words`` holds the word numbers of all items one behind the other. For each
+    window length: the sorted hashes of the distinct windows, where each of them
+    stands in ``words``, and the numbers of its items, all windows in one array."""
 
     def __init__(self, items: Iterable[tuple[str, bytes]], ngram: int):
-        self.by_length: dict[int, dict[bytes, set[str]]] = {}
         self.ids: dict[bytes, int] = {}
+        names: dict[str, int] = {}
+        words, owners, sizes = array("i"), [], []
         for item, text in items:
-            words = words_of(text)
-            for w in words:
-                self.ids.setdefault(w, len(self.ids) + 1)
-            length = min(ngram, len(words))
-            for i in range(len(words) - length + 1 if words else 0):
-                self.by_length.setdefault(length, {}).setdefault(
-                    b" ".join(words[i:i + length]), set()).add(item)
-        rng = np.random.default_rng(7)
-        self.value = np.concatenate([np.zeros(1, np.uint64),
-                                     rng.integers(1, _MASK, len(self.ids), np.uint64, endpoint=True)])
-        self.table = {n: self._table(n, grams) for n, grams in self.by_length.items()}
-
-    def _codes(self, words: list[bytes]) -> np.ndarray:
-        ids = np.fromiter(map(self.ids.get, words, itertools.repeat(0)), np.int64, len(words))
-        return self.value[ids]
-
-    def _table(self, length: int, grams: dict) -> np.ndarray:
-        bits = max(16, (16 * len(grams)).bit_length())
-        out = np.zeros(1 << bits, bool)
-        hashes = [window_hashes(self._codes(g.split(b" ")), length)[0] for g in grams]
-        out[(np.array(hashes, np.uint64) >> np.uint64(64 - bits)).astype(np.int64)] = True
+            found = words_of(text)
+            words.extend(self.ids.setdefault(w, len(self.ids) + 1) for w in found)
+            owners.append(names.setdefault(item, len(names)))
+            sizes.append(len(found))
+        self.names, self.words = list(names), np.array(words, np.int32)
+        starts = np.cumsum([0, *sizes])
+        owner = np.array(owners, np.int32)
+        length = np.minimum(ngram, np.array(sizes, np.int64))
+        lengths = sorted({n for n in length.tolist() if n})
+        for seed in itertools.count(7):
+            rng = np.random.default_rng(seed)
+            self.value = np.concatenate([np.zeros(1, np.uint64),
+                                         rng.integers(1, _MASK, len(self.ids), np.uint64, endpoint=True)])
+            made = {}
+            for n in lengths:
+                mine = np.flatnonzero(length == n)
+                at = np.concatenate([np.arange(starts[k], starts[k + 1] - n + 1) for k in mine])
+                made[n] = self._windows(n, at, np.repeat(owner[mine], np.array(sizes)[mine] - n + 1))
+            if all(made.values()):              # else two windows share a hash: draw other values
+                break
+        self.tables = made
+
+    def _windows(self, length: int, at: np.ndarray, owner: np.ndarray) -> dict | None:
+        hashes = window_hashes(self.value[self.words], length)[at]
+        order = np.lexsort((owner, hashes))
+        hashes, at, owner = hashes[order], at[order], owner[order]
+        same = hashes[1:] == hashes[:-1]
+        if not self._equal(at[1:][same], self.words, at[:-1][same], length).all():
+            return None
+        first = np.r_[True, ~same]
+        keep = np.r_[True, ~same | (owner[1:] != owner[:-1])]               # an item once for each window
+        counts = np.add.reduceat(keep, np.flatnonzero(first))
+        bits = max(16, (8 * int(first.sum())).bit_length())
+        table = np.zeros(1 << bits, bool)
+        table[(hashes[first] >> np.uint64(64 - bits)).astype(np.int64)] = True
+        return {"hash": hashes[first], "at": at[first].astype(np.int32), "table": table,
+                "cuts": np.r_[0, np.cumsum(counts)].astype(np.int32), "items": owner[keep]}
+
+    def _equal(self, at: np.ndarray, ids: np.ndarray, there: np.ndarray, length: int) -> np.ndarray:
+        """Whether the windows of ``ids`` at ``at`` are those of ``words`` at ``there``."""
+        out = np.ones(len(at), bool)
+        for k in range(length):
+            out &= ids[at + k] == self.words[there + k]
         return out
 
     def find(self, docs: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
@@ -110,17 +140,21 @@ class Windows:
         found: list[tuple[list, set]] = [([], set()) for _ in docs]
         flat = [w for d in docs for w in d]
         ends = np.cumsum([len(d) for d in docs])
-        codes = self._codes(flat)
-        for length, table in self.table.items():
+        ids = np.fromiter(map(self.ids.get, flat, itertools.repeat(0)), np.int64, len(flat))
+        codes = self.value[ids]
+        for length, t in self.tables.items():
             hashes = window_hashes(codes, length)
-            shift = np.uint64(65 - len(table).bit_length())
-            at = np.flatnonzero(table[(hashes >> shift).astype(np.int64)])
-            grams = self.by_length[length]
-            for i, doc in zip(at.tolist(), np.searchsorted(ends, at, "right").tolist(), strict=True):
-                if i + length <= ends[doc] and (items := grams.get(b" ".join(flat[i:i + length]))):
-                    first = i - (int(ends[doc]) - len(docs[doc]))
-                    found[doc][0].append((first, first + length))
-                    found[doc][1].update(items)
+            shift = np.uint64(65 - len(t["table"]).bit_length())
+            at = np.flatnonzero(t["table"][(hashes >> shift).astype(np.int64)])
+            k = np.minimum(np.searchsorted(t["hash"], hashes[at]), len(t["hash"]) - 1)
+            doc = np.searchsorted(ends, at, "right")
+            good = (t["hash"][k] == hashes[at]) & (at + length <= ends[np.minimum(doc, len(ends) - 1)])
+            at, k, doc = at[good], k[good], doc[good]
+            good = self._equal(at, ids, t["at"][k], length)                 # word by word
+            for i, w, d in zip(at[good].tolist(), k[good].tolist(), doc[good].tolist(), strict=True):
+                first = i - (int(ends[d]) - len(docs[d]))
+                found[d][0].append((first, first + length))
+                found[d][1].update(self.names[x] for x in t["items"][t["cuts"][w]:t["cuts"][w + 1]].tolist())
         return found
 
 
@@ -166,12 +200,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     """``docs`` plus ``FIELDS``: merged hit spans (word positions), the items found,
     counts, and whether hit words are at least ``min_percent`` of all words."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-                             F.col(item_text).alias("text")).filter("text IS NOT NULL")
+                             F.col(item_text).alias("text")).filter("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     out = docs
     for k in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         rows = [(r["item"], r["text"].encode()) for r in part.toLocalIterator()]
         block = docs.sparkSession.sparkContext.broadcast(Windows(rows, ngram))
         out = _scan(out, text_col, block, k == 0, min_percent)
