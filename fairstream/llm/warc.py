@@ -8,7 +8,7 @@ Spark commits, says which files count, so a repeated task leaves no double.
 Reading, without extraction: the end of the file gives the central directory
 (the ZIP64 one where sizes need it), the directory gives the place of each
 stored member, the index member gives the place of each record, and records are
-fetched by range. Tasks read one WARC member each.
+fetched by range. The members are dealt over as many tasks as their bytes ask for.
 
 Defined results: a null payload is empty; of equal payloads (by SHA-1) of
 ``min_bytes`` or more, every row with the largest id is a response and the
@@ -41,6 +41,8 @@ from fairstream.llm.shared import materialize
 from fairstream.session import scratch_path
 
 MEMBER_BYTES = 8 << 20
+#: A payload that more than one in so many rows have is joined by broadcast.
+HOT_SHARE = 1000
 #: Records closer than this are fetched with one read.
 GAP_BYTES = 1 << 16
 READ_BYTES = 4 << 20
@@ -186,9 +188,15 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         body.alias("payload"), F.unhex(F.sha1(body)).alias("sha1"))
     long_enough = F.octet_length("payload") >= min_bytes
+    total = pages.count()
     newest = rows.filter(long_enough).groupBy("sha1").agg(F.max("page_id").alias("newest"), F.count("*").alias("n"))
-    copies = newest.filter("n > 1").select("sha1", "newest", F.lit(True).alias("copied"))
-    flagged = rows.join(copies, "sha1", "left")
+    copies = newest.filter("n > 1").select("sha1", "newest", "n", F.lit(True).alias("copied"))
+    # A payload with more than one in HOT_SHARE rows stays where it is; only rows of the
+    # others travel to their digest.
+    hot = F.broadcast(copies.filter(F.col("n") * HOT_SHARE > total).drop("n"))     # fewer than HOT_SHARE rows
+    cold = copies.filter(F.col("n") * HOT_SHARE <= total).drop("n")
+    flagged = rows.join(hot, "sha1").unionByName(
+        rows.join(hot.select("sha1"), "sha1", "left_anti").join(cold, "sha1", "left"))
     revisit = F.coalesce(F.col("copied") & long_enough & ~F.col("page_id").eqNullSafe(F.col("newest")), F.lit(False))
     records = flagged.select("page_id", "url", "payload", "sha1", "newest", revisit.alias("revisit"))
 
@@ -270,8 +278,11 @@ def ranges(offsets: list[int], lengths: list[int]) -> Iterator[tuple[int, int, l
         todo = todo[n:]
 
 
-def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """Every record of the packages, read by range (without payloads if not asked for)."""
+def read(manifest: DataFrame, task_bytes: int = MEMBER_BYTES) -> DataFrame:
+    """Every record of the packages, read by range, in as many tasks as the packages'
+    bytes ask for: ``task_bytes`` each."""
+    size = manifest.agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n")).first()
+    tasks = max(1, -(-(size["bytes"] or 0) // task_bytes), size["n"])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
                             ("payload_digest", pa.string()), ("payload_bytes", pa.int64()),
@@ -283,8 +294,5 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                     for start, end, inside in ranges(place["offsets"], place["lengths"]):
                         data = file.read_at(end - start, place["data_start"] + start)
                         found = [parse_record(zlib.decompress(data[a - start:a - start + n], 31)) for a, n in inside]
-                        if not payloads:
-                            for x in found:
-                                x["payload"] = None
                         yield pa.RecordBatch.from_pylist(found, schema=schema)
-    return places(manifest).repartition("path", "member").mapInArrow(run, RECORDS)
+    return places(manifest).repartition(tasks).mapInArrow(run, RECORDS)
