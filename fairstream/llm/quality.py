@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairstream.llm.shared import SPACE_CHARS, SPACE_CLASS, drop_clashing
+from fairstream.llm.shared import SPACE_CHARS, SPACE_CLASS, Renamed, column, drop_clashing
 
 # Common function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -78,10 +78,15 @@ def _repeat_words(n: Column) -> Column:
 
 def measure(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` plus the columns of ``MEASURES`` (long)."""
+    inside = Renamed(df)
+    return inside.back(_measured(inside.df, inside.of(text_col)), MEASURES)
+
+
+def _measured(df: DataFrame, text_col: str) -> DataFrame:
     t = F.coalesce(F.col(text_col), F.lit(""))
     body = F.btrim(t, F.lit(SPACE_CHARS))
     none = F.array().cast("array<string>")
-    with_words = drop_clashing(df, [m for m in MEASURES if m != text_col]).select(
+    with_words = df.select(
         "*",
         F.when(body == "", none).otherwise(F.split(body, SPACE_CLASS + "+")).alias("_words"),
         F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "").alias("_lines"),
@@ -132,5 +137,5 @@ def judge(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES
 
 def keep_good(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that pass every rule, with the columns of ``df`` only."""
-    packed = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), df[text_col].alias("_text"))
+    packed = df.select(F.struct(*map(column, df.columns)).alias("_row"), column(text_col).alias("_text"))
     return judge(packed, "_text").filter("kept").select("_row.*")

@@ -60,7 +60,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return substring.remove_repeats(docs, texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed",
+                                                 F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +86,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write(read_table(spark, sf_dir, "pages"))
-    return warc.read(manifest, payloads=False).select(
+    return warc.read(manifest).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairstream.llm.shared import drop_clashing
+from fairstream.llm.shared import Renamed, column, drop_clashing, free_name
 from fairstream.session import scratch_path
 
 RESULTS = ["shard", "grown_shard", "bucket", "slot", "law"]
@@ -83,7 +83,8 @@ def shuffle_shards(df: DataFrame, key: str, shards: int = 40, seed: int = 17,
     ``record_bytes`` is what a record takes beside its texts; the summed bytes of a
     shard and ``bucket_bytes`` set the number of its buckets, never the shard of a row.
     """
-    scattered = scatter(df, key, shards, seed)
+    inside = Renamed(df)
+    scattered = scatter(inside.df, inside.of(key), shards, seed)
     size = _bytes(scattered, record_bytes)
     sizes = {r["shard"]: r["n"] for r in                             # at most ``shards`` rows
              scattered.groupBy("shard").agg(F.sum(size).alias("n")).collect()}
@@ -106,19 +107,24 @@ def shuffle_shards(df: DataFrame, key: str, shards: int = 40, seed: int = 17,
     bucket = (of_shard(offsets) + F.pmod(mixed, of_shard(parts))).cast("int")
     records = single.unionByName(copies).withColumn("bucket", bucket).drop("_copy")
     columns = [c for c in records.columns if c not in ("shard", "bucket")]
+    taken = {r.lower() for r in RESULTS}
+    named = [column(f"c{i}").alias(n) for i, n in enumerate(inside.names) if n.lower() not in taken]
     buckets = (
         records.repartitionById(sum(parts), F.col("bucket"))
         .groupBy("bucket", "shard")
         .agg(F.shuffle(F.sort_array(F.collect_list(F.struct(*columns))), seed).alias("_rows"))
         .select("shard", "bucket", F.posexplode("_rows").alias("slot", "_row"))
-        .select("_row.*", "bucket", F.col("slot").cast("long").alias("slot"), "shard"))
+        .select("_row.*", "bucket", F.col("slot").cast("long").alias("slot"), "shard")
+        .select(*named, "grown_shard", "bucket", "slot", "shard"))
     path = scratch_path(df.sparkSession, "llm-shards")
     write_shards(buckets, path)
     placed = df.sparkSession.read.schema(buckets.schema).parquet(path)
     counts = placed.groupBy("bucket", "shard").agg(F.count("*").alias("_n"))
-    before = counts.select("bucket", (F.sum("_n").over(_earlier()) - F.col("_n")).alias("_before"))
+    earlier = free_name("_before", placed.columns)
+    before = counts.select("bucket", (F.sum("_n").over(_earlier()) - F.col("_n")).alias(earlier))
+    kept = [column(n) for n in inside.names if n.lower() not in taken]
     return placed.join(F.broadcast(before), "bucket").select(
-        *columns, "shard", "bucket", (F.col("_before") + F.col("slot")).alias("slot"),
+        *kept, "grown_shard", "shard", "bucket", (F.col(earlier) + F.col("slot")).alias("slot"),
         F.lit("key").alias("law"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def column(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def drop_clashing(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without the columns that an operator is about to add (any case)."""
     taken = {n.lower() for n in names}
-    return df.select(*[df[c] for c in df.columns if c.lower() not in taken])
+    return df.select(*[column(c) for c in df.columns if c.lower() not in taken])
 
 
 def free_name(name: str, taken: list[str]) -> str:

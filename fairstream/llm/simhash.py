@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairstream.llm.shared import add_arrow_columns, materialize, text_bytes
+from fairstream.llm.shared import Renamed, add_arrow_columns, materialize, text_bytes
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 BLOCKS = 6
@@ -249,10 +249,14 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """One document of each group: the row with the smallest id (one of them, if
-    several rows have that id and fingerprint)."""
-    marked = materialize(add_fingerprints(docs, text_col), "marked")
-    stays = (classes(marked.select(id_col, "_fp"), id_col, radius).filter("_fp = keeper")
+    """One document of each group: the row with the smallest id (of several such rows
+    with one fingerprint, the one whose text and other columns come first)."""
+    inside = Renamed(docs)
+    text, ident = inside.of(text_col), inside.of(id_col)
+    marked = materialize(add_fingerprints(inside.df, text), "marked")
+    stays = (classes(marked.select(ident, "_fp"), ident, radius).filter("_fp = keeper")
              .select(F.col("_fp").alias("_k"), F.col("component_id").alias("_c")))
-    kept = marked.join(stays, (F.col("_fp") == F.col("_k")) & F.col(id_col).eqNullSafe(F.col("_c")), "left_semi")
-    return kept.dropDuplicates(["_fp", id_col]).drop("_fp")
+    kept = marked.join(stays, (F.col("_fp") == F.col("_k")) & F.col(ident).eqNullSafe(F.col("_c")), "left_semi")
+    first = F.min(F.struct(text, *[c for c in inside.df.columns if c not in (text, ident)])).alias("_row")
+    one = kept.groupBy("_fp", ident).agg(first)
+    return inside.back(one.select(ident, "_row.*"))

@@ -25,7 +25,6 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -353,14 +352,12 @@ def _ask(source: DataFrame, make: Callable[[dict], list[tuple]], answer: Callabl
 
 # --- the operator ------------------------------------------------------------
 
-FOUND = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+FOUND = "doc_id long, n_words long, n_removed long, kept_text string"
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW,
-                   pack_words: int = PACK_WORDS, bucket_words: int = BUCKET_WORDS,
-                   texts: bool = True) -> DataFrame:
-    """One row per document: word counts, the kept words joined by one space (null
-    without ``texts``) and their SHA-256."""
+                   pack_words: int = PACK_WORDS, bucket_words: int = BUCKET_WORDS) -> DataFrame:
+    """One row per document: word counts and the kept words joined by one space."""
     table = materialize(packs(docs, text_col, id_col, pack_words), "packs")
     words = table.agg(F.sum("n_words")).first()[0] or 0
     buckets = max(1, math.ceil(words / bucket_words))
@@ -372,11 +369,11 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield _kept(Pack(row), row["answers"] or [], window, texts)
+                yield _kept(Pack(row), row["answers"] or [], window)
     return table.join(repeats, "pack", "left").mapInArrow(finish, FOUND)
 
 
-def _kept(pack: Pack, answers: list[dict], window: int, texts: bool) -> pa.RecordBatch:
+def _kept(pack: Pack, answers: list[dict], window: int) -> pa.RecordBatch:
     n = len(pack.codes)
     steps = np.zeros(n + 1, np.int64)
     for a in answers:
@@ -384,13 +381,11 @@ def _kept(pack: Pack, answers: list[dict], window: int, texts: bool) -> pa.Recor
         steps += np.bincount(at, minlength=n + 1)
         steps -= np.bincount(at + window, minlength=n + 1)[:n + 1]
     stays = np.cumsum(steps)[:n] == 0
-    removed, digests, kept = [], [], []
+    removed, kept = [], []
     for first, count in zip(pack.first.tolist(), pack.counts.tolist(), strict=True):
         codes = pack.codes[first:first + count][stays[first:first + count]]
-        text = b" ".join(map(pack.words.__getitem__, codes.tolist()))
         removed.append(count - len(codes))
-        digests.append(hashlib.sha256(text).hexdigest())
-        kept.append(text.decode() if texts else None)
+        kept.append(b" ".join(map(pack.words.__getitem__, codes.tolist())))
     return pa.RecordBatch.from_arrays(
-        [pa.array(pack.ids, pa.int64()), pa.array(pack.counts), pa.array(removed, pa.int64()), pa.array(digests),
-         pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+        [pa.array(pack.ids, pa.int64()), pa.array(pack.counts), pa.array(removed, pa.int64()),
+         pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
