@@ -14,8 +14,8 @@ Decoding joins the pieces, and bytes for what no piece covers, so it gives every
 text back exactly (a literal U+2581 too, which is encoded as bytes).
 
 Defined results: a null text gives null ids, an empty one no ids; a null id is
-a key like any other; repeated rows with one id are cut alike; input columns
-with the name of a result are replaced.
+a key like any other; repeated rows with one id are cut alike; an empty table gives
+no rows; input columns with the name of a result are replaced.
 """
 
 from __future__ import annotations

@@ -3,7 +3,8 @@
 Only DataFrame functions: text -> word, line and window arrays -> counts ->
 ratios -> verdict, all map-only. Defined results: a null or empty text has no
 words, so it fails the base rule and is rejected; repeated rows are judged
-each on their own; input columns with the name of a result are replaced.
+each on their own; very long texts are measured whole; an empty table gives no
+rows; input columns with the name of a result are replaced.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@
    ``SHARD_LIMIT`` is cut into parts; the tree of each part is sent to every
    pair of parts, so no task holds more than two of them.
 4. A task returns one link per fingerprint and local group, not all pairs;
-   Spark joins the links of all shards into components.
+   Spark joins the links of all shards into components (``graph``: the minima of
+   hot centres are broadcast).
 
 A shard's tree is built in the task that its rows reach: the trees of all
 shards together grow with the data, so sending all of them to all executors
@@ -18,7 +19,8 @@ has no size bound.
 Defined results: null and empty texts and texts without words have fingerprint
 zero and link like any other; rows with one doc_id are documents of their own;
 the smallest doc_id ignores nulls (null if a component has no other); input
-columns with the name of a result are replaced.
+columns with the name of a result are replaced; very long texts are hashed whole,
+in chunks; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,10 +35,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fairstream.llm.graph import components
 from fairstream.llm.shared import Renamed, add_arrow_columns, materialize, text_bytes
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
-BLOCKS = 6
+LEAST_BLOCKS, MOST_BLOCKS = 6, 8
 SHARD_LIMIT = 1024
 #: A fingerprint with more than one in so many rows is joined by broadcast.
 HOT_SHARE = 1000
@@ -167,12 +170,22 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(flat[:, 0].copy()), pa.array(flat[:, 1].copy())], names=["src", "dst"])
 
 
-def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
+def blocks_for(count: int, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT) -> int:
+    """Blocks for ``count`` distinct fingerprints: the fewest (each more costs keys) whose
+    shards, were the bits even, hold ``shard_limit`` or fewer. Any number is exact."""
+    for blocks in range(max(LEAST_BLOCKS, radius + 1), MOST_BLOCKS):
+        if count <= shard_limit << (64 * (blocks - radius) // blocks):
+            return blocks
+    return max(MOST_BLOCKS, radius + 1)
+
+
+def links(prints: DataFrame, radius: int = RADIUS, blocks: int | None = None,
           shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """Links (src, dst) whose components are those of all pairs within ``radius``.
 
     ``prints`` holds distinct fingerprints in ``_fp``.
     """
+    blocks = blocks or blocks_for(prints.count(), radius, shard_limit)
     keyed = prints.select("_fp", F.explode(shard_keys(F.col("_fp"), radius, blocks)).alias("key"))
     full = (keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
             .select("key", F.ceil(F.col("n") / shard_limit).cast("int").alias("parts")))
@@ -186,33 +199,6 @@ def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     return found.groupBy("src", "dst").agg(F.lit(1).alias("_")).select("src", "dst")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node with an edge: alternating large and small
-    stars, each round a table in the shared folder, until nothing changes."""
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
-
-    now = materialize(edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-                      .distinct(), "links")
-    before = state(now)
-    while before[0]:
-        both = now.union(now.select("dst", "src"))
-        low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
-        large = both.join(low, "src").filter("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-        large = large.filter("src <> dst").distinct()
-        least = large.groupBy("src").agg(F.min("dst").alias("low"))
-        small = large.join(least, "src").select(
-            F.explode(F.array(F.struct("src", F.col("low").alias("dst")),
-                              F.struct(F.col("dst").alias("src"), F.col("low").alias("dst")))).alias("e"))
-        now = materialize(small.select("e.src", "e.dst").filter("src <> dst").distinct(), "links")
-        after = state(now)
-        if after == before:
-            break
-        before = after
-    return now.select(F.col("src").alias("node"), F.col("dst").alias("root")).union(
-        now.select("dst", "dst").distinct())
-
-
 def classes(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """(_fp, copies, component_id, keeper): for each distinct fingerprint of ``prints``
     its number of rows, the smallest id of its component, and the fingerprint that holds it."""

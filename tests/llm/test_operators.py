@@ -686,3 +686,23 @@ def test_pipeline_against_brute_force(spark, docs, tmp_path):
     for _, stage in cp.STAGES:
         empty = stage(spark, empty, str(tmp_path))
         assert empty.count() == 0
+
+
+def test_simhash_links_are_exact_for_any_number_of_blocks(spark):
+    assert [simhash.blocks_for(n) for n in (0, 10 ** 6, 2 ** 31, 2 ** 31 + 1, 10 ** 11, 2 ** 45)] == [6, 6, 6, 7, 7, 8]
+    rnd = random.Random(7)
+    prints = [rnd.getrandbits(64) for _ in range(60)]
+    for _ in range(240):
+        prints.append(prints[rnd.randrange(len(prints))] ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(1, 6))))
+    prints = sorted(set(prints))
+    df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "_fp long")
+    roots = []
+    for blocks in (6, 7, 8):
+        found = simhash.components(simhash.links(df, blocks=blocks, shard_limit=16)).collect()
+        groups = {}
+        for r in found:
+            groups.setdefault(r["root"], set()).add(r["node"])
+        roots.append(sorted(map(sorted, groups.values())))
+    assert roots[0] == roots[1] == roots[2]
+    near = {p: [q for q in prints if p != q and (p ^ q).bit_count() <= 4] for p in prints}
+    assert sum(map(len, roots[0])) == sum(bool(v) for v in near.values())
