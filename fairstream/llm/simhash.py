@@ -2,7 +2,7 @@
 
 1. Each text becomes a 64-bit fingerprint (map-only); equal ones are grouped.
 2. Fingerprints are dealt into shards: the 64 bits are cut into blocks, and two
-   fingerprints within the radius agree on ``BLOCKS - radius`` blocks at least,
+   fingerprints within the radius agree on all blocks but ``radius`` at least,
    so a shard is one choice of that many blocks and their value.
 3. A shard is a BK-tree: children hang at their integer Hamming distance from
    the parent, and a search follows only edges within the radius. A shard above
