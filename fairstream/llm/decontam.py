@@ -20,7 +20,7 @@ import itertools
 import math
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ NGRAM = 13
 #: Bytes of benchmark text in one broadcast block; built, it takes up to ten times that
 #: (and 200 bytes for each distinct word).
 BLOCK_BYTES = 4 << 20
+#: Bytes of documents whose words are held at a time.
+CHUNK_BYTES = 1 << 20
 
 #: Every byte to its lower-case word byte, or to a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -135,6 +137,11 @@ class Windows:
             out &= ids[at + k] == self.words[there + k]
         return out
 
+    def find_in(self, texts: list[bytes | None]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+        """Per text: its number of words, and what ``find`` gives."""
+        docs = [words_of(t) if t else [] for t in texts]
+        return [(len(d), *x) for d, x in zip(docs, self.find(docs), strict=True)]
+
     def find(self, docs: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
         """Per document: the spans (word positions) of its hits and their items."""
         found: list[tuple[list, set]] = [([], set()) for _ in docs]
@@ -158,6 +165,19 @@ class Windows:
         return found
 
 
+def chunks(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+    """Neighbouring texts of ``CHUNK_BYTES`` together (or one longer text)."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t or b"")
+        if size >= CHUNK_BYTES:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def merge_spans(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -173,17 +193,16 @@ def _scan(docs: DataFrame, text_col: str, block, first: bool, min_percent: int)
         windows = block.value
 
         def work(batch: pa.RecordBatch) -> list:
-            texts = [words_of(t) if t else [] for t in text_bytes(batch.column(text_col))]
-            found = windows.find(texts)
+            found = [x for some in chunks(text_bytes(batch.column(text_col))) for x in windows.find_in(some)]
             if not first:
                 old = zip(batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist(), strict=True)
-                for (spans, items), (s, i) in zip(found, old, strict=True):
+                for (_, spans, items), (s, i) in zip(found, old, strict=True):
                     spans.extend((x["start"], x["end"]) for x in s)
                     items.update(i)
             out: list[list] = [[] for _ in FIELDS]
-            for words, (spans, items) in zip(texts, found, strict=True):
+            for n, spans, items in found:
                 spans, ids = merge_spans(spans), sorted(items)
-                n, hit = len(words), sum(b - a for a, b in spans)
+                hit = sum(b - a for a, b in spans)
                 row = ([{"start": a, "end": b} for a, b in spans], ids, n, hit, len(ids),
                        hashlib.sha256(",".join(ids).encode()).hexdigest(),
                        hit > 0 and 100 * hit >= min_percent * n)
