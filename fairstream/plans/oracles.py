@@ -581,7 +581,7 @@ def stream_oracles() -> dict[str, str]:
     out["running_counts"] = s["item_counts"]
     out["running_distinct"] = f"WITH {FLAT} SELECT DISTINCT item FROM src"
     out["stream_distinct_summary"] = s["distinct_summary"]
-    out["running_counts_compacted"] = out["stream_text_items"] = s["item_counts"]
+    out["running_counts_compacted"] = out["stream_text_items"] = out["stream_line_log"] = s["item_counts"]
     out["running_distinct_compacted"] = out["running_distinct"]
     out["stream_heavy_hitters"] = (
         f"WITH {SKEWED}, {COUNTS} SELECT item, cnt, (SELECT CAST(sum(cnt) AS BIGINT) FROM cnts) AS n_items, "

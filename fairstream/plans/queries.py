@@ -16,6 +16,7 @@ from fairstream.operators import cluster, fair, metrics, sketch, topk
 from fairstream.plans import fixtures as fx
 from fairstream.session import scratch_path
 from fairstream.sources import items as I
+from fairstream.sources import linelog
 from fairstream.sources import points as P
 from fairstream.sources import synth
 from fairstream.sources.tables import read_table
@@ -487,6 +488,19 @@ def q_stream_text_items(spark, sf_dir):
     return S.counts_snapshot(spark, job.out)
 
 
+def q_stream_line_log(spark, sf_dir):
+    """Items as lines of a landing log, in batches of a quarter of it at most, on the
+    100 ms trigger."""
+    k = (id(spark.sparkContext), sf_dir, "line-log")
+    if k not in _LANDED:
+        ev = read_table(spark, sf_dir, "events").select("user_id", "event_id")
+        _LANDED[k] = linelog.log_copy(ev, "user_id", "event_id", fx.STREAM_FILES, scratch_path(spark, "line-log"))
+    size = sum(n for _, n in linelog.segments(_LANDED[k]))
+    lines = linelog.line_log_stream(spark, _LANDED[k], batch_bytes=max(1, size // 4))
+    job = S.running_counts(I.parse_items(lines), trigger=S.BATCH_INTERVAL).drain()
+    return S.counts_snapshot(spark, job.out)
+
+
 def q_stream_heavy_hitters(spark, sf_dir):
     """The items above N / c of a skewed stream with their true counts, and whether the
     bounded summary has each of them within its bounds."""
@@ -581,6 +595,7 @@ def stream_queries() -> dict[str, Query]:
         "running_counts_compacted": q_running_counts_compacted,
         "running_distinct_compacted": q_running_distinct_compacted,
         "stream_text_items": q_stream_text_items,
+        "stream_line_log": q_stream_line_log,
         "stream_heavy_hitters": q_stream_heavy_hitters,
         "stream_distinct_range": q_stream_distinct_range,
         "stream_report_log": q_stream_report_log,
