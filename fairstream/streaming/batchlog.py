@@ -89,6 +89,11 @@ class BatchLog:
     def _parts(state: dict) -> list[str]:
         return [state["snapshot"]] * bool(state["snapshot"]) + state["deltas"]
 
+    def _old_manifests(self, batch_id: int) -> list[str]:
+        """Manifests that no replay and no reader needs any more."""
+        return [f"manifest/{i:012d}" for n in self.files.names("manifest")
+                if n.isdigit() and (i := int(n)) < batch_id - 2 * self.every]
+
     def put(self, batch: DataFrame, batch_id: int) -> None:
         """Add the rows of a batch (again, if it is replayed)."""
         now = self.manifest(before=batch_id)
@@ -99,9 +104,7 @@ class BatchLog:
         if len(now["deltas"]) >= self.every:
             snapshot = f"snapshots/{batch_id:012d}"
             self.merge(self._rows(self._parts(now))).write.mode("overwrite").parquet(f"{self.path}/{snapshot}")
-            gone = now["replaced"] + [
-                f"manifest/{i:012d}" for n in self.files.names("manifest")
-                if n.isdigit() and (i := int(n)) < batch_id - 2 * self.every]
+            gone = now["replaced"] + self._old_manifests(batch_id)
             now = {"snapshot": snapshot, "deltas": [], "replaced": self._parts(now)}
         self.files.put(f"manifest/{batch_id:012d}", json.dumps(now))
         for part in gone:
@@ -112,3 +115,40 @@ class BatchLog:
         return self.merge(self._rows(self._parts(self.manifest())))
 
 
+class TieredLog(BatchLog):
+    """A batch log whose rows stay apart (``merge`` does not make them fewer), so a
+    snapshot of everything would be written again and again. Here ``every`` deltas
+    become one folder of the first tier, ``every`` of those one of the second, and so
+    on: a row is written once a tier, and a reader opens fewer than ``every`` folders
+    a tier, with tiers growing as the logarithm of the batches."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str,
+                 merge: Callable[[DataFrame], DataFrame] = lambda rows: rows, every: int = EVERY):
+        super().__init__(spark, path, schema, merge, every)
+        if every < 2:
+            raise ValueError("every must be at least 2")
+
+    @staticmethod
+    def _parts(state: dict) -> list[str]:
+        return [part for tier in state.get("tiers", []) for part in tier]
+
+    def put(self, batch: DataFrame, batch_id: int) -> None:
+        now = self.manifest(before=batch_id)
+        tiers = now.get("tiers") or [[]]
+        delta = f"deltas/{batch_id:012d}"
+        batch.write.mode("overwrite").parquet(f"{self.path}/{delta}")
+        tiers[0].append(delta)
+        replaced: list[str] = []
+        for k in range(len(tiers)):                     # a full tier fills the next one
+            if len(tiers[k]) < self.every:
+                break
+            merged = f"tier{k + 1}/{batch_id:012d}"
+            self.merge(self._rows(tiers[k])).write.mode("overwrite").parquet(f"{self.path}/{merged}")
+            replaced += tiers[k]
+            tiers[k] = []
+            tiers[k + 1:] = [[*tiers[k + 1], merged], *tiers[k + 2:]] if k + 1 < len(tiers) else [[merged]]
+        gone = now["replaced"] + self._old_manifests(batch_id) if replaced else []
+        state = {"tiers": tiers, "replaced": replaced or now["replaced"]}
+        self.files.put(f"manifest/{batch_id:012d}", json.dumps(state))
+        for part in gone:
+            self.files.drop(part)

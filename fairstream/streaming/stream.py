@@ -3,8 +3,8 @@
 Every job writes through ``foreachBatch`` into a folder keyed by the batch id
 (overwritten as a whole), so a batch replayed after a failure replaces its own
 output instead of adding to it; offsets and operator state live in a checkpoint
-folder under the shared ``spark.checkpoint.dir``. The running results are batch
-logs with compaction (``batchlog``), and a ``*_snapshot`` function reads the
+folder under the shared ``spark.checkpoint.dir``. The results are batch logs
+with compaction (``batchlog``), and a ``*_snapshot`` function reads the
 current one back as a batch DataFrame from a bounded number of folders.
 
 - ``running_counts``: exact histogram in the state store (state grows with the
@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fairstream.session import scratch_path
-from fairstream.streaming.batchlog import EVERY, BatchLog
+from fairstream.streaming.batchlog import EVERY, BatchLog, TieredLog
 
 ITEM_SCHEMA = "item bigint"
-COUNTS_SCHEMA = "item bigint, cnt bigint, batch_time timestamp"
+COUNTS_SCHEMA = "item bigint, cnt bigint, batch_time timestamp, batch_id int"
 # Fixed value: the reference's micro-batch interval.
 BATCH_INTERVAL = "100 milliseconds"
 
@@ -177,21 +177,6 @@ def _writer(df: DataFrame, out: str, fn, trigger: str | None, mode: str = "appen
     return w
 
 
-def _put(df: DataFrame, out: str, table: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{out}/{table}/batch_id={batch_id}")
-
-
-def _get(spark: SparkSession, out: str, table: str, schema: str) -> DataFrame:
-    """What the batches wrote to ``table`` (``batch_id`` included), or an empty
-    table of ``schema`` if no batch has written yet (an empty stream)."""
-    path = f"{out}/{table}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], f"{schema}, batch_id int")
-    return spark.read.parquet(path)
-
-
 def running_counts(stream: DataFrame, out: str | None = None,
                    trigger: str | None = None, every: int = EVERY) -> StreamJob:
     """Exact running histogram; each batch writes the items whose count changed,
@@ -306,8 +291,8 @@ def distinct_sketches(stream: DataFrame, out: str | None = None, trigger: str |
     return StreamJob(_writer(read_items(stream), out, fn, trigger).start(), out)
 
 
-def _sketch_log(spark: SparkSession, out: str) -> BatchLog:
-    return BatchLog(spark, f"{out}/sketches", BATCH_SKETCH, lambda rows: rows)
+def _sketch_log(spark: SparkSession, out: str) -> TieredLog:
+    return TieredLog(spark, f"{out}/sketches", BATCH_SKETCH)
 
 
 def distinct_between(spark: SparkSession, out: str, first: int | None = None, last: int | None = None) -> DataFrame:
@@ -364,12 +349,12 @@ def cells_snapshot(spark: SparkSession, out: str) -> DataFrame:
 
 
 def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
-           trigger: str | None = None) -> StreamJob:
+           trigger: str | None = None, every: int = EVERY) -> StreamJob:
     """Process whole micro-batches until at least ``threshold`` items were seen.
 
-    Each accepted batch writes its own histogram (``counts/batch_id=N``: item,
-    cnt, batch_time), which is all the end-of-stream reports need; batch sizes are its
-    sums. Whether a batch is accepted depends only on the sizes of the batches
+    Each accepted batch writes its own histogram (item, cnt, batch_time, batch_id) to
+    a log in tiers of ``every``, which is all the end-of-stream reports need; batch
+    sizes are its sums. Whether a batch is accepted depends only on the sizes of the batches
     before it: the running total is kept on the driver and, after a restart,
     re-read once from what earlier batches wrote, so a replayed batch decides
     the same way. ``threshold=None`` takes the whole stream.
@@ -380,6 +365,7 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
     out = out or scratch_path(spark, "prefix")
     items = read_items(stream)
     state: dict = {"stop": False, "total": None}
+    log = _histograms(spark, out, every)
 
     def total_before(batch_id: int) -> int:
         if state["total"] is None:                  # first batch of this run
@@ -394,8 +380,9 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
             return
         counts = batch.groupBy("item").agg(F.count(F.lit(1)).alias("cnt"))
         size = Observation(f"batch_size_{batch_id}")      # measured by the write itself
-        stamped = counts.withColumn("batch_time", F.lit(datetime.now(timezone.utc)))
-        _put(stamped.observe(size, F.sum("cnt").alias("n")), out, "counts", batch_id)
+        stamped = (counts.withColumn("batch_time", F.lit(datetime.now(timezone.utc)))
+                   .withColumn("batch_id", F.lit(batch_id).cast("int")))
+        log.put(stamped.observe(size, F.sum("cnt").alias("n")), batch_id)
         n = int(size.get.get("n") or 0)
         if n == 0:
             return                          # an empty batch wrote an empty histogram
@@ -406,6 +393,11 @@ def prefix(stream: DataFrame, threshold: int | None, out: str | None = None,
     return StreamJob(_writer(items, out, fn, trigger).start(), out, state)
 
 
+def _histograms(spark: SparkSession, out: str, every: int = EVERY) -> TieredLog:
+    """The accepted batches' histograms, each kept apart."""
+    return TieredLog(spark, f"{out}/counts", COUNTS_SCHEMA, every=every)
+
+
 def batch_sizes(spark: SparkSession, out: str) -> DataFrame:
     """``batch_id, n_rows`` of the accepted, non-empty batches."""
     return batch_log(spark, out).select("batch_id", "n_rows")
@@ -414,7 +406,7 @@ def batch_sizes(spark: SparkSession, out: str) -> DataFrame:
 def batch_log(spark: SparkSession, out: str) -> DataFrame:
     """``batch_id, batch_time, n_rows`` of every accepted, non-empty batch, however
     many there were (``progress_log`` covers the query's recent ones only)."""
-    c = _get(spark, out, "counts", COUNTS_SCHEMA)
+    c = _histograms(spark, out).read()
     return c.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")) \
         .agg(F.max("batch_time").alias("batch_time"), F.sum("cnt").cast("bigint").alias("n_rows"))
 
@@ -422,12 +414,12 @@ def batch_log(spark: SparkSession, out: str) -> DataFrame:
 def batch_counts(spark: SparkSession, out: str) -> DataFrame:
     """``item, cnt, batch_id``: each accepted batch's own histogram (the input
     of weighted sketch updates)."""
-    return _get(spark, out, "counts", COUNTS_SCHEMA).select("item", "cnt", "batch_id")
+    return _histograms(spark, out).read().select("item", "cnt", "batch_id")
 
 
 def prefix_counts(spark: SparkSession, out: str) -> DataFrame:
     """``item, cnt`` over all accepted batches."""
-    return _get(spark, out, "counts", COUNTS_SCHEMA).groupBy("item") \
+    return _histograms(spark, out).read().groupBy("item") \
         .agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 

@@ -13,7 +13,7 @@ from fairstream.session import scratch_path
 from fairstream.sources import items as I
 from fairstream.streaming import hitters
 from fairstream.streaming import stream as S
-from fairstream.streaming.batchlog import BatchLog
+from fairstream.streaming.batchlog import BatchLog, TieredLog
 
 SCHEMA = "item bigint, cnt bigint"
 
@@ -66,6 +66,40 @@ def test_a_batch_cut_off_before_its_manifest_is_not_seen(spark):
         BatchLog(spark, log.path, SCHEMA, added, every=0)
 
 
+def test_tiers_keep_every_row_once_in_few_folders(spark):
+    log = TieredLog(spark, scratch_path(spark, "tiers"), SCHEMA, every=3)
+    assert log.read().count() == 0
+    for b in range(31):
+        for _ in range(1 + (b % 4 == 0 or b in (2, 8, 26))):             # replays, also of batches that merge
+            log.put(frame(spark, {b: 1}), b)
+        again = TieredLog(spark, log.path, SCHEMA, every=3)
+        parts = again._parts(again.manifest())
+        assert len(parts) <= 2 * 4                                       # 27 batches: a third tier
+        if b % 5 == 0 or b in (8, 26, 30):
+            assert sorted(r["item"] for r in again.read().collect()) == list(range(b + 1))
+    assert any(p.startswith("tier3/") for p in parts)
+    folders = [n for t in ("deltas", "tier1", "tier2", "tier3") for n in log.files.names(t)]
+    assert len(folders) <= len(parts) + 2 * 3 * 3 and len(log.files.names("manifest")) <= 3 * 3 + 1
+    with pytest.raises(ValueError):
+        TieredLog(spark, log.path, SCHEMA, every=1)
+
+
+def test_prefix_histograms_are_merged_and_stay_apart(spark):
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "out")
+    def run(files):
+        for k in files:
+            rows = spark.createDataFrame([(k,)] * (k + 1) + [(9,)], "item bigint")
+            rows.coalesce(1).write.mode("append").parquet(landing)
+        st = spark.readStream.schema("item bigint").option("maxFilesPerTrigger", 1).parquet(landing)
+        S.prefix(st, None, out, every=2).wait(600)
+        return sorted((r["batch_id"], r["n_rows"]) for r in S.batch_sizes(spark, out).collect())
+    assert run(range(3)) == [(0, 2), (1, 3), (2, 4)]
+    assert run(range(3, 7)) == [(b, b + 2) for b in range(7)]            # a restart goes on behind them
+    counts = {(r["batch_id"], r["item"]): r["cnt"] for r in S.batch_counts(spark, out).collect()}
+    assert counts == {(k, k): k + 1 for k in range(7)} | {(k, 9): 1 for k in range(7)}
+    assert len(S._histograms(spark, out).files.names("tier2")) == 1
+
+
 def test_a_running_job_goes_on_after_a_restart(spark):
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "out")
     want = Counter()
